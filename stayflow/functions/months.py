@@ -26,6 +26,8 @@ def month_label(ym: Column) -> Column:
 
 
 def label_month(label: Column) -> Column:
-    """``mar18`` -> 201803."""
-    day = F.to_date(F.concat(F.initcap(F.substring(label, 1, 3)), F.substring(label, 4, 2)), "MMMyy")
-    return F.date_format(day, "yyyyMM").cast("int")
+    """``mar18`` -> 201803; two-digit years from 69 on belong to the last century."""
+    year = F.substring(label, 4, 2).cast("int")
+    century = F.when(year >= 69, F.lit("19")).otherwise(F.lit("20"))
+    text = F.concat(F.initcap(F.substring(label, 1, 3)), century, F.substring(label, 4, 2))
+    return F.date_format(F.to_date(text, "MMMyyyy"), "yyyyMM").cast("int")

@@ -197,3 +197,10 @@ def outcome_flag(*labels: Column) -> Column:
     for c in labels[1:]:
         any_one = F.coalesce(any_one, F.lit(False)) | F.coalesce(c == 1, F.lit(False))
     return F.when(any_one, 1).otherwise(0)
+
+
+def population(df: DataFrame, equals: Mapping[str, str]) -> DataFrame:
+    """Rows whose text columns equal the given values, compared without case."""
+    for c, v in equals.items():
+        df = df.filter(F.upper(c) == v.upper())
+    return df

@@ -5,9 +5,7 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import ANOVATest
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from stayflow.functions.columns import ratio
 from stayflow.operators.stats import pair_correlations, per_column, target_correlation, top_partners
@@ -62,13 +60,40 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str = "status", p_values:
     out = ranked(per_column(df, cols, {"anova": f_value}), F.desc_nulls_last("anova"), "ranking_anova")
     if not p_values:
         return out
-    vectors = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(df.select(label, *cols))
-    tests = ANOVATest.test(vectors, "_v", label, flatten=True)
-    names = F.array(*[F.lit(c) for c in cols])
-    return out.join(tests.select(F.element_at(names, F.col("featureIndex") + 1).alias("feature"), F.col("pValue").alias("pval_anova")), "feature")
-
-
-@F.pandas_udf("double")
+    n = per_column(df, cols, {"_n": F.count})
+    return out.join(n, "feature").withColumn("pval_anova", _f_tail("anova", F.col("_n").cast("double") - 2)).drop("_n")
+
+
+def _beta_tail(x: float, a: float, b: float) -> float:
+    """Regularised incomplete beta function by its continued fraction (Lentz)."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1.0 - _beta_tail(1 - x, b, a)
+    front = math.exp(a * math.log(x) + b * math.log1p(-x) + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)) / a
+    c, d = 1.0, 1.0 / (1.0 - (a + b) * x / (a + 1) or 1e-300)
+    total = d
+    for m in range(1, 500):
+        for step in (
+            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
+        ):
+            d = 1.0 / ((1.0 + step * d) or 1e-300)
+            c = (1.0 + step / c) or 1e-300
+            total *= d * c
+        if abs(d * c - 1.0) < 1e-14:
+            break
+    return front * total
+
+
+@F.pandas_udf(T.DoubleType())
+def _f_tail(f: pd.Series, dof: pd.Series) -> pd.Series:
+    """Upper tail of F with (1, dof) degrees of freedom; one value per feature."""
+    ok = f.notna() & (dof > 0)
+    return pd.Series([_beta_tail(d / (d + v), d / 2, 0.5) if k else None for v, d, k in zip(f, dof, ok)], index=f.index, dtype="float64")
+
+
+@F.pandas_udf(T.DoubleType())
 def _chi2_tail(x: pd.Series) -> pd.Series:
     """Upper tail of chi-square with one degree of freedom."""
     return x.map(lambda v: math.erfc(math.sqrt(v / 2)) if v is not None and v == v else None)
