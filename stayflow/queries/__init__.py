@@ -1,3 +1,3 @@
 """All registered queries; importing this package fills the registry."""
-from stayflow.queries import cohorts, evaluation, scalars  # noqa: F401
+from stayflow.queries import cohorts, evaluation, scalars, statistics  # noqa: F401
 from stayflow.queries.registry import ORACLES, QUERIES  # noqa: F401
