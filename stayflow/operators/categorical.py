@@ -321,3 +321,94 @@ def group_aggregate_features(
         out = out.join(wide, F.col(g).cast("string") == F.col("grp"), "left").drop("grp")
         names += kept
     return out.select(*keep, *[F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(n) for n in names])
+
+
+# --- the categorical pipeline ---
+
+METHODS = ("pct", "count", "ordinal", "y_mean", "y_log_ratio", "y_ratio")
+
+
+def encoder_codes(train: DataFrame, cols: Sequence[str], label: str = "status", methods: Sequence[str] = METHODS, one_hot: bool = False) -> DataFrame:
+    """(name, feature, level, code, n, y) of every encoder output, from one set of level counts.
+
+    A one-hot output has a single row: its level, code 1.
+    """
+    stats = level_order(level_stats(train, cols, label))
+    p1, p0 = F.col("y_mean"), 1 - F.col("y_mean")
+    floor = lambda p: F.when(p <= 0, F.lit(ODDS_FLOOR)).otherwise(p)
+    codes = {
+        "pct": F.col("share"), "count": F.col("n").cast("double"), "ordinal": F.col("rate_place").cast("double"), "y_mean": p1,
+        "y_log_ratio": F.log(floor(p1) / floor(p0)), "y_ratio": p1 / floor(p0),
+    }
+    cells = [F.struct(F.concat(F.lit(m.upper() + "_"), "feature").alias("name"), codes[m].alias("code")) for m in methods]
+    if one_hot:
+        cells.append(F.struct(F.concat_ws("_", "feature", "level").alias("name"), F.lit(1.0).alias("code")))
+    return stats.select("feature", "level", "n", F.round(F.col("n") * F.col("y_mean")).alias("y"), F.inline(F.array(*cells)))
+
+
+def encoder_correlations(df: DataFrame, cols: Sequence[str], label: str = "status", min_pct: float = 0.01, max_count: int = 30, methods: Sequence[str] = METHODS) -> DataFrame:
+    """Correlation with the target of every encoder output of the reduced levels.
+
+    An output is constant within a level, so the level counts hold all it takes: the
+    thousands of candidate columns are never built.
+    """
+    rows = reduce_rare(df, df, cols, min_pct, max_count)
+    return _code_correlations(encoder_codes(rows, cols, label, methods))
+
+
+def _code_correlations(codes: DataFrame) -> DataFrame:
+    means = codes.groupBy("name").agg((F.sum(F.col("n") * F.col("code")) / F.sum("n")).alias("_m"))
+    d = codes.join(means, "name").withColumn("_d", F.col("code") - F.col("_m"))
+    sums = d.groupBy("name").agg(
+        F.sum("n").cast("double").alias("n"), F.sum("y").alias("y"),
+        F.sum(F.col("n") * F.col("_d") * F.col("_d")).alias("dd"), F.sum(F.col("_d") * F.col("y")).alias("dy"),
+    )
+    return sums.select("name", ratio(F.col("dy"), F.sqrt(F.col("dd") * (F.col("y") - F.col("y") * F.col("y") / F.col("n")))).alias("corr"))
+
+
+def categorical_pipeline(
+    df: DataFrame,
+    train: DataFrame,
+    first: Sequence[str],
+    second: Sequence[str],
+    cols: Sequence[str],
+    label: str = "status",
+    key: str = "chc_id",
+    target_threshold: float = 0.005,
+    feature_threshold: float = 0.90,
+    min_pct: float = 0.01,
+    max_count: int = 30,
+) -> DataFrame:
+    """Interactions, rare levels, all encoders, thinned twice; only survivors are built.
+
+    The first thinning needs level counts only. The second compares the survivors,
+    which by then are few enough for one pair-correlation pass.
+    """
+    from stayflow.operators.numeric import keep_strong
+
+    inter = interactions(first, second).outputs
+
+    def widen(frame: DataFrame) -> DataFrame:
+        return frame.withColumns({n: c for n, c in inter.items()})
+
+    wide_cols = [*cols, *inter]
+    fit = reduce_rare(widen(train), widen(train), wide_cols, min_pct, max_count)
+    codes = encoder_codes(fit, wide_cols, label)
+    corr = {r["name"]: r["corr"] for r in _code_correlations(codes).collect()}
+    strong = [n for n, c in corr.items() if c is not None and round(abs(c), 9) >= target_threshold]
+    small = codes.filter(F.col("name").isin(strong)).select("name", "feature", "level", "code")
+
+    def build(frame: DataFrame, keep: Sequence[str]) -> DataFrame:
+        reduced = reduce_rare(widen(frame), widen(train), wide_cols, min_pct, max_count)
+        maps: dict[str, tuple[str, dict]] = {}
+        for r in small.collect():  # reduced levels: at most max_count + 1 per feature and encoder
+            maps.setdefault(r["name"], (r["feature"], {}))[1][r["level"]] = r["code"]
+        outs = []
+        for name in sorted(maps):
+            feature, pairs = maps[name]
+            unseen = math.log(ODDS_FLOOR / (1 - ODDS_FLOOR)) if name.startswith("Y_LOG_RATIO_") else 0.0
+            outs.append(map_levels(F.col(f"`{feature}`"), pairs, F.lit(unseen)).alias(name))
+        return reduced.select(*keep, *outs)
+
+    names = keep_strong(build(train, [label]), {n: corr[n] for n in strong}, target_threshold, feature_threshold)
+    return build(df, [key, label]).select(key, label, *[F.col(f"`{n}`") for n in names])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stayflow.functions.columns import ratio, row_sum
 from stayflow.operators.quantiles import exact_quantiles
-from stayflow.operators.stage import Fitted
+from stayflow.operators.stage import Fitted, union
 from stayflow.operators.stats import pair_correlations, per_column, target_correlation
 from stayflow.operators import prep
 
@@ -264,51 +264,49 @@ def standard_set(df: DataFrame, cols: Sequence[str], n_quantiles: int = 100, kbi
     return {name: f.renamed(prefix=name) for name, f in made.items()}
 
 
-def screen(df: DataFrame, fitted: Fitted, label: str, target_threshold: float, feature_threshold: float) -> list[str]:
-    """Names of the outputs that pass the irrelevant / collinear rule."""
-    names = list(fitted.outputs)
-    frame = fitted.apply(df, [label])
-    corr = {r["feature"]: r["corr"] for r in target_correlation(frame, names, label).collect()}
-    return keep_strong(frame, corr, target_threshold, feature_threshold)
-
-
 def keep_strong(frame: DataFrame, corr: dict, target_threshold: float, feature_threshold: float) -> list[str]:
-    strong = {c: r for c, r in corr.items() if r is not None and round(abs(r), 9) >= target_threshold}
+    """Names that pass both thresholds, strongest first; ``corr`` is with the target."""
+    strong = {c: v for c, v in corr.items() if v is not None and round(abs(v), 9) >= target_threshold}
     order = prep.correlation_order(strong)
     pairs = {frozenset((r["col_a"], r["col_b"])): r["corr"] for r in pair_correlations(frame, order).collect()}
     gone = {late for late, _, _ in prep.collinear(order, pairs, feature_threshold)}
     return [c for c in order if c not in gone]
 
 
-def numeric_pipeline(
-    df: DataFrame,
-    cols: Sequence[str],
-    label: str = "status",
-    target_threshold: float = 0.005,
-    feature_threshold: float = 0.90,
-    n_quantiles: int = 100,
-    extra: dict[str, Fitted] | None = None,
+def thinned_union(
+    df: DataFrame, stages: dict[str, Fitted], label: str = "status", target_threshold: float = 0.005, feature_threshold: float = 0.90
 ) -> Fitted:
     """Many transforms side by side, each thinned, then thinned together.
 
     All target correlations come from one pass over the union, and the pair
     correlations of all stages from one more; the rule itself runs on the driver.
     """
-    stages = standard_set(df, cols, n_quantiles) | (extra or {})
-    outputs = {n: c for f in stages.values() for n, c in f.outputs.items()}
-    everything = Fitted(outputs)
+    everything = union(*stages.values())
     frame = everything.apply(df, [label])
-    corr = {r["feature"]: r["corr"] for r in target_correlation(frame, list(outputs), label).collect()}
+    corr = {r["feature"]: r["corr"] for r in target_correlation(frame, list(everything.outputs), label).collect()}
     strong = {c: r for c, r in corr.items() if r is not None and round(abs(r), 9) >= target_threshold}
     pairs = {
         frozenset((r["col_a"], r["col_b"])): r["corr"]
         for r in pair_correlations(frame, prep.correlation_order(strong)).collect()
     }
-    survivors: list[str] = []
-    for f in stages.values():
-        order = prep.correlation_order({c: strong[c] for c in f.outputs if c in strong})
+
+    def thin(names: Sequence[str]) -> list[str]:
+        order = prep.correlation_order({c: strong[c] for c in names})
         gone = {late for late, _, _ in prep.collinear(order, pairs, feature_threshold)}
-        survivors += [c for c in order if c not in gone]
-    order = prep.correlation_order({c: strong[c] for c in survivors})
-    gone = {late for late, _, _ in prep.collinear(order, pairs, feature_threshold)}
-    return everything.only([c for c in order if c not in gone])
+        return [c for c in order if c not in gone]
+
+    survivors = [c for f in stages.values() for c in thin([n for n in f.outputs if n in strong])]
+    return everything.only(thin(survivors))
+
+
+def numeric_pipeline(
+    df: DataFrame,
+    cols: Sequence[str],
+    label: str = "status",
+    target_threshold: float = 0.005,
+    feature_threshold: float = 0.90,
+    n_quantiles: int = 100,
+    extra: dict[str, Fitted] | None = None,
+) -> Fitted:
+    """The twelve standard transforms, and any ``extra`` such as trees, thinned twice."""
+    return thinned_union(df, standard_set(df, cols, n_quantiles) | (extra or {}), label, target_threshold, feature_threshold)
