@@ -2,15 +2,17 @@
 expressions, so a union of many transforms is still a single ``select``."""
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stayflow.functions.columns import ratio, row_sum
 from stayflow.operators.quantiles import exact_quantiles
 from stayflow.operators.stage import Fitted, union
-from stayflow.operators.stats import pair_correlations, per_column, target_correlation
+from stayflow.operators.stats import long_numbers, pair_correlations, per_column, target_correlation
 from stayflow.operators import prep
 
 
@@ -54,30 +56,51 @@ def _stat(df: DataFrame, cols: Sequence[str], **measures) -> dict[str, dict]:
     return {r["feature"]: r.asDict() for r in per_column(df, cols, measures).collect()}
 
 
-def standard(df: DataFrame, cols: Sequence[str], with_mean: bool = True, with_std: bool = True) -> Fitted:
+Quantiles = Mapping[str, Mapping[float, float | None]]
+
+
+def moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
+    """Everything the linear scalers need, in one pass."""
+    x = lambda c: c.cast("double")
+    return _stat(
+        df, cols, mean=lambda c: F.avg(x(c)), sd=lambda c: F.stddev_pop(x(c)), lo=lambda c: F.min(x(c)), hi=lambda c: F.max(x(c))
+    )
+
+
+def quantile_table(df: DataFrame, cols: Sequence[str], *probs: Sequence[float]) -> Quantiles:
+    """Exact quantiles at all the given probabilities, found together."""
+    wanted = sorted({p for group in probs for p in group})
+    return {c: dict(zip(wanted, v)) for c, v in exact_quantiles(df, cols, wanted).items()}
+
+
+def _steps(n: int) -> list[float]:
+    return [k / n for k in range(n + 1)]
+
+
+def standard(df: DataFrame, cols: Sequence[str], with_mean: bool = True, with_std: bool = True, stats: dict | None = None) -> Fitted:
     """Population standard deviation; a constant column is divided by 1."""
-    s = _stat(df, cols, m=lambda c: F.avg(c.cast("double")), s=lambda c: F.stddev_pop(c.cast("double")))
+    s = stats or moments(df, cols)
     out = {}
     for c in cols:
-        mean = s[c]["m"] or 0.0 if with_mean else 0.0
-        sd = s[c]["s"] or 1.0 if with_std else 1.0
+        mean = s[c]["mean"] or 0.0 if with_mean else 0.0
+        sd = s[c]["sd"] or 1.0 if with_std else 1.0
         out[c] = (_x(c) - mean) / sd
     return Fitted(out, {"standard": s})
 
 
-def robust(df: DataFrame, cols: Sequence[str], quantile_range: tuple[float, float] = (25.0, 75.0)) -> Fitted:
+def robust(df: DataFrame, cols: Sequence[str], quantile_range: tuple[float, float] = (25.0, 75.0), table: Quantiles | None = None) -> Fitted:
     """Centred on the median, divided by the quantile range (1 when it is zero)."""
-    lo, hi = quantile_range
-    q = exact_quantiles(df, cols, [lo / 100, 0.5, hi / 100])
-    out = {}
+    lo, hi = (p / 100 for p in quantile_range)
+    q = table or quantile_table(df, cols, [lo, 0.5, hi])
+    out, state = {}, {}
     for c in cols:
-        a, med, b = q[c]
+        a, med, b = state[c] = [q[c][p] for p in (lo, 0.5, hi)]
         out[c] = _x(c) if med is None else (_x(c) - med) / ((b - a) or 1.0)
-    return Fitted(out, {"robust": q})
+    return Fitted(out, {"robust": state})
 
 
-def minmax(df: DataFrame, cols: Sequence[str], feature_range: tuple[float, float] = (0.0, 1.0)) -> Fitted:
-    s = _stat(df, cols, lo=lambda c: F.min(c.cast("double")), hi=lambda c: F.max(c.cast("double")))
+def minmax(df: DataFrame, cols: Sequence[str], feature_range: tuple[float, float] = (0.0, 1.0), stats: dict | None = None) -> Fitted:
+    s = stats or moments(df, cols)
     low, high = feature_range
     out = {}
     for c in cols:
@@ -86,9 +109,10 @@ def minmax(df: DataFrame, cols: Sequence[str], feature_range: tuple[float, float
     return Fitted(out, {"minmax": s})
 
 
-def maxabs(df: DataFrame, cols: Sequence[str]) -> Fitted:
-    s = _stat(df, cols, m=lambda c: F.max(F.abs(c.cast("double"))))
-    return Fitted({c: _x(c) / (s[c]["m"] or 1.0) for c in cols}, {"maxabs": s})
+def maxabs(df: DataFrame, cols: Sequence[str], stats: dict | None = None) -> Fitted:
+    s = stats or moments(df, cols)
+    size = {c: max(abs(s[c]["lo"] or 0.0), abs(s[c]["hi"] or 0.0)) for c in cols}
+    return Fitted({c: _x(c) / (size[c] or 1.0) for c in cols}, {"maxabs": size})
 
 
 def normalize(cols: Sequence[str], norm: str = "l2") -> Fitted:
@@ -125,8 +149,6 @@ def bucket_index(c: Column, cuts: Sequence[float]) -> Column:
 
 
 def _search(cuts: list[float]):
-    import numpy as np
-
     edges = np.asarray(cuts, dtype="float64")
 
     @F.pandas_udf("int")
@@ -146,20 +168,17 @@ def qcut(c: Column, edges: Sequence[float]) -> Column:
 
 def right_closed_index(c: Column, cuts: Sequence[float]) -> Column:
     """How many cuts are < c (right-closed buckets)."""
-    import math
-
     return bucket_index(c, [math.nextafter(e, math.inf) for e in cuts])
 
 
-def quantile(df: DataFrame, cols: Sequence[str], n_quantiles: int = 1000) -> Fitted:
+def quantile(df: DataFrame, cols: Sequence[str], n_quantiles: int = 1000, table: Quantiles | None = None) -> Fitted:
     """Rank-like map to [0, 1] by interpolation between quantile landmarks.
 
     On a repeated landmark the result is the middle of its span.
     """
-    import numpy as np
-
-    steps = [k / (n_quantiles - 1) for k in range(n_quantiles)]
-    q = exact_quantiles(df, cols, steps)
+    steps = _steps(n_quantiles - 1)
+    found = table or quantile_table(df, cols, steps)
+    q = {c: [found[c][p] for p in steps] for c in cols}
     refs = np.linspace(0.0, 1.0, n_quantiles)
 
     def transform(marks: list[float]):
@@ -181,12 +200,12 @@ def quantile(df: DataFrame, cols: Sequence[str], n_quantiles: int = 1000) -> Fit
     return Fitted(out, {"quantile": q})
 
 
-def kbins(df: DataFrame, cols: Sequence[str], n_bins: int = 5, encode: str = "onehot") -> Fitted:
+def kbins(df: DataFrame, cols: Sequence[str], n_bins: int = 5, encode: str = "onehot", table: Quantiles | None = None) -> Fitted:
     """Quantile bins, left-closed, the last one closed; bins narrower than 1e-8 merged."""
-    q = exact_quantiles(df, cols, [k / n_bins for k in range(n_bins + 1)])
+    q = table or quantile_table(df, cols, _steps(n_bins))
     out, state = {}, {}
     for c in cols:
-        edges = [e for e in q[c] if e is not None]
+        edges = [q[c][p] for p in _steps(n_bins) if q[c][p] is not None]
         kept = edges[:1] + [b for a, b in zip(edges, edges[1:]) if b - a > 1e-8]
         state[c] = kept
         index = bucket_index(_x(c), kept[1:-1])
@@ -202,61 +221,60 @@ def kbins(df: DataFrame, cols: Sequence[str], n_bins: int = 5, encode: str = "on
 POWER_GRID = tuple(k / 4 for k in range(-8, 9))
 
 
-def _yeo_johnson(x: Column, lam: float) -> Column:
-    up = F.log1p(x) if lam == 0 else (F.pow(x + 1, F.lit(lam)) - 1) / lam
-    down = -F.log1p(-x) if lam == 2 else -(F.pow(1 - x, F.lit(2 - lam)) - 1) / (2 - lam)
+def _yeo_johnson(x: Column, lam: Column | float) -> Column:
+    lam = lam if isinstance(lam, Column) else F.lit(float(lam))
+    up = F.when(lam == 0, F.log1p(x)).otherwise(F.try_divide(F.pow(x + 1, lam) - 1, lam))
+    down = F.when(lam == 2, -F.log1p(-x)).otherwise(-F.try_divide(F.pow(1 - x, 2 - lam) - 1, 2 - lam))
     return F.when(x >= 0, up).otherwise(F.when(x < 0, down))
 
 
-def _box_cox(x: Column, lam: float) -> Column:
-    y = F.log(x) if lam == 0 else (F.pow(x, F.lit(lam)) - 1) / lam
-    return F.when(x > 0, y)
+def _box_cox(x: Column, lam: Column | float) -> Column:
+    lam = lam if isinstance(lam, Column) else F.lit(float(lam))
+    return F.when(x > 0, F.when(lam == 0, F.log(x)).otherwise(F.try_divide(F.pow(x, lam) - 1, lam)))
 
 
 def power(df: DataFrame, cols: Sequence[str], method: str = "yeo-johnson", grid: Sequence[float] = POWER_GRID) -> Fitted:
     """The exponent with the highest likelihood on a fixed grid, then standardised.
 
     The likelihood of an exponent needs a variance and one sum, so all exponents of
-    all columns are scored in the same aggregate.
+    all columns are scored in one aggregate with one row per column and exponent.
     """
     f = {"yeo-johnson": _yeo_johnson, "box-cox": _box_cox}[method]
-
-    def jacobian(x: Column) -> Column:
-        return F.signum(x) * F.log1p(F.abs(x)) if method == "yeo-johnson" else F.log(F.when(x > 0, x))
-
-    measures: dict[str, Callable] = {"n": lambda c: F.count(c), "j": lambda c: F.sum(jacobian(c.cast("double")))}
-    for i, lam in enumerate(grid):
-        measures[f"v{i}"] = lambda c, lam=lam: F.var_pop(f(c.cast("double"), lam))
-        measures[f"m{i}"] = lambda c, lam=lam: F.avg(f(c.cast("double"), lam))
-    stats = _stat(df, cols, **measures)
-    import math
-
+    x = F.col("value")
+    jacobian = F.signum(x) * F.log1p(F.abs(x)) if method == "yeo-johnson" else F.log(F.when(x > 0, x))
+    rows = long_numbers(df, cols).withColumn("lam", F.explode(F.array(*[F.lit(float(g)) for g in grid])))
+    t = f(x, F.col("lam"))
+    found: dict[str, list] = {c: [] for c in cols}
+    for r in rows.groupBy("feature", "lam").agg(
+        F.count(t).alias("n"), F.avg(t).alias("m"), F.var_pop(t).alias("v"), F.sum(jacobian).alias("j")
+    ).collect():  # one row per column and exponent
+        if r["v"] and math.isfinite(r["v"]):
+            found[r["feature"]].append((-r["n"] / 2 * math.log(r["v"]) + (r["lam"] - 1) * r["j"], r["lam"], r["m"], r["v"]))
     out, chosen = {}, {}
     for c in cols:
-        s = stats[c]
-        score = {
-            i: -s["n"] / 2 * math.log(s[f"v{i}"]) + (lam - 1) * s["j"]
-            for i, lam in enumerate(grid)
-            if s[f"v{i}"] and math.isfinite(s[f"v{i}"])
-        }
-        best = max(score, key=score.get) if score else list(grid).index(1.0)
-        chosen[c] = grid[best]
-        out[c] = (f(_x(c), grid[best]) - (s[f"m{best}"] or 0.0)) / (math.sqrt(s[f"v{best}"] or 0.0) or 1.0)
+        _, lam, m, v = max(found[c], default=(0.0, 1.0, 0.0, 1.0))
+        chosen[c] = lam
+        out[c] = (f(_x(c), lam) - m) / math.sqrt(v)
     return Fitted(out, {"power": chosen})
 
 
 def standard_set(df: DataFrame, cols: Sequence[str], n_quantiles: int = 100, kbins_n: int = 10) -> dict[str, Fitted]:
-    """The twelve transforms of the numeric pipeline under their prefixes."""
+    """The twelve transforms of the numeric pipeline under their prefixes.
+
+    They share one pass of moments and one search for quantiles.
+    """
+    s = moments(df, cols)
+    q = quantile_table(df, cols, [0.05, 0.5, 0.95], _steps(n_quantiles - 1), _steps(kbins_n))
     made = {
         "Original": passthrough(cols),
-        "Standard": standard(df, cols),
-        "Robust": robust(df, cols, (5.0, 95.0)),
-        "Quantile": quantile(df, cols, n_quantiles),
+        "Standard": standard(df, cols, stats=s),
+        "Robust": robust(df, cols, (5.0, 95.0), table=q),
+        "Quantile": quantile(df, cols, n_quantiles, table=q),
         "Binary": binarize(cols, 0),
-        "MinMax": minmax(df, cols),
-        "MaxAbs": maxabs(df, cols),
+        "MinMax": minmax(df, cols, stats=s),
+        "MaxAbs": maxabs(df, cols, stats=s),
         "Norm": normalize(cols, "l1"),
-        "KBin": kbins(df, cols, kbins_n, "ordinal"),
+        "KBin": kbins(df, cols, kbins_n, "ordinal", table=q),
         "Log1p": log1p(cols),
         "Sqrt": sqrt(cols),
         "Reciprocal": reciprocal(cols),

@@ -42,12 +42,24 @@ def blanks_to_null(df: DataFrame) -> DataFrame:
 
 
 def dtype_report(df: DataFrame, catalog: Catalog, exclude: Sequence[str] = NOT_FEATURES) -> DataFrame:
-    """Columns whose type disagrees with the catalogue."""
+    """Columns whose type disagrees with the catalogue, and what a cast would keep.
+
+    Counts the values present, those that survive the cast, and the distinct ones.
+    """
     numbers, texts = numeric_columns(df, exclude), categorical_columns(df, exclude)
     types = dict(df.dtypes)
-    rows = [(c, "NUM", types[c]) for c in texts if catalog.kinds.get(c) == "NUM"]
-    rows += [(c, "CAT", types[c]) for c in numbers if catalog.kinds.get(c) == "CAT"]
-    return df.sparkSession.createDataFrame(rows, "feature string, default_dtype string, actual_dtype string")
+    wrong = [(c, "NUM", types[c]) for c in texts if catalog.kinds.get(c) == "NUM"]
+    wrong += [(c, "CAT", types[c]) for c in numbers if catalog.kinds.get(c) == "CAT"]
+    names = df.sparkSession.createDataFrame(wrong, "feature string, default_dtype string, actual_dtype string")
+    if not wrong:
+        return names.selectExpr("*", "0L AS n", "0L AS n_convertible", "0L AS n_unique")
+    cols = [c for c, _, _ in wrong]
+    kinds = {c: k for c, k, _ in wrong}
+    clean = df.select(*[(blank_to_null(F.col(c)) if c in texts else F.col(c)).alias(c) for c in cols])
+    cast = clean.select(*[(F.col(c).try_cast("double") if kinds[c] == "NUM" else F.col(c)).alias(c) for c in cols])
+    out = names.join(per_column(clean, cols, {"n": F.count}), "feature")
+    out = out.join(per_column(cast, cols, {"n_convertible": F.count}), "feature")
+    return out.join(unique_counts(clean, cols), "feature")
 
 
 def use_default_types(df: DataFrame, catalog: Catalog, exclude: Sequence[str] = NOT_FEATURES) -> DataFrame:

@@ -11,7 +11,9 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stayflow.functions.columns import present
 from stayflow.operators.ordered import running_totals
@@ -78,6 +80,21 @@ def _split(rows: DataFrame, iv: Sequence[_Interval]) -> list[_Interval]:
     return out
 
 
+def _picker(intervals: Sequence[_Interval]):
+    """Values at the wanted ranks of one interval, from its distinct values and counts."""
+    wanted = [(x.before, x.ranks) for x in intervals]
+
+    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+        iv = int(pdf["_iv"].iloc[0])
+        before, ranks = wanted[iv]
+        pdf = pdf.sort_values("value")
+        upto = before + pdf["count"].to_numpy().cumsum()
+        at = np.searchsorted(upto, np.asarray(ranks), side="right")
+        return pd.DataFrame({"_iv": iv, "t": ranks, "value": pdf["value"].to_numpy()[at]})
+
+    return pick
+
+
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], limit: int = INTERVAL_LIMIT
 ) -> dict[str, list[float | None]]:
@@ -116,21 +133,10 @@ def exact_quantiles(
     if done:
         rows = _long(df, sorted({x.feature for x in done})).withColumn("_iv", _tag(done)).filter("_iv IS NOT NULL")
         counts = rows.groupBy("_iv", "value").count()
-        upto = Window.partitionBy("_iv").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-        spans = counts.withColumn("last", F.sum("count").over(upto))
-        ranks = F.array(*[F.array(*[F.lit(t - x.before).cast("bigint") for t in x.ranks]) for x in done])
-        hits = spans.select(
-            "_iv",
-            "value",
-            F.explode(
-                F.filter(
-                    F.element_at(ranks, F.col("_iv") + 1),
-                    lambda t: (t < F.col("last")) & (t >= F.col("last") - F.col("count")),
-                )
-            ).alias("t"),
-        )
-        for r in hits.collect():  # at most two rows per column and probability
-            found[(done[r["_iv"]].feature, r["t"] + done[r["_iv"]].before)] = r["value"]
+        # an interval holds at most ``limit`` distinct values, so a task can sort one
+        picked = counts.groupBy("_iv").applyInPandas(_picker(done), "_iv int, t bigint, value double")
+        for r in picked.collect():  # at most two rows per column and probability
+            found[(done[r["_iv"]].feature, r["t"])] = r["value"]
     out: dict[str, list[float | None]] = {}
     for c in cols:
         out[c] = []

@@ -122,15 +122,20 @@ def correlation_ranks(train: DataFrame, test: DataFrame, cols: Sequence[str], la
 
 def mutual_information(df: DataFrame, cols: Sequence[str], label: str = "status", bins: int = BINS) -> DataFrame:
     """Mutual information with the label from joint counts per bin, in nats."""
-    counts = bin_counts(df, feature_cuts(df, cols, bins), label).select("feature", "n", "y")
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("N"), F.sum("y").alias("Y"))
+    whole = Window.partitionBy("feature")  # at most ``bins`` rows
+    counts = bin_counts(df, feature_cuts(df, cols, bins), label).select(
+        "feature",
+        F.col("n").cast("double").alias("n"),
+        F.col("y").cast("double").alias("y"),
+        F.sum("n").over(whole).cast("double").alias("rows"),
+        F.sum("y").over(whole).cast("double").alias("ones"),
+    )
+    n, y, total, ones = (F.col(c) for c in ("n", "y", "rows", "ones"))
 
-    def term(joint: Column, cell: Column, marginal: Column) -> Column:
-        n = F.col("N")
-        return F.when(joint > 0, joint / n * F.log(ratio(joint * n, cell * marginal))).otherwise(0.0)
+    def term(joint: Column, marginal: Column) -> Column:
+        return F.when(joint > 0, joint / total * F.log(ratio(joint * total, n * marginal))).otherwise(0.0)
 
-    n, y, total, ones = (F.col(c).cast("double") for c in ("n", "y", "N", "Y"))
-    mi = counts.join(totals, "feature").groupBy("feature").agg(F.sum(term(y, n, ones) + term(n - y, n, total - ones)).alias("mi"))
+    mi = counts.groupBy("feature").agg(F.sum(term(y, ones) + term(n - y, total - ones)).alias("mi"))
     return ranked(mi, F.desc("mi"), "ranking_mi")
 
 

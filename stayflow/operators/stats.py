@@ -1,14 +1,14 @@
 """Descriptive statistics: one pass over the table for all columns, long form for levels."""
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from stayflow.functions.columns import pct2, pearson, present, ratio
+from stayflow.functions.columns import pct2, pearson, ratio
 from stayflow.operators.quantiles import group_quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -214,65 +214,67 @@ def target_correlation(df: DataFrame, cols: Sequence[str], label: str = "status"
     return per_column(df, cols, {name: lambda x: pearson(x.cast("double"), y)})
 
 
-def pair_correlations(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), wide_above: int = 40) -> DataFrame:
+#: variance, in units of the whole column's, below which a column counts as constant
+_FLAT = 1e-13
+
+
+def pair_correlations(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., col_a, col_b, corr) for every pair in column order, over complete pairs.
 
-    Narrow tables use one aggregate per chunk of pairs. Wide tables use a distributed
-    Gram matrix: with z = [x*seen, seen, x*x*seen] its products hold every sum a
-    pairwise-complete correlation needs, so missing values cost nothing extra. Only
-    the columns-by-columns matrix reaches the driver.
+    Each task adds up the cross products of its Arrow batches as one matrix product and
+    sends a single row per pair; Spark sums those rows. With x centred and ``seen`` its
+    0/1 mask, the products of x, x*x and ``seen`` hold every sum that a
+    pairwise-complete correlation needs, so the table is read once however many
+    columns and gaps it has. A plain aggregate would update three buffers per pair
+    and row, and would need many passes for a wide table.
     """
-    pairs = list(combinations(cols, 2))
-    spark = df.sparkSession
-    schema = "col_a string, col_b string, corr double"
-    if not pairs:
-        return spark.createDataFrame([], schema)
-    if len(cols) > wide_above and not by:
-        return spark.createDataFrame(_gram_correlations(df, list(cols)), schema)
-    out = None
-    for at in range(0, len(pairs), CHUNK):
-        rows = [
-            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"))
-            for a, b in pairs[at : at + CHUNK]
-        ]
-        part = df.groupBy(*by).agg(F.array(*rows).alias("_rows")).select(*by, F.inline("_rows"))
-        out = part if out is None else out.unionByName(part)
-    return out
-
+    cols, by = list(cols), list(by)
+    if len(cols) < 2:
+        groups = df.select(*by).limit(0) if by else df.sparkSession.range(0).select()
+        return groups.select(*by, F.lit("").alias("col_a"), F.lit("").alias("col_b"), F.lit(0.0).alias("corr"))
+    numbers = df.select(*by, *[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(cols)])
+    names = [f"_{i}" for i in range(len(cols))]
+    center = {r["feature"]: (r["m"] or 0.0, r["s"] or 1.0) for r in per_column(numbers, names, {"m": F.avg, "s": F.stddev_pop}).collect()}
+    z = numbers.select(*by, *[((F.col(c) - center[c][0]) / center[c][1]).alias(c) for c in names])
+    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in z.schema.fields[: len(by)])
+    schema = (keys + ", " if keys else "") + "i int, j int, " + ", ".join(f"{s} double" for s in sums)
+    total = z.mapInPandas(_cross_products(by, names), schema).groupBy(*by, "i", "j").agg(*[F.sum(s).alias(s) for s in sums])
+    n = F.col("n")
+    mx, my = ratio(F.col("sx"), n), ratio(F.col("sy"), n)
+    vx, vy = ratio(F.col("sxx"), n) - mx * mx, ratio(F.col("syy"), n) - my * my
+    flat = (vx <= _FLAT) | (vy <= _FLAT)
+    corr = F.when(~flat, ratio(ratio(F.col("sxy"), n) - mx * my, F.sqrt(vx * vy)))
+    label = F.array(*[F.lit(c) for c in cols])
+    return total.select(
+        *by, F.element_at(label, F.col("i") + 1).alias("col_a"), F.element_at(label, F.col("j") + 1).alias("col_b"), corr.alias("corr")
+    )
 
-def _gram_correlations(df: DataFrame, cols: list[str]) -> list[tuple[str, str, float | None]]:
-    import numpy as np
 
-    k = len(cols)
-    types = dict(df.dtypes)
-    clean = df.select(*[F.when(present(F.col(c), types[c]), F.col(c).cast("double")).alias(c) for c in cols])
-    moments = {r["feature"]: r for r in per_column(clean, cols, {"m": F.avg, "s": F.stddev_pop}).collect()}
-    parts = []
-    for c in cols:  # standardised first, so the sums lose no precision
-        m, s = moments[c]["m"] or 0.0, moments[c]["s"] or 1.0
-        x = F.coalesce((F.col(c) - m) / s, F.lit(0.0))
-        parts.append((x.alias(f"x_{c}"), F.col(c).isNotNull().cast("double").alias(f"i_{c}"), (x * x).alias(f"q_{c}")))
-    z = clean.select(*[p[j] for j in range(3) for p in parts])
-    means = z.agg(*[F.avg(c).alias(c) for c in z.columns], F.count(F.lit(1)).alias("_n")).first()
-    sds = z.agg(*[F.stddev_samp(c).alias(c) for c in z.columns]).first()
-    n = means["_n"]
-    mean = np.array([means[c] or 0.0 for c in z.columns])
-    sd = np.array([sds[c] or 0.0 for c in z.columns])
-    vectors = VectorAssembler(inputCols=z.columns, outputCol="z").transform(z).select("z")
-    corr = np.nan_to_num(Correlation.corr(vectors, "z").first()[0].toArray())
-    np.fill_diagonal(corr, 1.0)
-    second = corr * np.outer(sd, sd) * (n - 1) / n + np.outer(mean, mean)  # mean products
-    x, i, q = slice(0, k), slice(k, 2 * k), slice(2 * k, 3 * k)
-    both, sx, sxx, sxy = second[i, i], second[x, i], second[q, i], second[x, x]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        mx, my = sx / both, sx.T / both
-        vx, vy = sxx / both - mx**2, sxx.T / both - my**2
-        r = (sxy / both - mx * my) / np.sqrt(vx * vy)
-    flat = (vx <= 1e-12) | (vy <= 1e-12) | (both <= 0)
-    return [
-        (cols[a], cols[b], None if flat[a, b] or not np.isfinite(r[a, b]) else float(r[a, b]))
-        for a, b in combinations(range(k), 2)
-    ]
+def _cross_products(by: list[str], names: list[str]):
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        k = len(names)
+        upper = np.triu_indices(k, 1)
+        acc: dict = {}
+        for pdf in batches:
+            for key, part in pdf.groupby(by, dropna=False) if by else [((), pdf)]:
+                x = part[names].to_numpy("float64")
+                seen = ~np.isnan(x)
+                x, w = np.where(seen, x, 0.0), seen.astype("float64")
+                total = acc.setdefault(key, np.zeros((4, k, k)))
+                total += [w.T @ w, x.T @ w, (x * x).T @ w, x.T @ x]
+        for key, (n, sx, sxx, sxy) in acc.items():
+            out = pd.DataFrame(
+                {
+                    "i": upper[0], "j": upper[1], "n": n[upper], "sx": sx[upper], "sy": sx.T[upper],
+                    "sxx": sxx[upper], "syy": sxx.T[upper], "sxy": sxy[upper],
+                }
+            )
+            for b, v in zip(by, key if isinstance(key, tuple) else (key,)):
+                out.insert(0, b, v)
+            yield out[[*by, "i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"]]
+
+    return add_up
 
 
 def top_partners(pairs: DataFrame, k: int = 5) -> DataFrame:

@@ -25,7 +25,7 @@ def _feature_maker_sql():
     c["grp_payment_change_10dollar"] = cut_sql("chg", *ca.change_bins(50, 10, "Dollars", last=5))
     c["grp_payment_change_2pct"] = cut_sql("chgp", *ca.change_bins(20, 2, "Pct"))
     c["grp_payment_change_5pct"] = cut_sql("chgp", *ca.change_bins(30, 5, "Pct"))
-    c["ratio_payment_income"] = f"round({_SHARE},6)"
+    c["ratio_payment_income"] = f"round({_SHARE},9)"
     c["grp_payment_income"] = cut_sql(f"({_SHARE})", ca.INCOME_SHARE_EDGES, ca.INCOME_SHARE_LABELS)
     for n, col, wide in (("csc", "orders_6m", True), ("bill", "orders_m0", False), ("csr", "orders_m0+orders_6m", True), ("tsr", "orders_6m", False)):
         c[f"grp_call_{n}"] = cut_sql(f"({col})", *ca.call_bins(wide))
@@ -49,7 +49,7 @@ def _feature_maker(s, sf):
         methods=("autpay", "credit", "debit", "cash"), method_suffix="_pay", payments=("revenue_m1", "revenue_m2", "revenue_m3"), change="chg", change_pct="chgp",
         calls={"csc": (["orders_6m"], True), "bill": (["orders_m0"], False), "csr": (["orders_m0", "orders_6m"], True), "tsr": (["orders_6m"], False)},
     )
-    return r(fitted.apply(df, ["chc_id", "dt"]))
+    return r(fitted.apply(df, ["chc_id", "dt"]), 9)
 
 
 query("feature_maker", _feature_maker_sql())(_feature_maker)

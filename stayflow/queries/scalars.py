@@ -388,7 +388,15 @@ def _append(s, sf):
 
 
 query("append_then_read", "SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INT) AS yr FROM orders")(_append)
-query("schema_report")(lambda s, sf: files.schema_report(fx.cust_month(s, sf)))
+_TYPES = {
+    "chc_id": "INT64", "dt": "INT64", "tenure": "INT64", "drform": "STRING", "vol_pend_disco": "STRING", "pending_drform": "STRING", "pending_mover": "STRING",
+    "product": "STRING", "rev_m0": "FLOAT64", "rev_m1": "FLOAT64", "rev_m2": "FLOAT64", "rev_m3": "FLOAT64", "orders_m0": "INT64", "orders_6m": "INT64",
+    "acctbal": "FLOAT64", "segment": "STRING", "nation": "STRING", "area": "STRING",
+}
+query(
+    "schema_report",
+    with_views("v1", select=" UNION ALL ".join(f"SELECT CAST({i} AS INT) AS position, '{c}' AS column_name, '{t}' AS data_type, count({c}) AS n_values FROM v1" for i, (c, t) in enumerate(_TYPES.items()))),
+)(lambda s, sf: files.schema_report(fx.cust_month(s, sf), counts=True))
 
 
 def _artifact(s, sf):

@@ -179,7 +179,14 @@ MIST = "m AS (SELECT *, CASE WHEN mon=12 THEN 'n/a' WHEN mon=11 THEN ' ' ELSE CA
 query("default_dtype", with_views("v5", MIST, select="SELECT chc_id, TRY_CAST(mon_text AS DOUBLE) AS mon_text, CAST(yr AS VARCHAR) AS yr, CASE WHEN trim(segment)<>'' THEN segment END AS segment, price FROM m"))(
     lambda s, sf: prep.use_default_types(mistyped(s, sf), catalog(s, sf)).select("chc_id", "mon_text", "yr", "segment", "price")
 )
-query("dtype_report", "SELECT 'mon_text' AS feature, 'NUM' AS default_dtype, 'string' AS actual_dtype UNION ALL SELECT 'yr', 'CAT', 'int'")(
+query(
+    "dtype_report",
+    with_views(
+        "v5", MIST, "b AS (SELECT yr, CASE WHEN trim(mon_text)<>'' THEN mon_text END AS mt FROM m)",
+        select="""SELECT 'mon_text' AS feature, 'NUM' AS default_dtype, 'string' AS actual_dtype, count(mt) AS n, count(TRY_CAST(mt AS DOUBLE)) AS n_convertible, count(DISTINCT mt) AS n_unique FROM b
+UNION ALL SELECT 'yr', 'CAT', 'int', count(yr), count(yr), count(DISTINCT yr) FROM b""",
+    ),
+)(
     lambda s, sf: prep.dtype_report(mistyped(s, sf), catalog(s, sf))
 )
 FEATS = ["acctbal_gap", "const_cat", "const_num", "mon", "mostly_missing", "nation", "price", "price_dup", "price_x2", "priority", "priority_dup", "segment", "yr"]
@@ -216,7 +223,16 @@ def _kept(s, choice):
     return s.createDataFrame([(c, c in choice.kept) for c in CNUMS], "feature string, kept boolean")
 
 
-query("drop_duplicate_columns", "SELECT * FROM (VALUES ('price_dup','price'),('priority_dup','priority')) t(drop_feature, duplicate_feature)")(
+_TYPED = [["acctbal_gap", "const_num", "mostly_missing", "price", "price_dup", "price_x2"], ["mon", "yr"], ["const_cat", "nation", "priority", "priority_dup", "segment"]]
+query(
+    "drop_duplicate_columns",
+    with_views(
+        "v5",
+        select=" UNION ALL ".join(
+            f"SELECT '{b}' AS drop_feature, '{a}' AS duplicate_feature FROM v5 HAVING bool_and({a} IS NOT DISTINCT FROM {b})" for g in _TYPED for i, a in enumerate(g) for b in g[i + 1 :]
+        ),
+    ),
+)(
     lambda s, sf: prep.drop_duplicate_columns(fx.wide(s, sf), numbers=True).report
 )
 

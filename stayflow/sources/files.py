@@ -1,7 +1,9 @@
 """Reading and writing tables: sharded text exports, tables, run logs."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from stayflow.operators.stats import per_column
 
 FORMATS = ("csv", "json")
 
@@ -27,10 +29,14 @@ def warehouse_type(dtype: T.DataType) -> str:
     return next((n for n, t in WAREHOUSE_TYPES.items() if t == dtype), "STRING")
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """(position, column, type) of a query result; nothing is executed."""
+def schema_report(df: DataFrame, counts: bool = False) -> DataFrame:
+    """(position, column, type) of a query result; ``counts`` adds the values present."""
     rows = [(i, f.name, warehouse_type(f.dataType)) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    out = df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    if not counts:
+        return out  # nothing is executed
+    present = per_column(df, df.columns, {"n_values": F.count}).withColumnRenamed("feature", "column_name")
+    return out.join(present, "column_name")
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv", gzip: bool = False) -> None:
