@@ -35,24 +35,36 @@ def cust_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     calendar = orders.select((F.year(day) * 12 + F.month(day) - 1).alias("mi")).agg(
         F.sort_array(F.collect_set("mi")).alias("months")
     )
-    grid = (
+    # one row per customer with its order months (a calendar's worth at most), joined to
+    # the attributes while it is still one row, then expanded to one row per month
+    empty = F.struct(
+        F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("decimal(28,2)").alias("rev"), F.lit(0).alias("f"), F.lit(0).alias("p")
+    )
+    per_cust = (
         o.groupBy("cust")
-        .agg(F.min("mi").alias("first_mi"))
+        .agg(
+            F.min("mi").alias("first_mi"),
+            F.map_from_entries(F.collect_list(F.struct("mi", F.struct("n", "rev", "f", "p")))).alias("seen"),
+        )
+        .join(customer_attributes(spark, sf_dir).withColumnRenamed("chc_id", "cust"), "cust")
         .withColumn("months", calendar.scalar())
-        .select("cust", "first_mi", F.explode(F.filter("months", lambda m: m >= F.col("first_mi"))).alias("mi"))
     )
-    s = grid.join(o, ["cust", "mi"], "left").select(
+    month = F.filter("months", lambda m: m >= F.col("first_mi"))
+    s = per_cust.select(
+        "cust", "first_mi", "seen", "acctbal", "segment", "nation", "area", F.explode(month).alias("mi")
+    ).select(
         "cust",
         "mi",
+        "acctbal",
+        "segment",
+        "nation",
+        "area",
         (F.col("mi") - F.col("first_mi")).cast("int").alias("tenure"),
-        F.coalesce("n", F.lit(0)).alias("n"),
-        F.coalesce("rev", F.lit(0).cast("decimal(28,2)")).alias("rev"),
-        F.coalesce("f", F.lit(0)).alias("f"),
-        F.coalesce("p", F.lit(0)).alias("p"),
-    )
+        F.coalesce(F.col("seen")[F.col("mi")], empty).alias("o"),
+    ).select("*", "o.*").drop("o")
     w = Window.partitionBy("cust").orderBy("mi")  # a customer has one row per month
     w12, w6 = w.rowsBetween(-11, 0), w.rowsBetween(-5, 0)
-    history = s.select(
+    return s.select(
         F.col("cust").alias("chc_id"),
         (F.floor(F.col("mi") / 12) * 100 + F.col("mi") % 12 + 1).cast("int").alias("dt"),
         "tenure",
@@ -65,9 +77,11 @@ def cust_month(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.lag("rev", k).over(w).cast("double").alias(f"rev_m{k}") for k in (1, 2, 3)],
         F.col("n").cast("int").alias("orders_m0"),
         F.sum("n").over(w6).cast("int").alias("orders_6m"),
+        "acctbal",
+        "segment",
+        "nation",
+        "area",
     )
-    # at a handful of columns per customer the attributes ride along on the same key
-    return history.join(customer_attributes(spark, sf_dir), "chc_id")
 
 
 def customer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:

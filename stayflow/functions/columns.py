@@ -1,6 +1,7 @@
 """Null-aware scalar helpers shared by all operators."""
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -87,16 +88,42 @@ def first_match(c: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return out.otherwise(c)
 
 
+def tree_choice(c: Column, cuts: Sequence[float], leaves: Sequence[Column]) -> Column:
+    """``leaves[k]`` for a value with k cuts <= c, by a balanced tree of comparisons; null stays null."""
+
+    def node(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return leaves[lo]
+        mid = (lo + hi) // 2
+        return F.when(c < F.lit(float(cuts[mid])), node(lo, mid)).otherwise(node(mid + 1, hi))
+
+    return F.when(c.isNotNull(), node(0, len(cuts)))
+
+
+def tree_index(c: Column, cuts: Sequence[float]) -> Column:
+    """How many cuts are <= c (left-closed buckets 0..len(cuts))."""
+    return tree_choice(c, cuts, [F.lit(k) for k in range(len(cuts) + 1)])
+
+
+def just_above(cuts: Sequence[float]) -> list[float]:
+    """Cuts moved up by the smallest step, which turns left-closed bins right-closed."""
+    return [math.nextafter(e, math.inf) for e in cuts]
+
+
 def cut(c: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
-    """Right-closed bins ``(edges[i], edges[i+1]]``; outside or null gives null."""
+    """Right-closed bins ``(edges[i], edges[i+1]]``; outside or null gives null.
+
+    ``c`` is compared several times: pass a plain column rather than a long expression.
+    """
     if len(labels) != len(edges) - 1:
         raise ValueError("one label per bin is needed")
-    lo, hi = edges[0], edges[-1]
-    chain = F.when(c <= F.lit(float(lo)), F.lit(None)) if lo != float("-inf") else None
-    for right, label in zip(edges[1:], labels):
-        cond = c.isNotNull() if right == float("inf") else c <= F.lit(float(right))
-        chain = F.when(cond, F.lit(label)) if chain is None else chain.when(cond, F.lit(label))
-    return chain.otherwise(F.lit(None).cast("string"))
+    finite = [e for e in edges if not math.isinf(e)]
+    names: list[str | None] = list(labels)
+    if not math.isinf(edges[0]):
+        names = [None, *names]
+    if not math.isinf(edges[-1]):
+        names = [*names, None]
+    return tree_choice(c, just_above(finite), [F.lit(n).cast("string") for n in names])
 
 
 def row_max(cols: Sequence[Column]) -> Column:

@@ -88,9 +88,9 @@ def make_group_features(
     income: str = "income_demos",
     calls: Mapping[str, tuple[Sequence[str], bool]] | None = None,
 ) -> Fitted:
-    """Sixteen grouping features in one projection."""
-    t, m = F.col(tenure), row_mean([F.col(c) for c in payments])
-    share = payment_income_ratio([F.col(c) for c in payments], F.col(income))
+    """Sixteen grouping features; what several of them share is projected first."""
+    paid = [F.col(c) for c in payments]
+    t, m, share = F.col(tenure), F.col("_paid"), F.col("_share")
     if calls is None:
         calls = {
             "csc": ([f"csc_m{k}" for k in range(1, 7)], True),
@@ -108,9 +108,14 @@ def make_group_features(
         "grp_payment_change_5pct": cut(F.col(change_pct), *change_bins(30, 5, "Pct")),
         "ratio_payment_income": share,
         "grp_payment_income": cut(share, INCOME_SHARE_EDGES, INCOME_SHARE_LABELS),
-        **{f"grp_call_{n}": cut(row_sum([F.col(c) for c in cs]), *call_bins(w)) for n, (cs, w) in calls.items()},
+        **{f"grp_call_{n}": cut(F.col(f"_calls_{n}"), *call_bins(w)) for n, (_, w) in calls.items()},
     }
-    return Fitted(out)
+    helpers = {
+        "_paid": row_mean(paid),
+        "_share": payment_income_ratio(paid, F.col(income)),
+        **{f"_calls_{n}": row_sum([F.col(c) for c in cs]) for n, (cs, _) in calls.items()},
+    }
+    return Fitted(out, helpers=helpers)
 
 
 # --- level statistics and encoders ---

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stayflow.functions.columns import ratio, row_sum
+from stayflow.functions.columns import just_above, ratio, row_sum, tree_index
 from stayflow.operators.quantiles import exact_quantiles
 from stayflow.operators.stage import Fitted, union
 from stayflow.operators.stats import long_numbers, pair_correlations, per_column, target_correlation
@@ -139,13 +139,7 @@ def bucket_index(c: Column, cuts: Sequence[float]) -> Column:
     if len(cuts) > _TREE_CUTS:
         return _search(cuts)(c)
 
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c < F.lit(float(cuts[mid])), node(lo, mid)).otherwise(node(mid + 1, hi))
-
-    return F.when(c.isNotNull(), node(0, len(cuts)))
+    return tree_index(c, cuts)
 
 
 def _search(cuts: list[float]):
@@ -168,7 +162,7 @@ def qcut(c: Column, edges: Sequence[float]) -> Column:
 
 def right_closed_index(c: Column, cuts: Sequence[float]) -> Column:
     """How many cuts are < c (right-closed buckets)."""
-    return bucket_index(c, [math.nextafter(e, math.inf) for e in cuts])
+    return bucket_index(c, just_above(cuts))
 
 
 def quantile(df: DataFrame, cols: Sequence[str], n_quantiles: int = 1000, table: Quantiles | None = None) -> Fitted:
@@ -291,22 +285,35 @@ def keep_strong(frame: DataFrame, corr: dict, target_threshold: float, feature_t
     return [c for c in order if c not in gone]
 
 
+#: outputs up to which target and pair correlations share a pass
+ONE_PASS = 400
+
+
 def thinned_union(
     df: DataFrame, stages: dict[str, Fitted], label: str = "status", target_threshold: float = 0.005, feature_threshold: float = 0.90
 ) -> Fitted:
     """Many transforms side by side, each thinned, then thinned together.
 
-    All target correlations come from one pass over the union, and the pair
-    correlations of all stages from one more; the rule itself runs on the driver.
+    Up to ``ONE_PASS`` outputs the label is one more column of the pair correlations;
+    wider unions are first screened against the label, so that only promising columns
+    are compared with each other. The rule itself runs on the driver.
     """
     everything = union(*stages.values())
-    frame = everything.apply(df, [label])
-    corr = {r["feature"]: r["corr"] for r in target_correlation(frame, list(everything.outputs), label).collect()}
-    strong = {c: r for c, r in corr.items() if r is not None and round(abs(r), 9) >= target_threshold}
-    pairs = {
-        frozenset((r["col_a"], r["col_b"])): r["corr"]
-        for r in pair_correlations(frame, prep.correlation_order(strong)).collect()
-    }
+    names = list(everything.outputs)
+    frame = everything.apply(df, [F.col(label).cast("double").alias("_label")])
+    corr: dict[str, float | None] = {}
+    pairs: dict[frozenset, float | None] = {}
+    if len(names) <= ONE_PASS:
+        for r in pair_correlations(frame, ["_label", *names]).collect():
+            if r["col_a"] == "_label":
+                corr[r["col_b"]] = r["corr"]
+            else:
+                pairs[frozenset((r["col_a"], r["col_b"]))] = r["corr"]
+    else:
+        corr = {r["feature"]: r["corr"] for r in target_correlation(frame, names, "_label").collect()}
+    strong = {c: corr[c] for c in names if corr[c] is not None and round(abs(corr[c]), 9) >= target_threshold}
+    if len(names) > ONE_PASS:
+        pairs = {frozenset((r["col_a"], r["col_b"])): r["corr"] for r in pair_correlations(frame, list(strong)).collect()}
 
     def thin(names: Sequence[str]) -> list[str]:
         order = prep.correlation_order({c: strong[c] for c in names})

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stayflow.catalog import NOT_FEATURES, PLACE_COLUMNS, Catalog
-from stayflow.functions.columns import blank_to_null, clip, pearson
+from stayflow.functions.columns import blank_to_null, clip
 from stayflow.operators.columns import dummy_name
 from stayflow.operators.quantiles import exact_quantiles
 from stayflow.operators.stats import (
@@ -307,37 +307,47 @@ def preprocess_numbers(
 # --- the whole pipeline, for one population or for several markets at once ---
 
 
-def _facts(df: DataFrame, cols: Sequence[str], label: str, by: Sequence[str]) -> dict:
-    """All statistics the column rules need, from one grouped pass over the table."""
+def _facts(df: DataFrame, cols: Sequence[str], label: str, key: str, by: Sequence[str]) -> dict:
+    """All statistics the column rules need, per group, in two passes over the table.
+
+    The first takes missing shares, constancy, moments and fingerprints; the second
+    all correlations, with the label as one more column.
+    """
     numbers = [c for c in cols if c in numeric_columns(df)]
-    clean = blank_nan(df, numbers)
-    group = lambda r: tuple(r[b] for b in by)
-    basic = per_column(
-        clean, cols, {"missing": missing_share, "one": lambda c: F.coalesce(F.min(c) == F.max(c), F.lit(False))}, by
-    )
-    y = F.col(label).cast("double")
-    corr = per_column(clean, numbers, {"corr": lambda c: pearson(c.cast("double"), y)}, by) if numbers else None
+    clean = blank_nan(df, numbers).withColumn("_label", F.col(label).cast("double"))
+
+    def group(r) -> tuple:
+        return tuple(r[b] for b in by)
+
+    first = {
+        "missing": missing_share,
+        "one": lambda c: F.coalesce(F.min(c) == F.max(c), F.lit(False)),
+        "print": lambda c: F.bit_xor(F.xxhash64(F.col(key), c)),
+    }
     out: dict = {}
+    basic = per_column(clean, cols, first, by)
     for r in basic.collect():
-        out.setdefault(group(r), {"missing": {}, "one": set(), "corr": {}, "pairs": {}})["missing"][r["feature"]] = r["missing"]
+        facts = out.setdefault(group(r), {"missing": {}, "one": set(), "print": {}, "corr": {}, "pairs": {}})
+        facts["missing"][r["feature"]] = r["missing"]
+        facts["print"][r["feature"]] = r["print"]
         if r["one"]:
-            out[group(r)]["one"].add(r["feature"])
-    for r in corr.collect() if corr is not None else []:
-        out[group(r)]["corr"][r["feature"]] = r["corr"]
-    for r in pair_correlations(clean, numbers, by).collect():
-        out[group(r)]["pairs"][frozenset((r["col_a"], r["col_b"]))] = r["corr"]
+            facts["one"].add(r["feature"])
+    for r in pair_correlations(clean, ["_label", *numbers], by).collect():
+        if r["col_a"] == "_label":
+            out[group(r)]["corr"][r["col_b"]] = r["corr"]
+        else:
+            out[group(r)]["pairs"][frozenset((r["col_a"], r["col_b"]))] = r["corr"]
+    for facts in out.values():
+        for c in numbers:
+            facts["corr"].setdefault(c, None)
     return out
 
 
-def _duplicate_texts(df: DataFrame, cols: Sequence[str], key: str, by: Sequence[str]) -> dict:
+def _duplicate_texts(df: DataFrame, cols: Sequence[str], facts: dict, by: Sequence[str]) -> dict:
+    """Later text columns equal to an earlier one, per group; equal prints are verified."""
     texts = [c for c in cols if c in categorical_columns(df)]
     pairs = [(a, b) for i, a in enumerate(texts) for b in texts[i + 1 :]]
-    if not pairs:
-        return {}
-    prints: dict = {}
-    for r in per_column(df, texts, {"print": lambda c: F.bit_xor(F.xxhash64(F.col(key), c))}, by).collect():
-        prints.setdefault(tuple(r[b] for b in by), {})[r["feature"]] = r["print"]
-    near = [(a, b) for a, b in pairs if any(p.get(a) == p.get(b) for p in prints.values())]
+    near = [(a, b) for a, b in pairs if any(f["print"][a] == f["print"][b] for f in facts.values())]
     if not near:
         return {}
     same = [F.bool_and(F.col(a).eqNullSafe(F.col(b))).alias(f"p{i}") for i, (a, b) in enumerate(near)]
@@ -362,13 +372,13 @@ def fit_pipeline(
 
     Returns for each group of ``by`` the list of (feature, stage that dropped it or
     ``'kept'``). Two statistics passes serve all stages and all groups: one before the
-    imputation and one after.
+    imputation and one after. Groups are markets: their statistics reach the driver.
     """
     cols = [c for c in _features(df, exclude) if c not in by]
     typed = use_default_types(df, catalog, exclude)
-    raw = _facts(typed, cols, label, by)
-    duplicates = _duplicate_texts(typed, cols, key, by)
-    filled = _facts(impute(df, catalog, exclude), cols, label, by)
+    raw = _facts(typed, cols, label, key, by)
+    duplicates = _duplicate_texts(typed, cols, raw, by)
+    filled = _facts(impute(df, catalog, exclude), cols, label, key, by)
     out = {}
     for group, facts in raw.items():
         fate = {}

@@ -16,15 +16,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 class Fitted:
     outputs: Mapping[str, Column]
     state: Mapping[str, object] = field(default_factory=dict)
+    helpers: Mapping[str, Column] = field(default_factory=dict)  # computed once, used by several outputs
 
-    def apply(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        return df.select(*keep, *[c.alias(n) for n, c in self.outputs.items()])
+    def apply(self, df: DataFrame, keep: Sequence[str | Column] = ()) -> DataFrame:
+        ready = df.withColumns(dict(self.helpers)) if self.helpers else df
+        return ready.select(*keep, *[c.alias(n) for n, c in self.outputs.items()])
 
     def renamed(self, prefix: str | None = None, suffix: str | None = None) -> "Fitted":
-        return Fitted({affix(n, prefix, suffix): c for n, c in self.outputs.items()}, self.state)
+        return Fitted({affix(n, prefix, suffix): c for n, c in self.outputs.items()}, self.state, self.helpers)
 
     def only(self, names: Sequence[str]) -> "Fitted":
-        return Fitted({n: self.outputs[n] for n in names}, self.state)
+        return Fitted({n: self.outputs[n] for n in names}, self.state, self.helpers)
 
 
 def affix(name: str, prefix: str | None = None, suffix: str | None = None) -> str:
@@ -34,13 +36,15 @@ def affix(name: str, prefix: str | None = None, suffix: str | None = None) -> st
 def union(*fitted: Fitted) -> Fitted:
     outputs: dict[str, Column] = {}
     state: dict[str, object] = {}
+    helpers: dict[str, Column] = {}
     for f in fitted:
         clash = outputs.keys() & f.outputs.keys()
         if clash:
             raise ValueError(f"two stages produce {sorted(clash)}")
         outputs.update(f.outputs)
         state.update(f.state)
-    return Fitted(outputs, state)
+        helpers.update(f.helpers)
+    return Fitted(outputs, state, helpers)
 
 
 def save_state(spark: SparkSession, state: Mapping[str, object], path: str) -> None:

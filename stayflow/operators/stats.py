@@ -218,7 +218,7 @@ def target_correlation(df: DataFrame, cols: Sequence[str], label: str = "status"
 _FLAT = 1e-13
 
 
-def pair_correlations(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def pair_correlations(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), center: Mapping[str, tuple[float, float]] | None = None) -> DataFrame:
     """(by..., col_a, col_b, corr) for every pair in column order, over complete pairs.
 
     Each task adds up the cross products of its Arrow batches as one matrix product and
@@ -226,7 +226,8 @@ def pair_correlations(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
     0/1 mask, the products of x, x*x and ``seen`` hold every sum that a
     pairwise-complete correlation needs, so the table is read once however many
     columns and gaps it has. A plain aggregate would update three buffers per pair
-    and row, and would need many passes for a wide table.
+    and row, and would need many passes for a wide table. ``center`` gives a mean and
+    spread per column when they are known, which saves the pass that finds them.
     """
     cols, by = list(cols), list(by)
     if len(cols) < 2:
@@ -234,8 +235,11 @@ def pair_correlations(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
         return groups.select(*by, F.lit("").alias("col_a"), F.lit("").alias("col_b"), F.lit(0.0).alias("corr"))
     numbers = df.select(*by, *[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(cols)])
     names = [f"_{i}" for i in range(len(cols))]
-    center = {r["feature"]: (r["m"] or 0.0, r["s"] or 1.0) for r in per_column(numbers, names, {"m": F.avg, "s": F.stddev_pop}).collect()}
-    z = numbers.select(*by, *[((F.col(c) - center[c][0]) / center[c][1]).alias(c) for c in names])
+    if center is None:
+        shift = {r["feature"]: (r["m"] or 0.0, r["s"] or 1.0) for r in per_column(numbers, names, {"m": F.avg, "s": F.stddev_pop}).collect()}
+    else:
+        shift = {n: center[c] for n, c in zip(names, cols)}
+    z = numbers.select(*by, *[((F.col(c) - shift[c][0]) / shift[c][1]).alias(c) for c in names])
     sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
     keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in z.schema.fields[: len(by)])
     schema = (keys + ", " if keys else "") + "i int, j int, " + ", ".join(f"{s} double" for s in sums)
