@@ -88,21 +88,37 @@ def first_match(c: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return out.otherwise(c)
 
 
-def tree_choice(c: Column, cuts: Sequence[float], leaves: Sequence[Column]) -> Column:
-    """``leaves[k]`` for a value with k cuts <= c, by a balanced tree of comparisons; null stays null."""
-
+def _tree(c: Column, cuts: Sequence[float]) -> Column:
     def node(lo: int, hi: int) -> Column:
         if lo == hi:
-            return leaves[lo]
+            return F.lit(lo)
         mid = (lo + hi) // 2
         return F.when(c < F.lit(float(cuts[mid])), node(lo, mid)).otherwise(node(mid + 1, hi))
 
-    return F.when(c.isNotNull(), node(0, len(cuts)))
+    return node(0, len(cuts))
 
 
 def tree_index(c: Column, cuts: Sequence[float]) -> Column:
-    """How many cuts are <= c (left-closed buckets 0..len(cuts))."""
-    return tree_choice(c, cuts, [F.lit(k) for k in range(len(cuts) + 1)])
+    """How many cuts are <= c (left-closed buckets 0..len(cuts)), by a balanced tree of
+    comparisons; null stays null."""
+    return F.when(c.isNotNull(), _tree(c, cuts))
+
+
+def _even_index(c: Column, start: float, step: float, n: int) -> Column:
+    """How many of ``start + k*step`` (k < n) lie below c, by division.
+
+    The division may round across an edge, so both neighbours are compared again.
+    """
+    x = c.cast("double")
+    guess = F.ceil((F.least(F.greatest(x, F.lit(start - step)), F.lit(start + n * step)) - start) / step).cast("int")
+    low, high = F.lit(start) + (guess - 1) * step, F.lit(start) + guess * step
+    k = guess + F.when(x > high, 1).when(x <= low, -1).otherwise(0)
+    return F.least(F.greatest(k, F.lit(0)), F.lit(n))
+
+
+def _even_step(cuts: Sequence[float]) -> float | None:
+    steps = {b - a for a, b in zip(cuts, cuts[1:])}
+    return steps.pop() if len(steps) == 1 and len(cuts) > 8 and all(float(e).is_integer() for e in cuts) else None
 
 
 def just_above(cuts: Sequence[float]) -> list[float]:
@@ -123,7 +139,12 @@ def cut(c: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
         names = [None, *names]
     if not math.isinf(edges[-1]):
         names = [*names, None]
-    return tree_choice(c, just_above(finite), [F.lit(n).cast("string") for n in names])
+    step = _even_step(finite)
+    index = _even_index(c, float(finite[0]), float(step), len(finite)) if step else _tree(c, just_above(finite))
+    # the labels stay out of the comparisons: a table lookup keeps the generated code
+    # small enough to be compiled, also when a projection holds many bin columns
+    table = F.array(*[F.lit(n).cast("string") for n in names])
+    return F.when(c.isNotNull(), F.element_at(table, index + 1))
 
 
 def row_max(cols: Sequence[Column]) -> Column:

@@ -47,6 +47,11 @@ def per_column(
     return out
 
 
+def number(c: str) -> Column:
+    """The column as double, NaN read as missing."""
+    return F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))
+
+
 def blank_nan(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """NaN read as missing in the given columns, so that every count agrees on it."""
     types = dict(df.dtypes)
@@ -105,7 +110,7 @@ def long_levels(df: DataFrame, cols: Sequence[str], keep: Sequence[str | Column]
 
 def long_numbers(df: DataFrame, cols: Sequence[str], keep: Sequence[str | Column] = ()) -> DataFrame:
     """(keep..., feature, value) rows, one per column, values as double."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), number(c).alias("value")) for c in cols])
     return df.select(*keep, F.inline(pairs))
 
 
@@ -211,7 +216,8 @@ def group_level_shares(df: DataFrame, group: str, cols: Sequence[str], max_level
 def target_correlation(df: DataFrame, cols: Sequence[str], label: str = "status", name: str = "corr") -> DataFrame:
     """Pearson r of every column with the label, all in one aggregate per chunk."""
     y = F.col(label).cast("double")
-    return per_column(df, cols, {name: lambda x: pearson(x.cast("double"), y)})
+    missing = F.lit(None).cast("double")
+    return per_column(df, cols, {name: lambda x: pearson(F.nanvl(x.cast("double"), missing), y)})
 
 
 #: variance, in units of the whole column's, below which a column counts as constant
@@ -233,7 +239,7 @@ def pair_correlations(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
     if len(cols) < 2:
         groups = df.select(*by).limit(0) if by else df.sparkSession.range(0).select()
         return groups.select(*by, F.lit("").alias("col_a"), F.lit("").alias("col_b"), F.lit(0.0).alias("corr"))
-    numbers = df.select(*by, *[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(cols)])
+    numbers = df.select(*by, *[number(c).alias(f"_{i}") for i, c in enumerate(cols)])
     names = [f"_{i}" for i in range(len(cols))]
     if center is None:
         shift = {r["feature"]: (r["m"] or 0.0, r["s"] or 1.0) for r in per_column(numbers, names, {"m": F.avg, "s": F.stddev_pop}).collect()}
