@@ -131,20 +131,28 @@ def cut(c: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
 
     ``c`` is compared several times: pass a plain column rather than a long expression.
     """
+    finite, names = bins(edges, labels)
+    step = _even_step(finite)
+    index = _even_index(c, float(finite[0]), float(step), len(finite)) if step else _tree(c, just_above(finite))
+    return F.when(c.isNotNull(), label_at(index, names))
+
+
+def bins(edges: Sequence[float], labels: Sequence[str]) -> tuple[list[float], list[str | None]]:
+    """Finite cuts, and the label of each bucket they make; None outside closed ends."""
     if len(labels) != len(edges) - 1:
         raise ValueError("one label per bin is needed")
-    finite = [e for e in edges if not math.isinf(e)]
+    finite = [float(e) for e in edges if not math.isinf(e)]
     names: list[str | None] = list(labels)
     if not math.isinf(edges[0]):
         names = [None, *names]
     if not math.isinf(edges[-1]):
         names = [*names, None]
-    step = _even_step(finite)
-    index = _even_index(c, float(finite[0]), float(step), len(finite)) if step else _tree(c, just_above(finite))
-    # the labels stay out of the comparisons: a table lookup keeps the generated code
-    # small enough to be compiled, also when a projection holds many bin columns
-    table = F.array(*[F.lit(n).cast("string") for n in names])
-    return F.when(c.isNotNull(), F.element_at(table, index + 1))
+    return finite, names
+
+
+def label_at(index: Column, names: Sequence[str | None]) -> Column:
+    """The label of a 0-based bucket number, which must not be null."""
+    return F.element_at(F.array(*[F.lit(n).cast("string") for n in names]), index.cast("int") + 1)
 
 
 def row_max(cols: Sequence[Column]) -> Column:

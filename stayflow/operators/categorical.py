@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stayflow.functions.columns import cut, map_levels, ratio, row_argmax, row_mean, row_sum
+from stayflow.functions.columns import bins, just_above, label_at, map_levels, ratio, row_argmax, row_mean, row_sum
 from stayflow.operators.ordered import running_totals
 from stayflow.operators.stage import Fitted
 from stayflow.operators.stats import group_level_shares, group_number_stats, long_levels
@@ -90,7 +90,6 @@ def make_group_features(
 ) -> Fitted:
     """Sixteen grouping features; what several of them share is projected first."""
     paid = [F.col(c) for c in payments]
-    t, m, share = F.col(tenure), F.col("_paid"), F.col("_share")
     if calls is None:
         calls = {
             "csc": ([f"csc_m{k}" for k in range(1, 7)], True),
@@ -98,24 +97,32 @@ def make_group_features(
             "csr": ([f"csr_no_of_calls_m{k}" for k in range(1, 7)], True),
             "tsr": ([f"tsr_no_of_calls_m{k}" for k in range(1, 7)], False),
         }
-    out = {
-        **{f"grp_tenure_{k}m": cut(t, *step_bins(12, 96, k, "Months", "Under 12 Months")) for k in (3, 1, 6)},
-        "grp_payment_method": row_argmax({n.upper(): F.col(n + method_suffix) for n in methods}),
-        **{f"grp_payment_{k}dollar": cut(m, *payment_bins(k)) for k in (25, 10)},
-        "grp_payment_change_5dollar": cut(F.col(change), *change_bins(50, 5, "Dollars")),
-        "grp_payment_change_10dollar": cut(F.col(change), *change_bins(50, 10, "Dollars", last=5)),
-        "grp_payment_change_2pct": cut(F.col(change_pct), *change_bins(20, 2, "Pct")),
-        "grp_payment_change_5pct": cut(F.col(change_pct), *change_bins(30, 5, "Pct")),
-        "ratio_payment_income": share,
-        "grp_payment_income": cut(share, INCOME_SHARE_EDGES, INCOME_SHARE_LABELS),
-        **{f"grp_call_{n}": cut(F.col(f"_calls_{n}"), *call_bins(w)) for n, (_, w) in calls.items()},
-    }
     helpers = {
         "_paid": row_mean(paid),
         "_share": payment_income_ratio(paid, F.col(income)),
         **{f"_calls_{n}": row_sum([F.col(c) for c in cs]) for n, (cs, _) in calls.items()},
     }
-    return Fitted(out, helpers=helpers)
+    binned: dict[str, tuple[str, tuple]] = {
+        **{f"grp_tenure_{k}m": (tenure, step_bins(12, 96, k, "Months", "Under 12 Months")) for k in (3, 1, 6)},
+        **{f"grp_payment_{k}dollar": ("_paid", payment_bins(k)) for k in (25, 10)},
+        "grp_payment_change_5dollar": (change, change_bins(50, 5, "Dollars")),
+        "grp_payment_change_10dollar": (change, change_bins(50, 10, "Dollars", last=5)),
+        "grp_payment_change_2pct": (change_pct, change_bins(20, 2, "Pct")),
+        "grp_payment_change_5pct": (change_pct, change_bins(30, 5, "Pct")),
+        "grp_payment_income": ("_share", (INCOME_SHARE_EDGES, INCOME_SHARE_LABELS)),
+        **{f"grp_call_{n}": (f"_calls_{n}", call_bins(w)) for n, (_, w) in calls.items()},
+    }
+    out = {
+        "grp_payment_method": row_argmax({n.upper(): F.col(n + method_suffix) for n in methods}),
+        "ratio_payment_income": F.col("_share"),
+    }
+    buckets = {}
+    for name, (column, (edges, labels)) in binned.items():
+        cuts, names = bins(edges, labels)
+        buckets[f"_{name}"] = (column, just_above(cuts))
+        index = F.col(f"_{name}")  # the bucket after the last one holds NaN
+        out[name] = F.when(index < len(names), label_at(index, names))
+    return Fitted(out, helpers=helpers, buckets=buckets)
 
 
 # --- level statistics and encoders ---

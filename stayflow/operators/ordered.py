@@ -4,7 +4,8 @@ A window with no partition key pulls every row into one task. Here the rows are
 range partitioned on the full order (score *and* key, so a score shared by a third
 of the table still splits), sorted inside each slice, and written once to the
 shared folder. A slice then only needs the totals of the slices before it, which is
-a frame with one row per slice.
+a frame with one row per slice. The number of slices is left to the session: adaptive
+execution merges neighbouring small ranges, which keeps their order.
 """
 from __future__ import annotations
 
@@ -18,10 +19,6 @@ from stayflow.session import materialize
 _SLICE_BITS = 33
 
 
-def _slices(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _before(frame: DataFrame, by: Sequence[str], cols: Sequence[str]) -> list[Column]:
     """Totals of the earlier slices; one row per (slice, group) only."""
     order = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -32,7 +29,7 @@ def _before(frame: DataFrame, by: Sequence[str], cols: Sequence[str]) -> list[Co
 def global_rank(df: DataFrame, order: Sequence[Column], rank: str = "rank_no", total: str | None = None) -> DataFrame:
     """Row numbers 1..n over ``order`` (which must end in a unique key)."""
     kept = materialize(
-        df.repartitionByRange(_slices(df), *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id()),
         "rank",
@@ -59,7 +56,7 @@ def running_totals(
     """
     group = [F.col(b) for b in by]
     kept = materialize(
-        df.repartitionByRange(_slices(df), *group, *order).withColumn("_slice", F.spark_partition_id()), "totals"
+        df.repartitionByRange(*group, *order).withColumn("_slice", F.spark_partition_id()), "totals"
     )
     parts = kept.groupBy("_slice", *by).agg(*[F.sum(c).alias(c) for c in sums])
     everything = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))

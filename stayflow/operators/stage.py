@@ -9,6 +9,7 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 
 
@@ -17,16 +18,34 @@ class Fitted:
     outputs: Mapping[str, Column]
     state: Mapping[str, object] = field(default_factory=dict)
     helpers: Mapping[str, Column] = field(default_factory=dict)  # computed once, used by several outputs
+    buckets: Mapping[str, tuple[str, Sequence[float]]] = field(default_factory=dict)  # name -> (column, cuts)
 
     def apply(self, df: DataFrame, keep: Sequence[str | Column] = ()) -> DataFrame:
         ready = df.withColumns(dict(self.helpers)) if self.helpers else df
+        if self.buckets:
+            ready = bucket_columns(ready, self.buckets)
         return ready.select(*keep, *[c.alias(n) for n, c in self.outputs.items()])
 
     def renamed(self, prefix: str | None = None, suffix: str | None = None) -> "Fitted":
-        return Fitted({affix(n, prefix, suffix): c for n, c in self.outputs.items()}, self.state, self.helpers)
+        return Fitted({affix(n, prefix, suffix): c for n, c in self.outputs.items()}, self.state, self.helpers, self.buckets)
 
     def only(self, names: Sequence[str]) -> "Fitted":
-        return Fitted({n: self.outputs[n] for n in names}, self.state, self.helpers)
+        return Fitted({n: self.outputs[n] for n in names}, self.state, self.helpers, self.buckets)
+
+
+def bucket_columns(df: DataFrame, buckets: Mapping[str, tuple[str, Sequence[float]]]) -> DataFrame:
+    """Adds bucket numbers (left-closed, null stays null) for many columns at once.
+
+    Spark's bucketizer searches the cuts in one call per column. As comparison chains,
+    a dozen bin columns make a generated method too long for the JVM to compile.
+    """
+    inf = float("inf")
+    return Bucketizer(
+        inputCols=[c for c, _ in buckets.values()],
+        outputCols=list(buckets),
+        splitsArray=[[-inf, *cuts, inf] for _, cuts in buckets.values()],
+        handleInvalid="keep",
+    ).transform(df)
 
 
 def affix(name: str, prefix: str | None = None, suffix: str | None = None) -> str:
@@ -37,6 +56,7 @@ def union(*fitted: Fitted) -> Fitted:
     outputs: dict[str, Column] = {}
     state: dict[str, object] = {}
     helpers: dict[str, Column] = {}
+    buckets: dict[str, tuple[str, Sequence[float]]] = {}
     for f in fitted:
         clash = outputs.keys() & f.outputs.keys()
         if clash:
@@ -44,7 +64,8 @@ def union(*fitted: Fitted) -> Fitted:
         outputs.update(f.outputs)
         state.update(f.state)
         helpers.update(f.helpers)
-    return Fitted(outputs, state, helpers)
+        buckets.update(f.buckets)
+    return Fitted(outputs, state, helpers, buckets)
 
 
 def save_state(spark: SparkSession, state: Mapping[str, object], path: str) -> None:
