@@ -151,8 +151,8 @@ def bins(edges: Sequence[float], labels: Sequence[str]) -> tuple[list[float], li
 
 
 def label_at(index: Column, names: Sequence[str | None]) -> Column:
-    """The label of a 0-based bucket number, which must not be null."""
-    return F.element_at(F.array(*[F.lit(n).cast("string") for n in names]), index.cast("int") + 1)
+    """The label of a 0-based bucket number; null for a null or unknown bucket."""
+    return F.get(F.array(*[F.lit(n).cast("string") for n in names]), index.cast("int"))
 
 
 def row_max(cols: Sequence[Column]) -> Column:
@@ -173,9 +173,10 @@ def row_mean(cols: Sequence[Column]) -> Column:
     return ratio(row_sum(cols), seen)
 
 
-def row_argmax(named: Mapping[str, Column]) -> Column:
-    """The name holding the largest value, the earliest name on ties."""
-    top = row_max(list(named.values()))
+def row_argmax(named: Mapping[str, Column], top: Column | None = None) -> Column:
+    """The name holding the largest value, the earliest name on ties; ``top`` is that
+    value when a column already holds it."""
+    top = row_max(list(named.values())) if top is None else top
     chain = None
     for name, c in named.items():
         chain = F.when(c == top, F.lit(name)) if chain is None else chain.when(c == top, F.lit(name))

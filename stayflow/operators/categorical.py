@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stayflow.functions.columns import bins, just_above, label_at, map_levels, ratio, row_argmax, row_mean, row_sum
+from stayflow.functions.columns import bins, just_above, label_at, map_levels, ratio, row_argmax, row_max, row_mean, row_sum
 from stayflow.operators.ordered import running_totals
 from stayflow.operators.stage import Fitted
 from stayflow.operators.stats import group_level_shares, group_number_stats, long_levels
@@ -98,6 +98,7 @@ def make_group_features(
             "tsr": ([f"tsr_no_of_calls_m{k}" for k in range(1, 7)], False),
         }
     helpers = {
+        "_top": row_max([F.col(n + method_suffix) for n in methods]),
         "_paid": row_mean(paid),
         "_share": payment_income_ratio(paid, F.col(income)),
         **{f"_calls_{n}": row_sum([F.col(c) for c in cs]) for n, (cs, _) in calls.items()},
@@ -113,7 +114,7 @@ def make_group_features(
         **{f"grp_call_{n}": (f"_calls_{n}", call_bins(w)) for n, (_, w) in calls.items()},
     }
     out = {
-        "grp_payment_method": row_argmax({n.upper(): F.col(n + method_suffix) for n in methods}),
+        "grp_payment_method": row_argmax({n.upper(): F.col(n + method_suffix) for n in methods}, F.col("_top")),
         "ratio_payment_income": F.col("_share"),
     }
     buckets = {}
@@ -121,7 +122,7 @@ def make_group_features(
         cuts, names = bins(edges, labels)
         buckets[f"_{name}"] = (column, just_above(cuts))
         index = F.col(f"_{name}")  # the bucket after the last one holds NaN
-        out[name] = F.when(index < len(names), label_at(index, names))
+        out[name] = label_at(index, names)
     return Fitted(out, helpers=helpers, buckets=buckets)
 
 
