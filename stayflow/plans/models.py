@@ -1,4 +1,4 @@
-"""Training and scoring with Spark ML on one cached-free vector layout.
+"""Training and scoring with Spark ML on one sparse vector layout.
 
 Text columns go through index + one-hot into sparse vectors, so the number of levels
 never becomes a number of columns. Levels unseen in training fall into one extra slot.

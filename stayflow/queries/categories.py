@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from stayflow import fixtures as fx
 from stayflow.operators import categorical as ca, prep
 from stayflow.queries.registry import query
-from stayflow.queries.statistics import TRAIN_TEST, r, split
+from stayflow.queries.statistics import r
 from stayflow.queries.views import corr, cut_sql, long_levels, long_numbers, with_views
 
 # --- the sixteen grouping features over the snapshot ---
