@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayflow.llm import bands, bitplanes, packing, simhash, wumanber
+from stayflow.llm import bands, bitplanes, langid, milquality, packing, simhash, wumanber
 from stayflow.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.round_trip(documents(spark, sf_dir))
 
 
+@query("op6_output_code_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_all(documents(spark, sf_dir))
+
+
+@query("op8_attention_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return milquality.score_all(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 @query("op9_cost_balanced_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
