@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayflow.llm import bands, bitplanes, langid, milquality, packing, simhash, wumanber
+from stayflow.llm import bands, bitplanes, langid, licenses, milquality, packing, perspective, simhash, urlfilter, wumanber
 from stayflow.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bands.compression_bands(documents(spark, sf_dir))
 
 
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
 # The word characters and the window of the contamination rule.
 OP4_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -65,6 +70,25 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_all(documents(spark, sf_dir))
 
 
+OP7_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS r, conv_id, turn, role AS speaker, replace(coalesce(text, ''), '<|', '<\|') AS body FROM conversations),
+p AS (SELECT DISTINCT conv_id, role AS perspective FROM conversations WHERE role <> 'system'),
+m AS (SELECT t.*, perspective, CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user' END AS form
+      FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+h AS (SELECT *, '<|im_start|>' || form || CASE WHEN form = 'user' THEN ' name=' || coalesce(speaker, 'unknown') ELSE '' END || chr(10) AS head FROM m),
+s AS (SELECT *, head || body || '<|im_end|>' || chr(10) AS message FROM h),
+w AS (SELECT *, CAST(coalesce(sum(length(message)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker NULLS FIRST, body, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM s)
+SELECT conv_id, perspective, turn, speaker, form, message, start, CASE WHEN form = 'assistant' THEN start + length(head) END AS learn_start,
+       CASE WHEN form = 'assistant' THEN length(body) + 11 END AS learn_length
+FROM w
+"""
+
+
+@query("op7_perspective_rotation", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspective.rotate(documents(spark, sf_dir, "conversations"))
+
+
 @query("op8_attention_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return milquality.score_all(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
@@ -73,3 +97,30 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_cost_balanced_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
+
+
+OP10_SQL = r"""
+WITH r AS (SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+      regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+      regexp_replace(regexp_replace(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '(^|&)utm_[^&]*', '', 'g'), '^&', '') AS query FROM r),
+k AS (SELECT page_id, host, path, CASE WHEN instr(url, '://') > 0 THEN regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '')
+      || regexp_replace(path, '/+$', '') || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS key FROM u),
+l AS (SELECT DISTINCT key FROM k WHERE page_id % 50 = 0 AND key IS NOT NULL),
+j AS (SELECT k.*, l.key IS NOT NULL AS listed,
+      CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+           WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+           WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+           WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+           WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+      FROM k LEFT JOIN l ON k.key = l.key)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
+FROM j
+"""
+
+
+@query("op10_blocked_bloom_url_filter", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the URLs of the query set: every page whose id is divisible by 50."""
+    listed = documents(spark, sf_dir, "pages").filter("page_id % 50 = 0")
+    return urlfilter.judge_urls(documents(spark, sf_dir, "pages"), listed)
