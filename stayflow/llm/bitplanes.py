@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from stayflow.llm.text import TEXT, slices
-from stayflow.llm.tokens import ChunkEncoder
+from stayflow.llm.tokens import encoder
 from stayflow.session import materialize, new_folder
 
 MAGIC = b"IDPLANE1"
@@ -46,31 +46,24 @@ READ_BATCH_BYTES = 4 << 20
 def to_planes(ids: np.ndarray, unit: str = "bit") -> list[bytes]:
     """The planes of little-endian 32-bit ids, lowest first; a plane of zeros only is empty."""
     raw = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
-    width = int((np.flatnonzero(raw.any(axis=0)) + 1).max(initial=0))
-    if unit == "bit":
-        flat = np.unpackbits(np.ascontiguousarray(raw[:, :width]), axis=1, bitorder="little")
-        planes = np.packbits(flat.T, axis=1) if width else []
-    else:
-        planes = raw[:, :width].T
-    out = [np.ascontiguousarray(p).tobytes() if p.any() else b"" for p in planes]
-    return out + [b""] * ((32 if unit == "bit" else 4) - len(out))
+    out = []
+    for column in map(np.ascontiguousarray, raw.T):
+        used = int(np.bitwise_or.reduce(column, initial=0))
+        if unit == "bit":
+            out += [np.packbits(column & np.uint8(1 << b)).tobytes() if used >> b & 1 else b"" for b in range(8)]
+        else:
+            out.append(column.tobytes() if used else b"")
+    return out
 
 
 def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     """Inverse of :func:`to_planes`; the unit follows from the number of planes."""
-    if len(planes) == 4:
-        raw = np.zeros((n, 4), np.uint8)
-        for i, p in enumerate(planes):
-            if p:
-                raw[:, i] = np.frombuffer(p, np.uint8)
-    else:
-        width = max((i // 8 + 1 for i, p in enumerate(planes) if p), default=0)
-        flat = np.zeros((n, 8 * width), np.uint8)
-        for i, p in enumerate(planes):
-            if p:
-                flat[:, i] = np.unpackbits(np.frombuffer(p, np.uint8), count=n)
-        raw = np.zeros((n, 4), np.uint8)
-        raw[:, :width] = np.packbits(flat, axis=1, bitorder="little")
+    raw, each = np.zeros((n, 4), np.uint8), len(planes) // 4
+    for i, plane in enumerate(planes):
+        if plane and each == 1:
+            raw[:, i] = np.frombuffer(plane, np.uint8)
+        elif plane:
+            raw[:, i // 8] |= np.unpackbits(np.frombuffer(plane, np.uint8), count=n) << np.uint8(i % 8)
     return raw.view("<u4").ravel()
 
 
@@ -194,7 +187,7 @@ def write_ids(
         for batch in batches:
             for piece in slices(batch, TEXT):
                 if out is None:
-                    encode = ChunkEncoder(tokenizer).encode
+                    encode = encoder(tokenizer).encode
                     system, folder = file_system(path)
                     system.create_dir(folder, recursive=True)
                     name = f"part-{part:06d}.ids"

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from stayflow.llm.text import TEXT, slices
-from stayflow.llm.tokens import ChunkEncoder
+from stayflow.llm.tokens import encoder
 
 SEQUENCE = 4096
 END_ID = 2
@@ -93,7 +93,7 @@ def pack_documents(
         return pa.RecordBatch.from_arrays(columns, names=schema.names), base + len(costs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ChunkEncoder(tokenizer).encode
+        encode = encoder(tokenizer).encode
         base = TaskContext.get().partitionId() << PARTITION_SHIFT
         ids, raw, total = [], [], 0
         for batch in batches:

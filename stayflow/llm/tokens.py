@@ -1,8 +1,8 @@
 """Token ids of whole texts with a public tokenizer file.
 
 The tokenizer drops white space and never merges across it, so a text's ids are its
-white-space separated chunks' ids joined. A task keeps the ids of chunks it has met in a
-table of bounded size. Of a new chunk of plain Latin letters, digits and ASCII signs,
+white-space separated chunks' ids joined. A worker process keeps the ids of chunks it has
+met in a table of bounded size. Of a new chunk of plain Latin letters, digits and ASCII signs,
 for which the tokenizer's normal form is the lower case, each piece goes to the
 tokenizer's merge model once; any other new chunk passes through the whole tokenizer.
 """
@@ -11,11 +11,12 @@ from __future__ import annotations
 import os
 import re
 import struct
+from functools import lru_cache
 
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CHUNKS_KEPT, PIECES_KEPT = 400_000, 500_000
+CHUNKS_KEPT, PIECES_KEPT = 250_000, 400_000
 JOINED_BYTES = 64 << 10
 LONGEST_KEPT = 64
 
@@ -99,6 +100,12 @@ class ChunkEncoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str | None = None) -> ChunkEncoder:
+    """One encoder for each worker process, so that a task finds what earlier ones have met."""
+    return ChunkEncoder(path)
+
+
 class _Pieces(dict):
     """Ids of lower-case pieces, from the tokenizer's merge model when a piece is new."""
 
