@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CHUNKS_KEPT, PIECES_KEPT = 250_000, 400_000
+CHUNKS_KEPT, PIECES_KEPT = 150_000, 250_000  # of each of two generations
 JOINED_BYTES = 64 << 10
 LONGEST_KEPT = 64
 
@@ -48,6 +48,7 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
         self.chunks: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.pieces = _Pieces(self.tokenizer.model, pieces_kept)
         self.kept = chunks_kept
 
@@ -68,7 +69,11 @@ class ChunkEncoder:
         found: dict[bytes, bytes] = {}
         odd, size = [], 0
         piece = self.pieces.__getitem__
+        older = self.older.get
         for chunk in missing:
+            if (ids := older(chunk)) is not None:
+                found[chunk] = ids
+                continue
             text = chunk.decode()
             if len(chunk) <= LONGEST_KEPT and _PLAIN(text) and "<|" not in text:
                 found[chunk] = b"".join(map(piece, _PIECES(text.lower())))
@@ -88,15 +93,13 @@ class ChunkEncoder:
         known = self.chunks
         split = [(t or "").encode().split() for t in texts]
         missing = {c for chunks in split for c in chunks if c not in known}
-        if not missing:
-            return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
-        found = self._learn(missing)
-        look = _Both(known, found)
-        out = [b"".join(map(look.__getitem__, chunks)) for chunks in split]
-        if len(known) + len(found) > self.kept:
-            known.clear()  # the table is begun anew
-        if len(found) <= self.kept:
-            known.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST_KEPT)
+        known.update(self._learn(missing))
+        out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        for chunk in missing:
+            if len(chunk) > LONGEST_KEPT:
+                del known[chunk]
+        if len(known) > self.kept:
+            self.older, self.chunks = known, {}
         return out
 
 
@@ -112,24 +115,18 @@ class _Pieces(dict):
     def __init__(self, model, kept: int):
         super().__init__()
         self.model, self.kept, self.letters = model, kept, _byte_letters()
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        found = [t.id for t in self.model.tokenize(spelled)]
-        ids = self[piece] = struct.pack(f"<{len(found)}I", *found)
+        ids = self.older.get(piece)
+        if ids is None:
+            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            found = [t.id for t in self.model.tokenize(spelled)]
+            ids = struct.pack(f"<{len(found)}I", *found)
+        self[piece] = ids
         return ids
 
     def trim(self) -> None:
         if len(self) > self.kept:
+            self.older = dict(self)
             self.clear()
-
-
-class _Both(dict):
-    """Looks a chunk up in what this batch brought, then in the kept table."""
-
-    def __init__(self, known: dict, found: dict):
-        super().__init__(found)
-        self.known = known
-
-    def __missing__(self, chunk):
-        return self.known[chunk]
