@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from stayflow.llm.text import append_columns, id_hash
 
 PASSAGE_WORDS = 64
+BLOCK_BYTES = 512 << 10
 SAMPLE_DOCS, SAMPLE_PASSAGES = 4000, 128
 FOLDS, HELD_FOLD = 5, 0
 THRESHOLD = 0.3
@@ -51,9 +52,34 @@ _N_STATS = 7
 WIDTH = _N_KINDS + _PAIRS + _N_STATS
 
 
+def _blocks(raw: bytes) -> list[bytes]:
+    """A text in parts of at most ``BLOCK_BYTES``, cut after white space where there is any."""
+    out = []
+    while len(raw) > BLOCK_BYTES:
+        cut = max(raw.rfind(w, 0, BLOCK_BYTES) for w in (b" ", b"\n")) + 1 or BLOCK_BYTES
+        out.append(raw[:cut])
+        raw = raw[cut:]
+    return [*out, raw]
+
+
 def passages(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all passages, and how many passages each text has."""
-    raws = [(t or "").encode() for t in texts]
+    """Features of all passages, and how many passages each text has; passages don't cross blocks."""
+    blocks = [(i, b) for i, t in enumerate(texts) for b in _blocks((t or "").encode())]
+    found, counts = [], np.zeros(len(texts), np.int64)
+    part, size = [], 0
+    for n, (i, block) in enumerate(blocks, 1):
+        part.append((i, block))
+        size += len(block)
+        if size >= BLOCK_BYTES or n == len(blocks):
+            x, count = _features([b for _, b in part])
+            found.append(x)
+            np.add.at(counts, [k for k, _ in part], count)
+            part, size = [], 0
+    return np.concatenate(found) if found else np.zeros((0, WIDTH), np.float32), counts
+
+
+def _features(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all passages of some blocks, and how many each block has."""
     data = np.frombuffer(b"\n".join(raws) + b"\n", np.uint8)
     ends = np.cumsum([len(r) + 1 for r in raws])
     white = _WHITE[data]
@@ -80,21 +106,20 @@ def passages(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     kinds = np.bincount(of_byte * _N_KINDS + _KINDS[body], minlength=n * _N_KINDS).reshape(n, _N_KINDS) * per
     low = np.where((body >= 65) & (body <= 90), body + 32, body).astype(np.uint32)
     pair = ((low[:-1] * np.uint32(256) + low[1:]) * np.uint32(2654435761)) >> np.uint32(26)
-    pairs = np.bincount(of_byte[1:] * _PAIRS + pair, minlength=n * _PAIRS).reshape(n, _PAIRS) * per
+    within = of_byte[1:] == of_byte[:-1]
+    pairs = np.bincount(of_byte[1:][within] * _PAIRS + pair[within], minlength=n * _PAIRS).reshape(n, _PAIRS) * per
     stats = _word_stats(data, starts, stops, doc, of_word, n, size)
     return np.hstack([np.sqrt(kinds), np.sqrt(pairs), stats]).astype(np.float32), count
 
 
 def _word_stats(data, starts, stops, doc, of_word, n: int, size: np.ndarray) -> np.ndarray:
-    """Length, mean word length, different words, words equal to the one before, repeated triples, capitalised and all-capital words."""
+    """Length, mean word length, different words, words equal to the one before, triples repeated in the block, capitalised and all-capital words."""
     out = np.zeros((n, _N_STATS))
     out[:, 0] = np.log1p(size) / 6
     if not len(starts):
         return out
     length = stops - starts
-    place = np.arange(int(stops[-1])) - np.repeat(starts, np.diff(np.concatenate([starts, [stops[-1]]]))) if starts[0] == 0 else None
-    if place is None:
-        place = np.arange(int(starts[0]), int(stops[-1])) - np.repeat(starts, np.diff(np.concatenate([starts, [stops[-1]]])))
+    place = np.arange(int(starts[0]), int(stops[-1])) - np.repeat(starts, np.diff(np.concatenate([starts, [stops[-1]]])))
     body = data[starts[0] : stops[-1]]
     powers = np.cumprod(np.full(int(place.max()) + 1, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
     low = np.where((body >= 65) & (body <= 90), body + 32, body).astype(np.uint64)
