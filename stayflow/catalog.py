@@ -15,23 +15,8 @@ from stayflow.operators.stats import categorical_columns, numeric_columns
 
 KINDS = ("CAT", "NUM", "DNU", "TARGET")
 
-# Columns that never serve as features (do-not-use and targets).
-NOT_FEATURES = (
-    "bdate", "bmonth2", "churn", "churn2", "comparea", "compdisco", "complete2", "count",
-    "cust_tenure_start_date", "cutdate", "disco", "disco_rsn", "drform", "drform2", "dt",
-    "edate", "file", "filedt", "fiosclust", "fiosind", "ftax", "gf_mig_date", "install",
-    "max_repeat_wfindate", "max_repeat_wip_id", "min_disco_wfindate", "min_disco_wip_id",
-    "ont_wfindate", "prefios", "prod_m0", "prod_m1", "prod_m2", "prod_m3", "prod_m4",
-    "rc_str", "restart", "spindate", "uverse", "video_business_class", "vidtengrp3",
-    "wstat", "zip5", "vol_pend_disco", "pending_drform", "account_pend_disco_frq",
-    "chc_id", "house", "status",
-)
-
-# High-cardinality place columns, used for grouping only.
-PLACE_COLUMNS = (
-    "census", "cleansed_city", "cleansed_zipcode", "ecohort_code", "clust", "corp", "fta_desc",
-    "house", "hub", "trunk", "node", "geo", "geo2", "geo3",
-)
+#: columns of every cohort that are never features; further ones are DNU or TARGET rows of the catalogue
+NOT_FEATURES = ("chc_id", "status", "dt")
 
 
 @dataclass(frozen=True)
@@ -63,5 +48,8 @@ class Catalog:
     def of_kind(self, kind: str, within: Sequence[str]) -> list[str]:
         return [c for c in within if self.kinds.get(c) == kind]
 
+    def unused(self, within: Sequence[str]) -> list[str]:
+        return [c for c in within if self.kinds.get(c) in ("DNU", "TARGET")]
+
     def features(self, within: Sequence[str]) -> list[str]:
         return [c for c in within if self.kinds.get(c) in ("CAT", "NUM")]

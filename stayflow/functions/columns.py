@@ -156,7 +156,9 @@ def label_at(index: Column, names: Sequence[str | None]) -> Column:
 
 
 def row_max(cols: Sequence[Column]) -> Column:
-    return F.greatest(*cols) if len(cols) > 1 else cols[0]
+    """The largest value present; nulls and NaN are skipped."""
+    seen = [F.when(~F.isnan(c), c) for c in cols]
+    return F.greatest(*seen) if len(seen) > 1 else seen[0]
 
 
 def row_sum(cols: Sequence[Column]) -> Column:

@@ -1,4 +1,7 @@
-"""Composite customer key: corp (4) + house (6, zero padded) + cust (2)."""
+"""Composite customer key: corp (4) + house (6, zero padded) + cust (2).
+
+A part that is longer than its place is an error: cut, two customers would become one.
+"""
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
@@ -17,7 +20,11 @@ def split_key(key: Column) -> dict[str, Column]:
     }
 
 
+def padded(part: Column, size: int) -> Column:
+    text = part.cast("string")
+    too_long = F.raise_error(F.concat(F.lit(f"key part longer than {size}: "), text)).cast("string")
+    return F.when(F.length(text) > size, too_long).otherwise(F.lpad(text, size, "0"))
+
+
 def build_key(corp: Column, house: Column, cust: Column) -> Column:
-    return F.concat(
-        corp.cast("string"), F.lpad(house.cast("string"), 6, "0"), F.lpad(cust.cast("string"), 2, "0")
-    )
+    return F.concat(corp.cast("string"), padded(house, 6), padded(cust, 2))

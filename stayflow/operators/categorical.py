@@ -10,6 +10,7 @@ from stayflow.functions.columns import bins, just_above, label_at, map_levels, r
 from stayflow.operators.ordered import running_totals
 from stayflow.operators.stage import Fitted
 from stayflow.operators.stats import group_level_shares, group_number_stats, long_levels
+from stayflow.session import materialize
 
 #: level maps up to this many entries become expressions, larger ones a join
 LITERAL_LEVELS = 500
@@ -140,7 +141,7 @@ def level_stats(df: DataFrame, cols: Sequence[str], label: str | None = None) ->
     y = [F.sum("_y").alias("y")] if label else []
     counts = rows.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n"), *y)
     totals = counts.groupBy("feature").agg(F.sum("n").alias("_total"))
-    out = counts.join(totals, "feature").withColumn("share", ratio(F.col("n"), F.col("_total"))).drop("_total")
+    out = counts.join(F.broadcast(totals), "feature").withColumn("share", ratio(F.col("n"), F.col("_total"))).drop("_total")
     return out.withColumn("y_mean", ratio(F.col("y"), F.col("n"))).drop("y") if label else out
 
 
@@ -175,24 +176,28 @@ def encoder_values(stats: DataFrame, method: str) -> tuple[DataFrame, float]:
     return stats.select("feature", "level", codes[method]().alias("code")), unseen
 
 
-def apply_codes(df: DataFrame, cols: Sequence[str], codes: DataFrame, default: Column, out=lambda c: c) -> DataFrame:
-    """Replace each level by its code, ``default`` for levels not listed.
+def apply_codes(df: DataFrame, cols: Sequence[str], codes: DataFrame, default: Column | Mapping[str, Column], out=lambda c: c) -> DataFrame:
+    """Replace each level by its code; ``default``, one for all or one for each column,
+    stands for levels not listed and for codes that are null.
 
-    A short list of codes becomes plain expressions. A long one is joined, and the
-    join strategy is left to the size Spark sees at run time.
+    A short list of codes becomes plain expressions. A long one is written once and
+    joined, and the join strategy is left to the size Spark sees at run time. Both forms
+    give the same values.
     """
+    missing = default if isinstance(default, Mapping) else {c: default for c in cols}
     rows = codes.limit(LITERAL_LEVELS + 1).collect()
     if len(rows) <= LITERAL_LEVELS:
         maps: dict[str, dict] = {c: {} for c in cols}
         for r in rows:
             if r["feature"] in maps:
                 maps[r["feature"]][r["level"]] = r["code"]
-        return df.withColumns({out(c): map_levels(F.col(c).cast("string"), maps[c], default) for c in cols})
+        return df.withColumns({out(c): F.coalesce(map_levels(F.col(c).cast("string"), maps[c], missing[c]), missing[c]) for c in cols})
+    codes = materialize(codes, "codes")
     for c in cols:
         one = codes.filter(F.col("feature") == c).select(F.col("level").alias("_level"), F.col("code").alias("_code"))
         df = (
             df.join(one, F.col(c).cast("string") == F.col("_level"), "left")
-            .withColumn(out(c), F.coalesce("_code", default))
+            .withColumn(out(c), F.coalesce("_code", missing[c]))
             .drop("_level", "_code")
         )
     return df
@@ -232,9 +237,7 @@ def reduce_rare(
         raise ValueError("method is None or 'common'")
     top = {r["feature"]: r["level"] for r in kept.filter("place = 1").collect()}  # one per feature
     codes = kept.select("feature", "level", F.col("level").alias("code"))
-    for c in cols:
-        df = apply_codes(df, [c], codes.filter(F.col("feature") == c), F.lit(top.get(c)))
-    return df
+    return apply_codes(df, cols, codes, {c: F.lit(top.get(c)).cast("string") for c in cols})
 
 
 def clamp_levels(df: DataFrame, train: DataFrame, cols: Sequence[str], other: str = "ALL_OTHER") -> DataFrame:

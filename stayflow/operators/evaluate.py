@@ -146,24 +146,24 @@ def lift_table(df: DataFrame, prob: str = PROB, label: str = LABEL, decile: str
     by = df.groupBy(decile).agg(
         F.min(prob).alias("min_prob"),
         F.max(prob).alias("max_prob"),
-        F.sum(label).cast("bigint").alias("count_churners"),
+        F.sum(label).cast("bigint").alias("count_leavers"),
         F.count(F.lit(1)).alias("count_subs"),
     )
     everyone = Window.partitionBy(F.lit(0))
     sofar = everyone.orderBy(F.desc("max_prob")).rowsBetween(Window.unboundedPreceding, 0)
-    churners, subs = F.sum("count_churners").over(everyone), F.sum("count_subs").over(everyone)
+    leavers, subs = F.sum("count_leavers").over(everyone), F.sum("count_subs").over(everyone)
     t = by.select(
         "*",
-        F.sum("count_churners").over(sofar).alias("cumu_churners"),
+        F.sum("count_leavers").over(sofar).alias("cumu_leavers"),
         F.sum("count_subs").over(sofar).alias("cumu_subs"),
-        churners.alias("_c"),
+        leavers.alias("_c"),
         subs.alias("_s"),
     )
-    rate, overall = ratio(100 * F.col("count_churners"), F.col("count_subs")), ratio(100 * F.col("_c"), F.col("_s"))
-    gain, reach = ratio(100 * F.col("cumu_churners"), F.col("_c")), ratio(100 * F.col("cumu_subs"), F.col("_s"))
+    rate, overall = ratio(100 * F.col("count_leavers"), F.col("count_subs")), ratio(100 * F.col("_c"), F.col("_s"))
+    gain, reach = ratio(100 * F.col("cumu_leavers"), F.col("_c")), ratio(100 * F.col("cumu_subs"), F.col("_s"))
     return t.select(
-        decile, "min_prob", "max_prob", "count_churners", "count_subs", "cumu_churners", "cumu_subs",
-        rate.alias("conv_3m"), overall.alias("avg_churn_rate"), ratio(rate, overall).alias("lift"),
+        decile, "min_prob", "max_prob", "count_leavers", "count_subs", "cumu_leavers", "cumu_subs",
+        rate.alias("conv_3m"), overall.alias("avg_leaver_rate"), ratio(rate, overall).alias("lift"),
         gain.alias("gain"), reach.alias("cumu_subs_pct"), ratio(gain, reach).alias("cumu_lift"),
     )
 
@@ -189,7 +189,7 @@ def lift_top_n(df: DataFrame, n: int = 10_000, key: str = "chc_id") -> DataFrame
     t = with_decile(top).groupBy("decile").agg(
         F.min(PROB).alias("min_prob"), F.max(PROB).alias("max_prob"), F.avg(LABEL).alias("conv_3m"), F.count(F.lit(1)).alias("count_subs")
     )
-    return t.withColumn("avg_churn_rate", base).withColumn("lift", ratio(F.col("conv_3m"), F.col("avg_churn_rate")))
+    return t.withColumn("avg_leaver_rate", base).withColumn("lift", ratio(F.col("conv_3m"), F.col("avg_leaver_rate")))
 
 
 def with_rank(df: DataFrame, prob: str, key: str = "chc_id") -> DataFrame:
@@ -204,21 +204,21 @@ def with_percentile(df: DataFrame, prob: str, key: str = "chc_id", name: str = "
 
 
 def lift_slices(df: DataFrame, k: int, prob: str = PROB, label: str = LABEL, key: str = "chc_id", ranked: DataFrame | None = None) -> DataFrame:
-    """Lift and churners of ``k`` equal slices of the ranked customers."""
+    """Lift and leavers of ``k`` equal slices of the ranked customers."""
     rows = ranked if ranked is not None else with_rank(df.select(key, prob, label), prob, key)
     s = rows.withColumn("slice", slice_of(F.col("rank_no"), F.col("n"), k))
-    by = s.groupBy("slice").agg(F.sum(label).cast("bigint").alias("churners"), F.count(F.lit(1)).alias("subs"))
+    by = s.groupBy("slice").agg(F.sum(label).cast("bigint").alias("leavers"), F.count(F.lit(1)).alias("subs"))
     everyone = Window.partitionBy(F.lit(0))  # k rows
-    c, n = F.sum("churners").over(everyone), F.sum("subs").over(everyone)
+    c, n = F.sum("leavers").over(everyone), F.sum("subs").over(everyone)
     width = 100 // k
     label_text = F.format_string("%d%% - %d%%", F.col("slice") * width, (F.col("slice") + 1) * width)
     return by.select(
         "slice",
         label_text.alias("bucket"),
         "subs",
-        "churners",
-        ratio(ratio(F.col("churners"), F.col("subs")), ratio(c, n)).alias("lift"),
-        ratio(F.col("churners"), c).alias("share_of_churn"),
+        "leavers",
+        ratio(ratio(F.col("leavers"), F.col("subs")), ratio(c, n)).alias("lift"),
+        ratio(F.col("leavers"), c).alias("leaver_share"),
     )
 
 
@@ -230,14 +230,21 @@ def lift_stitched(df: DataFrame, prob: str = PROB, label: str = LABEL, key: str
     return fine.unionByName(coarse)
 
 
+#: buckets of the stitched table: four of 5 %, then eight of 10 %
+STITCHED = tuple([f"{5 * k}% - {5 * k + 5}%" for k in range(4)] + [f"{10 * k}% - {10 * k + 10}%" for k in range(2, 10)])
+
+
 def stitched_splits(df: DataFrame, split: str, prob: str = PROB, label: str = LABEL, key: str = "chc_id") -> DataFrame:
-    """Stitched lift of each split and of all customers side by side, joined on bucket."""
+    """Stitched lift of each split and of all customers side by side, twelve rows always.
+
+    A split too small to fill a bucket has nulls there.
+    """
     names = [r[0] for r in df.select(split).distinct().collect()]  # train, test
-    out = None
+    out = df.sparkSession.createDataFrame([(b,) for b in STITCHED], "bucket string")
     for name in [*sorted(names), "all"]:
         part = df if name == "all" else df.filter(F.col(split) == name)
         t = lift_stitched(part, prob, label, key).select(
-            "bucket", F.col("lift").alias(f"{name}_lift"), F.col("churners").alias(f"{name}_churners"), F.col("share_of_churn").alias(f"{name}_share")
+            "bucket", F.col("lift").alias(f"{name}_lift"), F.col("leavers").alias(f"{name}_leavers"), F.col("leaver_share").alias(f"{name}_share")
         )
-        out = t if out is None else out.join(t, "bucket")
+        out = out.join(F.broadcast(t), "bucket", "left")  # twelve rows
     return out

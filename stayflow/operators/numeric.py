@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stayflow.functions.columns import just_above, ratio, row_sum, tree_index
 from stayflow.operators.quantiles import exact_quantiles
 from stayflow.operators.stage import Fitted, union
-from stayflow.operators.stats import long_numbers, pair_correlations, per_column, target_correlation
+from stayflow.operators.stats import long_numbers, number, pair_correlations, per_column, target_correlation
 from stayflow.operators import prep
 
 
 def _x(c: str) -> Column:
-    return F.col(c).cast("double")
+    """The column as double, NaN read as missing."""
+    return number(c)
 
 
 def universal(cols: Sequence[str], function: Callable[[Column], Column]) -> Fitted:
@@ -45,7 +46,7 @@ def reciprocal(cols: Sequence[str]) -> Fitted:
 
 
 def binarize(cols: Sequence[str], threshold: float = 0.0) -> Fitted:
-    return Fitted({c: F.when(_x(c) > threshold, 1.0).otherwise(F.when(F.col(c).isNotNull(), 0.0)) for c in cols})
+    return Fitted({c: F.when(_x(c) > threshold, 1.0).otherwise(F.when(_x(c).isNotNull(), 0.0)) for c in cols})
 
 
 def passthrough(cols: Sequence[str]) -> Fitted:
@@ -60,8 +61,8 @@ Quantiles = Mapping[str, Mapping[float, float | None]]
 
 
 def moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
-    """Everything the linear scalers need, in one pass."""
-    x = lambda c: c.cast("double")
+    """Everything the linear scalers need, in one pass; NaN counts as missing."""
+    x = lambda c: F.nanvl(c.cast("double"), F.lit(None).cast("double"))
     return _stat(
         df, cols, mean=lambda c: F.avg(x(c)), sd=lambda c: F.stddev_pop(x(c)), lo=lambda c: F.min(x(c)), hi=lambda c: F.max(x(c))
     )
@@ -130,12 +131,13 @@ _TREE_CUTS = 64
 
 
 def bucket_index(c: Column, cuts: Sequence[float]) -> Column:
-    """How many cuts are <= c (left-closed buckets 0..len(cuts)); null stays null.
+    """How many cuts are <= c (left-closed buckets 0..len(cuts)); null and NaN give null.
 
     A balanced comparison tree keeps short cut lists inside generated code; long ones
-    use a vectorised search on Arrow batches.
+    use a vectorised search on Arrow batches. Both give the same number for any value.
     """
     cuts = list(cuts)
+    c = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
     if len(cuts) > _TREE_CUTS:
         return _search(cuts)(c)
 
@@ -280,40 +282,26 @@ def keep_strong(frame: DataFrame, corr: dict, target_threshold: float, feature_t
     """Names that pass both thresholds, strongest first; ``corr`` is with the target."""
     strong = {c: v for c, v in corr.items() if v is not None and round(abs(v), 9) >= target_threshold}
     order = prep.correlation_order(strong)
-    pairs = {frozenset((r["col_a"], r["col_b"])): r["corr"] for r in pair_correlations(frame, order).collect()}
+    pairs = prep.pair_dict(pair_correlations(frame, order), feature_threshold)
     gone = {late for late, _, _ in prep.collinear(order, pairs, feature_threshold)}
     return [c for c in order if c not in gone]
 
 
-#: outputs up to which target and pair correlations share a pass
-ONE_PASS = 400
-
-
 def thinned_union(
     df: DataFrame, stages: dict[str, Fitted], label: str = "status", target_threshold: float = 0.005, feature_threshold: float = 0.90
 ) -> Fitted:
     """Many transforms side by side, each thinned, then thinned together.
 
-    Up to ``ONE_PASS`` outputs the label is one more column of the pair correlations;
-    wider unions are first screened against the label, so that only promising columns
-    are compared with each other. The rule itself runs on the driver.
+    The outputs are first screened against the label, so that only promising columns are
+    compared with each other. The rule itself runs on the driver, over the pairs above
+    the threshold.
     """
     everything = union(*stages.values())
     names = list(everything.outputs)
     frame = everything.apply(df, [F.col(label).cast("double").alias("_label")])
-    corr: dict[str, float | None] = {}
-    pairs: dict[frozenset, float | None] = {}
-    if len(names) <= ONE_PASS:
-        for r in pair_correlations(frame, ["_label", *names]).collect():
-            if r["col_a"] == "_label":
-                corr[r["col_b"]] = r["corr"]
-            else:
-                pairs[frozenset((r["col_a"], r["col_b"]))] = r["corr"]
-    else:
-        corr = {r["feature"]: r["corr"] for r in target_correlation(frame, names, "_label").collect()}
+    corr = {r["feature"]: r["corr"] for r in target_correlation(frame, names, "_label").collect()}
     strong = {c: corr[c] for c in names if corr[c] is not None and round(abs(corr[c]), 9) >= target_threshold}
-    if len(names) > ONE_PASS:
-        pairs = {frozenset((r["col_a"], r["col_b"])): r["corr"] for r in pair_correlations(frame, list(strong)).collect()}
+    pairs = prep.pair_dict(pair_correlations(frame, list(strong)), feature_threshold)
 
     def thin(names: Sequence[str]) -> list[str]:
         order = prep.correlation_order({c: strong[c] for c in names})

@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stayflow.catalog import NOT_FEATURES, PLACE_COLUMNS, Catalog
+from stayflow.catalog import NOT_FEATURES, Catalog
 from stayflow.functions.columns import blank_to_null, clip
 from stayflow.operators.columns import dummy_name
 from stayflow.operators.quantiles import exact_quantiles
@@ -32,10 +34,6 @@ from stayflow.operators.stats import (
     unique_counts,
 )
 
-#: one-hot columns a projection may hold; past it use the sparse ML encoder
-MAX_LEVELS = 1000
-
-
 def blanks_to_null(df: DataFrame) -> DataFrame:
     """Blank text read as missing in every text column."""
     return df.withColumns({c: blank_to_null(F.col(c)) for c in categorical_columns(df)})
@@ -123,17 +121,23 @@ def correlation_order(corr: Mapping[str, float | None]) -> list[str]:
 
 def collinear(order: Sequence[str], pairs: Mapping[frozenset, float | None], threshold: float) -> list[tuple[str, str, float]]:
     """(dropped, earlier column, r) for every pair above the threshold, in order."""
-    out = []
-    for j, late in enumerate(order):
-        for early in order[:j]:
-            r = pairs.get(frozenset((early, late)))
-            if r is not None and round(abs(r), 9) > threshold:
-                out.append((late, early, r))
-    return out
+    place = {c: i for i, c in enumerate(order)}
+    hits = []
+    for pair, r in pairs.items():
+        if r is not None and round(abs(r), 9) > threshold and len(pair) == 2 and all(c in place for c in pair):
+            early, late = sorted(pair, key=place.get)
+            hits.append((place[late], place[early], late, early, r))
+    return [(late, early, r) for _, _, late, early, r in sorted(hits)]
+
 
+def above(pairs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose correlation exceeds the threshold: all that the collinearity rule reads."""
+    return pairs.filter(F.round(F.abs("corr"), 9) > threshold)
 
-def _pair_dict(pairs: DataFrame) -> dict[frozenset, float | None]:
-    return {frozenset((r["col_a"], r["col_b"])): r["corr"] for r in pairs.collect()}
+
+def pair_dict(pairs: DataFrame, threshold: float) -> dict[frozenset, float]:
+    """The pairs above the threshold; Spark leaves the others out before anything reaches the driver."""
+    return {frozenset((r["col_a"], r["col_b"])): r["corr"] for r in above(pairs, threshold).collect()}
 
 
 _DROP_SCHEMA = "drop_feature string, corr_feature string, pairwise_corr double, corr_drop_target double, corr_kept_target double"
@@ -153,7 +157,7 @@ def drop_irrelevant_collinear(
     target_threshold: float = 0.005,
     feature_threshold: float = 0.90,
     label: str = "status",
-    exclude: Sequence[str] = NOT_FEATURES + PLACE_COLUMNS,
+    exclude: Sequence[str] = NOT_FEATURES,
 ) -> Choice:
     """Columns weakly correlated with the target go first, then the collinear ones."""
     numbers = [c for c in _features(df, exclude) if c in numeric_columns(df)]
@@ -169,7 +173,7 @@ def _drop_collinear(df, numbers, threshold, label, exclude, weak=()) -> Choice:
     else:
         corr = {r["feature"]: r["corr"] for r in target_correlation(df, numbers, label).collect()} if numbers else {}
         order = correlation_order(corr)
-    hits = collinear(order, _pair_dict(pair_correlations(df, order)), threshold)
+    hits = collinear(order, pair_dict(pair_correlations(df, order), threshold), threshold)
     gone = sorted({d for d, _, _ in hits} | set(weak))
     report = df.sparkSession.createDataFrame([(d, e, r, corr.get(d), corr.get(e)) for d, e, r in hits], _DROP_SCHEMA)
     return Choice([c for c in _features(df, exclude) if c not in gone], gone, report)
@@ -242,11 +246,12 @@ def drop_zero_variance(df: DataFrame, exclude: Sequence[str] = NOT_FEATURES) ->
     return Choice([c for c in df.columns if c not in exclude and c not in gone], gone, report)
 
 
-def level_lists(df: DataFrame, cols: Sequence[str], limit: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """The levels of each column, sorted; refuses columns too wide for a projection."""
-    pairs = long_levels(df, cols).filter("level IS NOT NULL").distinct().limit(limit + 1).collect()
-    if len(pairs) > limit:
-        raise ValueError(f"more than {limit} levels in all: reduce them or use the sparse encoder")
+def level_lists(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """The levels of each column, sorted: one entry for each column of a projection to come.
+
+    Columns with very many levels are better served by :func:`sparse_levels`.
+    """
+    pairs = long_levels(df, cols).filter("level IS NOT NULL").distinct().collect()
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in pairs:
         out[r["feature"]].append(r["level"])
@@ -259,6 +264,22 @@ def dummies(levels: Mapping[str, Sequence[str]], sep: str = "_") -> dict[str, Co
     }
 
 
+def sparse_levels(df: DataFrame, train: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name: str = "levels") -> DataFrame:
+    """One sparse 0/1 vector over all levels of all columns, for any number of levels.
+
+    Fitted on ``train``, levels by name; a missing or unknown level gives zeros.
+    """
+    if not cols:
+        raise ValueError("no columns to encode")
+    codes, ones = [f"_code_{c}" for c in cols], [f"_one_{c}" for c in cols]
+    stages = [
+        StringIndexer(inputCols=list(cols), outputCols=codes, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCols=codes, outputCols=ones, dropLast=True),  # the last is the unknown one
+        VectorAssembler(inputCols=ones, outputCol=name),
+    ]
+    return Pipeline(stages=stages).fit(train).transform(df).select(*keep, name)
+
+
 def process_data(
     df: DataFrame, catalog: Catalog, keep: Sequence[str] = ("chc_id", "status"), exclude: Sequence[str] = NOT_FEATURES
 ) -> DataFrame:
@@ -307,11 +328,12 @@ def preprocess_numbers(
 # --- the whole pipeline, for one population or for several markets at once ---
 
 
-def _facts(df: DataFrame, cols: Sequence[str], label: str, key: str, by: Sequence[str]) -> dict:
+def _facts(df: DataFrame, cols: Sequence[str], label: str, key: str, by: Sequence[str], threshold: float) -> dict:
     """All statistics the column rules need, per group, in two passes over the table.
 
     The first takes missing shares, constancy, moments and fingerprints; the second
-    all correlations, with the label as one more column.
+    all correlations, with the label as one more column. Of the pairs only those above
+    the threshold leave Spark.
     """
     numbers = [c for c in cols if c in numeric_columns(df)]
     clean = blank_nan(df, numbers).withColumn("_label", F.col(label).cast("double"))
@@ -332,7 +354,8 @@ def _facts(df: DataFrame, cols: Sequence[str], label: str, key: str, by: Sequenc
         facts["print"][r["feature"]] = r["print"]
         if r["one"]:
             facts["one"].add(r["feature"])
-    for r in pair_correlations(clean, ["_label", *numbers], by).collect():
+    pairs = pair_correlations(clean, ["_label", *numbers], by)
+    for r in pairs.filter((F.col("col_a") == "_label") | (F.round(F.abs("corr"), 9) > threshold)).collect():
         if r["col_a"] == "_label":
             out[group(r)]["corr"][r["col_b"]] = r["corr"]
         else:
@@ -376,9 +399,9 @@ def fit_pipeline(
     """
     cols = [c for c in _features(df, exclude) if c not in by]
     typed = use_default_types(df, catalog, exclude)
-    raw = _facts(typed, cols, label, key, by)
+    raw = _facts(typed, cols, label, key, by, first_corr)
     duplicates = _duplicate_texts(typed, cols, raw, by)
-    filled = _facts(impute(df, catalog, exclude), cols, label, key, by)
+    filled = _facts(impute(df, catalog, exclude), cols, label, key, by, second_corr)
     out = {}
     for group, facts in raw.items():
         fate = {}

@@ -8,12 +8,13 @@ any number of groups and stays a DataFrame.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from stayflow.functions.columns import present
 from stayflow.operators.ordered import running_totals
@@ -32,21 +33,55 @@ class _Interval:
     ranks: tuple[int, ...]  # wanted 0-based ranks inside
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    types = dict(df.dtypes)
-    items = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"), present(F.col(c), types[c]).alias("ok")) for c in cols]
-    return df.select(F.inline(F.array(*items))).filter("ok").select("feature", "value")
+def _edges(iv: Sequence[_Interval], cols: Sequence[str]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each column with intervals, by place: their lower and upper ends and their numbers, in order."""
+    out = {}
+    for j, c in enumerate(cols):
+        own = sorted((x.lo, x.hi, i) for i, x in enumerate(iv) if x.feature == c)
+        if own:
+            lo, hi, at = zip(*own)
+            out[j] = np.array(lo), np.array(hi), np.array(at, dtype="int32")
+    return out
 
 
-def _tag(iv: Sequence[_Interval]) -> Column:
-    """Interval number of a (feature, value) row, null when it is in none."""
-    chain = None
-    for i, x in enumerate(iv):
-        cond = (F.col("feature") == x.feature) & (F.col("value") >= x.lo)
-        if x.hi != math.inf:
-            cond = cond & (F.col("value") < x.hi)
-        chain = F.when(cond, F.lit(i)) if chain is None else chain.when(cond, F.lit(i))
-    return chain
+def _inside(df: DataFrame, cols: Sequence[str], iv: Sequence[_Interval]) -> DataFrame:
+    """(_iv, value) of the values inside an interval.
+
+    The ends are searched as sorted arrays, batch by batch, so the plan stays the same
+    for one interval and for a hundred thousand.
+    """
+    edges = _edges(iv, cols)
+    wide = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_{j}") for j, c in enumerate(cols) if j in edges])
+    order = sorted(edges)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, j in enumerate(order):
+                lo, hi, at = edges[j]
+                x = batch.column(k).to_numpy(zero_copy_only=False).astype("float64")
+                x = x[~np.isnan(x)]  # nulls arrive as NaN
+                place = np.searchsorted(lo, x, side="right") - 1
+                ok = (place >= 0) & ((x < hi[place]) | (hi[place] == math.inf))
+                yield pa.RecordBatch.from_arrays([pa.array(at[place[ok]]), pa.array(x[ok])], names=["_iv", "value"])
+
+    return wide.mapInArrow(search, "_iv int, value double")
+
+
+def _part_counts(rows: DataFrame, edges: Sequence[Sequence[float]]) -> DataFrame:
+    """(_iv, part, count): how many values of an interval lie between its edges."""
+    cuts = [np.asarray(e) for e in edges]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            iv, value = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            order = np.argsort(iv, kind="stable")
+            iv, value = iv[order], value[order]
+            starts = np.flatnonzero(np.diff(iv, prepend=-1))
+            for a, b in zip(starts, [*starts[1:], len(iv)]):
+                part, n = np.unique(np.searchsorted(cuts[iv[a]], value[a:b], side="right"), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), iv[a], "int32")), pa.array(part.astype("int32")), pa.array(n.astype("int64"))], names=["_iv", "part", "n"])
+
+    return rows.mapInArrow(count, "_iv int, part int, n bigint").groupBy("_iv", "part").agg(F.sum("n").alias("count"))
 
 
 def _split(rows: DataFrame, iv: Sequence[_Interval]) -> list[_Interval]:
@@ -62,10 +97,8 @@ def _split(rows: DataFrame, iv: Sequence[_Interval]) -> list[_Interval]:
         # a repeated cut is a hot value: fence it off on its own
         fenced = set(seen) | {math.nextafter(v, math.inf) for v in seen}
         edges.append([x.lo] + sorted(v for v in fenced if x.lo < v < x.hi))
-    fences = F.array(*[F.array(*[F.lit(float(e)) for e in es]) for es in edges])
-    part = F.aggregate(F.element_at(fences, F.col("_iv") + 1), F.lit(0), lambda n, e: n + (F.col("value") >= e).cast("int"))
     counted: dict[int, dict[int, int]] = {}
-    for r in rows.groupBy("_iv", part.alias("part")).count().collect():
+    for r in _part_counts(rows, edges).collect():
         counted.setdefault(r["_iv"], {})[r["part"]] = r["count"]
     out = []
     for i, x in enumerate(iv):
@@ -121,9 +154,9 @@ def exact_quantiles(
         todo = [x for x in todo if x.feature in wide]
         if not todo:
             break
-        rows = _long(df, sorted({x.feature for x in todo})).withColumn("_iv", _tag(todo)).filter("_iv IS NOT NULL")
+        rows = _inside(df, cols, todo)
         parts = _split(rows, todo)
-        inside = _long(df, sorted({x.feature for x in parts})).withColumn("_iv", _tag(parts)).filter("_iv IS NOT NULL")
+        inside = _inside(df, cols, parts)
         spread = {
             r["_iv"]: r["d"] for r in inside.groupBy("_iv").agg(F.approx_count_distinct("value").alias("d")).collect()
         }
@@ -131,7 +164,7 @@ def exact_quantiles(
         done += [x for i, x in enumerate(parts) if spread.get(i, 0) <= limit]
     found: dict[tuple[str, int], float] = {}
     if done:
-        rows = _long(df, sorted({x.feature for x in done})).withColumn("_iv", _tag(done)).filter("_iv IS NOT NULL")
+        rows = _inside(df, cols, done)
         counts = rows.groupBy("_iv", "value").count()
         # an interval holds at most ``limit`` distinct values, so a task can sort one
         picked = counts.groupBy("_iv").applyInPandas(_picker(done), "_iv int, t bigint, value double")

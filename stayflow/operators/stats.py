@@ -177,7 +177,7 @@ def level_outcomes(df: DataFrame, cols: Sequence[str], outcomes: Sequence[str])
     )
     shares = [pct2(F.col(c), F.col(f"_{c}")).alias(f"{c}_share") for c in ["customers", *outcomes]]
     rates = [pct2(F.col(o), F.col("customers")).alias(f"{o}_rate") for o in outcomes]
-    return counts.join(totals, "feature").select("feature", "level", "n_levels", "customers", *outcomes, *shares, *rates)
+    return counts.join(F.broadcast(totals), "feature").select("feature", "level", "n_levels", "customers", *outcomes, *shares, *rates)
 
 
 def group_number_stats(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
@@ -207,7 +207,7 @@ def group_level_shares(df: DataFrame, group: str, cols: Sequence[str], max_level
     counts = rows.groupBy("grp", "feature", "level").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("grp", "feature").agg(F.sum("n").alias("t"))
     levels = counts.groupBy("feature").agg(F.collect_set("level").alias("levels"))  # bounded by max_levels
-    grid = totals.join(levels, "feature").select("grp", "feature", "t", F.explode("levels").alias("level"))
+    grid = totals.join(F.broadcast(levels), "feature").select("grp", "feature", "t", F.explode("levels").alias("level"))
     return grid.join(counts, ["grp", "feature", "level"], "left").select(
         "grp", "feature", "level", ratio(F.coalesce("n", F.lit(0)), F.col("t")).alias("share")
     )

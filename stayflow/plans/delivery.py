@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stayflow.functions.columns import ratio
-from stayflow.functions.keys import build_key, split_key
+from stayflow.functions.keys import build_key, padded, split_key
 from stayflow.operators.evaluate import PREDICTED, PROB, with_percentile, with_rank
 from stayflow.operators.ordered import rank_slice
 from stayflow.operators.stats import long_levels
@@ -37,7 +37,7 @@ def target_list(scored: DataFrame, run_month: int, time_run: str, n: int = TARGE
     """
     top = scored.filter(F.col(PREDICTED) == 1).orderBy(F.desc(PROB), F.asc(key)).limit(n)
     parts = split_key(F.col(composite))
-    house, cust = F.lpad(parts["house"], 6, "0"), F.lpad(parts["cust"], 2, "0")
+    house, cust = padded(parts["house"], 6), padded(parts["cust"], 2)
     return top.select(
         F.lit(time_run).alias("time_run"), F.lit(str(run_month)).alias("run_month"),
         parts["corp"].alias("corp"), house.alias("house"), cust.alias("cust"),
@@ -108,4 +108,4 @@ def profile_levels(
         names.append("actual_proportion")
     counts = cube.groupBy("feature", "level").agg(*sums)
     totals = counts.groupBy("feature").agg(*[F.sum(m).alias(f"_t_{m}") for m in names])
-    return counts.join(totals, "feature").select("feature", "level", *[ratio(F.col(m), F.col(f"_t_{m}")).alias(m) for m in names])
+    return counts.join(F.broadcast(totals), "feature").select("feature", "level", *[ratio(F.col(m), F.col(f"_t_{m}")).alias(m) for m in names])

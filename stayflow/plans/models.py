@@ -140,12 +140,13 @@ def param_grid(model, grid: Mapping[str, Sequence]) -> list[dict]:
 def random_draws(model, space: Mapping[str, Sequence], draws: int, seed: int) -> list[dict]:
     """Seeded settings drawn from the listed values, repeats left out."""
     rng = random.Random(seed)
+    space = {n: list(dict.fromkeys(v)) for n, v in space.items()}  # a value listed twice is one value
     found: dict[tuple, dict] = {}
     total = 1
     for v in space.values():
         total *= len(v)
     while len(found) < min(draws, total):
-        pick = tuple((n, rng.choice(list(v))) for n, v in space.items())
+        pick = tuple((n, rng.choice(v)) for n, v in space.items())
         found[pick] = {model.getParam(n): v for n, v in pick}
     return list(found.values())
 

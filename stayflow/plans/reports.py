@@ -159,9 +159,9 @@ def run_record(scored: DataFrame, train: DataFrame, identity: dict[str, str], la
     return counts.select(
         *[F.lit(v).alias(k) for k, v in identity.items()],
         n.select("a").scalar().alias("train_actives"),
-        n.select("c").scalar().alias("train_churners"),
+        n.select("c").scalar().alias("train_leavers"),
         (F.col("tn") + F.col("fp")).alias("test_actives"),
-        (F.col("tp") + F.col("fn")).alias("test_churners"),
+        (F.col("tp") + F.col("fn")).alias("test_leavers"),
         "tp", "tn", "fp", "fn",
         *[c.alias(k) for k, c in (rate_columns() | class_metric_columns()).items()],
         auc.alias("auc"),

@@ -72,11 +72,11 @@ def qcut_sql(src: str, p: str, out: str) -> str:
 {out} AS (SELECT s.*, CAST(1 + len(list_filter(inner_edges, lambda x: x < s.{p})) AS INT) AS decile FROM {src} s, {out}_e)"""
 
 
-LIFT = """b AS (SELECT decile, min(p) AS min_prob, max(p) AS max_prob, CAST(sum(original_labels) AS BIGINT) AS count_churners, count(*) AS count_subs FROM {src} GROUP BY decile),
-w AS (SELECT *, sum(count_churners) OVER o AS cc, sum(count_subs) OVER o AS cs, sum(count_churners) OVER () AS c, sum(count_subs) OVER () AS n FROM b WINDOW o AS (ORDER BY max_prob DESC))"""
-LIFT_SELECT = """SELECT decile, round(min_prob,6) AS min_prob, round(max_prob,6) AS max_prob, count_churners, count_subs, CAST(cc AS BIGINT) AS cumu_churners, CAST(cs AS BIGINT) AS cumu_subs,
-  round(100.0*count_churners/count_subs,6) AS conv_3m, round(CAST(100.0*c/n AS DOUBLE),6) AS avg_churn_rate,
-  round(CAST(count_churners AS DOUBLE)/count_subs/(CAST(c AS DOUBLE)/n),6) AS lift, round(100.0*CAST(cc AS DOUBLE)/c,6) AS gain,
+LIFT = """b AS (SELECT decile, min(p) AS min_prob, max(p) AS max_prob, CAST(sum(original_labels) AS BIGINT) AS count_leavers, count(*) AS count_subs FROM {src} GROUP BY decile),
+w AS (SELECT *, sum(count_leavers) OVER o AS cc, sum(count_subs) OVER o AS cs, sum(count_leavers) OVER () AS c, sum(count_subs) OVER () AS n FROM b WINDOW o AS (ORDER BY max_prob DESC))"""
+LIFT_SELECT = """SELECT decile, round(min_prob,6) AS min_prob, round(max_prob,6) AS max_prob, count_leavers, count_subs, CAST(cc AS BIGINT) AS cumu_leavers, CAST(cs AS BIGINT) AS cumu_subs,
+  round(100.0*count_leavers/count_subs,6) AS conv_3m, round(CAST(100.0*c/n AS DOUBLE),6) AS avg_leaver_rate,
+  round(CAST(count_leavers AS DOUBLE)/count_subs/(CAST(c AS DOUBLE)/n),6) AS lift, round(100.0*CAST(cc AS DOUBLE)/c,6) AS gain,
   round(100.0*CAST(cs AS DOUBLE)/n,6) AS cumu_subs_pct, round(CAST(cc AS DOUBLE)/c/(CAST(cs AS DOUBLE)/n),6) AS cumu_lift FROM w"""
 
 query("lift_gain", with_views("v2", FLIP, qcut_sql("f", "p", "d"), LIFT.format(src="d"), select=LIFT_SELECT))(
@@ -95,7 +95,7 @@ query(
         "v2", f"t AS (SELECT chc_id, original_labels, {PROB} AS p FROM v2 WHERE predicted_label=1 ORDER BY {PROB} DESC, chc_id LIMIT 10000)",
         qcut_sql("t", "p", "d"), "a AS (SELECT avg(original_labels) AS base FROM v2)",
         select="""SELECT decile, round(min(p),6) AS min_prob, round(max(p),6) AS max_prob, round(avg(original_labels),6) AS conv_3m, count(*) AS count_subs,
-  round(any_value(base),6) AS avg_churn_rate, round(avg(original_labels)/any_value(base),6) AS lift FROM d, a GROUP BY decile""",
+  round(any_value(base),6) AS avg_leaver_rate, round(avg(original_labels)/any_value(base),6) AS lift FROM d, a GROUP BY decile""",
     ),
 )(lambda s, sf: _r(ev.lift_top_n(fx.scored(s, sf))))
 query("qcut_decile", with_views("v2", qcut_sql("v2", PROB, "d"), select="SELECT chc_id, decile FROM d"))(
@@ -119,9 +119,9 @@ def _rank_buckets(df):
 
 def slices_sql(k: int, out: str) -> str:
     return f"""{out}_s AS (SELECT CAST((rn*{k}-1)//(n+1) AS INT) AS slice, original_labels AS y FROM r),
-{out}_b AS (SELECT slice, count(*) AS subs, CAST(sum(y) AS BIGINT) AS churners FROM {out}_s GROUP BY slice),
-{out} AS (SELECT slice, CAST(slice*{100 // k} AS VARCHAR)||'% - '||CAST((slice+1)*{100 // k} AS VARCHAR)||'%' AS bucket, subs, churners,
-  round((CAST(churners AS DOUBLE)/subs)/(sum(churners) OVER ()/CAST(sum(subs) OVER () AS DOUBLE)),6) AS lift, round(CAST(churners AS DOUBLE)/sum(churners) OVER (),6) AS share_of_churn FROM {out}_b)"""
+{out}_b AS (SELECT slice, count(*) AS subs, CAST(sum(y) AS BIGINT) AS leavers FROM {out}_s GROUP BY slice),
+{out} AS (SELECT slice, CAST(slice*{100 // k} AS VARCHAR)||'% - '||CAST((slice+1)*{100 // k} AS VARCHAR)||'%' AS bucket, subs, leavers,
+  round((CAST(leavers AS DOUBLE)/subs)/(sum(leavers) OVER ()/CAST(sum(subs) OVER () AS DOUBLE)),6) AS lift, round(CAST(leavers AS DOUBLE)/sum(leavers) OVER (),6) AS leaver_share FROM {out}_b)"""
 
 
 for _k in (10, 20, 100):
@@ -141,9 +141,9 @@ def _splits_sql():
         parts.append(f"{t}_r AS (SELECT *, row_number() OVER (ORDER BY p DESC, chc_id) AS rn, count(*) OVER () AS n FROM f WHERE {cond})")
         parts.append(slices_sql(20, f"{t}_a").replace("FROM r)", f"FROM {t}_r)"))
         parts.append(slices_sql(10, f"{t}_b").replace("FROM r)", f"FROM {t}_r)"))
-        parts.append(f"{t} AS (SELECT bucket, lift AS \"{name}_lift\", churners AS \"{name}_churners\", share_of_churn AS \"{name}_share\" FROM (SELECT * FROM {t}_a WHERE slice<4 UNION ALL SELECT * FROM {t}_b WHERE slice>=2))")
+        parts.append(f"{t} AS (SELECT bucket, lift AS \"{name}_lift\", leavers AS \"{name}_leavers\", leaver_share AS \"{name}_share\" FROM (SELECT * FROM {t}_a WHERE slice<4 UNION ALL SELECT * FROM {t}_b WHERE slice>=2))")
         joins.append(t)
-    return with_views("v2", FLIP, *parts, select=f"SELECT * FROM {joins[0]} JOIN {joins[1]} USING (bucket) JOIN {joins[2]} USING (bucket)")
+    return with_views("v2", FLIP, *parts, select=f"SELECT * FROM (SELECT unnest({list(ev.STITCHED)}) AS bucket) LEFT JOIN {joins[0]} USING (bucket) LEFT JOIN {joins[1]} USING (bucket) LEFT JOIN {joins[2]} USING (bucket)")
 
 
 query("lift_stitched_splits", _splits_sql())(
@@ -200,8 +200,8 @@ query(
     ),
 )(lambda s, sf: re_.conversion_wide(re_.conversion_report(fx.scored(s, sf), fx.cust_month(s, sf), BASE, left=LEFT)))
 
-RECORD = f"""SELECT 'run-1' AS unique_identifier, 'all' AS segment, '215' AS no_of_variables, (SELECT count(*) FROM v5 WHERE status=0) AS train_actives, (SELECT count(*) FROM v5 WHERE status=1) AS train_churners,
-  tn+fp AS test_actives, tp+fn AS test_churners, tp, tn, fp, fn, {RATES}, {CLASS}, (SELECT round(sum(pos*(below+neg/2.0))/(CAST(sum(pos) AS DOUBLE)*sum(neg)),6) FROM a) AS auc FROM k"""
+RECORD = f"""SELECT 'run-1' AS unique_identifier, 'all' AS segment, '215' AS no_of_variables, (SELECT count(*) FROM v5 WHERE status=0) AS train_actives, (SELECT count(*) FROM v5 WHERE status=1) AS train_leavers,
+  tn+fp AS test_actives, tp+fn AS test_leavers, tp, tn, fp, fn, {RATES}, {CLASS}, (SELECT round(sum(pos*(below+neg/2.0))/(CAST(sum(pos) AS DOUBLE)*sum(neg)),6) FROM a) AS auc FROM k"""
 IDENTITY = {"unique_identifier": "run-1", "segment": "all", "no_of_variables": "215"}
 
 query("run_record", with_views("v2 v5", FLIP, CONF, CLASS_CTE, AUC, select=RECORD))(
@@ -228,7 +228,7 @@ query(
     "target_list",
     with_views(
         "v2",
-        f"""t AS (SELECT *, concat('0701', lpad(CAST(chc_id AS VARCHAR),6,'0'), lpad(CAST(chc_id%100 AS VARCHAR),2,'0')) AS k FROM v2 WHERE predicted_label=1
+        f"""t AS (SELECT *, concat('0701', concat(repeat('0', CAST(greatest(0, 6 - length(CAST(chc_id AS VARCHAR))) AS INT)), CAST(chc_id AS VARCHAR)), concat(repeat('0', CAST(greatest(0, 2 - length(CAST(chc_id%100 AS VARCHAR))) AS INT)), CAST(chc_id%100 AS VARCHAR))) AS k FROM v2 WHERE predicted_label=1
   ORDER BY {PROB} DESC, chc_id LIMIT 30000)""",
         select="SELECT '2000-04-01' AS time_run, '200004' AS run_month, substr(k,1,4) AS corp, substr(k,5,6) AS house, substr(k,11,2) AS cust, k AS corp_house_cust FROM t",
     ),

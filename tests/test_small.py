@@ -11,6 +11,7 @@ from stayflow.catalog import Catalog
 from stayflow.functions import columns as fc, keys, months
 from stayflow.operators import categorical as ca, cohort as co, columns as pc, evaluate as ev, numeric as nu, prep, quantiles, rules, sampling as sa, screening as sc, stats as st, trees
 from stayflow.operators.ordered import global_rank, running_totals
+from stayflow.plans import models
 
 
 def rows(df):
@@ -331,3 +332,65 @@ def test_plans_stay_distributed(spark):
     scan = spark.read.parquet(f"{sf}/orders.parquet").filter("o_totalprice > 5").select("o_orderkey")
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,5.0)]" in plan
+
+
+def test_many_narrow_intervals(spark):
+    """Hundreds of wanted ranks, narrowed: the plan must not grow with them."""
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({f"c{j}": np.round(rng.normal(size=4000), 2 + j) for j in range(6)})
+    pdf.loc[:900, "c0"] = 0.25  # a hot value
+    pdf.loc[::7, "c1"] = np.nan
+    probs = [k / 100 for k in range(101)]
+    got = quantiles.exact_quantiles(spark.createDataFrame(pdf), list(pdf), probs, limit=500)
+    for c in pdf:
+        assert got[c] == pytest.approx(list(pdf[c].dropna().quantile(probs)), abs=1e-12)
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(float(i), i % 2) for i in range(100)] + [(float("nan"), 1), (None, 0)], "x double, status int")
+    for fitted in (nu.standard(df, ["x"]), nu.minmax(df, ["x"]), nu.maxabs(df, ["x"]), nu.robust(df, ["x"]), nu.binarize(["x"], 50.0)):
+        out = [r[0] for r in fitted.apply(df).collect()]
+        assert out.count(None) == 2 and not any(math.isnan(v) for v in out if v is not None)
+    assert sorted({v for v in (r[0] for r in nu.minmax(df, ["x"]).apply(df).collect()) if v is not None})[-1] == 1.0
+    for n in (64, 65):  # the two forms of a bucket search agree
+        got = [r[0] for r in df.select(nu.bucket_index(F.col("x"), [float(k) for k in range(n)])).collect()]
+        assert got.count(None) == 2 and max(v for v in got if v is not None) == n
+    wide = spark.createDataFrame([(1.0, float("nan"), None), (float("nan"), None, None)], "a double, b double, c double")
+    assert [r[0] for r in wide.select(fc.row_max([F.col(c) for c in "abc"])).collect()] == [1.0, None]
+
+
+def test_code_forms_agree_on_a_level_without_labels(spark, monkeypatch):
+    train = spark.createDataFrame([(1, "a", 1), (2, "b", None), (3, "c", 0)], "chc_id long, f string, status int")
+    forms = []
+    for limit in (500, 1):
+        monkeypatch.setattr(ca, "LITERAL_LEVELS", limit)
+        forms.append(sorted(rows(ca.encode(train, train, ["f"], "y_mean", "status").select("chc_id", "f"))))
+    assert forms[0] == forms[1] == [(1, 1.0), (2, 0.0), (3, 0.0)]
+
+
+def test_any_number_of_levels(spark):
+    df = spark.range(1500).select(F.col("id").alias("chc_id"), F.concat(F.lit("v"), "id").alias("f"), F.lit("k").alias("g"))
+    assert len(prep.level_lists(df, ["f"])["f"]) == 1500
+    more = df.limit(3).unionByName(spark.createDataFrame([(9999, "new", None)], "chc_id long, f string, g string"))
+    got = {r.chc_id: r.levels for r in prep.sparse_levels(more, df, ["f", "g"], ["chc_id"]).collect()}
+    assert len(got[0]) == 1501 and got[0].numNonzeros() == 2 and got[9999].numNonzeros() == 0
+
+
+def test_key_parts_are_not_cut(spark):
+    df = spark.range(1)
+    assert rows(df.select(keys.build_key(F.lit("0701"), F.lit(999999), F.lit(5)))) == [("070199999905",)]
+    with pytest.raises(Exception, match="key part longer than 6"):
+        df.select(keys.build_key(F.lit("0701"), F.lit(1234567), F.lit(1))).collect()
+
+
+def test_stitched_splits_always_have_twelve_rows(spark):
+    scored = [(i, i % 2, i / 100, "big") for i in range(60)] + [(100 + i, 1, i / 10, "small") for i in range(5)]
+    df = spark.createDataFrame(scored, f"chc_id long, {ev.LABEL} int, {ev.PROB} double, split string")
+    assert [r.bucket for r in ev.stitched_splits(df, "split").collect()].__len__() == 12
+
+
+def test_draws_end_with_repeated_values():
+    class Model:
+        getParam = staticmethod(str)
+
+    assert len(models.random_draws(Model, {"a": [1, 1, 2], "b": [3, 3]}, 50, 0)) == 2
