@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stayflow.functions.keys import build_key
+from stayflow.session import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,24 @@ def _money(c: str) -> Column:
     return F.col(c).cast("decimal(18,2)")
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 as a warehouse holds it: a table partitioned by month, so that a cohort reads its months only.
+
+    Written once for a session to the shared folder.
+    """
+    place = spark.sparkContext.applicationId, sf_dir
+    months = cust_month(spark, sf_dir)
+    if place not in _STORED:
+        path = new_folder(spark, "snapshot")
+        # a month of any size is spread over several files
+        months.repartition("dt", F.pmod(F.xxhash64("chc_id"), F.lit(8))).write.partitionBy("dt").parquet(path)
+        _STORED[place] = path
+    return spark.read.schema(months.schema).parquet(_STORED[place])
+
+
 def cust_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1: one row per customer and month, first order month onwards."""
     orders = table(spark, sf_dir, "orders")

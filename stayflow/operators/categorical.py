@@ -3,12 +3,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stayflow.functions.columns import bins, just_above, label_at, map_levels, ratio, row_argmax, row_max, row_mean, row_sum
 from stayflow.operators.ordered import running_totals
-from stayflow.operators.stage import Fitted
+from stayflow.operators.stage import Fitted, load_state, save_state
 from stayflow.operators.stats import group_level_shares, group_number_stats, long_levels
 from stayflow.session import materialize
 
@@ -203,10 +204,40 @@ def apply_codes(df: DataFrame, cols: Sequence[str], codes: DataFrame, default: C
     return df
 
 
+@dataclass(frozen=True)
+class LevelCodes:
+    """A fitted encoder: (feature, level, code), and the value of other levels by column.
+
+    Stored and loaded as two small tables, and applied without the training table.
+    """
+
+    codes: DataFrame
+    defaults: Mapping[str, object]
+    prefix: str | None = None
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        kind = self.codes.schema["code"].dataType
+        missing = {c: F.lit(v).cast(kind) for c, v in self.defaults.items()}
+        return apply_codes(df, list(missing), self.codes, missing, lambda c: f"{self.prefix}_{c}" if self.prefix else c)
+
+    def save(self, path: str) -> None:
+        self.codes.write.mode("overwrite").parquet(f"{path}/codes")
+        save_state(self.codes.sparkSession, {"defaults": dict(self.defaults), "prefix": self.prefix}, f"{path}/defaults")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "LevelCodes":
+        kept = load_state(spark, f"{path}/defaults")
+        return cls(spark.read.parquet(f"{path}/codes"), kept["defaults"], kept["prefix"])
+
+
+def fit_encoder(train: DataFrame, cols: Sequence[str], method: str, label: str | None = None, prefix: str | None = None) -> LevelCodes:
+    codes, unseen = encoder_values(level_stats(train, cols, label), method)
+    return LevelCodes(codes, {c: unseen for c in cols}, prefix)
+
+
 def encode(df: DataFrame, train: DataFrame, cols: Sequence[str], method: str, label: str | None = None, prefix: str | None = None) -> DataFrame:
     """Fit on ``train``, apply to ``df``; adds or replaces one column per feature."""
-    codes, unseen = encoder_values(level_stats(train, cols, label), method)
-    return apply_codes(df, cols, codes, F.lit(unseen), lambda c: f"{prefix}_{c}" if prefix else c)
+    return fit_encoder(train, cols, method, label, prefix).apply(df)
 
 
 def kept_levels(stats: DataFrame, min_pct: float = 0.01, max_count: int = 20) -> DataFrame:
@@ -220,30 +251,31 @@ def kept_levels(stats: DataFrame, min_pct: float = 0.01, max_count: int = 20) ->
     return ranked.filter(F.col("share") >= min_pct)
 
 
-def reduce_rare(
-    df: DataFrame,
-    train: DataFrame,
-    cols: Sequence[str],
-    min_pct: float = 0.01,
-    max_count: int = 20,
-    method: str | None = None,
-    other: str = "all_other",
-) -> DataFrame:
+def reduce_rare(df: DataFrame, train: DataFrame, cols: Sequence[str], min_pct: float = 0.01, max_count: int = 20, method: str | None = None, other: str = "all_other") -> DataFrame:
     """Rare and missing levels become ``other``, or the commonest level for 'common'."""
+    return fit_rare(train, cols, min_pct, max_count, method, other).apply(df)
+
+
+def fit_rare(train: DataFrame, cols: Sequence[str], min_pct: float = 0.01, max_count: int = 20, method: str | None = None, other: str = "all_other") -> LevelCodes:
     kept = kept_levels(level_stats(train, cols), min_pct, max_count)
     if method is None:
-        return apply_codes(df, cols, kept.select("feature", "level", F.col("level").alias("code")), F.lit(other))
+        return LevelCodes(kept.select("feature", "level", F.col("level").alias("code")), {c: other for c in cols})
     if method != "common":
         raise ValueError("method is None or 'common'")
+    kept = materialize(kept, "kept-levels")  # read for the commonest levels and again as codes
     top = {r["feature"]: r["level"] for r in kept.filter("place = 1").collect()}  # one per feature
     codes = kept.select("feature", "level", F.col("level").alias("code"))
-    return apply_codes(df, cols, codes, {c: F.lit(top.get(c)).cast("string") for c in cols})
+    return LevelCodes(codes, {c: top.get(c) for c in cols})
 
 
 def clamp_levels(df: DataFrame, train: DataFrame, cols: Sequence[str], other: str = "ALL_OTHER") -> DataFrame:
     """Levels not present in training become ``other``; missing counts as not present."""
+    return fit_clamp(train, cols, other).apply(df)
+
+
+def fit_clamp(train: DataFrame, cols: Sequence[str], other: str = "ALL_OTHER") -> LevelCodes:
     seen = long_levels(train, cols).filter("level IS NOT NULL").distinct()
-    return apply_codes(df, cols, seen.select("feature", "level", F.col("level").alias("code")), F.lit(other))
+    return LevelCodes(seen.select("feature", "level", F.col("level").alias("code")), {c: other for c in cols})
 
 
 def interaction_names(first: Sequence[str], second: Sequence[str]) -> list[tuple[str, str, str]]:

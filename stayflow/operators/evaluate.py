@@ -13,6 +13,7 @@ from stayflow.functions.columns import ratio, ratio_or_zero
 from stayflow.operators.numeric import qcut
 from stayflow.operators.ordered import global_rank, rank_slice, running_totals, slice_of
 from stayflow.operators.quantiles import exact_quantiles
+from stayflow.session import materialize
 
 LABEL, PREDICTED, PROB = "original_labels", "predicted_label", "prediction_probability"
 
@@ -130,6 +131,26 @@ def pr_points(df: DataFrame, prob: str = PROB, label: str = LABEL) -> DataFrame:
     return curve_points(df, prob, label).select("score", "precision", F.col("tpr").alias("recall"))
 
 
+def score_table(df: DataFrame, prob: str = PROB, label: str = LABEL) -> DataFrame:
+    """(score, leavers, subs) per distinct score, written once: all that deciles, lift and gain need."""
+    counts = df.groupBy(F.col(prob).cast("double").alias("score")).agg(F.sum(label).cast("bigint").alias("leavers"), F.count(F.lit(1)).alias("subs"))
+    return materialize(counts.filter("score IS NOT NULL"), "scores")
+
+
+def score_edges(scores: DataFrame, probs: Sequence[float]) -> list[float] | None:
+    """Exact interpolated quantiles of the scores from their counts; None without scores."""
+    ranked = running_totals(scores, [F.col("score")], ["subs"])
+    n = scores.agg(F.sum("subs")).scalar()
+    first, last = F.col("subs_before"), F.col("subs_before") + F.col("subs") - 1
+    spots = [F.lit(float(p)) * (n - 1) for p in probs]
+    ends = [F.max(F.when((f(s) >= first) & (f(s) <= last), F.col("score"))).alias(f"{name}{i}") for i, s in enumerate(spots) for name, f in (("lo", F.floor), ("hi", F.ceil))]
+    parts = [F.max(s - F.floor(s)).alias(f"at{i}") for i, s in enumerate(spots)]
+    found = ranked.agg(*ends, *parts).first()
+    if found is None or found["lo0"] is None:
+        return None
+    return [found[f"lo{i}"] + (found[f"hi{i}"] - found[f"lo{i}"]) * found[f"at{i}"] for i in range(len(probs))]
+
+
 def with_decile(df: DataFrame, prob: str = PROB, k: int = 10, name: str = "decile") -> DataFrame:
     """Value quantile bins 1..k, lowest first; customers with one score share a bin."""
     edges = exact_quantiles(df, [prob], [j / k for j in range(k + 1)])[prob]
@@ -138,16 +159,21 @@ def with_decile(df: DataFrame, prob: str = PROB, k: int = 10, name: str = "decil
     return df.withColumn(name, qcut(F.col(prob), edges))
 
 
-def lift_table(df: DataFrame, prob: str = PROB, label: str = LABEL, decile: str = "decile") -> DataFrame:
+def lift_table(df: DataFrame, prob: str = PROB, label: str = LABEL, k: int = 10) -> DataFrame:
     """Rates, lift, gain and cumulative lift per decile, best decile first.
 
+    The table is read once, for the counts per score; edges and rows follow from them.
     The running sums are windows over the ten rows of the decile aggregate.
     """
-    by = df.groupBy(decile).agg(
-        F.min(prob).alias("min_prob"),
-        F.max(prob).alias("max_prob"),
-        F.sum(label).cast("bigint").alias("count_leavers"),
-        F.count(F.lit(1)).alias("count_subs"),
+    decile = "decile"
+    scores = score_table(df, prob, label)
+    edges = score_edges(scores, [j / k for j in range(k + 1)])
+    binned = scores.withColumn(decile, qcut(F.col("score"), edges) if edges else F.lit(None).cast("int"))
+    by = binned.groupBy(decile).agg(
+        F.min("score").alias("min_prob"),
+        F.max("score").alias("max_prob"),
+        F.sum("leavers").alias("count_leavers"),
+        F.sum("subs").alias("count_subs"),
     )
     everyone = Window.partitionBy(F.lit(0))
     sofar = everyone.orderBy(F.desc("max_prob")).rowsBetween(Window.unboundedPreceding, 0)
@@ -169,13 +195,13 @@ def lift_table(df: DataFrame, prob: str = PROB, label: str = LABEL, decile: str
 
 
 def lift_all(df: DataFrame) -> DataFrame:
-    return lift_table(with_decile(flip_probability(df)))
+    return lift_table(flip_probability(df))
 
 
 def lift_top_decile(df: DataFrame) -> DataFrame:
     """The best decile cut into deciles again."""
     top = with_decile(flip_probability(df)).filter("decile = 10").drop("decile")
-    return lift_table(with_decile(top))
+    return lift_table(top)
 
 
 def top_n(df: DataFrame, n: int, prob: str = PROB, key: str = "chc_id") -> DataFrame:

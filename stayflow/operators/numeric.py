@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stayflow.functions.columns import just_above, ratio, row_sum, tree_index
 from stayflow.operators.quantiles import exact_quantiles
-from stayflow.operators.stage import Fitted, union
+from stayflow.operators.stage import Fitted, build, builder, union
 from stayflow.operators.stats import long_numbers, number, pair_correlations, per_column, target_correlation
 from stayflow.operators import prep
 
@@ -30,26 +30,51 @@ def universal(cols: Sequence[str], function: Callable[[Column], Column]) -> Fitt
     return Fitted(out)
 
 
+@builder("log1p")
+def _log1p(cols: Sequence[str]) -> Fitted:
+    return Fitted({c: F.when(_x(c) > -1, F.log1p(_x(c))).otherwise(F.lit(0.0)) for c in cols})
+
+
 def log1p(cols: Sequence[str]) -> Fitted:
     """``ln(1 + x)``; missing and x <= -1 give 0."""
-    return Fitted({c: F.when(_x(c) > -1, F.log1p(_x(c))).otherwise(F.lit(0.0)) for c in cols})
+    return build("log1p", cols=list(cols))
 
 
 def sqrt(cols: Sequence[str]) -> Fitted:
     """Square root; missing and negative values give 0."""
+    return build("sqrt", cols=list(cols))
+
+
+@builder("sqrt")
+def _sqrt(cols: Sequence[str]) -> Fitted:
     return Fitted({c: F.when(_x(c) >= 0, F.sqrt(_x(c))).otherwise(F.lit(0.0)) for c in cols})
 
 
 def reciprocal(cols: Sequence[str]) -> Fitted:
     """``1 / x``; missing and zero give 0."""
+    return build("reciprocal", cols=list(cols))
+
+
+@builder("reciprocal")
+def _reciprocal(cols: Sequence[str]) -> Fitted:
     return Fitted({c: F.coalesce(ratio(F.lit(1.0), _x(c)), F.lit(0.0)) for c in cols})
 
 
 def binarize(cols: Sequence[str], threshold: float = 0.0) -> Fitted:
+    return build("binarize", cols=list(cols), threshold=threshold)
+
+
+@builder("binarize")
+def _binarize(cols: Sequence[str], threshold: float) -> Fitted:
     return Fitted({c: F.when(_x(c) > threshold, 1.0).otherwise(F.when(_x(c).isNotNull(), 0.0)) for c in cols})
 
 
 def passthrough(cols: Sequence[str]) -> Fitted:
+    return build("passthrough", cols=list(cols))
+
+
+@builder("passthrough")
+def _passthrough(cols: Sequence[str]) -> Fitted:
     return Fitted({c: F.col(c) for c in cols})
 
 
@@ -81,43 +106,48 @@ def _steps(n: int) -> list[float]:
 def standard(df: DataFrame, cols: Sequence[str], with_mean: bool = True, with_std: bool = True, stats: dict | None = None) -> Fitted:
     """Population standard deviation; a constant column is divided by 1."""
     s = stats or moments(df, cols)
-    out = {}
-    for c in cols:
-        mean = s[c]["mean"] or 0.0 if with_mean else 0.0
-        sd = s[c]["sd"] or 1.0 if with_std else 1.0
-        out[c] = (_x(c) - mean) / sd
-    return Fitted(out, {"standard": s})
+    mean = {c: s[c]["mean"] or 0.0 if with_mean else 0.0 for c in cols}
+    return build("linear", shift=mean, size={c: s[c]["sd"] or 1.0 if with_std else 1.0 for c in cols})
+
+
+@builder("linear")
+def _linear(shift: Mapping[str, float], size: Mapping[str, float], low: float = 0.0, width: float = 1.0) -> Fitted:
+    """``(x - shift) / size``, spread over ``width`` from ``low``."""
+    scaled = {c: (_x(c) - shift[c]) / size[c] for c in shift}
+    return Fitted({c: x * width + low if (low, width) != (0.0, 1.0) else x for c, x in scaled.items()})
 
 
 def robust(df: DataFrame, cols: Sequence[str], quantile_range: tuple[float, float] = (25.0, 75.0), table: Quantiles | None = None) -> Fitted:
     """Centred on the median, divided by the quantile range (1 when it is zero)."""
     lo, hi = (p / 100 for p in quantile_range)
     q = table or quantile_table(df, cols, [lo, 0.5, hi])
-    out, state = {}, {}
+    shift, size = {}, {}
     for c in cols:
-        a, med, b = state[c] = [q[c][p] for p in (lo, 0.5, hi)]
-        out[c] = _x(c) if med is None else (_x(c) - med) / ((b - a) or 1.0)
-    return Fitted(out, {"robust": state})
+        a, med, b = (q[c][p] for p in (lo, 0.5, hi))
+        shift[c], size[c] = (0.0, 1.0) if med is None else (med, (b - a) or 1.0)
+    return build("linear", shift=shift, size=size)
 
 
 def minmax(df: DataFrame, cols: Sequence[str], feature_range: tuple[float, float] = (0.0, 1.0), stats: dict | None = None) -> Fitted:
     s = stats or moments(df, cols)
     low, high = feature_range
-    out = {}
-    for c in cols:
-        a, b = s[c]["lo"] or 0.0, s[c]["hi"] or 0.0
-        out[c] = (_x(c) - a) / ((b - a) or 1.0) * (high - low) + low
-    return Fitted(out, {"minmax": s})
+    ends = {c: (s[c]["lo"] or 0.0, s[c]["hi"] or 0.0) for c in cols}
+    return build("linear", shift={c: a for c, (a, _) in ends.items()}, size={c: (b - a) or 1.0 for c, (a, b) in ends.items()}, low=float(low), width=float(high - low))
 
 
 def maxabs(df: DataFrame, cols: Sequence[str], stats: dict | None = None) -> Fitted:
     s = stats or moments(df, cols)
-    size = {c: max(abs(s[c]["lo"] or 0.0), abs(s[c]["hi"] or 0.0)) for c in cols}
-    return Fitted({c: _x(c) / (size[c] or 1.0) for c in cols}, {"maxabs": size})
+    size = {c: max(abs(s[c]["lo"] or 0.0), abs(s[c]["hi"] or 0.0)) or 1.0 for c in cols}
+    return build("linear", shift={c: 0.0 for c in cols}, size=size)
 
 
 def normalize(cols: Sequence[str], norm: str = "l2") -> Fitted:
     """Each row divided by its norm over the given columns; a zero row stays."""
+    return build("normalize", cols=list(cols), norm=norm)
+
+
+@builder("normalize")
+def _normalize(cols: Sequence[str], norm: str) -> Fitted:
     xs = [_x(c) for c in cols]
     size = {
         "l1": lambda: row_sum([F.abs(x) for x in xs]),
@@ -174,8 +204,13 @@ def quantile(df: DataFrame, cols: Sequence[str], n_quantiles: int = 1000, table:
     """
     steps = _steps(n_quantiles - 1)
     found = table or quantile_table(df, cols, steps)
-    q = {c: [found[c][p] for p in steps] for c in cols}
-    refs = np.linspace(0.0, 1.0, n_quantiles)
+    return build("quantile", landmarks={c: [found[c][p] for p in steps] for c in cols})
+
+
+@builder("quantile")
+def _quantile(landmarks: Mapping[str, Sequence[float | None]]) -> Fitted:
+    q = landmarks
+    refs = np.linspace(0.0, 1.0, len(next(iter(q.values()), [0.0])))
 
     def transform(marks: list[float]):
         landmarks = np.asarray(marks)
@@ -192,25 +227,30 @@ def quantile(df: DataFrame, cols: Sequence[str], n_quantiles: int = 1000, table:
 
         return place
 
-    out = {c: F.lit(None).cast("double") if q[c][0] is None else transform(q[c])(_x(c)) for c in cols}
-    return Fitted(out, {"quantile": q})
+    return Fitted({c: F.lit(None).cast("double") if q[c][0] is None else transform(q[c])(_x(c)) for c in q})
 
 
 def kbins(df: DataFrame, cols: Sequence[str], n_bins: int = 5, encode: str = "onehot", table: Quantiles | None = None) -> Fitted:
     """Quantile bins, left-closed, the last one closed; bins narrower than 1e-8 merged."""
     q = table or quantile_table(df, cols, _steps(n_bins))
-    out, state = {}, {}
+    kept = {}
     for c in cols:
         edges = [q[c][p] for p in _steps(n_bins) if q[c][p] is not None]
-        kept = edges[:1] + [b for a, b in zip(edges, edges[1:]) if b - a > 1e-8]
-        state[c] = kept
+        kept[c] = edges[:1] + [b for a, b in zip(edges, edges[1:]) if b - a > 1e-8]
+    return build("kbins", edges=kept, encode=encode)
+
+
+@builder("kbins")
+def _kbins(edges: Mapping[str, Sequence[float]], encode: str) -> Fitted:
+    out = {}
+    for c, kept in edges.items():
         index = bucket_index(_x(c), kept[1:-1])
         if encode == "ordinal":
             out[c] = index.cast("double")
         else:
             for k in range(max(len(kept) - 1, 1)):
                 out[f"{c}_{k}"] = F.when(index == k, 1.0).otherwise(0.0)
-    return Fitted(out, {"kbins": state})
+    return Fitted(out)
 
 
 # The exponents tried by the power transform, -2 to 2 in steps of 0.25.
@@ -235,7 +275,7 @@ def power(df: DataFrame, cols: Sequence[str], method: str = "yeo-johnson", grid:
     The likelihood of an exponent needs a variance and one sum, so all exponents of
     all columns are scored in one aggregate with one row per column and exponent.
     """
-    f = {"yeo-johnson": _yeo_johnson, "box-cox": _box_cox}[method]
+    f = _POWERS[method]
     x = F.col("value")
     jacobian = F.signum(x) * F.log1p(F.abs(x)) if method == "yeo-johnson" else F.log(F.when(x > 0, x))
     rows = long_numbers(df, cols).withColumn("lam", F.explode(F.array(*[F.lit(float(g)) for g in grid])))
@@ -246,12 +286,16 @@ def power(df: DataFrame, cols: Sequence[str], method: str = "yeo-johnson", grid:
     ).collect():  # one row per column and exponent
         if r["v"] and math.isfinite(r["v"]):
             found[r["feature"]].append((-r["n"] / 2 * math.log(r["v"]) + (r["lam"] - 1) * r["j"], r["lam"], r["m"], r["v"]))
-    out, chosen = {}, {}
-    for c in cols:
-        _, lam, m, v = max(found[c], default=(0.0, 1.0, 0.0, 1.0))
-        chosen[c] = lam
-        out[c] = (f(_x(c), lam) - m) / math.sqrt(v)
-    return Fitted(out, {"power": chosen})
+    return build("power", method=method, chosen={c: list(max(found[c], default=(0.0, 1.0, 0.0, 1.0))[1:]) for c in cols})
+
+
+_POWERS = {"yeo-johnson": _yeo_johnson, "box-cox": _box_cox}
+
+
+@builder("power")
+def _power(method: str, chosen: Mapping[str, Sequence[float]]) -> Fitted:
+    """Exponent, mean and variance of each column."""
+    return Fitted({c: (_POWERS[method](_x(c), lam) - m) / math.sqrt(v) for c, (lam, m, v) in chosen.items()})
 
 
 def standard_set(df: DataFrame, cols: Sequence[str], n_quantiles: int = 100, kbins_n: int = 10) -> dict[str, Fitted]:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from stayflow.functions.columns import ratio
 from stayflow.operators.stats import pair_correlations, per_column, target_correlation, top_partners
 from stayflow.operators.trees import BINS, bin_counts, feature_cuts
+from stayflow.session import materialize
 
 
 def ranked(df: DataFrame, by: Column, name: str) -> DataFrame:
@@ -17,16 +18,17 @@ def ranked(df: DataFrame, by: Column, name: str) -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(by, F.asc("feature"))))
 
 
-def univariate_auc(train: DataFrame, test: DataFrame, cols: Sequence[str], label: str = "status", bins: int = BINS) -> DataFrame:
+def univariate_auc(train: DataFrame, test: DataFrame, cols: Sequence[str], label: str = "status", bins: int = BINS, cuts: dict[str, list[float]] | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Test AUC of a one-feature tree fitted on train, for all features at once.
 
     A full tree on one feature predicts the mean outcome of each training value, with
     a test value going to the nearest one. Up to ``bins`` values per feature that is
     reproduced exactly; above it the values are quantile bins, which bounds the work
-    and keeps the tree from learning single customers.
+    and keeps the tree from learning single customers. ``cuts`` and the ``counts`` of train
+    can be given where they are known.
     """
-    cuts = feature_cuts(train, cols, bins)
-    fit = bin_counts(train, cuts, label).select("feature", "bin", ratio(F.col("y"), F.col("n")).alias("score"))
+    cuts = cuts or feature_cuts(train, cols, bins)
+    fit = (counts if counts is not None else bin_counts(train, cuts, label)).select("feature", "bin", ratio(F.col("y"), F.col("n")).alias("score"))
     seen = bin_counts(test, cuts, label)
     base = train.agg(F.avg(label).alias("b")).scalar()
     scored = (
@@ -120,10 +122,10 @@ def correlation_ranks(train: DataFrame, test: DataFrame, cols: Sequence[str], la
     return ranked(both, F.abs(F.round("corr_train", 9)).desc_nulls_last(), "ranking_corr")
 
 
-def mutual_information(df: DataFrame, cols: Sequence[str], label: str = "status", bins: int = BINS) -> DataFrame:
-    """Mutual information with the label from joint counts per bin, in nats."""
+def mutual_information(df: DataFrame, cols: Sequence[str], label: str = "status", bins: int = BINS, counts: DataFrame | None = None) -> DataFrame:
+    """Mutual information with the label from joint counts per bin, in nats; ``counts`` can be given."""
     whole = Window.partitionBy("feature")  # at most ``bins`` rows
-    counts = bin_counts(df, feature_cuts(df, cols, bins), label).select(
+    counts = (counts if counts is not None else bin_counts(df, feature_cuts(df, cols, bins), label)).select(
         "feature",
         F.col("n").cast("double").alias("n"),
         F.col("y").cast("double").alias("y"),
@@ -140,11 +142,16 @@ def mutual_information(df: DataFrame, cols: Sequence[str], label: str = "status"
 
 
 def feature_tests(train: DataFrame, test: DataFrame, cols: Sequence[str], coded: Sequence[str], label: str = "status", bins: int = BINS, importance: DataFrame | None = None) -> DataFrame:
-    """All tests side by side, one row per feature, with its five closest partners."""
+    """All tests side by side, one row per feature, with its five closest partners.
+
+    The cuts and the counts per bin of train are found once and serve two of the tests.
+    """
+    cuts = feature_cuts(train, cols, bins)
+    counts = materialize(bin_counts(train, cuts, label), "bins")
     parts = [
-        univariate_auc(train, test, cols, label, bins),
+        univariate_auc(train, test, cols, label, bins, cuts, counts),
         correlation_ranks(train, test, cols, label),
-        mutual_information(train, cols, label, bins),
+        mutual_information(train, cols, label, bins, counts),
         anova_f(train, cols, label),
         chi2_score(train, coded, label),
         top_partners(pair_correlations(train, cols)),

@@ -23,7 +23,7 @@ UNION SELECT 0 AS status, {COLS} FROM v1 WHERE {ELIGIBLE} AND {STAYED}"""
 
 
 def train(spark, sf):
-    return co.train_cohort(fx.cust_month(spark, sf), MONTH, RULES, ATTS)
+    return co.train_cohort(fx.snapshot(spark, sf), MONTH, RULES, ATTS)
 
 
 query("label_cohort", with_views("v1", select=TRAIN_SQL))(train)
@@ -35,30 +35,30 @@ query(
         select=f"""SELECT 1 AS status, {COLS} FROM v1 WHERE {ELIGIBLE} AND chc_id IN (SELECT chc_id FROM v1 WHERE {GONE_TEST})
 UNION SELECT 0 AS status, {COLS} FROM v1 a WHERE {ELIGIBLE} AND NOT EXISTS (SELECT 1 FROM v1 b WHERE b.chc_id = a.chc_id AND {GONE_TEST.replace('(pending', '(b.pending').replace('OR pending', 'OR b.pending').replace('dt IN', 'b.dt IN')})""",
     ),
-)(lambda s, sf: co.holdout_cohort(fx.cust_month(s, sf), MONTH, RULES, ATTS))
+)(lambda s, sf: co.holdout_cohort(fx.snapshot(s, sf), MONTH, RULES, ATTS))
 
 query("infer_cohort", with_views("v1", select=f"SELECT {COLS} FROM v1 WHERE {ELIGIBLE} AND tenure > 12 AND tenure <= 48"))(
     lambda s, sf: co.score_cohort(
-        fx.cust_month(s, sf), MONTH, RULES, ATTS, co.segment_predicate("tenure", above=12, upto=48)
+        fx.snapshot(s, sf), MONTH, RULES, ATTS, co.segment_predicate("tenure", above=12, upto=48)
     )
 )
 
 query("eligible_base", with_views("v1", select=f"SELECT chc_id, dt, drform, product, pending_drform FROM v1 WHERE {ELIGIBLE}"))(
-    lambda s, sf: co.eligible(fx.cust_month(s, sf), MONTH, RULES).select("chc_id", "dt", "drform", "product", "pending_drform")
+    lambda s, sf: co.eligible(fx.snapshot(s, sf), MONTH, RULES).select("chc_id", "dt", "drform", "product", "pending_drform")
 )
 
 query("label_positive", with_views("v1", select=f"SELECT chc_id, tenure FROM v1 WHERE {ELIGIBLE} AND chc_id IN (SELECT chc_id FROM v1 WHERE {GONE})"))(
-    lambda s, sf: co.positives(fx.cust_month(s, sf), MONTH, RULES).select("chc_id", "tenure")
+    lambda s, sf: co.positives(fx.snapshot(s, sf), MONTH, RULES).select("chc_id", "tenure")
 )
 
 query("label_negative", with_views("v1", select=f"SELECT chc_id, tenure FROM v1 WHERE {ELIGIBLE} AND {STAYED}"))(
-    lambda s, sf: co.negatives(fx.cust_month(s, sf), MONTH, RULES).select("chc_id", "tenure")
+    lambda s, sf: co.negatives(fx.snapshot(s, sf), MONTH, RULES).select("chc_id", "tenure")
 )
 
 query(
     "label_negative_test",
     with_views("v1", select=f"SELECT chc_id, tenure FROM v1 WHERE {ELIGIBLE} AND chc_id NOT IN (SELECT chc_id FROM v1 WHERE {GONE_TEST})"),
-)(lambda s, sf: co.negatives_test(fx.cust_month(s, sf), MONTH, RULES).select("chc_id", "tenure"))
+)(lambda s, sf: co.negatives_test(fx.snapshot(s, sf), MONTH, RULES).select("chc_id", "tenure"))
 
 SEGMENT = co.segment_predicate("tenure", above=12, upto=48, lists={"area": ["ASIA", "EUROPE"]}, nullable={"segment": ["", "BUILDING"]})
 
@@ -69,7 +69,7 @@ query(
         select=f"""SELECT chc_id, tenure, area, segment FROM v1 WHERE dt = {MONTH} AND tenure > 12 AND tenure <= 48
   AND area IN ('ASIA','EUROPE') AND coalesce(segment,'') IN ('','BUILDING')""",
     ),
-)(lambda s, sf: fx.cust_month(s, sf).filter(F.col("dt") == MONTH).filter(SEGMENT).select("chc_id", "tenure", "area", "segment"))
+)(lambda s, sf: fx.snapshot(s, sf).filter(F.col("dt") == MONTH).filter(SEGMENT).select("chc_id", "tenure", "area", "segment"))
 
 query("population_filter", with_views("v5", select="SELECT chc_id, segment, nation FROM v5 WHERE upper(segment)='BUILDING' AND upper(nation)='NATION_3'"))(
     lambda s, sf: co.population(fx.wide(s, sf), {"segment": "building", "nation": "nation_3"}).select("chc_id", "segment", "nation")
@@ -92,7 +92,7 @@ query(
         select="SELECT segment_name, chc_id, tenure, area, segment FROM k WHERE rn = 1",
     ),
 )(
-    lambda s, sf: co.stack_segments(co.eligible(fx.cust_month(s, sf), MONTH, RULES), SEGMENTS).select(
+    lambda s, sf: co.stack_segments(co.eligible(fx.snapshot(s, sf), MONTH, RULES), SEGMENTS).select(
         "segment_name", "chc_id", "tenure", "area", "segment"
     )
 )
@@ -105,7 +105,7 @@ query(
     "outcome_flag",
     with_views("v1", select="SELECT chc_id, dt, CASE WHEN vol_pend_disco='Y' OR pending_mover='FALSE' THEN 1 ELSE 0 END AS outcome FROM v1"),
 )(
-    lambda s, sf: fx.cust_month(s, sf).select(
+    lambda s, sf: fx.snapshot(s, sf).select(
         "chc_id", "dt", co.outcome_flag((F.col("vol_pend_disco") == "Y").cast("int"), (F.col("pending_mover") == "FALSE").cast("int")).alias("outcome")
     )
 )
@@ -162,3 +162,15 @@ query(
 )(
     lambda s, sf: sa.stratified_folds(fx.wide(s, sf).select("chc_id", "status"), 5).groupBy("status", "fold").agg(F.count(F.lit(1)).alias("n"))
 )
+query(
+    "shuffle_splits",
+    with_views(
+        "v5", "c AS (SELECT status, count(*) AS n, CAST(floor(count(*)*0.8) AS BIGINT) AS k FROM v5 GROUP BY status)",
+        select="SELECT status, CAST(i AS INT) AS split, k AS n_train, n - k AS n_test FROM c, (SELECT unnest([0,1,2]) AS i)",
+    ),
+)(lambda s, sf: _split_sizes(sa.shuffle_splits(fx.wide(s, sf).select("chc_id", "status"), 3, 0.8)))
+
+
+def _split_sizes(splits):
+    sizes = [F.struct(F.lit(i).alias("split"), F.sum(f"train_{i}").alias("n_train"), F.sum(1 - F.col(f"train_{i}")).alias("n_test")) for i in range(3)]
+    return splits.groupBy("status").agg(F.array(*sizes).alias("rows")).select("status", F.inline("rows"))

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from stayflow import fixtures as fx
 from stayflow.functions import columns as fc, keys, months
 from stayflow.operators import categorical as ca, cohort as co, columns as pc, prep, rules
-from stayflow.operators.stage import load_state, save_state
 from stayflow.queries.registry import query
 from stayflow.queries.views import cut_sql, with_views
 from stayflow.session import new_folder
@@ -400,19 +399,30 @@ query(
 
 
 def _artifact(s, sf):
+    """Fitted stages of two kinds, stored, loaded and applied without the table they were fitted on."""
     from stayflow.operators import numeric as nu
+    from stayflow.operators.stage import load_fitted, union
 
-    df = fx.wide(s, sf).select("chc_id", "price", "mon")
-    path = new_folder(s, "state")
-    save_state(s, nu.minmax(df, ["price", "mon"]).state["minmax"], path)
-    kept = load_state(s, path)
-    return df.select("chc_id", *[F.round((F.col(c) - kept[c]["lo"]) / (kept[c]["hi"] - kept[c]["lo"]), 6).alias(c) for c in ("price", "mon")])
+    df = fx.wide(s, sf).select("chc_id", "price", "mon", "priority")
+    path = new_folder(s, "fits")
+    cols = ["price", "mon"]
+    made = {"MinMax": nu.minmax(df, cols), "Standard": nu.standard(df, cols), "MaxAbs": nu.maxabs(df, cols), "Log1p": nu.log1p(cols)}
+    union(*[f.renamed(n) for n, f in made.items()]).save(s, f"{path}/numbers")
+    ca.fit_encoder(df, ["priority"], "pct", prefix="pct").save(f"{path}/levels")
+    numbers, levels = load_fitted(s, f"{path}/numbers"), ca.LevelCodes.load(s, f"{path}/levels")
+    out = levels.apply(numbers.apply(df, ["chc_id", "priority"]))
+    return out.select("chc_id", *[F.round(c, 6).alias(c) for c in out.columns if c not in ("chc_id", "priority")])
 
 
 query(
     "artifact_roundtrip",
     with_views(
-        "v5", "m AS (SELECT min(price) AS a, max(price) AS b, CAST(min(mon) AS DOUBLE) AS c, CAST(max(mon) AS DOUBLE) AS d FROM v5)",
-        select="SELECT chc_id, round((price-a)/(b-a),6) AS price, round((mon-c)/(d-c),6) AS mon FROM v5, m",
+        "v5",
+        """m AS (SELECT min(price) AS a, max(price) AS b, CAST(min(mon) AS DOUBLE) AS c, CAST(max(mon) AS DOUBLE) AS d, avg(price) AS pm, stddev_pop(price) AS ps,
+  avg(mon) AS mm, stddev_pop(mon) AS ms, max(abs(price)) AS px, max(abs(mon)) AS mx, count(*) AS n FROM v5)""",
+        "l AS (SELECT priority, count(*) AS k FROM v5 GROUP BY priority)",
+        select="""SELECT chc_id, round((price-a)/(b-a),6) AS MinMax_price, round((mon-c)/(d-c),6) AS MinMax_mon, round((price-pm)/ps,6) AS Standard_price, round((mon-mm)/ms,6) AS Standard_mon,
+  round(price/px,6) AS MaxAbs_price, round(CAST(mon AS DOUBLE)/mx,6) AS MaxAbs_mon, round(ln(1+price),6) AS Log1p_price, round(ln(1+CAST(mon AS DOUBLE)),6) AS Log1p_mon,
+  round(CAST(k AS DOUBLE)/n,6) AS pct_priority FROM v5 JOIN l USING (priority), m""",
     ),
 )(_artifact)

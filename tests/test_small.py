@@ -394,3 +394,48 @@ def test_draws_end_with_repeated_values():
         getParam = staticmethod(str)
 
     assert len(models.random_draws(Model, {"a": [1, 1, 2], "b": [3, 3]}, 50, 0)) == 2
+
+
+def test_fits_survive_storage(spark, tmp_path):
+    """Every numeric kind and every level encoder is applied from its file, without its training table."""
+    from stayflow.operators.stage import load_fitted, union
+
+    df = spark.createDataFrame([(i, float(i % 13), float(i) ** 2, "ab"[i % 2]) for i in range(60)] + [(60, None, float("nan"), None)], "chc_id long, x double, y double, f string")
+    cols = ["x", "y"]
+    kinds = {
+        "Original": nu.passthrough(cols), "Standard": nu.standard(df, cols), "Robust": nu.robust(df, cols), "Quantile": nu.quantile(df, cols, 11), "Binary": nu.binarize(cols, 5.0),
+        "MinMax": nu.minmax(df, cols, (1.0, 3.0)), "MaxAbs": nu.maxabs(df, cols), "Norm": nu.normalize(cols, "l1"), "KBin": nu.kbins(df, cols, 4, "ordinal"),
+        "Power": nu.power(df, cols), "Log1p": nu.log1p(cols), "Sqrt": nu.sqrt(cols), "Reciprocal": nu.reciprocal(cols),
+    }
+    made = union(*[f.renamed(prefix=n) for n, f in kinds.items()])
+    chosen = made.only([n for n in made.outputs if n != "Sqrt_y"])
+    chosen.save(spark, str(tmp_path / "numbers"))
+    again = load_fitted(spark, str(tmp_path / "numbers"))
+    assert list(again.outputs) == list(chosen.outputs)
+    assert sorted(map(repr, again.apply(df, ["chc_id"]).collect())) == sorted(map(repr, chosen.apply(df, ["chc_id"]).collect()))
+    for i, fit in enumerate((ca.fit_encoder(df, ["f"], "count", prefix="n"), ca.fit_rare(df, ["f"], 0.6, method="common"), ca.fit_clamp(df.filter("f = 'a'"), ["f"]))):
+        fit.save(str(tmp_path / f"levels{i}"))
+        stored = ca.LevelCodes.load(spark, str(tmp_path / f"levels{i}"))
+        assert sorted(map(repr, stored.apply(df).collect())) == sorted(map(repr, fit.apply(df).collect()))
+    with pytest.raises(ValueError):
+        nu.universal(cols, F.abs).save(spark, str(tmp_path / "none"))
+
+
+def test_a_cohort_reads_its_months_only(spark, capsys):
+    from stayflow import fixtures as fx
+    from stayflow.queries.cohorts import MONTH, RULES
+
+    df = fx.snapshot(spark, "/root/testdata/sf0.001")
+    co.eligible(df, MONTH, RULES).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(dt" in plan and f"= {MONTH})" in plan
+
+
+def test_lift_counts_the_scores_once(spark):
+    """Weighted edges equal plain quantiles; nulls are left out."""
+    p = [0.1, 0.1, 0.1, 0.2, 0.5, 0.9, 0.9, 1.0, None]
+    df = spark.createDataFrame([(v, i % 2) for i, v in enumerate(p)], f"{ev.PROB} double, {ev.LABEL} int")
+    probs = [k / 10 for k in range(11)]
+    edges = ev.score_edges(ev.score_table(df), probs)
+    assert edges == pytest.approx(np.quantile(np.array(p[:-1], float), probs).tolist())
+    assert ev.score_edges(ev.score_table(df.filter("1 = 0")), probs) is None
