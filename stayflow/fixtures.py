@@ -31,8 +31,8 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = cust_month(spark, sf_dir)
     if place not in _STORED:
         path = new_folder(spark, "snapshot")
-        # a month of any size is spread over several files
-        months.repartition("dt", F.pmod(F.xxhash64("chc_id"), F.lit(8))).write.partitionBy("dt").parquet(path)
+        # few files for each month; adaptive execution splits a month that is large
+        months.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
         _STORED[place] = path
     return spark.read.schema(months.schema).parquet(_STORED[place])
 
