@@ -70,6 +70,35 @@ def running_totals(
     return local.join(offsets, ["_slice", *by]).select(*df.columns, *before, *[f"{c}_total" for c in sums if totals])
 
 
+def nearest_known(df: DataFrame, by: Sequence[str], value: str, known: Column, out: str) -> DataFrame:
+    """Adds ``out``: ``known`` of the row whose ``value`` is nearest among the rows of the
+    same ``by`` group where ``known`` is not null; half way between two, the smaller one's.
+
+    Rows are range partitioned on group and value. Inside a slice the neighbours come from
+    a window; those beyond its ends from one row per slice and group, so a group of any
+    size is spread. Null values have no place and must be left out before.
+    """
+    named = df.withColumn("_k", F.when(known.isNotNull(), F.struct(F.col(value).alias("at"), known.alias("known"))))
+    kept = materialize(named.repartitionByRange(*by, value).withColumn("_slice", F.spark_partition_id()), "nearest")
+    ends = kept.groupBy("_slice", *by).agg(F.min("_k").alias("_first"), F.max("_k").alias("_last"))
+    # frames that grow from one end, in both orders: a frame that shrinks is read again for each row
+    before = lambda w, last: w.rowsBetween(Window.unboundedPreceding, last)
+    slices, inside = Window.partitionBy(*by), Window.partitionBy("_slice", *by)
+    ends = ends.select(  # one row per slice and group
+        "_slice", *by,
+        F.last("_last", ignorenulls=True).over(before(slices.orderBy("_slice"), -1)).alias("_earlier"),
+        F.last("_first", ignorenulls=True).over(before(slices.orderBy(F.desc("_slice")), -1)).alias("_later"),
+    )
+    placed = kept.select(
+        "*",
+        F.last("_k", ignorenulls=True).over(before(inside.orderBy(value), 0)).alias("_down"),
+        F.last("_k", ignorenulls=True).over(before(inside.orderBy(F.desc(value)), 0)).alias("_up"),
+    ).join(ends, ["_slice", *by])
+    placed = placed.withColumns({"_down": F.coalesce("_down", "_earlier"), "_up": F.coalesce("_up", "_later")})
+    left = F.col("_up").isNull() | (F.col(value) <= (F.col("_down.at") + F.col("_up.at")) / 2)
+    return placed.select(*df.columns, F.when(F.col("_down").isNotNull() & left, F.col("_down.known")).otherwise(F.col("_up.known")).alias(out))
+
+
 def rank_slice(rank: Column, n: Column, k: int) -> Column:
     """1-based bucket ``floor((rank-1) / (n/k)) + 1``, in integers."""
     return (int_div((rank - 1) * k, n) + 1).cast("int")

@@ -8,9 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from stayflow.functions.columns import ratio
-from stayflow.operators.stats import pair_correlations, per_column, target_correlation, top_partners
+from stayflow.operators.ordered import nearest_known, running_totals
+from stayflow.operators.stats import long_numbers, pair_correlations, per_column, target_correlation, top_partners
 from stayflow.operators.trees import BINS, bin_counts, feature_cuts
-from stayflow.session import materialize
 
 
 def ranked(df: DataFrame, by: Column, name: str) -> DataFrame:
@@ -18,32 +18,33 @@ def ranked(df: DataFrame, by: Column, name: str) -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(by, F.asc("feature"))))
 
 
-def univariate_auc(train: DataFrame, test: DataFrame, cols: Sequence[str], label: str = "status", bins: int = BINS, cuts: dict[str, list[float]] | None = None, counts: DataFrame | None = None) -> DataFrame:
+def univariate_auc(train: DataFrame, test: DataFrame, cols: Sequence[str], label: str = "status") -> DataFrame:
     """Test AUC of a one-feature tree fitted on train, for all features at once.
 
-    A full tree on one feature predicts the mean outcome of each training value, with
-    a test value going to the nearest one. Up to ``bins`` values per feature that is
-    reproduced exactly; above it the values are quantile bins, which bounds the work
-    and keeps the tree from learning single customers. ``cuts`` and the ``counts`` of train
-    can be given where they are known.
+    A full tree on one feature predicts the mean outcome of each training value, and a
+    test value goes to the nearest one; that is what is computed, at any number of values.
+    Rows are reduced to counts per value on the map side, then spread by feature and value.
+    Rows without a value or a label are left out.
     """
-    cuts = cuts or feature_cuts(train, cols, bins)
-    fit = (counts if counts is not None else bin_counts(train, cuts, label)).select("feature", "bin", ratio(F.col("y"), F.col("n")).alias("score"))
-    seen = bin_counts(test, cuts, label)
+    scored = nearest_known(_value_counts(train, test, cols, label), ["feature"], "value", ratio(F.col("fit_y"), F.col("fit_n")), "score").filter("n > 0")
     base = train.agg(F.avg(label).alias("b")).scalar()
-    scored = (
-        seen.join(fit, ["feature", "bin"], "left")
-        .groupBy("feature", F.coalesce("score", base).alias("score"))
-        .agg(F.sum("y").alias("pos"), (F.sum("n") - F.sum("y")).alias("neg"))
-    )
-    below = Window.partitionBy("feature").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)  # <= bins rows
-    wins = F.col("pos") * (F.coalesce(F.sum("neg").over(below), F.lit(0)) + F.col("neg") / 2)
-    auc = scored.withColumn("w", wins).groupBy("feature").agg(
+    steps = scored.groupBy("feature", F.coalesce("score", base).alias("score")).agg(F.sum("y").alias("pos"), (F.sum("n") - F.sum("y")).alias("neg"))
+    wins = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2)
+    auc = running_totals(steps, [F.col("score")], ["neg"], ["feature"]).withColumn("w", wins).groupBy("feature").agg(
         F.coalesce(ratio(F.sum("w"), F.sum("pos").cast("double") * F.sum("neg")), F.lit(0.5)).alias("roc_auc")
     )
     return ranked(auc, F.desc("roc_auc"), "ranking_tree")
 
 
+def _value_counts(train: DataFrame, test: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+    """(feature, value, fit_n, fit_y, n, y): rows and positives of train and of test for each value."""
+    none, one = F.lit(None).cast("bigint"), F.lit(1).cast("bigint")
+    fit = long_numbers(train, cols, [F.col(label).cast("bigint").alias("_y")]).select("feature", "value", one.alias("fit_n"), F.col("_y").alias("fit_y"), none.alias("n"), none.alias("y"))
+    seen = long_numbers(test, cols, [F.col(label).cast("bigint").alias("_y")]).select("feature", "value", none.alias("fit_n"), none.alias("fit_y"), one.alias("n"), F.col("_y").alias("y"))
+    rows = fit.unionByName(seen).filter("value IS NOT NULL AND coalesce(fit_y, y) IS NOT NULL")
+    return rows.groupBy("feature", "value").agg(*(F.sum(c).alias(c) for c in ("fit_n", "fit_y", "n", "y")))
+
+
 def anova_f(df: DataFrame, cols: Sequence[str], label: str = "status", p_values: bool = False) -> DataFrame:
     """One-way F of every feature over the two classes, from class sizes, means and variances."""
     y = F.col(label)
@@ -122,10 +123,10 @@ def correlation_ranks(train: DataFrame, test: DataFrame, cols: Sequence[str], la
     return ranked(both, F.abs(F.round("corr_train", 9)).desc_nulls_last(), "ranking_corr")
 
 
-def mutual_information(df: DataFrame, cols: Sequence[str], label: str = "status", bins: int = BINS, counts: DataFrame | None = None) -> DataFrame:
-    """Mutual information with the label from joint counts per bin, in nats; ``counts`` can be given."""
+def mutual_information(df: DataFrame, cols: Sequence[str], label: str = "status", bins: int = BINS) -> DataFrame:
+    """Mutual information with the label from joint counts per quantile bin, in nats."""
     whole = Window.partitionBy("feature")  # at most ``bins`` rows
-    counts = (counts if counts is not None else bin_counts(df, feature_cuts(df, cols, bins), label)).select(
+    counts = bin_counts(df, feature_cuts(df, cols, bins), label).select(
         "feature",
         F.col("n").cast("double").alias("n"),
         F.col("y").cast("double").alias("y"),
@@ -142,16 +143,11 @@ def mutual_information(df: DataFrame, cols: Sequence[str], label: str = "status"
 
 
 def feature_tests(train: DataFrame, test: DataFrame, cols: Sequence[str], coded: Sequence[str], label: str = "status", bins: int = BINS, importance: DataFrame | None = None) -> DataFrame:
-    """All tests side by side, one row per feature, with its five closest partners.
-
-    The cuts and the counts per bin of train are found once and serve two of the tests.
-    """
-    cuts = feature_cuts(train, cols, bins)
-    counts = materialize(bin_counts(train, cuts, label), "bins")
+    """All tests side by side, one row per feature, with its five closest partners."""
     parts = [
-        univariate_auc(train, test, cols, label, bins, cuts, counts),
+        univariate_auc(train, test, cols, label),
         correlation_ranks(train, test, cols, label),
-        mutual_information(train, cols, label, bins, counts),
+        mutual_information(train, cols, label, bins),
         anova_f(train, cols, label),
         chi2_score(train, coded, label),
         top_partners(pair_correlations(train, cols)),

@@ -16,27 +16,19 @@ from pyspark.sql import DataFrame, functions as F
 from stayflow.operators.numeric import right_closed_index
 from stayflow.operators.quantiles import exact_quantiles
 from stayflow.operators.stage import Fitted
-from stayflow.operators.stats import few_valued, long_levels, target_correlation
+from stayflow.operators.stats import target_correlation
 
 BINS = 256
 
 
 def feature_cuts(df: DataFrame, cols: Sequence[str], bins: int = BINS) -> dict[str, list[float]]:
-    """Cut points per feature: midpoints between its values if there are at most
-    ``bins`` of them, inner quantiles otherwise. A value on a cut belongs to the left."""
-    few = few_valued(df, list(cols), bins)
-    cuts: dict[str, list[float]] = {}
-    if few:
-        values: dict[str, list[float]] = {c: [] for c in few}
-        for r in long_levels(df, sorted(few)).filter("level IS NOT NULL").distinct().collect():  # <= bins per column
-            values[r["feature"]].append(float(r["level"]))
-        for c, v in values.items():
-            v = sorted(set(v))
-            cuts[c] = [(a + b) / 2 for a, b in zip(v, v[1:])]
-    many = [c for c in cols if c not in few]
-    for c, q in exact_quantiles(df, many, [k / bins for k in range(1, bins)]).items():
-        cuts[c] = sorted({e for e in q if e is not None})
-    return cuts
+    """Cut points per feature: its distinct inner quantiles, by one rule at every size.
+
+    A value on a cut belongs to the left, so every value held by more than one row in
+    ``bins`` ends a bin of its own.
+    """
+    found = exact_quantiles(df, list(cols), [k / bins for k in range(1, bins)])
+    return {c: sorted({e for e in found[c] if e is not None}) for c in cols}
 
 
 def bin_counts(df: DataFrame, cuts: dict[str, list[float]], label: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -11,18 +11,16 @@ from stayflow.queries.views import long_numbers, with_views
 from stayflow.session import materialize
 
 COLS = ["price", "mon", "acctbal_gap"]
-BINS = 16
+BINS = 256
 
 
-def _cuts_sql(src="tr", cols=COLS):
-    """Cut points per feature: midpoints of few values, inner quantiles of many."""
+def _cuts_sql(src="tr", cols=COLS, bins=BINS):
+    """Cut points per feature: its distinct inner quantiles."""
     parts = []
     for c in cols:
-        inner = ",".join(repr(k / BINS) for k in range(1, BINS))
+        inner = ",".join(repr(k / bins) for k in range(1, bins))
         parts.append(
-            f"""c_{c} AS (SELECT CASE WHEN (SELECT count(DISTINCT {c}) FROM {src}) <= {BINS}
-  THEN (SELECT list((v+nx)/2 ORDER BY v) FROM (SELECT v, lead(v) OVER (ORDER BY v) AS nx FROM (SELECT DISTINCT CAST({c} AS DOUBLE) AS v FROM {src} WHERE {c} IS NOT NULL)) WHERE nx IS NOT NULL)
-  ELSE (SELECT list_distinct(quantile_cont(CAST({c} AS DOUBLE), [{inner}])) FROM {src}) END AS cuts)"""
+            f"c_{c} AS (SELECT list_distinct(quantile_cont(CAST({c} AS DOUBLE), [{inner}])) AS cuts FROM {src})"
         )
     return parts
 
@@ -35,13 +33,17 @@ def _bins_sql(src: str, out: str, cols=COLS):
 
 
 _AUC_CTES = [
-    TRAIN_TEST, *_cuts_sql(), _bins_sql("tr", "fa"), _bins_sql("te", "fb"),
-    "sc AS (SELECT fb.feature, coalesce(fa.y/fa.n, (SELECT avg(status) FROM tr)) AS s, sum(fb.y) AS pos, sum(fb.n-fb.y) AS neg FROM fb LEFT JOIN fa USING (feature, bin) GROUP BY 1,2)",
+    TRAIN_TEST,
+    f"fa AS (SELECT feature, value, sum(status)/count(*) AS rate FROM ({long_numbers('tr', COLS, 'status')}) WHERE value IS NOT NULL GROUP BY 1,2)",
+    f"fb AS (SELECT feature, value, sum(status) AS pos, count(*)-sum(status) AS neg FROM ({long_numbers('te', COLS, 'status')}) WHERE value IS NOT NULL GROUP BY 1,2)",
+    # the nearest training value; half way between two, the smaller one
+    """sc AS (SELECT fb.feature, CASE WHEN lo.value IS NOT NULL AND (hi.value IS NULL OR fb.value <= (lo.value+hi.value)/2) THEN lo.rate ELSE coalesce(hi.rate, (SELECT avg(status) FROM tr)) END AS s,
+  sum(pos) AS pos, sum(neg) AS neg FROM fb ASOF LEFT JOIN fa lo ON lo.feature=fb.feature AND fb.value >= lo.value ASOF LEFT JOIN fa hi ON hi.feature=fb.feature AND fb.value <= hi.value GROUP BY 1,2)""",
     "w AS (SELECT feature, pos*(coalesce(sum(neg) OVER (PARTITION BY feature ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0)+neg/2.0) AS w, pos, neg FROM sc)",
     "auc AS (SELECT feature, sum(w)/(CAST(sum(pos) AS DOUBLE)*sum(neg)) AS roc_auc FROM w GROUP BY feature)",
 ]
 query("univariate_auc", with_views("v5", *_AUC_CTES, select="SELECT feature, round(roc_auc,6) AS roc_auc, row_number() OVER (ORDER BY roc_auc DESC, feature) AS ranking_tree FROM auc"))(
-    lambda s, sf: r(sc.univariate_auc(*split(s, sf), COLS, bins=BINS))
+    lambda s, sf: r(sc.univariate_auc(*split(s, sf), COLS))
 )
 
 
@@ -61,7 +63,7 @@ def _chi2_sql(src="v5", cols=("mon", "yr")):
 
 def _mi_ctes(src="v5", out="mi"):
     return [
-        *([] if src == "tr" else _cuts_sql(src)), _bins_sql(src, f"{out}_b"),
+        *_cuts_sql(src), _bins_sql(src, f"{out}_b"),
         f"{out}_t AS (SELECT *, sum(n) OVER (PARTITION BY feature) AS tn, sum(y) OVER (PARTITION BY feature) AS ty FROM {out}_b)",
         f"{out} AS (SELECT feature, sum(CASE WHEN y>0 THEN y/tn*ln(CAST(y AS DOUBLE)*tn/(CAST(n AS DOUBLE)*ty)) ELSE 0 END + CASE WHEN n>y THEN (n-y)/tn*ln(CAST(n-y AS DOUBLE)*tn/(CAST(n AS DOUBLE)*(tn-ty))) ELSE 0 END) AS mi FROM {out}_t GROUP BY feature)",
     ]
