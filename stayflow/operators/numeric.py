@@ -272,20 +272,20 @@ def _box_cox(x: Column, lam: Column | float) -> Column:
 def power(df: DataFrame, cols: Sequence[str], method: str = "yeo-johnson", grid: Sequence[float] = POWER_GRID) -> Fitted:
     """The exponent with the highest likelihood on a fixed grid, then standardised.
 
-    The likelihood of an exponent needs a variance and one sum, so all exponents of
-    all columns are scored in one aggregate with one row per column and exponent.
+    The likelihood of an exponent needs a variance and one sum, so one aggregate with a
+    row per column scores all exponents; a value is not copied for each of them.
     """
     f = _POWERS[method]
     x = F.col("value")
     jacobian = F.signum(x) * F.log1p(F.abs(x)) if method == "yeo-johnson" else F.log(F.when(x > 0, x))
-    rows = long_numbers(df, cols).withColumn("lam", F.explode(F.array(*[F.lit(float(g)) for g in grid])))
-    t = f(x, F.col("lam"))
+    tried = [(float(g), f(x, float(g))) for g in grid]
+    sums = [F.struct(F.count(t).alias("n"), F.avg(t).alias("m"), F.var_pop(t).alias("v")).alias(f"_{i}") for i, (_, t) in enumerate(tried)]
     found: dict[str, list] = {c: [] for c in cols}
-    for r in rows.groupBy("feature", "lam").agg(
-        F.count(t).alias("n"), F.avg(t).alias("m"), F.var_pop(t).alias("v"), F.sum(jacobian).alias("j")
-    ).collect():  # one row per column and exponent
-        if r["v"] and math.isfinite(r["v"]):
-            found[r["feature"]].append((-r["n"] / 2 * math.log(r["v"]) + (r["lam"] - 1) * r["j"], r["lam"], r["m"], r["v"]))
+    for r in long_numbers(df, cols).groupBy("feature").agg(F.sum(jacobian).alias("j"), *sums).collect():  # one row per column
+        for i, (g, _) in enumerate(tried):
+            n, m, v = r[f"_{i}"]
+            if v and math.isfinite(v):
+                found[r["feature"]].append((-n / 2 * math.log(v) + (g - 1) * r["j"], g, m, v))
     return build("power", method=method, chosen={c: list(max(found[c], default=(0.0, 1.0, 0.0, 1.0))[1:]) for c in cols})
 
 

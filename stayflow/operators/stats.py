@@ -307,16 +307,17 @@ def top_partners(pairs: DataFrame, k: int = 5) -> DataFrame:
 def outcome_rates(train: DataFrame, test: DataFrame, features: Sequence[str], ways: int, label: str = "status") -> DataFrame:
     """Segment size and outcome rate for every combination of ``ways`` features.
 
-    All combinations come from one grouping-sets aggregate per split: rows are reduced
-    on the map side and the two small results are joined.
+    Rows are first reduced to the cells of all features together; the grouping sets then
+    copy cells and not rows, and the two small results are joined.
     """
     combos = list(combinations(features, ways))
 
     def rates(df: DataFrame, name: str) -> DataFrame:
         sets = [[F.col(c) for c in combo] for combo in combos]
         keep = df.select(*[F.col(f).cast("string").alias(f) for f in features], F.col(label).alias("_y"))
-        agg = keep.groupingSets(sets, *[F.col(f) for f in features]).agg(
-            F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias(f"n_{name}"), F.sum("_y").alias(f"y_{name}")
+        whole = keep.groupBy(*features).agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_y"))
+        agg = whole.groupingSets(sets, *[F.col(f) for f in features]).agg(
+            F.grouping_id().alias("_gid"), F.sum("_n").alias(f"n_{name}"), F.sum("_y").alias(f"y_{name}")
         )
         cells = []
         for j in range(ways):

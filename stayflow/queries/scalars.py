@@ -211,6 +211,103 @@ def _compound(df):
     return df.select("chc_id", *[x.alias(f"repeat_{i + 1}") for i, x in enumerate(repeats)], *[x.alias(f"visit_{i + 1}") for i, x in enumerate(visits)])
 
 
+# --- the whole rule block, on a fixed-line table derived from the history view ---
+
+
+def _swap(c: str, *pairs: tuple[str, str]) -> str:
+    for old, new in pairs:
+        c = f"replace({c},'{old}','{new}')"
+    return c
+
+
+_DISTRESS = {"OFFLINE": "FAILSTAT_OFFLINEEVT", "DHCP": "FAILSTAT_DHCP_MACADDR", "WIFIReboot": "FAILSTAT_WIFI_REBOOT_COUNT", "WIFIQoE": "FAILSTAT_WIFI_QOE_HOME_30"}
+_OFFERS = ("ool_offer_group_v2_desc", "ov_offer_group_v2_desc", "video_offer_group_desc")
+_SVOD = {"max_svod": ("max_svod", "1-URGENT"), "hbo_svod": ("hbo_svod_new", "2-HIGH"), "stz_enc_svod": ("stz_enc_svod", "5-LOW")}
+_KEPT = {  # inputs that the block hands on
+    "chc_id": "chc_id", "cust_equip_class": "tier_m1", "product_class_desc": "CASE WHEN chc_id%3=0 THEN 'Triple' ELSE 'Single' END",
+    "ecohort_income_range_desc": "CASE WHEN chc_id%7<>0 THEN tier_m2 END", "rate_event_count_60day": "chc_id%2",
+    **{f"agent_repeat_{k}_prevDept": f"tier_m{k + 1}" for k in (1, 2, 3)}, **{c: f"chc_id%{k}" for k, c in enumerate(_DISTRESS.values(), start=2)},
+}
+# one text for both sides
+_FIXED_LINE = _KEPT | {
+    "ebill_status_desc": _swap("tier_m0", ("1-URGENT", "eBill only"), ("2-HIGH", "EBILL AND PRINT STATEMENT")),
+    "agent_last_dept": _swap("tier_m0", ("1-URGENT", "Retention team"), ("2-HIGH", "Sales desk")),
+    "ivr_last_dept": _swap("tier_m1", ("5-LOW", "Unknown"), ("3-MEDIUM", "the retention line")),
+    "ivr_last_interactionReason": _swap("tier_m2", ("1-URGENT", "Billing"), ("2-HIGH", "Weather")),
+    "ivr_last_ivrInteractionEndResult": "tier_m3",
+    **{f"ivr_repeat_{k}_prevInteractionReason": _swap(f"tier_m{k + 1}", ("3-MEDIUM", "VIDEO")) for k in (1, 2, 3)},
+    **{f"ivr_repeat_{k}_prevDept": _swap(f"tier_m{k}", ("5-LOW", "UNKNOWN"), ("2-HIGH", "Customer Service Rep")) for k in (1, 2, 3)},
+    **{f"speed_m{k}": _swap(f"tier_m{k}", ("1-URGENT", "BROADBAND INTERNET 200/10"), ("2-HIGH", "1GBPS/35"), ("5-LOW", "75-UP")) for k in range(5)},
+    **{f"{p}_m{k}": f"CASE WHEN tier_m{k}='{level}' THEN 'y' ELSE 'N' END" for p, level in _SVOD.values() for k in (1, 2, 3)},
+    **{f"baserev_m{k}": f"CASE WHEN (n_orders+{k})%4=0 THEN 'None' ELSE CAST(n_orders*10+chc_id%{k + 2} AS STRING) END" for k in range(7)},
+    **{f"curr_video_tier_desc_m{k}": _swap(f"tier_m{k}", ("1-URGENT", "Premier pack"), ("2-HIGH", "the Basic TV"), ("5-LOW", "Family mix")) for k in range(5)},
+    **{f"curr_ov_tier_desc_m{k}": f"tier_m{k}" for k in range(5)},
+    **{f"{p}_m{k}": _swap(f"tier_m{k}", (level, "No Offer")) for p, level in zip(_OFFERS, ("3-MEDIUM", "5-LOW", "2-HIGH")) for k in range(5)},
+    **{f"service_visit_{k}_tc_{w}_code_desc": f"tier_m{k + step}" for k in (1, 2, 3) for w, step in (("problem", 1), ("fix", 0))},
+    "cust_tenure_days": "CASE WHEN chc_id%9<>0 THEN CAST(n_orders*chc_id%2500 AS STRING) END",
+    "promo_rolloff_count_60day": "n_orders%3", "metro_area_desc": "'here'",
+}
+
+
+def _moved(now: str, history: list[str], words=("same", "up", "down")) -> str:
+    best = f"greatest({', '.join(history)})"
+    return f"CASE WHEN {now} = {best} THEN '{words[0]}' WHEN {now} > {best} THEN '{words[1]}' ELSE '{words[2]}' END"
+
+
+def _listed(c: str, levels) -> str:
+    return f"CASE WHEN upper({c}) IN ({', '.join(repr(x) for x in levels)}) THEN {c} ELSE 'ALL_OTHER' END"
+
+
+def _rule_block_sql() -> str:
+    ranks = ("same", "higher", "lower")
+    speed = [_swap(f"speed_m{k}", ("BROADBAND INTERNET ", ""), ("None", "0"), ("GBPS", "000")) for k in range(5)]
+    some, none = "upper({}) <> 'NONE'".format, "upper({}) = 'NONE'".format
+    flag = "CASE WHEN {} THEN 1 ELSE 0 END".format
+    repeat = [f"agent_repeat_{k}_prevDept" for k in (1, 2, 3)]
+    dept = "CASE WHEN lower({0}) LIKE '%retention%' THEN 'Retention' WHEN lower({0}) LIKE '%sales%' THEN 'Sales' ELSE {0} END".format
+    tier = "CASE " + " ".join(f"WHEN lower({{0}}) LIKE '%{w}%' THEN '{w.upper()}'" for w in ("basic", "economy", "core", "value", "select", "premier")) + " WHEN upper({0}) = 'NONE' THEN {0} ELSE 'ALL_OTHER' END"
+    code = "CASE {0} WHEN 'None' THEN 0 WHEN 'BASIC' THEN 1 WHEN 'ECONOMY' THEN 2 WHEN 'CORE' THEN 3 WHEN 'VALUE' THEN 4 WHEN 'SELECT' THEN 5 WHEN 'PREMIER' THEN 6 ELSE -1 END"
+    a = [
+        "*", f"{dept('agent_last_dept')} AS agent", *(f"CAST(split_part(split_part({s},'/',1),'-',1) AS DOUBLE) AS sp{k}" for k, s in enumerate(speed)),
+        *(f"CASE WHEN baserev_m{k}='None' THEN 0 ELSE CAST(baserev_m{k} AS DOUBLE) END AS rv{k}" for k in range(7)),
+        *(f"{tier.format(f'curr_video_tier_desc_m{k}')} AS vt{k}" for k in range(5)), "CAST(cust_tenure_days AS DOUBLE) AS days",
+        *(f"{flag(some(f'service_visit_{k}_tc_problem_code_desc'))} AS sv{k}" for k in (1, 2, 3)),
+        *(f"{flag(f'{p}_m{k}=' + repr('y'))} AS {s}_{k}" for s, (p, _) in _SVOD.items() for k in (1, 2, 3)),
+    ]
+    b = [
+        "*", *(f"{code.format(f'vt{k}')} AS vc{k}" for k in range(5)), f"CASE WHEN CAST(CAST(sp0 AS BIGINT) AS VARCHAR) IN ({', '.join(repr(x) for x in ('0', '25', '30', '50', '100', '200', '300', '400', '500', '1000'))}) THEN CAST(CAST(sp0 AS BIGINT) AS VARCHAR) ELSE 'ALL_OTHER' END AS speed",
+        "CASE WHEN days <= 182 THEN '0_6mon' WHEN days <= 365 THEN '6_12mon' WHEN days <= 730 THEN '12_24mon' WHEN days <= 1825 THEN '24_60mon' WHEN days IS NOT NULL THEN 'morethan_60mon' ELSE 'nan' END AS cust_tenure",
+    ]
+    video = _moved("vc0", [f"vc{k}" for k in range(1, 5)], ranks)
+    outs = {
+        **{c: c for c in _KEPT}, "cust_tenure": "cust_tenure", "agent_last_dept": "agent", "speed_m0": "speed", "curr_video_tier_desc_m0": "vt0",
+        "ebill_status_desc": "CASE WHEN upper(ebill_status_desc) IN ('EBILL AND PRINT STATEMENT','EBILL ONLY') THEN 'Ebill' ELSE ebill_status_desc END",
+        "ivr_last_dept": f"CASE WHEN upper(ivr_last_dept)='UNKNOWN' THEN 'None' ELSE {dept('ivr_last_dept')} END",
+        **{c: _listed(c, ("BILLING", "DATA", "VIDEO", "GENERAL", "RETENTION", "SALES", "APPOINTMENT", "NONE")) for c in ("ivr_last_interactionReason", *(f"ivr_repeat_{k}_prevInteractionReason" for k in (1, 2, 3)))},
+        "ivr_last_ivrInteractionEndResult": "CASE WHEN upper(ivr_last_ivrInteractionEndResult)='NONE' THEN 'Success' ELSE ivr_last_ivrInteractionEndResult END",
+        **{c: f"CASE WHEN upper({c})='UNKNOWN' THEN 'None' ELSE {_listed(c, ('CUSTOMER SERVICE REP', 'TECHNICAL SERVICE REP', 'NONE'))} END" for c in (f"ivr_repeat_{k}_prevDept" for k in (1, 2, 3))},
+        "speed_change_m4m0": _moved("sp0", [f"sp{k}" for k in range(1, 5)], ranks),
+        **{f"{s}_change_m3m1": _moved(f"{s}_1", [f"{s}_2", f"{s}_3"]) for s in _SVOD},
+        "baserev_change_m6m0": _moved("rv0", [f"rv{k}" for k in range(1, 7)]),
+        "video_tier_change_m4m0": f"CASE WHEN {video} <> 'same' AND (vc0 = -1 OR greatest(vc1,vc2,vc3,vc4) = -1) THEN 'OTHER' ELSE {video} END",
+        "ov_tier_change_m4m0": "CASE WHEN " + " AND ".join(f"curr_ov_tier_desc_m0 = curr_ov_tier_desc_m{k}" for k in range(1, 5)) + " THEN 0 ELSE 1 END",
+        **{f"{p}_m{k}": f"CASE WHEN upper({p}_m{k}) IN ('NO OFFER','NONE') THEN 0 ELSE 1 END" for p in _OFFERS for k in range(5)},
+        **{c: flag(some(c)) for c in (f"service_visit_{k}_tc_{w}_code_desc" for k in (1, 2, 3) for w in ("problem", "fix"))},
+        "promo_rolloff_count_60day": "least(promo_rolloff_count_60day, 1)",
+        "cust_equip_class_speedm0": "cust_equip_class||'_'||speed", "tenure_productclass": "cust_tenure||'_'||product_class_desc", "tenure_income": "cust_tenure||'_'||ecohort_income_range_desc",
+        "rateevent_baserevchange": flag("rate_event_count_60day > 0 AND rv0 <> rv1"),
+        **{f"agentcall_and_repeat{k + 1}": flag(" AND ".join([some("agent"), some(repeat[k]), *(none(x) for x in repeat[k + 1 : k + 2])])) for k in range(3)},
+        "servicevisit_once": flag("sv1=1 AND sv2=0"), "servicevisit_twotimes": flag("sv2=1 AND sv3=0"), "servicevisit_threetimes": flag("sv3=1"),
+        "agentcall_servicevisit": flag(some("agent") + " AND sv1=1"),
+        **{f"agentlastdep_{n}distress": f"agent||'_'||CASE WHEN {f} > 0 THEN 1 ELSE 0 END" for n, f in _DISTRESS.items()},
+    }
+    given = ", ".join(f"{v} AS {n}" for n, v in _FIXED_LINE.items())
+    return with_views("v4", f"f AS (SELECT {given} FROM v4)", f"a AS (SELECT {', '.join(a)} FROM f)", f"b AS (SELECT {', '.join(b)} FROM a)", select="SELECT " + ", ".join(f"{v} AS {n}" for n, v in outs.items()) + " FROM b")
+
+
+query("rule_block", _rule_block_sql())(lambda s, sf: rules.rule_block(fx.text_history(s, sf).selectExpr(*(f"{v} AS {n}" for n, v in _FIXED_LINE.items()))))
+
+
 query(
     "tenure_bucket",
     with_views(

@@ -117,7 +117,6 @@ def _top_features(df):
 # --- models: fitted on the labelled cohort of one month ---
 
 TEXTS, NUMBERS = ["product", "segment", "nation"], ["tenure", "rev_m0", "orders_6m", "acctbal"]
-SMALL = {"maxDepth": 3, "maxIter": 5}
 
 
 def _cohort(s, sf):
@@ -128,7 +127,7 @@ def _cohort(s, sf):
 
 def _train_gbt(s, sf):
     rows = _cohort(s, sf)
-    model = mo.train_gbt(rows, TEXTS, NUMBERS, **SMALL)
+    model = mo.train_gbt(rows, TEXTS, NUMBERS)
     return mo.score(model, rows, TEXTS, NUMBERS, ["chc_id", "status"])
 
 
@@ -136,7 +135,7 @@ def _batch_score(s, sf):
     from stayflow.functions.keys import build_key
     from stayflow.operators import cohort as co
 
-    model = mo.train_gbt(_cohort(s, sf), TEXTS, NUMBERS, **SMALL)
+    model = mo.train_gbt(_cohort(s, sf), TEXTS, NUMBERS)
     month = prep.blanks_to_null(co.score_cohort(fx.snapshot(s, sf), 200006, RULES, [*TEXTS, *NUMBERS]))
     keyed = month.withColumn("corp_house_cust", build_key(F.lit("0701"), F.col("chc_id"), F.col("chc_id") % 100))
     return mo.batch_score(model, keyed, TEXTS, NUMBERS, 200006, f"gbt_train_{MONTH}_infer_200006", composite="corp_house_cust")
@@ -148,17 +147,17 @@ def _model_roundtrip(s, sf):
     from stayflow.session import new_folder
 
     rows, path = _cohort(s, sf), new_folder(s, "model")
-    mo.train_gbt(rows, TEXTS, NUMBERS, **SMALL).write().overwrite().save(path)
+    mo.train_gbt(rows, TEXTS, NUMBERS).write().overwrite().save(path)
     return mo.score(PipelineModel.load(path), rows, TEXTS, NUMBERS, ["chc_id", "status"])
 
 
 query("train_gbt")(_train_gbt)
 query("batch_score")(_batch_score)
 query("model_roundtrip")(_model_roundtrip)
-query("feature_importance")(lambda s, sf: (lambda rows: mo.feature_importance(mo.train_gbt(rows, TEXTS, NUMBERS, **SMALL), rows, TEXTS, NUMBERS))(_cohort(s, sf)))
-query("kfold_importance")(lambda s, sf: mo.kfold_importance(_cohort(s, sf), TEXTS, NUMBERS, k=3, **SMALL))
+query("feature_importance")(lambda s, sf: (lambda rows: mo.feature_importance(mo.train_gbt(rows, TEXTS, NUMBERS), rows, TEXTS, NUMBERS))(_cohort(s, sf)))
+query("kfold_importance")(lambda s, sf: mo.kfold_importance(_cohort(s, sf), TEXTS, NUMBERS))
 query("grid_search")(lambda s, sf: mo.grid_search(_cohort(s, sf), TEXTS, NUMBERS, {"maxDepth": [2, 3], "maxIter": [3]}, k=2)[1])
 query("random_search")(lambda s, sf: mo.random_search(_cohort(s, sf), TEXTS, NUMBERS, {"maxDepth": [2, 3, 4], "maxIter": [2, 3, 4]}, draws=2, k=2)[1])
 query("backward_selection")(lambda s, sf: mo.backward_selection(_cohort(s, sf), NUMBERS, smallest=3, largest=4, k=2, maxDepth=2, maxIter=2))
-query("score_splits")(lambda s, sf: mo.split_metrics(mo.score_splits(sa.stratified_split(_cohort(s, sf)), TEXTS, NUMBERS, **SMALL)))
+query("score_splits")(lambda s, sf: mo.split_metrics(mo.score_splits(sa.stratified_split(_cohort(s, sf)), TEXTS, NUMBERS)))
 query("segment_tree")(lambda s, sf: mo.segment_tree(_cohort(s, sf), TEXTS, NUMBERS)[1])
