@@ -339,6 +339,42 @@ def group_feature_correlation(aggregates: DataFrame, train: DataFrame, group: st
     return sums.select("name", ratio(F.col("dy"), spread).alias("corr"))
 
 
+@dataclass(frozen=True)
+class GroupFeatures:
+    """Aggregates worth keeping of one group column: (grp, one column per name)."""
+
+    group: str
+    names: list[str]
+    values: DataFrame
+
+
+def fit_group_features(
+    train: DataFrame, groups: Sequence[str], numbers: Sequence[str], texts: Sequence[str], label: str = "status",
+    correlation_threshold: float = 0.01, max_levels: int = 31, values_of: DataFrame | None = None,
+) -> list[GroupFeatures]:
+    """The aggregates of each group whose correlation with the target reaches the threshold.
+
+    They are found once and written; ``values_of`` gives other rows to take the values from.
+    """
+    out = []
+    for g in sorted(groups):
+        nums, txts = [c for c in numbers if c != g], [c for c in texts if c != g]
+        aggs = materialize(group_aggregates(train, g, nums, txts, max_levels), "group-aggregates")
+        strong = group_feature_correlation(aggs, train, g, label).filter(F.abs("corr") >= correlation_threshold)
+        kept = sorted(r["name"] for r in strong.collect())  # feature names
+        if kept:
+            values = aggs if values_of is None else group_aggregates(values_of, g, nums, txts, max_levels)
+            out.append(GroupFeatures(g, kept, values.filter(F.col("name").isin(kept)).groupBy("grp").pivot("name", kept).agg(F.first("value"))))
+    return out
+
+
+def join_group_features(df: DataFrame, fitted: Sequence[GroupFeatures], keep: Sequence[str | Column]) -> DataFrame:
+    """``keep`` and the aggregates of each row's groups; 0 where a group is not known."""
+    for f in fitted:
+        df = df.join(f.values, F.col(f.group).cast("string") == F.col("grp"), "left").drop("grp")
+    return df.select(*keep, *[F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(n) for f in fitted for n in f.names])
+
+
 def group_aggregate_features(
     df: DataFrame,
     train: DataFrame,
@@ -355,20 +391,8 @@ def group_aggregate_features(
 
     Fitted on ``train``; ``refit=True`` recomputes the values (not the choice) on ``df``.
     """
-    out, names = df, []
-    for g in sorted(groups):
-        nums, txts = [c for c in numbers if c != g], [c for c in texts if c != g]
-        aggs = group_aggregates(train, g, nums, txts, max_levels)
-        corr = group_feature_correlation(aggs, train, g, label)
-        strong = corr.filter(F.abs("corr") >= correlation_threshold)
-        kept = sorted(r["name"] for r in strong.collect())  # feature names
-        if not kept:
-            continue
-        values = group_aggregates(df, g, nums, txts, max_levels) if refit else aggs
-        wide = values.filter(F.col("name").isin(kept)).groupBy("grp").pivot("name", kept).agg(F.first("value"))
-        out = out.join(wide, F.col(g).cast("string") == F.col("grp"), "left").drop("grp")
-        names += kept
-    return out.select(*keep, *[F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(n) for n in names])
+    fitted = fit_group_features(train, groups, numbers, texts, label, correlation_threshold, max_levels, df if refit else None)
+    return join_group_features(df, fitted, keep)
 
 
 # --- the categorical pipeline ---
@@ -377,21 +401,24 @@ METHODS = ("pct", "count", "ordinal", "y_mean", "y_log_ratio", "y_ratio")
 
 
 def encoder_codes(train: DataFrame, cols: Sequence[str], label: str = "status", methods: Sequence[str] = METHODS, one_hot: bool = False) -> DataFrame:
-    """(name, feature, level, code, n, y) of every encoder output, from one set of level counts.
+    """(feature, level, n, y, total, ones, name, branch, code) of every encoder output, from
+    one set of level counts; ``total`` and ``ones`` are the feature's rows and outcomes.
 
-    A one-hot output has a single row: its level, code 1.
+    A one-hot output has a single row: its level, code 1. All other rows of it are 0.
     """
-    stats = level_order(level_stats(train, cols, label))
+    stats = level_order(level_stats(train, cols, label)).withColumn("y", F.round(F.col("n") * F.col("y_mean")))
+    totals = stats.groupBy("feature").agg(F.sum("n").alias("total"), F.sum("y").alias("ones"))
+    stats = stats.join(F.broadcast(totals), "feature")  # one row per feature
     p1, p0 = F.col("y_mean"), 1 - F.col("y_mean")
     floor = lambda p: F.when(p <= 0, F.lit(ODDS_FLOOR)).otherwise(p)
     codes = {
         "pct": F.col("share"), "count": F.col("n").cast("double"), "ordinal": F.col("rate_place").cast("double"), "y_mean": p1,
         "y_log_ratio": F.log(floor(p1) / floor(p0)), "y_ratio": p1 / floor(p0),
     }
-    cells = [F.struct(F.concat(F.lit(m.upper() + "_"), "feature").alias("name"), codes[m].alias("code")) for m in methods]
+    cells = [F.struct(F.concat(F.lit(m.upper() + "_"), "feature").alias("name"), F.lit(m).alias("branch"), codes[m].alias("code")) for m in methods]
     if one_hot:
-        cells.append(F.struct(F.concat_ws("_", "feature", "level").alias("name"), F.lit(1.0).alias("code")))
-    return stats.select("feature", "level", "n", F.round(F.col("n") * F.col("y_mean")).alias("y"), F.inline(F.array(*cells)))
+        cells.append(F.struct(F.concat_ws("_", "feature", "level").alias("name"), F.lit("one_hot").alias("branch"), F.lit(1.0).alias("code")))
+    return stats.select("feature", "level", "n", "y", "total", "ones", F.inline(F.array(*cells)))
 
 
 def encoder_correlations(df: DataFrame, cols: Sequence[str], label: str = "status", min_pct: float = 0.01, max_count: int = 30, methods: Sequence[str] = METHODS) -> DataFrame:
@@ -401,17 +428,19 @@ def encoder_correlations(df: DataFrame, cols: Sequence[str], label: str = "statu
     thousands of candidate columns are never built.
     """
     rows = reduce_rare(df, df, cols, min_pct, max_count)
-    return _code_correlations(encoder_codes(rows, cols, label, methods))
+    return _code_correlations(encoder_codes(rows, cols, label, methods)).select("name", "corr")
 
 
 def _code_correlations(codes: DataFrame) -> DataFrame:
-    means = codes.groupBy("name").agg((F.sum(F.col("n") * F.col("code")) / F.sum("n")).alias("_m"))
+    """(name, branch, corr) from the rows of each level; levels without a row have code 0."""
+    means = codes.groupBy("name").agg((F.sum(F.col("n") * F.col("code")) / F.max("total")).alias("_m"))
     d = codes.join(means, "name").withColumn("_d", F.col("code") - F.col("_m"))
-    sums = d.groupBy("name").agg(
-        F.sum("n").cast("double").alias("n"), F.sum("y").alias("y"),
-        F.sum(F.col("n") * F.col("_d") * F.col("_d")).alias("dd"), F.sum(F.col("_d") * F.col("y")).alias("dy"),
+    sums = d.groupBy("name", "branch").agg(
+        F.max("total").cast("double").alias("n"), F.max("ones").alias("y"),
+        (F.sum(F.col("n") * F.col("_d") * F.col("_d")) + F.max("_m") * F.max("_m") * (F.max("total") - F.sum("n"))).alias("dd"),
+        (F.sum(F.col("_d") * F.col("y")) - F.max("_m") * (F.max("ones") - F.sum("y"))).alias("dy"),
     )
-    return sums.select("name", ratio(F.col("dy"), F.sqrt(F.col("dd") * (F.col("y") - F.col("y") * F.col("y") / F.col("n")))).alias("corr"))
+    return sums.select("name", "branch", ratio(F.col("dy"), F.sqrt(F.col("dd") * (F.col("y") - F.col("y") * F.col("y") / F.col("n")))).alias("corr"))
 
 
 def categorical_pipeline(
@@ -426,37 +455,67 @@ def categorical_pipeline(
     feature_threshold: float = 0.90,
     min_pct: float = 0.01,
     max_count: int = 30,
+    tree_folds: int = 3,
+    groups: Sequence[str] = (),
+    numbers: Sequence[str] = (),
 ) -> DataFrame:
-    """Interactions, rare levels, all encoders, thinned twice; only survivors are built.
+    """Interactions and rare levels, then branches side by side: every encoder, one-hot,
+    trees over the ordinal codes, and aggregates of ``numbers`` and ``cols`` by ``groups``.
 
-    The first thinning needs level counts only. The second compares the survivors,
-    which by then are few enough for one pair-correlation pass.
+    Each branch is thinned by itself and the survivors together, and only those are
+    built. ``tree_folds`` of 0 leaves the trees out. The encoders are screened on level
+    counts, which are found once; the pair rule needs one pass over the rows.
     """
-    from stayflow.operators.numeric import keep_strong
+    from stayflow.operators.numeric import strong_enough, thin_branches
+    from stayflow.operators.sampling import stratified_folds
+    from stayflow.operators.stats import target_correlation
+    from stayflow.operators.trees import fit_trees, tree_stage
 
     inter = interactions(first, second).outputs
-
-    def widen(frame: DataFrame) -> DataFrame:
-        return frame.withColumns({n: c for n, c in inter.items()})
-
     wide_cols = [*cols, *inter]
-    fit = reduce_rare(widen(train), widen(train), wide_cols, min_pct, max_count)
-    codes = encoder_codes(fit, wide_cols, label)
-    corr = {r["name"]: r["corr"] for r in _code_correlations(codes).collect()}
-    strong = [n for n, c in corr.items() if c is not None and round(abs(c), 9) >= target_threshold]
-    small = codes.filter(F.col("name").isin(strong)).select("name", "feature", "level", "code")
-
-    def build(frame: DataFrame, keep: Sequence[str]) -> DataFrame:
-        reduced = reduce_rare(widen(frame), widen(train), wide_cols, min_pct, max_count)
-        maps: dict[str, tuple[str, dict]] = {}
-        for r in small.collect():  # reduced levels: at most max_count + 1 per feature and encoder
-            maps.setdefault(r["name"], (r["feature"], {}))[1][r["level"]] = r["code"]
-        outs = []
-        for name in sorted(maps):
-            feature, pairs = maps[name]
-            unseen = math.log(ODDS_FLOOR / (1 - ODDS_FLOOR)) if name.startswith("Y_LOG_RATIO_") else 0.0
-            outs.append(map_levels(F.col(f"`{feature}`"), pairs, F.lit(unseen)).alias(name))
-        return reduced.select(*keep, *outs)
-
-    names = keep_strong(build(train, [label]), {n: corr[n] for n in strong}, target_threshold, feature_threshold)
-    return build(df, [key, label]).select(key, label, *[F.col(f"`{n}`") for n in names])
+    fitted = fit_rare(train.withColumns(inter), wide_cols, min_pct, max_count)
+    rare = LevelCodes(materialize(fitted.codes, "kept-levels"), fitted.defaults)
+
+    def reduced(frame: DataFrame) -> DataFrame:
+        return rare.apply(frame.withColumns(inter))
+
+    codes = materialize(encoder_codes(reduced(train), wide_cols, label, one_hot=True), "encoder-codes")
+    branch, corr = {}, {}
+    for r in _code_correlations(codes).collect():  # one per output
+        branch[r["name"]], corr[r["name"]] = r["branch"], r["corr"]
+    strong = strong_enough(corr, target_threshold)
+    ordinals = sorted(n for n in strong if branch[n] == "ordinal") if tree_folds else []
+    maps: dict[str, tuple[str, dict]] = {}
+    for r in codes.filter(F.col("name").isin(list(strong))).select("name", "feature", "level", "code").collect():  # at most max_count + 1 levels per feature
+        maps.setdefault(r["name"], (r["feature"], {}))[1][r["level"]] = r["code"]
+    unseen = {n: math.log(ODDS_FLOOR / (1 - ODDS_FLOOR)) if branch[n] == "y_log_ratio" else 0.0 for n in maps}
+    encoded = {n: map_levels(F.col(f"`{feature}`"), pairs, F.lit(unseen[n])).alias(n) for n, (feature, pairs) in sorted(maps.items())}
+    quoted = lambda names: [F.col(f"`{n}`") for n in names]
+
+    trees: dict[str, Column] = {}
+    if ordinals:
+        rows = reduced(train).select(key, label, *(encoded[n] for n in ordinals))
+        folds = materialize(stratified_folds(rows, tree_folds, key, label), "tree-folds")
+        trees = dict(tree_stage(fit_trees(folds, ordinals, label, corr_threshold=target_threshold)).renamed(prefix="TREE").outputs)
+
+    grouped = fit_group_features(reduced(train), groups, numbers, cols, label, target_threshold)
+    aggregates = [n for f in grouped for n in f.names]
+
+    def build(frame: DataFrame) -> DataFrame:
+        """Key, label and all candidates."""
+        rows = reduced(frame)
+        rows = rows.select(*quoted(dict.fromkeys([key, label, *groups])), *encoded.values())
+        rows = rows.select("*", *(c.alias(n) for n, c in trees.items()))
+        return join_group_features(rows, grouped, quoted([key, label, *encoded, *trees]))
+
+    frame = materialize(build(train), "candidates")
+    late = [*trees, *aggregates]
+    if late:
+        simple = {n: f"_{i}" for i, n in enumerate(late)}  # level names may hold any sign
+        view = frame.select(F.col(label), *(F.col(f"`{n}`").alias(s) for n, s in simple.items()))
+        back = {s: n for n, s in simple.items()}
+        found = {back[r["feature"]]: r["corr"] for r in target_correlation(view, list(back), label).collect()}
+        strong |= strong_enough(found, target_threshold)
+    branches = [[n for n in encoded if branch[n] == b] for b in (*METHODS, "one_hot")] + [list(trees), aggregates]
+    names = thin_branches(frame.select(*quoted(strong)), strong, branches, feature_threshold)
+    return (frame if df is train else build(df)).select(key, label, *quoted(names))

@@ -322,13 +322,24 @@ def standard_set(df: DataFrame, cols: Sequence[str], n_quantiles: int = 100, kbi
     return {name: f.renamed(prefix=name) for name, f in made.items()}
 
 
-def keep_strong(frame: DataFrame, corr: dict, target_threshold: float, feature_threshold: float) -> list[str]:
-    """Names that pass both thresholds, strongest first; ``corr`` is with the target."""
-    strong = {c: v for c, v in corr.items() if v is not None and round(abs(v), 9) >= target_threshold}
-    order = prep.correlation_order(strong)
-    pairs = prep.pair_dict(pair_correlations(frame, order), feature_threshold)
-    gone = {late for late, _, _ in prep.collinear(order, pairs, feature_threshold)}
-    return [c for c in order if c not in gone]
+def strong_enough(corr: Mapping[str, float | None], threshold: float) -> dict[str, float]:
+    """The names whose correlation with the target reaches the threshold."""
+    return {c: v for c, v in corr.items() if v is not None and round(abs(v), 9) >= threshold}
+
+
+def thin_branches(frame: DataFrame, strong: Mapping[str, float], branches: Sequence[Sequence[str]], threshold: float) -> list[str]:
+    """Survivors of the pair rule inside every branch, then among all of them, strongest first.
+
+    One pass over ``frame`` finds the pairs above the threshold for both rounds.
+    """
+    pairs = prep.pair_dict(pair_correlations(frame, list(strong)), threshold)
+
+    def thin(names: Sequence[str]) -> list[str]:
+        order = prep.correlation_order({c: strong[c] for c in names})
+        gone = {late for late, _, _ in prep.collinear(order, pairs, threshold)}
+        return [c for c in order if c not in gone]
+
+    return thin([c for names in branches for c in thin([n for n in names if n in strong])])
 
 
 def thinned_union(
@@ -344,16 +355,8 @@ def thinned_union(
     names = list(everything.outputs)
     frame = everything.apply(df, [F.col(label).cast("double").alias("_label")])
     corr = {r["feature"]: r["corr"] for r in target_correlation(frame, names, "_label").collect()}
-    strong = {c: corr[c] for c in names if corr[c] is not None and round(abs(corr[c]), 9) >= target_threshold}
-    pairs = prep.pair_dict(pair_correlations(frame, list(strong)), feature_threshold)
-
-    def thin(names: Sequence[str]) -> list[str]:
-        order = prep.correlation_order({c: strong[c] for c in names})
-        gone = {late for late, _, _ in prep.collinear(order, pairs, feature_threshold)}
-        return [c for c in order if c not in gone]
-
-    survivors = [c for f in stages.values() for c in thin([n for n in f.outputs if n in strong])]
-    return everything.only(thin(survivors))
+    strong = strong_enough({c: corr[c] for c in names}, target_threshold)
+    return everything.only(thin_branches(frame, strong, [list(f.outputs) for f in stages.values()], feature_threshold))
 
 
 def numeric_pipeline(

@@ -173,16 +173,18 @@ def _group_features(df):
 
 # --- the whole categorical pipeline, in long form ---
 
-_PIPE_SQL = with_views(
-    "v5", V5N,
-    "i5 AS (SELECT *, coalesce(segment,'None')||'___'||coalesce(priority,'None') AS inter FROM n5)",
-    f"l0 AS ({long_levels('i5', ['inter', 'nation', 'priority', 'segment'], 'chc_id, status')})",
+_LEVEL_CTES = [
     "s0 AS (SELECT feature, level, count(*)/sum(count(*)) OVER (PARTITION BY feature) AS share, row_number() OVER (PARTITION BY feature ORDER BY count(*) DESC, level) AS place FROM l0 WHERE level IS NOT NULL GROUP BY feature, level)",
     "lr AS (SELECT chc_id, status, l0.feature, CASE WHEN s0.level IS NOT NULL THEN l0.level ELSE 'all_other' END AS level FROM l0 LEFT JOIN s0 ON s0.feature=l0.feature AND s0.level=l0.level AND s0.place<=30 AND s0.share>=0.01)",
     """st AS (SELECT feature, level, count(*) AS n, sum(status) AS y, count(*)/sum(count(*)) OVER (PARTITION BY feature) AS share, avg(status) AS ym,
   row_number() OVER (PARTITION BY feature ORDER BY avg(status), level) - 1 AS rp FROM lr GROUP BY feature, level)""",
-    "en AS (" + " UNION ALL ".join(f"SELECT '{m.upper()}_'||feature AS name, n, y, CAST({v} AS DOUBLE) AS v FROM st" for m, (v, _) in _ENC.items())
-    + " UNION ALL SELECT feature||'_'||level, a.n, a.y, CASE WHEN a.level=o THEN 1.0 ELSE 0.0 END FROM (SELECT s.*, t.level AS o FROM st s JOIN (SELECT feature, level FROM st) t USING (feature)) a WHERE 1=0)",
+]
+_PIPE_SQL = with_views(
+    "v5", V5N,
+    "i5 AS (SELECT *, coalesce(segment,'None')||'___'||coalesce(priority,'None') AS inter FROM n5)",
+    f"l0 AS ({long_levels('i5', ['inter', 'nation', 'priority', 'segment'], 'chc_id, status')})",
+    *_LEVEL_CTES,
+    "en AS (" + " UNION ALL ".join(f"SELECT '{m.upper()}_'||feature AS name, n, y, CAST({v} AS DOUBLE) AS v FROM st" for m, (v, _) in _ENC.items()) + ")",
     "m AS (SELECT name, sum(n*v)/sum(n) AS mean FROM en GROUP BY name)",
     select="SELECT en.name, round(sum((v-mean)*y)/nullif(sqrt(sum(n*(v-mean)*(v-mean))*(sum(y)-sum(y)*sum(y)/CAST(sum(n) AS DOUBLE))),0),6) AS corr FROM en JOIN m USING (name) GROUP BY en.name",
 )
@@ -195,8 +197,39 @@ def _categorical_stats(s, sf):
 
 
 query("categorical_pipeline_stats", _PIPE_SQL)(_categorical_stats)
+
+
+def _choice_sql():
+    """Every output of encoders and one-hot for every row; the pair rule in each branch, then over all."""
+    codes = " UNION ALL ".join(f"SELECT feature, level, '{m.upper()}_'||feature AS name, '{m}' AS branch, CAST({v} AS DOUBLE) AS v FROM st" for m, (v, _) in _ENC.items())
+    hot = "SELECT a.feature, a.level, b.feature||'_'||b.level AS name, 'one_hot' AS branch, CASE WHEN a.level=b.level THEN 1.0 ELSE 0.0 END AS v FROM st a JOIN st b USING (feature)"
+    return with_views(
+        "v5", V5N,
+        "i5 AS (SELECT *, coalesce(segment,'None')||'___'||coalesce(priority,'None') AS \"SEGMENT-priority\" FROM n5)",
+        "l0 AS (" + " UNION ALL ".join(f"SELECT chc_id, status, '{c}' AS feature, CAST(\"{c}\" AS VARCHAR) AS level FROM i5" for c in ("SEGMENT-priority", "nation", "priority", "segment")) + ")",
+        *_LEVEL_CTES,
+        f"en AS ({codes} UNION ALL {hot})",
+        "x AS MATERIALIZED (SELECT lr.chc_id, lr.status, en.name, en.branch, en.v FROM lr JOIN en ON en.feature=lr.feature AND en.level=lr.level)",
+        f"ct AS (SELECT name, branch, {corr('v', 'status')} AS corr FROM x GROUP BY ALL)",
+        "o AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY abs(round(corr,9)) DESC NULLS LAST, name) AS pos FROM ct WHERE round(abs(corr),9) >= 0.005)",
+        "z AS (SELECT x.chc_id, x.v, o.* FROM x JOIN o USING (name))",
+        f"pp AS MATERIALIZED (SELECT b.name, a.name AS early, a.branch=b.branch AS same FROM z a JOIN z b ON a.chc_id=b.chc_id AND a.pos<b.pos GROUP BY ALL HAVING round(abs({corr('a.v', 'b.v')}),9) > 0.9)",
+        "s1 AS (SELECT name FROM o WHERE name NOT IN (SELECT name FROM pp WHERE same))",
+        select="SELECT name AS feature FROM s1 WHERE name NOT IN (SELECT name FROM pp WHERE early IN (SELECT name FROM s1))",
+    )
+
+
+def _categorical_choice(s, sf):
+    df = _nulled(fx.wide(s, sf))
+    out = ca.categorical_pipeline(df, df, ["segment"], ["segment", "priority"], ["nation", "priority", "segment"], tree_folds=0)
+    return s.createDataFrame([(n,) for n in out.columns[2:]], "feature string")
+
+
+query("categorical_pipeline_choice", _choice_sql())(_categorical_choice)
 query("categorical_pipeline")(
     lambda s, sf: (
-        lambda df: ca.categorical_pipeline(df, df, ["segment"], ["segment", "priority"], ["nation", "priority", "segment"], target_threshold=0.005)
+        lambda df: ca.categorical_pipeline(
+            df, df, ["segment"], ["segment", "priority"], ["nation", "priority", "segment"], groups=["nation"], numbers=["price", "acctbal_gap", "mon"]
+        )
     )(_nulled(fx.wide(s, sf)))
 )

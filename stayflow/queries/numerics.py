@@ -170,9 +170,31 @@ def _tree_discretize(s, sf):
 query("tree_discretize")(_tree_discretize)
 
 
+_PROFILED = ["price", "mon", "acctbal_gap"]
+
+
 def _tree_profile(s, sf):
-    df = fx.wide(s, sf).select("chc_id", "status", "price", "mon", "acctbal_gap")
-    return trees.leaf_ranges(df, ["price", "mon", "acctbal_gap"])
+    df = fx.wide(s, sf).select("chc_id", "status", *_PROFILED)
+    return trees.leaf_ranges(df, _PROFILED)
+
+
+def _tree_profile_sql(depth=2):
+    """Bins by quantiles; at each depth the cut of a node with the lowest Gini impurity, the first on ties."""
+    inner = ",".join(repr(k / trees.BINS) for k in range(1, trees.BINS))
+    cuts = [f"c_{c} AS (SELECT list_distinct(quantile_cont(CAST({c} AS DOUBLE), [{inner}])) AS cuts FROM v5)" for c in _PROFILED]
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, len(list_filter(cuts, lambda e: e < CAST({c} AS DOUBLE))) AS bin, CAST({c} AS DOUBLE) AS v, status AS y FROM v5, c_{c} WHERE {c} IS NOT NULL" for c in _PROFILED)
+    ctes = [*cuts, f"t0 AS (SELECT feature, bin, 0 AS node, CAST(count(*) AS DOUBLE) AS n, CAST(sum(y) AS DOUBLE) AS y, min(v) AS lo, max(v) AS hi FROM ({rows}) GROUP BY feature, bin)",
+            "least AS (SELECT feature, floor(0.02*sum(n)) AS small FROM t0 GROUP BY feature)"]
+    for d in range(depth):
+        ctes += [
+            f"""s{d} AS (SELECT feature, node, bin, sum(n) OVER w AS nl, sum(y) OVER w AS yl, sum(n) OVER p - sum(n) OVER w AS nr, sum(y) OVER p - sum(y) OVER w AS yr
+  FROM t{d} WINDOW w AS (PARTITION BY feature, node ORDER BY bin), p AS (PARTITION BY feature, node))""",
+            f"""k{d} AS (SELECT feature, node, bin AS edge FROM s{d} JOIN least USING (feature) WHERE nl >= small AND nr >= small AND nr > 0 AND yl+yr > 0 AND yl+yr < nl+nr
+  QUALIFY row_number() OVER (PARTITION BY feature, node ORDER BY yl*(nl-yl)/greatest(nl,1)+yr*(nr-yr)/greatest(nr,1), bin) = 1)""",
+            f"t{d + 1} AS (SELECT t{d}.* REPLACE (node*2 + CASE WHEN bin > edge THEN 1 ELSE 0 END AS node) FROM t{d} LEFT JOIN k{d} USING (feature, node))",
+        ]
+    leaf = f"SELECT feature, CAST(dense_rank() OVER (PARTITION BY feature ORDER BY node) - 1 AS INT) AS leaf, min(lo) AS lo, max(hi) AS hi, CAST(sum(n) AS BIGINT) AS n, CAST(sum(y) AS BIGINT) AS y FROM t{depth} GROUP BY feature, node"
+    return with_views("v5", *ctes, f"l AS ({leaf})", select="SELECT *, CAST(lo AS VARCHAR)||'_'||CAST(hi AS VARCHAR) AS range FROM l")
 
 
-query("tree_bins_profile")(_tree_profile)
+query("tree_bins_profile", _tree_profile_sql())(_tree_profile)
