@@ -156,19 +156,17 @@ query(
     with_views(
         "v5", *_group_sql(),
         "kept AS (SELECT name FROM cr WHERE abs(corr) >= 0.01)",
-        select="SELECT chc_id, count(*) AS n_features, round(sum(value / (1+abs(value))),4) AS digest FROM v5 JOIN ag ON ag.grp=v5.nation JOIN kept USING (name) GROUP BY chc_id",
+        select="SELECT chc_id, name, round(coalesce(value,0),4) AS value FROM v5 JOIN ag ON ag.grp=v5.nation JOIN kept USING (name)",
     ),
 )(lambda s, sf: _group_features(fx.wide(s, sf)))
 
 
 def _group_features(df):
-    """All kept features of a row folded into a count and a digest, whatever their names."""
+    """(chc_id, name, value) of all kept features, whatever their names."""
     out = ca.group_aggregate_features(df, df, ["nation"], _GN, _GC)
     names = [c for c in out.columns if c != "chc_id"]
-    total = F.lit(0.0)
-    for n in names:
-        total = total + F.col(f"`{n}`") / (1 + F.abs(F.col(f"`{n}`")))
-    return out.select("chc_id", F.lit(len(names)).cast("bigint").alias("n_features"), F.round(total, 4).alias("digest"))
+    cells = F.array(*[F.struct(F.lit(n).alias("name"), F.round(F.col(f"`{n}`"), 4).alias("value")) for n in names])
+    return out.select("chc_id", F.inline(cells))
 
 
 # --- the whole categorical pipeline, in long form ---
