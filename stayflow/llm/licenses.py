@@ -1,20 +1,30 @@
 """License scans by conditional compression.
 
-Lines with a word of licensing are candidate blocks. A block is compressed by itself and
-with each template as a raw zstandard dictionary; the share of its size that a template
-saves ranks the templates, since a template that holds the block's wording leaves little
-to write. The best few are then compared with the block word by word, and the one with
-the fewest wording differences is named if they are few enough.
-
-Defined cases: null and empty texts have no blocks; a block in a very long line is the
-part of the line around the word; several blocks of a document each get a row, repeated
-rows too; ties go to the template that saves more, then to the first name; an empty table
-gives no rows; other columns are left alone.
+Words of licensing mark candidate blocks: the paragraph or comment around the word. With
+twice the longest template's length of text to either side they are read as runs, so that
+a license of many paragraphs is compared whole. A template can stand where enough of its word pairs follow each other; the
+stretch is compressed by itself and with the template as a raw zstandard dictionary, and
+where the template saves enough of its size the two are compared word by word, line breaks,
+comment signs and case left out. Every template is tried. Of those with few wording
+differences the longest is named, its words are taken out and the rest is read again, until
+nothing more is confirmed; so each place of a text gets its license. SPDX lines are read by
+their grammar.
+
+Defined cases: null and empty texts have no blocks; a paragraph or line with no end near the
+word is cut ``REACH`` characters from it; several licenses of a document each get a row,
+repeated rows too; a block without a license gets a row with null; ties go to the template
+that saves more, then to the first name; an empty table gives no rows; other columns are
+left alone.
 """
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Mapping, Sequence
 from difflib import SequenceMatcher
+from functools import cache
+from importlib import resources
 
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -37,92 +47,268 @@ TEMPLATES = {
     "MPL-2.0": "This work is subject to the terms of the Mozilla Public License, version 2.0.",
     "Proprietary": "All rights reserved.",
 }
-# Words that make a line a candidate.
+# The names that stand as headings and in short notices, and the usual headers of files.
+_GNU = {
+    "AGPL-3.0": ("Affero General", "3"), "GPL-1.0": ("General", "1"), "GPL-2.0": ("General", "2"), "GPL-3.0": ("General", "3"),
+    "LGPL-2.0": ("Library General", "2"), "LGPL-2.1": ("Lesser General", "2.1"), "LGPL-3.0": ("Lesser General", "3"),
+}
+HEADERS = {
+    "Apache-2.0": [
+        "Apache License Version 2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, '
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+        "See the License for the specific language governing permissions and limitations under the License.",
+    ],
+    "BSD-2-Clause": ["BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License'],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International"],
+    "CC-BY-NC-ND-4.0": ["Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International"],
+    "CC-BY-NC-SA-4.0": ["Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International"],
+    "CC-BY-ND-4.0": ["Creative Commons Attribution-NoDerivatives 4.0 International"],
+    "CC-BY-SA-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International"],
+    "CC0-1.0": ["CC0 1.0 Universal"],
+    "ISC": ["ISC License"],
+    "MIT": ["MIT License"],
+    "MPL-2.0": [
+        "Mozilla Public License Version 2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. "
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ],
+    **{
+        name: [
+            f"GNU {kind} Public License version {version}",
+            f"is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as published by the "
+            f"Free Software Foundation, either version {version} of the License, or (at your option) any later version.",
+            f"is free software; you can redistribute it and/or modify it under the terms of the GNU {kind} Public License version {version} as published by the "
+            "Free Software Foundation.",
+        ]
+        for name, (kind, version) in _GNU.items()
+    },
+}
+# Words that make a paragraph a candidate.
 _CUE = re.compile(r"licen[sc]|copyright|rights reserved|public domain|creative commons|\bcc0\b", re.IGNORECASE)
-_WORD = re.compile(r"[a-z]+|[0-9]+(?:\.[0-9]+)*")
+_WORD = re.compile(r"[^\W\d_]+|[0-9]+(?:\.[0-9]+)*")
+_GAP = re.compile(r"\n[^\w\n]*(?=\n)")  # a line without a word ends a paragraph
+_ID = r"[A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?"
+_SPDX = re.compile(rf"SPDX-License-Identifier:[ \t]*(\(*{_ID}(?:\)*[ \t]+(?:AND|OR|WITH)[ \t]+\(*{_ID})*)", re.IGNORECASE)
+_SPDX_ID = re.compile(rf"(WITH[ \t]+)?({_ID})", re.IGNORECASE)
+_VARIANT = re.compile(r"(-only|-or-later|\+)$", re.IGNORECASE)
 
-BLOCK_CHARS = 300
+REACH = 1000
 LEAST_SAVED = 0.3
-COMPARED = 4
 MOST_MISSING = 0.2
+WHOLE_WORDS = 60  # below, the numbers of a template must be there: they tell versions apart
 FIELDS = "found array<struct<block:int,start:long,license:string,saved:double,missing_words:int,added_words:int,text:string>>"
 
+Place = tuple[int, int, str, float, int, int]
+
+
+@cache
+def known_licenses() -> dict[str, list[str]]:
+    """The short notices, the names and headers, and the whole texts in the folder ``license_texts``, by license."""
+    out = defaultdict(list)
+    for name, text in TEMPLATES.items():
+        out[name].append(text)
+    for name, texts in HEADERS.items():
+        out[name].extend(texts)
+    for file in sorted(resources.files("stayflow.llm").joinpath("license_texts").iterdir(), key=lambda f: f.name):
+        text, name = file.read_text(encoding="utf-8"), file.name.removesuffix(".txt")
+        out[name] += [text, f"All rights reserved. {text}"] if name.startswith("BSD-") else [text]  # often the end of the line above
+    return dict(out)
+
 
 def blocks(text: str | None) -> list[tuple[int, str]]:
-    """(start, text) of candidate blocks: the line around each cue, at most ``BLOCK_CHARS`` to either side."""
+    """(start, text) of candidate blocks: the paragraph around each cue, at most ``REACH`` characters to either side."""
     out, done = [], -1
     for cue in _CUE.finditer(text or ""):
         if cue.start() < done:
             continue
-        low, high = max(0, cue.start() - BLOCK_CHARS), min(len(text), cue.end() + BLOCK_CHARS)
-        start = text.rfind("\n", low, cue.start()) + 1 or low
-        stop = text.find("\n", cue.end(), high)
-        done = high if stop < 0 else stop
+        low, high = max(0, done, cue.start() - REACH), min(len(text), cue.end() + REACH)
+        gaps = [m.end() + 1 for m in _GAP.finditer(text, low, cue.start())]
+        start = gaps[-1] if gaps and gaps[-1] <= cue.start() else low
+        stop = _GAP.search(text, cue.end(), high)
+        done = stop.start() if stop else high
         out.append((start, text[start:done]))
     return out
 
 
-def differences(block: str, template: str) -> tuple[int, int]:
-    """Words of the template that the block lacks, and words between the block's common ones that the template lacks."""
-    a, b = _WORD.findall(template.lower()), _WORD.findall(block.lower())
-    common = [m for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks() if m.size]
-    if not common:
-        return len(a), 0
-    same = sum(m.size for m in common)
-    return len(a) - same, common[-1].b + common[-1].size - common[0].b - same
+def runs(found: list[tuple[int, str]], size: int, reach: int) -> Iterator[tuple[int, int, list[tuple[int, str]]]]:
+    """(start, stop, blocks) of the stretches of a text that are within ``reach`` characters of its blocks."""
+    part: list[tuple[int, str]] = []
+    for start, block in found:
+        if part and start - reach > part[-1][0] + len(part[-1][1]) + reach:
+            yield max(0, part[0][0] - reach), part[-1][0] + len(part[-1][1]) + reach, part
+            part = []
+        part.append((start, block))
+    if part:
+        yield max(0, part[0][0] - reach), min(size, part[-1][0] + len(part[-1][1]) + reach), part
+
+
+def split_words(text: str) -> list[str]:
+    return _WORD.findall(text.lower())
+
+
+class Template:
+    """A license's wording: words, word pairs, and how many differences pass."""
+
+    def __init__(self, name: str, text: str, level: int):
+        self.name, self.words = name, split_words(text)
+        self.allowed = int(MOST_MISSING * len(self.words))
+        self.pairs = Counter(zip(self.words, self.words[1:])) if len(self.words) > 1 else Counter((w,) for w in self.words)
+        # A difference breaks two pairs at most.
+        self.least = max(1, self.pairs.total() - 2 * self.allowed)
+        self.numbers = [i for i, w in enumerate(self.words) if w[0].isdigit()] if len(self.words) < WHOLE_WORDS else []
+        self.data = " ".join(self.words).encode()
+        given = zstandard.ZstdCompressionDict(self.data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        self.given = zstandard.ZstdCompressor(level=level, write_content_size=False, dict_data=given)
+
+    def windows(self, at: list[int]) -> Iterator[tuple[int, int]]:
+        """(first, last) pair positions between which the template can stand; ``at`` has the positions of its pairs."""
+        far, span, begin = 2 * self.allowed + 1, len(self.words) + self.allowed, 0
+        for i in range(1, len(at) + 1):
+            if i < len(at) and at[i] - at[i - 1] <= far:
+                continue
+            if i - begin >= self.least:
+                low = at[begin]
+                while True:  # any place is inside one of the windows of two spans
+                    a, b = bisect_left(at, low, begin, i), bisect_left(at, low + 2 * span, begin, i)
+                    if b - a >= self.least:
+                        yield at[a], at[b - 1]
+                    if b >= i:
+                        break
+                    low += span
+            begin = i
+
+    def align(self, part: list[str | None]) -> tuple[int, int, int, int] | None:
+        """(start, stop, missing, added) of the best place in a list of words: template words that it lacks, and words that the template lacks."""
+        keys = Counter(zip(part, part[1:]) if len(self.words) > 1 else ((w,) for w in part))
+        if sum(min(n, keys[k]) for k, n in self.pairs.items()) < self.least:
+            return None
+        best, value, first = (0, 0, 0), 0, 0
+        common = [m for m in SequenceMatcher(None, self.words, part, autojunk=False).get_matching_blocks() if m.size]
+        for i, m in enumerate(common):
+            between = part[common[i - 1].b + common[i - 1].size : m.b] if i else [None]
+            value -= len(between)
+            if value <= 0 or None in between:  # None: a word of a place that has its license
+                value, first = 0, i
+            value += m.size
+            best = max(best, (value, first, i), key=lambda b: b[0])
+        used = common[best[1] : best[2] + 1]
+        if not used:
+            return None
+        same = sum(m.size for m in used)
+        missing, added = len(self.words) - same, used[-1].b + used[-1].size - used[0].b - same
+        if missing + added > self.allowed or not all(any(m.a <= i < m.a + m.size for m in used) for i in self.numbers):
+            return None
+        return used[0].b, used[-1].b + used[-1].size, missing, added
 
 
 class Scanner:
-    """Compressors for all templates; one for each task."""
+    """Templates with their compressors; one for each task."""
 
-    def __init__(self, templates: dict[str, str], level: int = 3):
-        self.templates = templates
+    def __init__(self, templates: Mapping[str, str | Sequence[str]], level: int = 3):
+        texts = {name: [t] if isinstance(t, str) else list(t) for name, t in templates.items()}
+        self.level = level
+        self.reach = 2 * max((len(t) for ts in texts.values() for t in ts), default=0) + REACH  # no license goes on further
         self.alone = zstandard.ZstdCompressor(level=level, write_content_size=False)
-        self.given = {
-            name: zstandard.ZstdCompressor(level=level, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
-            for name, text in sorted(templates.items())
-        }
+        self.frame = len(self.alone.compress(b""))  # bytes that no template can save
+        self.templates = [t for name in sorted(texts) for text in texts[name] if (t := Template(name, text, level)).words]
+        self.sizes = [len(self.alone.compress(t.data)) for t in self.templates]
+        self.index = defaultdict(list)
+        for k, t in enumerate(self.templates):
+            for pair in t.pairs:
+                self.index[pair].append(k)
+        self.spelled = {name.lower(): name for name in texts}
+
+    def gain(self, data: bytes, size: int, k: int) -> float:
+        """Share of the compressed size that a template saves; only as much text as the template has can be saved."""
+        return (size - len(self.templates[k].given.compress(data))) / max(1, min(size, self.sizes[k]) - self.frame)
 
     def saved(self, block: str) -> list[tuple[float, str]]:
-        """(share of the compressed size saved, template), best first; only as much text as the template has can be saved."""
-        data = block.encode()
+        """(share of the compressed size saved, license) of every template, best first."""
+        data = " ".join(split_words(block)).encode()
         size = len(self.alone.compress(data))
-        gains = [((size - len(c.compress(data))) / max(1, min(size, len(self.alone.compress(self.templates[n].encode())))), n) for n, c in self.given.items()]
-        return sorted(gains, key=lambda g: (-g[0], g[1]))
+        return sorted(((self.gain(data, size, k), t.name) for k, t in enumerate(self.templates)), key=lambda g: (-g[0], g[1]))
+
+    def spdx(self, text: str) -> Iterator[Place]:
+        """The licenses of SPDX lines; those in the table by its names, the others as written."""
+        for line in _SPDX.finditer(text):
+            start = line.start()
+            for m in _SPDX_ID.finditer(line.group(1)):
+                if m.group(1) or m.group(2).upper() in ("AND", "OR"):
+                    continue
+                name, stop = m.group(2), line.start(1) + m.end()
+                template = Template(name, f"SPDX-License-Identifier: {name}", self.level)
+                size = len(self.alone.compress(template.data))
+                yield start, stop, self.spelled.get(name.lower()) or self.spelled.get(_VARIANT.sub("", name).lower(), name), (size - len(template.given.compress(template.data))) / (size - self.frame), 0, 0
+                start = stop
+
+    def places(self, text: str) -> list[Place]:
+        """(start, stop, license, share saved, missing words, added words) of every license, in the order of the text."""
+        out = list(self.spdx(text))
+        at = [m.span() for m in _WORD.finditer(text)]
+        words: list[str | None] = [text[a:b].lower() for a, b in at]
+        for start, stop, *_ in out:
+            low, high = bisect_left(at, (start,)), bisect_left(at, (stop,))
+            words[low:high] = [None] * (high - low)
+        while True:
+            hits = defaultdict(list)
+            for i, key in enumerate(zip(words, [*words[1:], None])):
+                for k in (*self.index.get(key, ()), *self.index.get(key[:1], ())):
+                    hits[k].append(i)
+            found = set()
+            for k, positions in hits.items():
+                t = self.templates[k]
+                for first, last in t.windows(positions):
+                    low = max(0, first - t.allowed - 1)
+                    part = words[low : last + t.allowed + 3]
+                    while place := t.align(part):
+                        start, stop, missing, added = place
+                        data = " ".join(part[start:stop]).encode()
+                        gain = self.gain(data, len(self.alone.compress(data)), k)
+                        if gain >= LEAST_SAVED:
+                            found.add((2 * missing + added - len(t.words), -gain, t.name, low + start, low + stop, missing, added))
+                        part[start:stop] = [None] * (stop - start)
+            if not found:
+                return sorted(out)
+            for _, less, name, start, stop, missing, added in sorted(found):
+                # Where words were taken in this round, the next looks again at what is left.
+                if None not in words[start:stop]:
+                    out.append((at[start][0], at[stop - 1][1], name, -less, missing, added))
+                    words[start:stop] = [None] * (stop - start)
 
     def name(self, block: str) -> tuple[str | None, float, int, int]:
-        """License, share saved, missing and added words of a block."""
-        ranked = self.saved(block)
-        best = []
-        for gain, name in ranked[:COMPARED]:
-            if gain >= LEAST_SAVED:
-                missing, added = differences(block, self.templates[name])
-                if missing + added <= MOST_MISSING * len(_WORD.findall(self.templates[name].lower())):
-                    best.append((missing + added, -gain, name, gain, missing, added))
-        if not best:
+        """License, share saved, missing and added words of the place of a block with the fewest differences."""
+        found = self.places(block)
+        if not found:
+            ranked = self.saved(block)
             return None, ranked[0][0] if ranked else 0.0, 0, 0
-        _, _, name, gain, missing, added = min(best)
-        return name, gain, missing, added
+        return min(found, key=lambda p: (p[4] + p[5], -p[3], p[2]))[2:]
 
+    def rows(self, text: str | None) -> list[dict]:
+        """The licenses of a text, and its candidate blocks in which there is none."""
+        out = []
+        for low, high, part in runs(blocks(text), len(text or ""), self.reach):
+            found = [(low + start, low + stop, *rest) for start, stop, *rest in self.places(text[low:high])]
+            out += [(start, *rest, text[start:stop]) for start, stop, *rest in found]
+            for start, block in part:
+                if not any(a < start + len(block) and start < b for a, b, *_ in found):
+                    ranked = self.saved(block)
+                    out.append((start, None, ranked[0][0] if ranked else 0.0, 0, 0, block))
+        names = ("start", "license", "saved", "missing_words", "added_words", "text")
+        return [{"block": i, **dict(zip(names, row))} for i, row in enumerate(sorted(out, key=lambda r: r[0]))]
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
-    """(id, block, start, license, saved, missing_words, added_words, text) of every candidate block; license is null where none is confirmed."""
-    known = dict(TEMPLATES if templates is None else templates)
+
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Mapping[str, str | Sequence[str]] | None = None) -> DataFrame:
+    """(id, block, start, license, saved, missing_words, added_words, text) of every license and of every candidate block without one (license is null)."""
+    known = dict(known_licenses() if templates is None else templates)
 
     def make():
         scanner = Scanner(known)
-
-        def compute(texts):
-            found = []
-            for text in texts:
-                rows = []
-                for i, (start, block) in enumerate(blocks(text)):
-                    name, gain, missing, added = scanner.name(block)
-                    rows.append({"block": i, "start": start, "license": name, "saved": gain, "missing_words": missing, "added_words": added, "text": block})
-                found.append(rows)
-            return {"found": found}
-
-        return compute
+        return lambda texts: {"found": [scanner.rows(text) for text in texts]}
 
     found = append_columns(docs, text_col, make, FIELDS, [id_col])
     return found.select(id_col, F.explode("found").alias("found")).select(id_col, "found.*")

@@ -1,6 +1,7 @@
 """Compression bands, license scans, language ID and the quality classifier."""
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -67,6 +68,38 @@ def test_license_blocks(spark, odd, none):
     assert licenses.scan_licenses(odd).count() == 0 == licenses.scan_licenses(none).count()
 
 
+def wrapped(text, sign="", width=60):
+    return "\n\n".join("\n".join(textwrap.wrap(p, width, initial_indent=sign, subsequent_indent=sign)) for p in text.split("\n\n"))
+
+
+def test_whole_and_wrapped_licenses():
+    known = licenses.known_licenses()
+    scanner = licenses.Scanner(known)
+    named = lambda text: [r["license"] for r in scanner.rows(text)]
+    for name, texts in known.items():
+        for text in texts:
+            for form in (text, wrapped(text), wrapped(text, "# "), " ".join(text.split())):
+                assert name in named("Some words before.\n\n" + form + "\n\nsome words after"), name
+    for text, name in [
+        ("MIT License", "MIT"), ("// SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: GPL-2.0-only */", "GPL-2.0"), ("SPDX-License-Identifier: Own-1.0", "Own-1.0"),
+        ("Apache License\n  Version 2.0, January 2004", "Apache-2.0"), ("under the GNU General Public License version 9", None),
+    ]:
+        assert named(text) == [name], text
+    assert named("SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0 WITH Classpath-exception-2.0") == ["MIT", "Apache-2.0", "GPL-2.0"]
+    header = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version."
+    assert named(header) == ["GPL-3.0"]
+
+
+def test_every_license_of_a_block_is_named():
+    scanner = licenses.Scanner(licenses.known_licenses())
+    found = scanner.rows("Licensed under the Apache License, Version 2.0. Released under the MIT License.")
+    assert [(r["license"], r["block"]) for r in found] == [("Apache-2.0", 0), ("MIT", 1)]
+    names = [n for n, _ in sorted(licenses.TEMPLATES.items()) for _ in range(3)]
+    assert [r["license"] for r in scanner.rows(" ".join(licenses.TEMPLATES[n] for n in names))] == names
+    close = {f"V{i}": f"Released under the house terms of our own license, version {i} of the long list." for i in range(30)}
+    assert all(licenses.Scanner(close).name(text)[0] == name for name, text in close.items())
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 30])
 def test_codewords_are_apart(n):
     code = langid.codewords(n)
