@@ -3,7 +3,9 @@
 A text that zstandard makes much smaller than prose of its length repeats itself; one
 that it hardly makes smaller is noise. Both are judged by the ratio of bytes before and
 after, over the whole text and over fixed chunks of it, against limits that depend on
-the length, since short texts never compress well.
+the length, since short texts never compress well. The upper limits hold for one byte a
+code point and grow with the bytes a code point has: scripts of two or three bytes a
+letter repeat their leading bytes, which is no repetition of text.
 
 Defined cases: null and empty texts have no words and fail the base rules; repeated rows
 each get a row; an empty table gives no rows; columns named as the results are replaced.
@@ -33,16 +35,16 @@ class Bands:
     """Limits of the ratio (bytes before by bytes after), for whole texts by length and for chunks.
 
     ``edges`` are lengths in bytes; ``low`` and ``high`` have one limit more than there
-    are edges. A text goes if its ratio is outside, or if more than ``odd_chunks`` of its
+    are edges; upper limits are multiplied by the bytes a code point. A text goes if its ratio is outside, or if more than ``odd_chunks`` of its
     full chunks are.
     """
 
-    edges: tuple[int, ...] = (128, 256, 512, 1024, 2048, 4096, 8192, 16384, 32768, 65536)
-    low: tuple[float, ...] = (0.5, 0.8, 1.0, 1.15, 1.25, 1.35, 1.45, 1.5, 1.5, 1.5, 1.5)
-    high: tuple[float, ...] = (1.9, 2.0, 2.1, 2.2, 2.35, 2.5, 2.6, 2.7, 2.8, 2.9, 3.1)
+    edges: tuple[int, ...] = (128, 256, 512, 1024, 2048, 4096, 8192, 16384, 32768, 65536, 262144, 1048576)
+    low: tuple[float, ...] = (0.5, 0.8, 1.0, 1.15, 1.25, 1.35, 1.45, 1.5, 1.5, 1.5, 1.5, 1.5, 1.5)
+    high: tuple[float, ...] = (2.2, 2.2, 2.4, 2.7, 3.0, 3.4, 3.7, 4.0, 4.3, 4.6, 5.0, 5.5, 6.0)
     chunk_bytes: int = 4096
     chunk_low: float = 1.35
-    chunk_high: float = 2.5
+    chunk_high: float = 3.7
     odd_chunks: float = 0.3
     level: int = 3
 
@@ -51,6 +53,11 @@ class Bands:
         return self.low[i], self.high[i]
 
 
+def point_bytes(data: bytes) -> float:
+    """Bytes a code point of UTF-8; 1 for a part without any."""
+    return 1.0 if data.isascii() else len(data) / max(1, int(np.count_nonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)))
+
+
 def repeated_words(words: list, window: int = 8) -> int:
     """Words inside windows of ``window`` words that occur at least twice."""
     windows = list(zip(*(words[i:] for i in range(window))))
@@ -87,19 +94,20 @@ class Judge:
             return 0.0, 0.0, 0.0
         b, n = self.bands, len(data) // self.bands.chunk_bytes
         whole = len(data) / len(self.compress(data))
-        found = [b.chunk_bytes / len(self.compress(data[i * b.chunk_bytes : (i + 1) * b.chunk_bytes])) for i in range(n)]
-        return whole, sum(x < b.chunk_low for x in found) / max(1, n), sum(x > b.chunk_high for x in found) / max(1, n)
+        parts = [data[i * b.chunk_bytes : (i + 1) * b.chunk_bytes] for i in range(n)]
+        found = [(b.chunk_bytes / len(self.compress(x)), point_bytes(x)) for x in parts]
+        return whole, sum(x < b.chunk_low for x, _ in found) / max(1, n), sum(x > b.chunk_high * wide for x, wide in found) / max(1, n)
 
-    def verdict(self, size: int, ratio: float, below: float, above: float) -> bool:
-        low, high = self.bands.limits(size)
-        return low <= ratio <= high and below + above <= self.bands.odd_chunks
+    def verdict(self, data: bytes, ratio: float, below: float, above: float) -> bool:
+        low, high = self.bands.limits(len(data))
+        return low <= ratio <= high * point_bytes(data) and below + above <= self.bands.odd_chunks
 
     def row(self, text: str | None) -> tuple:
         counts = base_counts(text)
         failed = counts[0] < 20 or 100 * counts[4] > 30 * counts[0]
         data = (text or "").encode()
         ratios = self.ratios(data)
-        return *counts, failed, not failed and self.verdict(len(data), *ratios), *ratios
+        return *counts, failed, not failed and self.verdict(data, *ratios), *ratios
 
 
 def compression_bands(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: Bands = Bands()) -> DataFrame:

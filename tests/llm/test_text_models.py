@@ -51,6 +51,21 @@ def test_keep_good_keeps_clean_documents(spark, docs, odd):
     assert good.filter("kept").count() >= 0.98 * good.count()
 
 
+def test_bands_keep_real_prose():
+    judge, texts = bands.Judge(bands.Bands()), [t for ts in licenses.known_licenses().values() for t in ts if len(t.split()) > 100]
+    assert len(texts) >= 15
+    for text in [*texts, "\n\n".join(texts)]:  # also far beyond 64 KB
+        row = judge.row(text)
+        assert row[5] or row[6], (text[:80], row)
+    rng, letters = random.Random(3), "कखगघचछजझटठडढतथदधनपफबभमयरलवशषसह"
+    words = ["".join(rng.choice(letters) + rng.choice(["", "ा", "ि", "ी", "े", "ो"]) for _ in range(rng.randint(1, 4))) for _ in range(400)]
+    for n in (60, 130, 900, 9000):
+        hindi = " ".join(words[min(399, int(rng.expovariate(0.012)))] for _ in range(n))
+        row = judge.row(hindi)
+        assert row[6], (n, row)
+        assert not judge.row(" ".join(f"{i} {hindi[:160]}" for i in range(100)))[6]
+
+
 def test_licenses_are_named():
     scanner = licenses.Scanner(licenses.TEMPLATES)
     for name, text in licenses.TEMPLATES.items():
