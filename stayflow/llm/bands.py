@@ -2,7 +2,7 @@
 
 A text that zstandard makes much smaller than prose of its length repeats itself; one
 that it hardly makes smaller is noise. Both are judged by the ratio of bytes before and
-after, over the whole text and over fixed chunks of it, against limits that depend on
+after, over the whole text and over chunks that cover all of it, against limits that depend on
 the length, since short texts never compress well. The upper limits hold for one byte a
 code point and grow with the bytes a code point has: scripts of two or three bytes a
 letter repeat their leading bytes, which is no repetition of text.
@@ -35,8 +35,9 @@ class Bands:
     """Limits of the ratio (bytes before by bytes after), for whole texts by length and for chunks.
 
     ``edges`` are lengths in bytes; ``low`` and ``high`` have one limit more than there
-    are edges; upper limits are multiplied by the bytes a code point. A text goes if its ratio is outside, or if more than ``odd_chunks`` of its
-    full chunks are.
+    are edges; upper limits are multiplied by the bytes a code point. A text goes if its
+    ratio is outside, or if chunks with more than ``odd_chunks`` of its bytes are. The rest
+    after the full chunks is a chunk with the limits of its length.
     """
 
     edges: tuple[int, ...] = (128, 256, 512, 1024, 2048, 4096, 8192, 16384, 32768, 65536, 262144, 1048576)
@@ -89,14 +90,18 @@ class Judge:
         self.compress = zstandard.ZstdCompressor(level=bands.level).compress
 
     def ratios(self, data: bytes) -> tuple[float, float, float]:
-        """Of the whole text; shares of its full chunks below and above the chunk limits."""
+        """Of the whole text; shares of its bytes in chunks below and above their limits."""
         if not data:
             return 0.0, 0.0, 0.0
-        b, n = self.bands, len(data) // self.bands.chunk_bytes
+        b, below, above = self.bands, 0, 0
         whole = len(data) / len(self.compress(data))
-        parts = [data[i * b.chunk_bytes : (i + 1) * b.chunk_bytes] for i in range(n)]
-        found = [(b.chunk_bytes / len(self.compress(x)), point_bytes(x)) for x in parts]
-        return whole, sum(x < b.chunk_low for x, _ in found) / max(1, n), sum(x > b.chunk_high * wide for x, wide in found) / max(1, n)
+        for i in range(0, len(data), b.chunk_bytes):
+            part = data[i : i + b.chunk_bytes]
+            ratio = len(part) / len(self.compress(part)) if len(part) < len(data) else whole
+            low, high = (b.chunk_low, b.chunk_high) if len(part) == b.chunk_bytes else b.limits(len(part))
+            below += len(part) * (ratio < low)
+            above += len(part) * (ratio > high * point_bytes(part))
+        return whole, below / len(data), above / len(data)
 
     def verdict(self, data: bytes, ratio: float, below: float, above: float) -> bool:
         low, high = self.bands.limits(len(data))

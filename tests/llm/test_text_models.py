@@ -66,6 +66,18 @@ def test_bands_keep_real_prose():
         assert not judge.row(" ".join(f"{i} {hindi[:160]}" for i in range(100)))[6]
 
 
+def test_junk_in_the_last_part_is_seen():
+    judge, rng = bands.Judge(bands.Bands()), random.Random(4)
+    prose = licenses.known_licenses()["Apache-2.0"][-1][:4096]
+    junk = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(4000))
+    again = " ".join(f"line {i} of the same old text again" for i in range(110))
+    assert judge.row(prose)[6] and judge.row(prose + prose[:500])[6]
+    for odd in (junk, again):
+        assert not judge.row(prose + " " + odd)[6] and not judge.row(odd + " " + prose)[6]
+    short = judge.row(prose[:2000])
+    assert short[6] and short[8:] == (0, 0) and judge.row("")[7:] == (0, 0, 0)
+
+
 def test_licenses_are_named():
     scanner = licenses.Scanner(licenses.TEMPLATES)
     for name, text in licenses.TEMPLATES.items():
