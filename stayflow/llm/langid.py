@@ -6,12 +6,15 @@ language whose codeword is nearest, by the logistic losses of all bits, each wei
 how well that bit is told for that language. Where no codeword is near, or two are about
 equally near, the text is flagged as ambiguous.
 
-The classifiers are fitted on a bounded sample of about ``SAMPLE_ROWS`` rows, the same
-number for each language, drawn by a hash of the id; a language needs ``LEAST_ROWS`` rows.
+The classifiers are fitted on a bounded sample of about ``SAMPLE_ROWS`` ids, the same
+number for each language but at least about ``LEAST_ROWS``, drawn by a hash of the id; the
+smallest hash of a language is always drawn, so that every language is learned that has a
+row with a letter in the learning folds. Of an id with several rows one is learned from.
 Ids, languages and sources are never inputs of a prediction.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, as is
-everything if no language can be learned; with one language every text has it; repeated
+everything if no language can be learned, but then :func:`keep_identified` keeps all texts
+with a letter; with one language every text has it; repeated
 rows each get a row; an empty table gives no rows; rows with a null language or id are not
 learned from; columns named as the results are replaced.
 """
@@ -135,14 +138,15 @@ def fit(x: np.ndarray, langs: list[str]) -> Model:
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fits on a bounded sample of the rows of the learning folds."""
-    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & (id_hash(id_col) % FOLDS != HELD_FOLD))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().filter(F.col("count") >= LEAST_ROWS).collect()}
+    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & F.col(id_col).isNotNull() & (id_hash(id_col) % FOLDS != HELD_FOLD))
+    place = F.pmod(F.xxhash64(F.lit("sample"), id_col), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    counts = {r[0]: (r[1], r[2]) for r in rows.groupBy(lang_col).agg(F.approx_count_distinct(id_col), F.min(place)).collect()}
     if not counts:
         return fit(np.zeros((0, BUCKETS), np.float32), [])
     each = max(LEAST_ROWS, sample_rows // len(counts))
-    place = F.pmod(F.xxhash64(F.lit("sample"), id_col), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, min(1.0, 1.1 * each / n))))
-    chosen = rows.filter(place < F.coalesce(share[F.col(lang_col)], F.lit(0.0))).select(F.col(lang_col).alias("lang_true"), F.col(text_col))
+    share = F.create_map(*(F.lit(v) for k, (n, least) in counts.items() for v in (k, max(least, min(1.0, 1.1 * each / max(1, n))))))
+    drawn = rows.filter(place <= share[F.col(lang_col)]).groupBy(F.col(lang_col).alias("lang_true"), F.col(id_col).alias("__id"))
+    chosen = drawn.agg(F.min(F.struct(F.xxhash64(text_col), F.col(text_col).alias("text"))).alias("least")).select("lang_true", F.col("least.text").alias(text_col))
 
     def make():
         def compute(texts):
@@ -171,8 +175,10 @@ def identify_all(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents, with all their columns, whose language is told without ambiguity."""
+    """The documents, with all their columns, whose language is told without ambiguity; those with a letter if no language can be learned."""
     model = learn(docs, id_col, text_col, lang_col)
+    if not model.langs:
+        return filter_rows(docs, text_col, lambda: lambda texts: [has_letter(t) for t in texts])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():

@@ -159,6 +159,19 @@ def test_language_of_odd_documents(odd, none, docs):
     assert all(r.lang_pred == "und" for r in langid.identify(odd, langid.fit(np.zeros((0, langid.BUCKETS), np.float32), [])).collect())
 
 
+def test_rare_languages_are_learned(spark):
+    learning = [i for i in range(2000) if not held(i, 4, 2)]
+    rows = [(i, f"some words of the language {chr(97 + k % 26)}{chr(97 + k // 26)} " * 3, f"l{k}") for k, i in enumerate(learning[:300])]
+    rows += [(i, "many more words of the common tongue", "common") for i in learning[300:900]] + [(learning[900], "42", "none")]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == sorted({"common", *(f"l{k}" for k in range(300))})
+
+
+def test_stage_keeps_documents_without_a_model(spark):
+    rows = [(1, "some words", None), (2, "42", None), (3, None, None), (4, "others", None)]
+    assert [r.doc_id for r in langid.keep_identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).orderBy("doc_id").collect()] == [1, 4]
+
+
 def test_quality_on_held_out(spark, docs):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
     truth = {r.doc_id: r.quality for r in labels.collect()}
