@@ -6,7 +6,8 @@ passage a weight, learned from the labels of whole documents only, and the docum
 score comes from the weighted mean of its passages' encodings.
 
 The network is fitted on a bounded sample: about ``SAMPLE_DOCS`` labelled documents, of
-each at most ``SAMPLE_PASSAGES`` passages, evenly spaced. Scoring reads all passages.
+each at most ``SAMPLE_PASSAGES`` passages, evenly spaced; of an id with several rows one
+is learned from. Scoring reads all passages.
 Labels, ids, languages and sources are never inputs of a score.
 
 Defined cases: null and empty texts are one empty passage and get its score; a document
@@ -227,7 +228,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.groupBy(F.col(id_col).alias("__id")).agg(F.avg(label_col).alias("label"))
     place = F.pmod(F.xxhash64(F.lit("sample"), "__id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = known.filter(place < min(1.0, sample_docs / max(1, known.count())))
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col)).join(chosen, "__id")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(chosen, "__id")
+    rows = rows.groupBy("__id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least")).select("__id", "label", F.col("least.text").alias(text_col))
 
     def make():
         def compute(texts):

@@ -181,6 +181,19 @@ def test_quality_on_held_out(spark, docs):
     assert np.mean(out) >= 0.85
 
 
+def test_repeated_ids_are_learned_from_once(spark, monkeypatch):
+    rows = [(1, f"first text of many {i % 7}", "aa") for i in range(500)] + [(i, f"another text {i}", "bb") for i in range(2, 40)]
+    many = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    once, labels = {r[0] for r in rows}, spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda x, langs: seen.append(sorted(langs)))
+    monkeypatch.setattr(milquality, "fit", lambda bags, y: seen.append(len(bags)))
+    langid.learn(many)
+    milquality.learn(many, labels)
+    assert seen[0] == ["aa"] * (not held(1, 4, 2)) + ["bb"] * sum(not held(i, 4, 2) for i in once - {1})
+    assert seen[1] == sum(not held(i, 5, 0) for i in once)
+
+
 def test_quality_of_odd_documents(spark, odd, none):
     labels = spark.createDataFrame([(7, 1), (8, 0), (8, 1), (11, 0), (None, 1), (4, None), (6, 1)], "doc_id long, quality int")
     rows = milquality.score_all(odd, labels).collect()
