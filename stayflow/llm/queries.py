@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayflow.llm import bands, bitplanes, langid, licenses, milquality, packing, perspective, simhash, urlfilter, wumanber
+from stayflow.llm import bands, bitplanes, importance, jaccard, langid, lexical, licenses, milquality, packing, perspective, simhash, urlfilter, wumanber
 from stayflow.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,72 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list holds the URLs of the query set: every page whose id is divisible by 50."""
     listed = documents(spark, sf_dir, "pages").filter("page_id % 50 = 0")
     return urlfilter.judge_urls(documents(spark, sf_dir, "pages"), listed)
+
+
+# The buckets, the salt, the share drawn and the CRC-32 polynomial.
+OP11_SQL = r"""
+WITH crc AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+             FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dc AS (SELECT r, word, count(*) AS n FROM (SELECT r, unnest(w) AS word FROM d) GROUP BY ALL),
+tc AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark) GROUP BY ALL),
+v AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM dc UNION SELECT word FROM tc)),
+b AS (SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+             lambda c, x: xor(c >> 8, crc.t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM v, crc),
+s AS (SELECT bucket, CAST(sum(n) AS BIGINT) AS s FROM dc JOIN b USING (word) GROUP BY bucket),
+t AS (SELECT bucket, CAST(sum(n) AS BIGINT) AS t FROM tc JOIN b USING (word) GROUP BY bucket),
+total AS (SELECT coalesce((SELECT CAST(sum(s) AS BIGINT) FROM s), 0) AS s_all, coalesce((SELECT CAST(sum(t) AS BIGINT) FROM t), 0) AS t_all),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * (s_all + 10000) AS DOUBLE) / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket), total),
+k AS (SELECT r, CAST(sum(n * gain) AS BIGINT) AS weight FROM dc JOIN b USING (word) JOIN g USING (bucket) GROUP BY r),
+p AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+      CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296.0::DOUBLE))) AS BIGINT) AS noise FROM d LEFT JOIN k USING (r)),
+q AS (SELECT *, weight + noise AS score, count(CASE WHEN n_features >= 20 THEN 1 END) OVER () AS n,
+      row_number() OVER (PARTITION BY n_features >= 20 ORDER BY weight + noise DESC, doc_id NULLS LAST, n_features) AS place FROM p)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM q
+"""
+
+
+@query("op11_importance_resampling", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+# The word characters, the shingle length and the least similarity.
+OP12_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[i : i + 2], ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS t(i) WHERE len(w) > 0),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+c AS (SELECT r, n, min(r) OVER (PARTITION BY f, n) AS rep FROM (SELECT r, n, string_agg(hash(g), ',' ORDER BY hash(g)) AS f FROM s JOIN n USING (r) GROUP BY r, n)),
+u AS (SELECT s.r, g, n FROM s JOIN c USING (r) WHERE c.r = rep),
+o AS (SELECT a.r AS x, b.r AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS common FROM u AS a JOIN u AS b ON a.g = b.g AND a.r <> b.r AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY a.r, b.r),
+l AS (SELECT x, y FROM o WHERE 100 * common >= 90 * (nx + ny - common)),
+reach(x, y) AS (SELECT DISTINCT rep, rep FROM c UNION SELECT reach.x, l.y FROM reach JOIN l ON l.x = reach.y),
+best AS (SELECT reach.x AS rep, min(doc_id) AS component_id FROM reach JOIN c ON c.rep = reach.y JOIN d ON d.r = c.r GROUP BY reach.x)
+SELECT doc_id, coalesce(c.n, 0) AS n_shingles, CASE WHEN c.n IS NULL THEN doc_id ELSE component_id END AS component_id
+FROM d LEFT JOIN c USING (r) LEFT JOIN best USING (rep)
+"""
+
+
+@query("op12_signature_tree_join", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(documents(spark, sf_dir))
+
+
+# The term characters, the scale of the scores and the number of documents per item.
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS b, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM tf, total GROUP BY term),
+m AS (SELECT r, doc_id, CAST(10 + ((90 * len(w) * n_docs) // l) AS BIGINT) AS m FROM d, total WHERE len(w) > 0),
+s AS (SELECT b, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM (SELECT b, unnest(w) AS term FROM b) JOIN df USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY b, r),
+k AS (SELECT b, doc_id, score, row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s JOIN m USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k JOIN b USING (b) WHERE rank <= 10
+"""
+
+
+@query("op13_ranked_lexical_search", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
