@@ -375,6 +375,14 @@ def join_group_features(df: DataFrame, fitted: Sequence[GroupFeatures], keep: Se
     return df.select(*keep, *[F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(n) for f in fitted for n in f.names])
 
 
+def group_feature_cells(df: DataFrame, fitted: Sequence[GroupFeatures], keep: Sequence[str]) -> DataFrame:
+    """(keep..., name, value): the kept aggregates in long form; no rows where none was kept."""
+    cells = "array<struct<name:string,value:double>>"
+    wide = join_group_features(df, fitted, keep)
+    pairs = [F.struct(F.lit(n).alias("name"), F.col(f"`{n}`").cast("double").alias("value")) for f in fitted for n in f.names]
+    return wide.select(*keep, F.inline(F.array(*pairs).cast(cells)))
+
+
 def group_aggregate_features(
     df: DataFrame,
     train: DataFrame,

@@ -143,7 +143,7 @@ def _group_sql():
     grid = "lg AS (SELECT DISTINCT a.grp, b.feature, b.level FROM lc a JOIN (SELECT DISTINCT feature, level FROM lc) b USING (feature))"
     shares = "SELECT lg.grp, 'NATION__*__'||lg.feature||'__*__'||lg.level AS name, coalesce(lc.n,0)/sum(lc.n) OVER (PARTITION BY lg.grp, lg.feature) AS value FROM lg LEFT JOIN lc USING (grp, feature, level)"
     # joined back to the rows and correlated there, the long way round
-    return [ln, lv, grid, f"ag AS ({nums} UNION ALL {shares})", f"cr AS (SELECT name, {corr('value', 'status')} AS corr FROM v5 JOIN ag ON ag.grp=v5.nation GROUP BY name)"]
+    return [ln, lv, grid, f"ag AS MATERIALIZED ({nums} UNION ALL {shares})", f"cr AS MATERIALIZED (SELECT name, {corr('value', 'status')} AS corr FROM v5 JOIN ag ON ag.grp=v5.nation GROUP BY name)"]
 
 
 query("group_aggregate_features_choice", with_views("v5", *_group_sql(), select="SELECT name, round(corr,6) AS corr FROM cr"))(
@@ -162,11 +162,8 @@ query(
 
 
 def _group_features(df):
-    """(chc_id, name, value) of all kept features, whatever their names."""
-    out = ca.group_aggregate_features(df, df, ["nation"], _GN, _GC)
-    names = [c for c in out.columns if c != "chc_id"]
-    cells = F.array(*[F.struct(F.lit(n).alias("name"), F.round(F.col(f"`{n}`"), 4).alias("value")) for n in names])
-    return out.select("chc_id", F.inline(cells))
+    fitted = ca.fit_group_features(df, ["nation"], _GN, _GC)
+    return ca.group_feature_cells(df, fitted, ["chc_id"]).withColumn("value", F.round("value", 4))
 
 
 # --- the whole categorical pipeline, in long form ---

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from stayflow import fixtures as fx
 from stayflow.operators import cohort as co, sampling as sa
-from stayflow.queries.registry import query
+from stayflow.queries.registry import ORACLES as ORACLE_OF, query  # noqa: F401 - the same SQL serves other forms of a query
 from stayflow.queries.views import with_views
 
 MONTH = 200003
@@ -51,7 +51,9 @@ query("label_positive", with_views("v1", select=f"SELECT chc_id, tenure FROM v1
     lambda s, sf: co.positives(fx.snapshot(s, sf), MONTH, RULES).select("chc_id", "tenure")
 )
 
-query("label_negative", with_views("v1", select=f"SELECT chc_id, tenure FROM v1 WHERE {ELIGIBLE} AND {STAYED}"))(
+# one grouping per customer: the months of the window in which it is active and clean
+STAY_CTE = f"st AS (SELECT chc_id FROM v1 WHERE {CLEAN} AND dt IN (200004, 200005, 200006) GROUP BY chc_id HAVING count(DISTINCT dt) = 3)"
+query("label_negative", with_views("v1", STAY_CTE, select=f"SELECT v1.chc_id, v1.tenure FROM v1 JOIN st ON st.chc_id = v1.chc_id WHERE {ELIGIBLE}"))(
     lambda s, sf: co.negatives(fx.snapshot(s, sf), MONTH, RULES).select("chc_id", "tenure")
 )
 

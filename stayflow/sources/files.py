@@ -1,6 +1,8 @@
 """Reading and writing tables: sharded text exports, tables, run logs."""
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stayflow.operators.stats import per_column
@@ -61,3 +63,42 @@ def read_export(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 def write_table(df: DataFrame, path: str, truncate: bool, partition_by: tuple[str, ...] = ()) -> None:
     writer = df.write.mode("overwrite" if truncate else "append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
+def replace_parts(df: DataFrame, path: str, parts: Sequence[str]) -> None:
+    """Write ``df`` partitioned by ``parts``; a rerun replaces the partitions it writes and no others.
+
+    A month that is run again, or a run id, ends with one set of rows, in place of the two
+    that appending would leave. Partitions that ``df`` has no rows for stay as they are.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+
+
+def load_checked(spark: SparkSession, path: str, schema: T.StructType, target: str, fmt: str = "csv") -> tuple[DataFrame, DataFrame]:
+    """The rows of an export that fit the schema, and the lines that do not.
+
+    The files are parsed once, without dropping or failing on a bad line, and written to
+    ``target`` in two parts: rows of the schema, and quarantined (file, line). The sizes
+    of both add up to the lines of the files, headers and blank lines apart.
+    """
+    held = T.StructType([*schema.fields, T.StructField("_line", T.StringType())])
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"}
+    if fmt == "json":
+        # line by line: the file reader gives no row at all, or several, for a line that holds an array
+        lines = spark.read.text(path).filter("trim(value) <> ''")
+        row = F.when(F.ltrim("value").startswith("{"), F.from_json("value", held, how))
+        rows = lines.select(row.alias("_row"), "value")
+        broken = F.when(F.col("_row").isNull() | F.col("_row._line").isNotNull(), F.col("value"))
+        rows = rows.select(*(F.col(f"_row.`{c}`").alias(c) for c in schema.names), broken.alias("_line"))
+    else:
+        rows = spark.read.schema(held).options(**how, header=True, escape='"', enforceSchema=False).csv(path)
+    rows = rows.withColumns({"_file": F.input_file_name(), "_bad": F.col("_line").isNotNull()})
+    rows.write.mode("overwrite").partitionBy("_bad").parquet(target)
+    kept = spark.read.schema(T.StructType([*held.fields, T.StructField("_file", T.StringType()), T.StructField("_bad", T.BooleanType())])).parquet(target)
+    return kept.filter("NOT _bad").select(*schema.names), kept.filter("_bad").select(F.col("_file").alias("file"), F.col("_line").alias("line"))
+
+
+def quarantine_report(good: DataFrame, bad: DataFrame) -> DataFrame:
+    """(part, rows) of a checked load."""
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("part"), "rows")
+    return count(good, "good").unionByName(count(bad, "quarantined"))
