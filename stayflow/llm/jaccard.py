@@ -1,11 +1,14 @@
 """Jaccard join of word n-gram sets by signature trees.
 
 A document is the set of the 64-bit hashes of its word n-grams; equal sets are one class
-and are joined as one. Two classes whose sets overlap enough share one of their rarest
-members (a prefix as long as the sets may differ), in any order that is the same for all.
-The order is by a fixed array of hashed counts, so that members which many documents hold
-come last; it is one array of ``counters`` numbers at any size of the corpus. Classes that
-share a prefix member, directly or over others, form a cluster: every link lies inside one.
+and are joined as one. Sets that overlap enough differ in few members, and their sizes
+alone say in how many at most. So the members are dealt by their hash to one part more
+than that (and a few to spare): two linked classes have a part in which they agree. Parts
+are keyed by their whole content, a handful of members, so that unrelated texts do not meet
+over a common phrase. The number of parts belongs to a range of sizes; a set is keyed for
+its own range and, as the smaller partner, for the next one. Empty parts count only for
+sets with more of them than there are parts to spare. Classes that share a key, directly or
+over others, form a cluster: every link lies inside one.
 
 A cluster is searched by signature trees. Its classes are sorted by size and cut into
 blocks of bounded content; a task takes one block and the first one, or in the second round
@@ -22,8 +25,8 @@ Sets and classes are compared by 64-bit hashes.
 Defined cases: texts without words have an empty set and are linked with nothing; texts of
 fewer words than an n-gram have one member; repeated rows each get a row; the smallest id
 of a group ignores null ids and is null where all are; an empty table gives no rows; a very
-long text is hashed run by run and is a block by itself; sets of equal size or with equal
-prefixes need no order among them; only the two named columns are read, others do not matter.
+long text is hashed run by run and is a block by itself; ties of size need no
+order; only the two named columns are read, others do not matter.
 """
 from __future__ import annotations
 
@@ -35,14 +38,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from stayflow.llm.components import components
 from stayflow.llm.terms import WORDS, gram_runs
-from stayflow.llm.text import TEXT, append_columns, slices
+from stayflow.llm.text import append_columns
 from stayflow.operators.ordered import running_totals
 from stayflow.session import materialize
 
 SHINGLE_WORDS = 3
 PERCENT = 90
 SEED = 42
-COUNTERS = 1 << 18
 BLOCK_COST = 2 << 20  # members of the sets in a block, and MEMBER_COST for each set
 MEMBER_COST = 256
 
@@ -68,53 +70,68 @@ def code_of(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).astype(np.int64))
 
 
-def prefix_length(n: int, percent: int) -> int:
-    """So many members of a set of ``n`` cannot all be missing from a set that overlaps enough."""
-    return n - (percent * n + 99) // 100 + 1
-
-
-def hashed_counts(docs: DataFrame, text_col: str, words: int, counters: int) -> np.ndarray:
-    """Documents per counter; a member's counter is its hash modulo their number."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(counters, np.int64)
-        for batch in batches:
-            for part in slices(batch, TEXT):
-                for text in part.column(TEXT).to_pylist():
-                    np.add.at(total, (members(text, words) % np.uint64(counters)).astype(np.int64), 1)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype("int32")), pa.array(total[seen])], names=["place", "n"])
-
-    source = docs.select(F.col(f"`{text_col}`").cast("string").alias(TEXT))
-    summed = source.mapInArrow(run, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
-    out = np.zeros(counters, np.int64)
-    rows = summed.toArrow()  # at most ``counters`` rows
-    out[rows.column("place").to_numpy()] = rows.column("n").to_numpy()
-    return out
-
-
-def sets_of(docs: DataFrame, counts: np.ndarray, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """(id, n_shingles, code, prefix) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)  # one number per counter
+def size_ranges(percent: int, upto: int) -> list[int]:
+    """The upper ends of the ranges of sizes: sets of linked classes lie in the same or in neighbouring ranges."""
+    ends = [1]
+    while ends[-1] < upto:
+        ends.append(max(ends[-1] + 1, ends[-1] * 100 // percent))
+    return ends
+
+
+def parts_of(end: int, percent: int) -> tuple[int, int]:
+    """For sets of up to ``end`` members: the number of parts, and how many of them may be spared.
+
+    Linked sets differ in at most ``2 * end * (100 - percent) / (100 + percent)`` members;
+    where that is none, equal sets alone are linked, and there are no parts.
+    """
+    apart = 2 * end * (100 - percent) // (100 + percent)
+    if not apart:
+        return 0, 0
+    spare = 2 + apart // 100
+    return apart + 1 + spare, spare
+
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def part_keys(found: np.ndarray, percent: int) -> np.ndarray:
+    """The keys of a set: one for each of its parts in its own range of sizes and in the next."""
+    n = len(found)
+    if not n:
+        return np.zeros(0, np.int64)
+    ends = size_ranges(percent, n)
+    following = max(ends[-1] + 1, ends[-1] * 100 // percent)
+    out = []
+    for place, end in ((len(ends), ends[-1]), (len(ends) + 1, following)):
+        parts, spare = parts_of(end, percent)
+        if not parts:
+            continue
+        at = ((found >> np.uint64(17)) % np.uint64(parts)).astype(np.int64)
+        content, size = np.zeros(parts, np.uint64), np.bincount(at, minlength=parts)
+        np.add.at(content, at, found)
+        here = np.arange(parts)
+        if (size == 0).sum() <= spare:
+            here = here[size > 0]
+        with np.errstate(over="ignore"):
+            key = content[here] + (np.uint64(place << 32) + here.astype(np.uint64)) * _MIX
+            key ^= key >> np.uint64(29)
+            key *= np.uint64(0xBF58476D1CE4E5B9)
+            key ^= key >> np.uint64(32)
+        out.append(key)
+    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+
+
+def sets_of(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """(id, n_shingles, code, keys) of every document."""
 
     def make():
-        order, counters = shared.value, np.uint64(len(shared.value))
-
         def compute(texts: list) -> dict:
-            out = {"n_shingles": [], "code": [], "prefix": []}
-            for text in texts:
-                found = members(text, words)
-                n = len(found)
-                length = prefix_length(n, percent) if n else 0
-                rare = np.lexsort((found, order[(found % counters).astype(np.int64)]))[:length]
-                out["n_shingles"].append(n)
-                out["code"].append(code_of(found))
-                out["prefix"].append(found[rare].view(np.int64))
-            return out
+            sets = [members(t, words) for t in texts]
+            return {"n_shingles": list(map(len, sets)), "code": list(map(code_of, sets)), "keys": [part_keys(s, percent) for s in sets]}
 
         return compute
 
-    return append_columns(docs, text_col, make, "n_shingles long, code long, prefix array<long>", [id_col])
+    return append_columns(docs, text_col, make, "n_shingles long, code long, keys array<long>", [id_col])
 
 
 class SignatureTree:
@@ -220,10 +237,10 @@ def _tree_links(dealt: DataFrame, percent: int) -> DataFrame:
 
 
 def cluster_blocks(classes: DataFrame, block_cost: int) -> DataFrame:
-    """(code, n, first_id, cluster, block) of the classes that share a prefix member with another."""
-    held = classes.select("code", F.explode("prefix").alias("member"))
-    shared = held.groupBy("member").agg(F.min("code").alias("pivot"), F.max("code").alias("other")).filter("pivot < other").select("member", "pivot")
-    edges = held.join(shared, "member").filter("code <> pivot").select(F.col("code").alias("a"), F.col("pivot").alias("b")).distinct()
+    """(code, n, first_id, cluster, block) of the classes that share a key with another."""
+    held = classes.select("code", F.explode("keys").alias("key"))
+    shared = held.groupBy("key").agg(F.min("code").alias("pivot"), F.max("code").alias("other")).filter("pivot < other").select("key", "pivot")
+    edges = held.join(shared, "key").filter("code <> pivot").select(F.col("code").alias("a"), F.col("pivot").alias("b")).distinct()
     label = materialize(components(edges), "clusters")
     label = label.unionByName(label.select(F.col("root").alias("node"), "root").distinct())
     inside = classes.select("code", "n", "first_id").join(label.select(F.col("node").alias("code"), F.col("root").alias("cluster")), "code")
@@ -278,12 +295,11 @@ def set_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, w
 
 
 def similar_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT, counters: int = COUNTERS, block_cost: int = BLOCK_COST,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT, block_cost: int = BLOCK_COST,
 ) -> DataFrame:
     """(id, n_shingles, component_id) of every document."""
-    counts = hashed_counts(docs, text_col, words, counters)
-    found = materialize(sets_of(docs, counts, id_col, text_col, words, percent), "sets")
-    classes = found.filter("n_shingles > 0").groupBy("code").agg(F.min(id_col).alias("first_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
+    found = materialize(sets_of(docs, id_col, text_col, words, percent), "sets")
+    classes = found.filter("n_shingles > 0").groupBy("code").agg(F.min(id_col).alias("first_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
     classes = materialize(classes, "classes")
     links = set_links(docs, classes, id_col, text_col, words, percent, block_cost)
     rooted = classes.select("code", "first_id").join(_labels(links), "code", "left").withColumn("root", F.coalesce("root", "code"))

@@ -136,7 +136,7 @@ def test_join_equals_all_pairs(spark, odd, block_cost):
     texts += [prose(300 + i, 2) for i in range(5)] + ["a b c", "a b", "A  b", "c b a"]
     rows += [(100 + i, t) for i, t in enumerate(texts)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    found = jaccard.similar_documents(frame, counters=1 << 10, block_cost=block_cost)
+    found = jaccard.similar_documents(frame, block_cost=block_cost)
     assert found.columns == ["doc_id", "n_shingles", "component_id"]
     assert sorted(map(tuple, found.collect()), key=str) == brute_components(rows)
 
@@ -147,6 +147,25 @@ def test_join_of_given_documents(spark, odd, none, docs):
     assert jaccard.similar_documents(none).collect() == []
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90, 97])
+def test_linked_sets_share_a_key(percent):
+    """Sets at the threshold, of all sizes and with any difference, agree in a part."""
+    rng = np.random.default_rng(percent)
+    for n in [*range(1, 60), 100, 333, 2000]:
+        for _ in range(6):
+            base = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) if n != 40 else rng.integers(0, 50, n, dtype=np.uint64) << np.uint64(40))
+            most = int(len(base) * (100 - percent) / 100)
+            less = np.sort(rng.permutation(base)[: len(base) - rng.integers(0, most + 1)])
+            swap = max(0, (100 * len(less) - percent * len(base)) // (100 + percent))
+            other = np.unique(np.concatenate([less[: len(less) - swap], rng.integers(0, 2**63, swap, dtype=np.uint64)]))
+            common = len(np.intersect1d(base, other))
+            if 100 * common >= percent * (len(base) + len(other) - common) and not np.array_equal(base, other):
+                assert set(jaccard.part_keys(base, percent)) & set(jaccard.part_keys(other, percent))
+    ends = jaccard.size_ranges(percent, 5000)
+    place = {n: next(i for i, e in enumerate(ends) if n <= e) for n in range(1, 3000)}
+    assert all(place[-(-percent * n // 100)] >= place[n] - 1 for n in place)
+
+
 def test_tree_keeps_every_link():
     rng = np.random.default_rng(3)
     base = [rng.integers(0, 2**63, 300, dtype=np.uint64) for _ in range(6)]
