@@ -47,6 +47,7 @@ PERCENT = 90
 SEED = 42
 BLOCK_COST = 2 << 20  # members of the sets in a block, and MEMBER_COST for each set
 MEMBER_COST = 256
+FILTER_WORDS = 1 << 18  # 64-bit words of the bit tables that keep rows without a partner from being moved
 
 _GROUP = 16
 _WIDEST = 1 << 15  # bits of a bitmap
@@ -70,11 +71,16 @@ def code_of(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).astype(np.int64))
 
 
+def next_end(end: int, percent: int) -> int:
+    """The upper end of the range of sizes behind ``end``: wide enough that no partner of a set lies beyond it."""
+    return max(end + 1, end * max(150, 10_000 // percent + 1) // 100)
+
+
 def size_ranges(percent: int, upto: int) -> list[int]:
     """The upper ends of the ranges of sizes: sets of linked classes lie in the same or in neighbouring ranges."""
     ends = [1]
     while ends[-1] < upto:
-        ends.append(max(ends[-1] + 1, ends[-1] * 100 // percent))
+        ends.append(next_end(ends[-1], percent))
     return ends
 
 
@@ -87,7 +93,7 @@ def parts_of(end: int, percent: int) -> tuple[int, int]:
     apart = 2 * end * (100 - percent) // (100 + percent)
     if not apart:
         return 0, 0
-    spare = 2 + apart // 100
+    spare = 3 + apart // 25
     return apart + 1 + spare, spare
 
 
@@ -95,16 +101,15 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def part_keys(found: np.ndarray, percent: int) -> np.ndarray:
-    """The keys of a set: one for each of its parts in its own range of sizes and in the next."""
+    """The keys of a set: one for each of its parts in its own range of sizes, and in the next if a partner may lie there."""
     n = len(found)
     if not n:
         return np.zeros(0, np.int64)
     ends = size_ranges(percent, n)
-    following = max(ends[-1] + 1, ends[-1] * 100 // percent)
     out = []
-    for place, end in ((len(ends), ends[-1]), (len(ends) + 1, following)):
+    for place, end in ((len(ends), ends[-1]), (len(ends) + 1, next_end(ends[-1], percent))):
         parts, spare = parts_of(end, percent)
-        if not parts:
+        if not parts or (place > len(ends) and n * 100 // percent <= ends[-1]):
             continue
         at = ((found >> np.uint64(17)) % np.uint64(parts)).astype(np.int64)
         content, size = np.zeros(parts, np.uint64), np.bincount(at, minlength=parts)
@@ -236,11 +241,27 @@ def _tree_links(dealt: DataFrame, percent: int) -> DataFrame:
     return dealt.select("cluster", "task", "code", "root", "members").groupBy("cluster", "task").applyInArrow(search, "a long, b long")
 
 
+def _bits(values: DataFrame, column: str) -> DataFrame:
+    """A bit for each hash of the values: a table of at most ``FILTER_WORDS`` rows, whatever their number."""
+    at = F.pmod(F.xxhash64(column), F.lit(FILTER_WORDS * 64))
+    bit = F.expr("shiftleft(1L, cast(_at & 63 as int))")
+    return values.select(at.alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(bit).alias("_set"))
+
+
+def _sifted(df: DataFrame, column: str, bits: DataFrame) -> DataFrame:
+    """The rows whose value may be among those of ``bits``; a join that follows decides. It only saves moving the others."""
+    at = df.withColumn("_at", F.pmod(F.xxhash64(column), F.lit(FILTER_WORDS * 64))).withColumn("_word", F.shiftright("_at", 6))
+    met = at.join(F.broadcast(bits), "_word")  # at most FILTER_WORDS rows
+    return met.filter("(_set & shiftleft(1L, cast(_at & 63 as int))) <> 0").drop("_at", "_word", "_set")
+
+
 def cluster_blocks(classes: DataFrame, block_cost: int) -> DataFrame:
     """(code, n, first_id, cluster, block) of the classes that share a key with another."""
     held = classes.select("code", F.explode("keys").alias("key"))
-    shared = held.groupBy("key").agg(F.min("code").alias("pivot"), F.max("code").alias("other")).filter("pivot < other").select("key", "pivot")
-    edges = held.join(shared, "key").filter("code <> pivot").select(F.col("code").alias("a"), F.col("pivot").alias("b")).distinct()
+    shared = materialize(held.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("key"), "shared-keys")
+    met = materialize(_sifted(held, "key", _bits(shared, "key")).join(shared, "key").select("key", "code"), "shared-members")
+    pivots = met.groupBy("key").agg(F.min("code").alias("pivot"))
+    edges = met.join(pivots, "key").filter("code <> pivot").select(F.col("code").alias("a"), F.col("pivot").alias("b")).distinct()
     label = materialize(components(edges), "clusters")
     label = label.unionByName(label.select(F.col("root").alias("node"), "root").distinct())
     inside = classes.select("code", "n", "first_id").join(label.select(F.col("node").alias("code"), F.col("root").alias("cluster")), "code")
@@ -251,7 +272,8 @@ def cluster_blocks(classes: DataFrame, block_cost: int) -> DataFrame:
 def _contents(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """``placed`` with the members of each set, read from a document that has the class's first id."""
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    wanted = texts.join(placed, texts["_id"].eqNullSafe(placed["first_id"]))
+    near = _sifted(texts, "_id", _bits(placed.withColumnRenamed("first_id", "_id"), "_id"))
+    wanted = near.join(placed, near["_id"].eqNullSafe(placed["first_id"]))
 
     def make():
         def compute(found: list) -> dict:

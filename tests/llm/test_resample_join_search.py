@@ -166,6 +166,16 @@ def test_linked_sets_share_a_key(percent):
     assert all(place[-(-percent * n // 100)] >= place[n] - 1 for n in place)
 
 
+def test_bit_tables_let_no_partner_go(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FILTER_WORDS", 2)
+    left = spark.createDataFrame([(i,) for i in range(500)] + [(None,)], "v long")
+    right = spark.createDataFrame([(i,) for i in range(0, 60, 3)] + [(None,)], "v long")
+    bits = jaccard._bits(right, "v")
+    assert bits.count() <= 2
+    kept = {r.v for r in jaccard._sifted(left, "v", bits).collect()}
+    assert {r.v for r in right.collect()} <= kept and len(kept) < 500
+
+
 def test_tree_keeps_every_link():
     rng = np.random.default_rng(3)
     base = [rng.integers(0, 2**63, 300, dtype=np.uint64) for _ in range(6)]
