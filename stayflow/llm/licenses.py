@@ -1,19 +1,23 @@
 """License scans by conditional compression.
 
-Words of licensing mark candidate blocks: the paragraph or comment around the word. With
-twice the longest template's length of text to either side they are read as runs, so that
-a license of many paragraphs is compared whole. A template can stand where enough of its word pairs follow each other; the
-stretch is compressed by itself and with the template as a raw zstandard dictionary, and
-where the template saves enough of its size the two are compared word by word, line breaks,
-comment signs and case left out. Every template is tried. Of those with few wording
-differences the longest is named, its words are taken out and the rest is read again, until
-nothing more is confirmed; so each place of a text gets its license. SPDX lines are read by
-their grammar.
-
-Defined cases: null and empty texts have no blocks; a paragraph or line with no end near the
-word is cut ``REACH`` characters from it; several licenses of a document each get a row,
-repeated rows too; a block without a license gets a row with null; ties go to the template
-that saves more, then to the first name; an empty table gives no rows; other columns are
+Candidate blocks are the stretches of a text in which enough word pairs of some template
+follow each other, wherever they stand. A block is compressed by itself and with each
+template as a raw zstandard dictionary, and the templates are ranked by the bytes they
+save. In this order each is compared with the block word by word, line breaks, comment signs
+and case left out; the first whose wording differs in few enough words is confirmed at all
+its places in the block. Their words are taken out, the rest is ranked again, and so on until
+no template is confirmed. A word that tells licenses apart (Affero, NonCommercial, a version
+number and the like) never passes as a difference, however long the license. SPDX lines are
+read by their grammar.
+
+The paragraphs around words of licensing that end without a license are told as well.
+
+Defined cases: null and empty texts have no blocks; a block longer than two of the longest
+templates is worked through in overlapping pieces, so that a very long text takes time in
+proportion; several licenses of a document each get a row, repeated rows too; a paragraph
+without a license gets a row with null, cut ``REACH`` characters from its word of licensing
+where it does not end (this cuts the text told, not what is compared); templates that save
+the same go by fewer words, then by name; an empty table gives no rows; other columns are
 left alone.
 """
 from __future__ import annotations
@@ -26,6 +30,7 @@ from difflib import SequenceMatcher
 from functools import cache
 from importlib import resources
 
+import numpy as np
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -97,9 +102,13 @@ _SPDX = re.compile(rf"SPDX-License-Identifier:[ \t]*(\(*{_ID}(?:\)*[ \t]+(?:AND|
 _SPDX_ID = re.compile(rf"(WITH[ \t]+)?({_ID})", re.IGNORECASE)
 _VARIANT = re.compile(r"(-only|-or-later|\+)$", re.IGNORECASE)
 
+# Words that tell one license from another; so do the numbers behind "version".
+_TELLING = frozenset("affero lesser noncommercial noderivatives noderivs sharealike".split())
+_BEFORE_NUMBER = frozenset("version v".split())
+
 REACH = 1000
 LEAST_SAVED = 0.3
-MOST_MISSING = 0.2
+MOST_MISSING = 0.2  # of a short template's words; of a long one's a twentieth and ten
 WHOLE_WORDS = 60  # below, the numbers of a template must be there: they tell versions apart
 FIELDS = "found array<struct<block:int,start:long,license:string,saved:double,missing_words:int,added_words:int,text:string>>"
 
@@ -135,28 +144,26 @@ def blocks(text: str | None) -> list[tuple[int, str]]:
     return out
 
 
-def runs(found: list[tuple[int, str]], size: int, reach: int) -> Iterator[tuple[int, int, list[tuple[int, str]]]]:
-    """(start, stop, blocks) of the stretches of a text that are within ``reach`` characters of its blocks."""
-    part: list[tuple[int, str]] = []
-    for start, block in found:
-        if part and start - reach > part[-1][0] + len(part[-1][1]) + reach:
-            yield max(0, part[0][0] - reach), part[-1][0] + len(part[-1][1]) + reach, part
-            part = []
-        part.append((start, block))
-    if part:
-        yield max(0, part[0][0] - reach), min(size, part[-1][0] + len(part[-1][1]) + reach), part
-
-
 def split_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def telling(words: Sequence[str | None], i: int) -> bool:
+    """Whether the i-th word tells licenses apart."""
+    word = words[i]
+    if word in _TELLING:
+        return True
+    if word == "library":
+        return i + 1 < len(words) and words[i + 1] == "general"
+    return word is not None and word[0].isdigit() and i > 0 and words[i - 1] in _BEFORE_NUMBER
+
+
 class Template:
     """A license's wording: words, word pairs, and how many differences pass."""
 
     def __init__(self, name: str, text: str, level: int):
         self.name, self.words = name, split_words(text)
-        self.allowed = int(MOST_MISSING * len(self.words))
+        self.allowed = int(min(MOST_MISSING * len(self.words), 10 + len(self.words) / 20))
         self.pairs = Counter(zip(self.words, self.words[1:])) if len(self.words) > 1 else Counter((w,) for w in self.words)
         # A difference breaks two pairs at most.
         self.least = max(1, self.pairs.total() - 2 * self.allowed)
@@ -165,7 +172,7 @@ class Template:
         given = zstandard.ZstdCompressionDict(self.data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.given = zstandard.ZstdCompressor(level=level, write_content_size=False, dict_data=given)
 
-    def windows(self, at: list[int]) -> Iterator[tuple[int, int]]:
+    def windows(self, at: Sequence[int]) -> Iterator[tuple[int, int]]:
         """(first, last) pair positions between which the template can stand; ``at`` has the positions of its pairs."""
         far, span, begin = 2 * self.allowed + 1, len(self.words) + self.allowed, 0
         for i in range(1, len(at) + 1):
@@ -182,6 +189,20 @@ class Template:
                     low += span
             begin = i
 
+    def exact(self, part: Sequence[str | None]) -> Iterator[int]:
+        """First words of the places without any difference, one after the other."""
+        n, i = len(self.words), 0
+        while True:
+            try:
+                i = part.index(self.words[0], i)
+            except ValueError:
+                return
+            if part[i : i + n] == self.words:
+                yield i
+                i += n
+            else:
+                i += 1
+
     def align(self, part: list[str | None]) -> tuple[int, int, int, int] | None:
         """(start, stop, missing, added) of the best place in a list of words: template words that it lacks, and words that the template lacks."""
         keys = Counter(zip(part, part[1:]) if len(self.words) > 1 else ((w,) for w in part))
@@ -200,10 +221,18 @@ class Template:
         if not used:
             return None
         same = sum(m.size for m in used)
-        missing, added = len(self.words) - same, used[-1].b + used[-1].size - used[0].b - same
-        if missing + added > self.allowed or not all(any(m.a <= i < m.a + m.size for m in used) for i in self.numbers):
+        start, stop = used[0].b, used[-1].b + used[-1].size
+        missing, added = len(self.words) - same, stop - start - same
+        if missing + added > self.allowed:
+            return None
+        held = np.zeros(len(self.words), bool)
+        for m in used:
+            held[m.a : m.a + m.size] = True
+        lacks = np.flatnonzero(~held).tolist()
+        between = [i for m, n in zip(used, used[1:]) for i in range(m.b + m.size, n.b)]
+        if any(telling(self.words, i) for i in lacks) or any(telling(part, i) for i in between) or any(not held[i] for i in self.numbers):
             return None
-        return used[0].b, used[-1].b + used[-1].size, missing, added
+        return start, stop, missing, added
 
 
 class Scanner:
@@ -212,16 +241,30 @@ class Scanner:
     def __init__(self, templates: Mapping[str, str | Sequence[str]], level: int = 3):
         texts = {name: [t] if isinstance(t, str) else list(t) for name, t in templates.items()}
         self.level = level
-        self.reach = 2 * max((len(t) for ts in texts.values() for t in ts), default=0) + REACH  # no license goes on further
         self.alone = zstandard.ZstdCompressor(level=level, write_content_size=False)
         self.frame = len(self.alone.compress(b""))  # bytes that no template can save
         self.templates = [t for name in sorted(texts) for text in texts[name] if (t := Template(name, text, level)).words]
         self.sizes = [len(self.alone.compress(t.data)) for t in self.templates]
-        self.index = defaultdict(list)
+        # long, middling and short templates, each with the words of its longest place: a block is of the size of its templates
+        self.kinds = []
+        for low, high in ((1000, 1 << 30), (100, 1000), (0, 100)):
+            members = {k for k, t in enumerate(self.templates) if low <= len(t.words) < high}
+            if members:
+                self.kinds.append((members, max(len(self.templates[k].words) + self.templates[k].allowed for k in members)))
+        self.spelled = {name.lower(): name for name in texts}
+        # word pairs as numbers, and for each the templates that hold it
+        self.number = {w: i for i, w in enumerate(sorted({w for t in self.templates for w in t.words}))}
+        held = defaultdict(list)
         for k, t in enumerate(self.templates):
             for pair in t.pairs:
-                self.index[pair].append(k)
-        self.spelled = {name.lower(): name for name in texts}
+                held[self._code(*pair)].append(k)
+        self.codes = np.array(sorted(held), np.int64)
+        self.of = [np.array(held[c]) for c in self.codes.tolist()]
+        self.least = np.array([t.least for t in self.templates])
+
+    def _code(self, first: str, second: str | None = None) -> int:
+        size = len(self.number) + 1
+        return self.number[first] * size + (self.number[second] if second is not None else size - 1)
 
     def gain(self, data: bytes, size: int, k: int) -> float:
         """Share of the compressed size that a template saves; only as much text as the template has can be saved."""
@@ -233,6 +276,92 @@ class Scanner:
         size = len(self.alone.compress(data))
         return sorted(((self.gain(data, size, k), t.name) for k, t in enumerate(self.templates)), key=lambda g: (-g[0], g[1]))
 
+    def rank(self, words: Sequence[str | None]) -> list[int]:
+        """The templates by the bytes each saves of the words that are left, most first; those that save none left out."""
+        data = " ".join(w for w in words if w is not None).encode()
+        size = len(self.alone.compress(data))
+        less = [(len(t.given.compress(data)) - size, len(t.words), k) for k, t in enumerate(self.templates)]
+        return [k for saved, _, k in sorted(less) if saved < 0]
+
+    def hits(self, words: Sequence[str | None]) -> dict[int, list[int]]:
+        """For each template that can stand somewhere: the positions of its word pairs."""
+        if not len(self.codes) or not words:
+            return {}
+        size = len(self.number) + 1
+        ids = np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
+        found: dict[int, list[int]] = {}
+        for code, known in ((ids[:-1] * size + ids[1:], (ids[:-1] >= 0) & (ids[1:] >= 0)), (ids * size + size - 1, ids >= 0)):
+            at = np.flatnonzero(known)
+            place = np.searchsorted(self.codes, code[at])
+            place[place == len(self.codes)] = 0
+            same = self.codes[place] == code[at]
+            at, place = at[same], place[same]
+            if not len(at):
+                continue
+            owners = [self.of[p] for p in place.tolist()]
+            owner, position = np.concatenate(owners), np.repeat(at, [len(o) for o in owners])
+            counts = np.bincount(owner, minlength=len(self.templates))
+            for k in np.flatnonzero(counts >= self.least).tolist():
+                found.setdefault(k, []).extend(position[owner == k].tolist())
+        return found
+
+    def stretches(self, words: Sequence[str | None], members: set[int]) -> list[tuple[int, int]]:
+        """(first, behind the last) of the candidate blocks: where word pairs of one of the templates are close enough together."""
+        found = []
+        for k, positions in self.hits(words).items():
+            if k in members:
+                t = self.templates[k]
+                found += [(max(0, first - t.allowed - 1), min(len(words), last + t.allowed + 3)) for first, last in t.windows(sorted(positions))]
+        out: list[tuple[int, int]] = []
+        for low, high in sorted(found):
+            if out and low <= out[-1][1]:
+                out[-1] = out[-1][0], max(out[-1][1], high)
+            else:
+                out.append((low, high))
+        return out
+
+    def settle(self, words: list[str | None], low: int, high: int, upto: int) -> Iterator[tuple[int, int, int, int, int, float]]:
+        """(start, stop, template, missing, added, gain) of the licenses of one block that start before ``upto``; their words are taken out of ``words``."""
+        tried: set[int] = set()
+        while any(w is not None for w in words[low:high]):
+            for k in self.rank(words[low:high]):
+                if k in tried:
+                    continue
+                tried.add(k)
+                placed = list(self._places(words, low, high, upto, k))
+                if placed:
+                    yield from placed
+                    break  # the rest is ranked anew
+            else:
+                return
+
+    def _places(self, words: list[str | None], low: int, high: int, upto: int, k: int) -> Iterator[tuple[int, int, int, int, int, float]]:
+        """All places in a piece where a template's wording is confirmed."""
+        t = self.templates[k]
+        for i in list(t.exact(words[low:high])):
+            start, stop = low + i, low + i + len(t.words)
+            if start < upto:
+                words[start:stop] = [None] * (stop - start)
+                yield start, stop, k, 0, 0, self.gain(t.data, self.sizes[k], k)
+        if not t.allowed:
+            return
+        part = words[low:high]
+        keys = zip(part, part[1:]) if len(t.words) > 1 else ((w,) for w in part)
+        at = [i for i, key in enumerate(keys) if key in t.pairs]
+        for first, last in t.windows(at):
+            a, z = low + max(0, first - t.allowed - 1), min(high, low + last + t.allowed + 3)
+            rest = words[a:z]
+            while place := t.align(rest):
+                start, stop = a + place[0], a + place[1]
+                rest[place[0] : place[1]] = [None] * (stop - start)
+                if start >= upto or None in words[start:stop]:
+                    continue
+                data = " ".join(words[start:stop]).encode()
+                gain = self.gain(data, len(self.alone.compress(data)), k)
+                if gain >= LEAST_SAVED:
+                    words[start:stop] = [None] * (stop - start)
+                    yield start, stop, k, *place[2:], gain
+
     def spdx(self, text: str) -> Iterator[Place]:
         """The licenses of SPDX lines; those in the table by its names, the others as written."""
         for line in _SPDX.finditer(text):
@@ -249,36 +378,22 @@ class Scanner:
     def places(self, text: str) -> list[Place]:
         """(start, stop, license, share saved, missing words, added words) of every license, in the order of the text."""
         out = list(self.spdx(text))
-        at = [m.span() for m in _WORD.finditer(text)]
+        small = text.lower()
+        if not self.hits(split_words(text)):
+            return sorted(out)
+        at = [m.span() for m in _WORD.finditer(small if len(small) == len(text) else text)]  # a few capitals have longer small forms
         words: list[str | None] = [text[a:b].lower() for a, b in at]
         for start, stop, *_ in out:
             low, high = bisect_left(at, (start,)), bisect_left(at, (stop,))
             words[low:high] = [None] * (high - low)
-        while True:
-            hits = defaultdict(list)
-            for i, key in enumerate(zip(words, [*words[1:], None])):
-                for k in (*self.index.get(key, ()), *self.index.get(key[:1], ())):
-                    hits[k].append(i)
-            found = set()
-            for k, positions in hits.items():
-                t = self.templates[k]
-                for first, last in t.windows(positions):
-                    low = max(0, first - t.allowed - 1)
-                    part = words[low : last + t.allowed + 3]
-                    while place := t.align(part):
-                        start, stop, missing, added = place
-                        data = " ".join(part[start:stop]).encode()
-                        gain = self.gain(data, len(self.alone.compress(data)), k)
-                        if gain >= LEAST_SAVED:
-                            found.add((2 * missing + added - len(t.words), -gain, t.name, low + start, low + stop, missing, added))
-                        part[start:stop] = [None] * (stop - start)
-            if not found:
-                return sorted(out)
-            for _, less, name, start, stop, missing, added in sorted(found):
-                # Where words were taken in this round, the next looks again at what is left.
-                if None not in words[start:stop]:
-                    out.append((at[start][0], at[stop - 1][1], name, -less, missing, added))
-                    words[start:stop] = [None] * (stop - start)
+        for members, longest in self.kinds:
+            for low, high in self.stretches(words, members):
+                # a place of these templates that starts in the first half of a piece lies inside it
+                for a in range(low, max(low + 1, high - longest), longest):
+                    last = a + 2 * longest >= high
+                    for start, stop, k, missing, added, gain in self.settle(words, a, min(high, a + 2 * longest), high if last else a + longest):
+                        out.append((at[start][0], at[stop - 1][1], self.templates[k].name, gain, missing, added))
+        return sorted(out)
 
     def name(self, block: str) -> tuple[str | None, float, int, int]:
         """License, share saved, missing and added words of the place of a block with the fewest differences."""
@@ -289,15 +404,18 @@ class Scanner:
         return min(found, key=lambda p: (p[4] + p[5], -p[3], p[2]))[2:]
 
     def rows(self, text: str | None) -> list[dict]:
-        """The licenses of a text, and its candidate blocks in which there is none."""
-        out = []
-        for low, high, part in runs(blocks(text), len(text or ""), self.reach):
-            found = [(low + start, low + stop, *rest) for start, stop, *rest in self.places(text[low:high])]
-            out += [(start, *rest, text[start:stop]) for start, stop, *rest in found]
-            for start, block in part:
-                if not any(a < start + len(block) and start < b for a, b, *_ in found):
-                    ranked = self.saved(block)
-                    out.append((start, None, ranked[0][0] if ranked else 0.0, 0, 0, block))
+        """The licenses of a text, and its paragraphs about licensing in which there is none."""
+        if not text:
+            return []
+        found = self.places(text)
+        out = [(start, *rest, text[start:stop]) for start, stop, *rest in found]
+        starts, far = [p[0] for p in found], 0
+        reached = [far := max(far, p[1]) for p in found]  # the furthest end up to each place
+        for start, block in blocks(text):
+            i = bisect_left(starts, start + len(block))
+            if not i or reached[i - 1] <= start:
+                ranked = self.saved(block)
+                out.append((start, None, ranked[0][0] if ranked else 0.0, 0, 0, block))
         names = ("start", "license", "saved", "missing_words", "added_words", "text")
         return [{"block": i, **dict(zip(names, row))} for i, row in enumerate(sorted(out, key=lambda r: r[0]))]
 
