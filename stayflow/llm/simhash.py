@@ -16,7 +16,8 @@ A search keeps one link for each fingerprint of a local group, never all pairs,
 links of all nodes are joined to components by :mod:`stayflow.llm.components`.
 
 Defined cases: null and empty texts have fingerprint zero and link like others; ties in
-a bit's vote give 0; repeated rows each get a row; an empty table gives no rows; the
+a bit's vote give 0; a very long text is hashed run by run, so that only its bits' counts are
+held; repeated rows each get a row; an empty table gives no rows; the
 smallest id of a group ignores null ids and is null where all are; only the two named
 columns are read, so others do not matter.
 """
@@ -30,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stayflow.llm.components import components
-from stayflow.llm.text import append_columns
+from stayflow.llm.terms import WORDS, gram_runs
+from stayflow.llm.text import append_columns, free_name
 from stayflow.session import materialize
 
 SHINGLE_WORDS = 3
@@ -48,20 +50,14 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     """Majority bits of the XXH64 values of all word shingles, repeats included."""
     import xxhash
 
-    found = (text or "").encode().lower().split()
-    if not found:
-        return 0
-    if len(found) < words:
-        shingles = [b" ".join(found)]
-    else:
-        shingles = list(map(b" ".join, zip(*(found[i:] for i in range(words)))))
-    digest = xxhash.xxh64_digest
-    total = np.zeros(BITS, np.int64)
-    for i in range(0, len(shingles), 65536):
-        part = shingles[i : i + 65536]
-        raw = np.frombuffer(b"".join([digest(s, SEED) for s in part]), np.uint8).reshape(-1, 8)
-        total += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * total > len(shingles)).tobytes(), "big")
+    digest, total, n = xxhash.xxh64_digest, np.zeros(BITS, np.int64), 0
+    for grams in gram_runs(text, WORDS, words):
+        for i in range(0, len(grams), 65536):
+            part = grams[i : i + 65536]
+            raw = np.frombuffer(b"".join([digest(s, SEED) for s in part]), np.uint8).reshape(-1, 8)
+            total += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
+        n += len(grams)
+    return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big") if n else 0
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -289,13 +285,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     found = materialize(fingerprints(docs, id_col, text_col, words), "fingerprints")
     groups = materialize(group_codes(found, id_col, max_bits), "groups")
     placed = found.join(groups.select("fp", "component_id"), "fp")
-    repeated = found.groupBy(id_col).count().filter((F.col("count") > 1) | F.col(id_col).isNull()).select(F.col(id_col).alias("__id"))
-    gone = placed.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id"))
+    other = free_name("__id", docs.columns)
+    repeated = found.groupBy(id_col).count().filter((F.col("count") > 1) | F.col(id_col).isNull()).select(F.col(id_col).alias(other))
+    gone = placed.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(other))
     repeated = materialize(repeated, "repeated-ids")
-    out = docs.filter(F.col(id_col).isNotNull()).join(gone.unionByName(repeated), F.col(id_col) == F.col("__id"), "left_anti")
+    out = docs.filter(F.col(id_col).isNotNull()).join(gone.unionByName(repeated), F.col(id_col) == F.col(other), "left_anti")
     if repeated.isEmpty():
         return out
-    again = docs.join(repeated, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    again = docs.join(repeated, F.col(id_col).eqNullSafe(F.col(other)), "left_semi")
     return out.unionByName(_one_of_repeated(again, groups, id_col, text_col, words))
 
 

@@ -39,15 +39,16 @@ def append_columns(df: DataFrame, text_col: str, make: Maker, fields: str, keep:
     """
     added = T._parse_datatype_string(fields)
     kept = [c for c in keep if c not in added.names]
-    source = df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text_col}`").cast("string").alias(TEXT))
+    body = free_name(TEXT, kept, added.names)
+    source = df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text_col}`").cast("string").alias(body))
     schema = T.StructType([source.schema[c] for c in kept] + added.fields)
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            for part in slices(batch, TEXT):
-                new = compute(part.column(TEXT).to_pylist())
+            for part in slices(batch, body):
+                new = compute(part.column(body).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in kept] + [pa.array(new[f.name], type=arrow.field(f.name).type) for f in added.fields],
                     names=schema.names,
@@ -68,6 +69,14 @@ def filter_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[list]
     return df.mapInArrow(run, df.schema)
 
 
+def free_name(wanted: str, *taken: Sequence[str]) -> str:
+    """``wanted``, with as many underscores behind it as keep it apart from the ``taken`` names in any case of letters."""
+    used = {c.lower() for names in taken for c in names}
+    while wanted.lower() in used:
+        wanted += "_"
+    return wanted
+
+
 def id_hash(id_col: str):
     """CRC-32 of an id written as text: the fixed split of labelled rows."""
     return F.crc32(F.col(id_col).cast("string").cast("binary"))

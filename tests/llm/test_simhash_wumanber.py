@@ -108,6 +108,25 @@ def test_contamination_equals_plain_search(spark, odd, block_bytes):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(e[0] for e in expect if not e[-1])
 
 
+def test_an_index_is_small_and_finds_every_window():
+    """A full block: arrays of bounded size, the same hits as plain search."""
+    import pickle
+    import random
+
+    rng = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(30_000)]
+    pieces = [(str(i), " ".join(rng.choice(vocabulary) for _ in range(300)).encode()) for i in range(1000)]
+    index = wumanber.Index(pieces)
+    assert len(pickle.dumps(index)) < 40 << 20
+    for i in rng.sample(range(1000), 20):
+        body = pieces[i][1].decode().split()
+        at = rng.randrange(200)
+        text = "before " + " ".join(body[at : at + 20]) + " after " + " ".join(body[at : at + 12])
+        n, hit, items = index.search(text)
+        assert n == 34 and items == {str(i)} and hit.tolist() == [False] + [True] * 20 + [False] * 13
+    assert index.search(None)[0] == 0 and not index.search(" ".join(rng.choice(vocabulary) for _ in range(5000)))[2]
+
+
 def test_no_benchmark_no_documents(spark, odd, none):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert not any(r.contaminated for r in wumanber.contamination(odd, benchmark).collect())
