@@ -78,6 +78,54 @@ def test_junk_in_the_last_part_is_seen():
     assert short[6] and short[8:] == (0, 0) and judge.row("")[7:] == (0, 0, 0)
 
 
+def planted_junk():
+    """Texts that are junk as a whole, and clean prose with a part of junk."""
+    rng = random.Random(6)
+    few = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(2, 9))) for _ in range(60)]
+    coded = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n))
+    clean = [t for ts in licenses.known_licenses().values() for t in ts if len(t) > 12_000]
+    out = []
+    for i in range(12):
+        out += [
+            " ".join(rng.choice(few) for _ in range(rng.randint(2000, 6000))),
+            "\n".join(",".join(f"{rng.random():.4f}" for _ in range(8)) for _ in range(rng.randint(200, 900))),
+            " ".join(f"entry {k} of the same kind of line" for k in range(rng.randint(300, 900))),
+            " ".join(coded(rng.randint(40, 90)) for _ in range(200)),
+        ]
+        text, at = rng.choice(clean), rng.randint(2000, 10_000)
+        out += [f"{text[:at]} {coded(6200)} {text[at:]}", f"{text[:at]} {' '.join(rng.choice(few) for _ in range(1600))} {text[at:]}"]
+    return out
+
+
+def brute_verdict(text, b):
+    """The bands' rules written out."""
+    import zstandard
+
+    data = text.encode()
+    ratio = lambda part: len(part) / len(zstandard.ZstdCompressor(level=b.level).compress(part))
+    wide = lambda part: len(part) / max(1, sum(x & 0xC0 != 0x80 for x in part))
+    limit = lambda n: next((i for i, e in enumerate(b.edges) if n < e), len(b.edges))
+    low, high = b.low[limit(len(data))], b.high[limit(len(data))]
+    if not data or not low <= ratio(data) <= high * wide(data):
+        return not data
+    odd = 0
+    for part in [data[i : i + b.chunk_bytes] for i in range(0, len(data), b.chunk_bytes)]:
+        low, high = (b.chunk_low, b.chunk_high) if len(part) == b.chunk_bytes else (b.low[limit(len(part))], b.high[limit(len(part))])
+        odd += len(part) * (not low <= ratio(part) <= high * wide(part))
+    marks = "".join("n" if ratio(p) < b.run_low else "r" if ratio(p) > b.run_high * wide(p) else "." for p in (data[i : i + b.run_chunk] for i in range(0, len(data) - b.run_chunk + 1, b.run_chunk)))
+    return odd / len(data) <= b.odd_chunks and "n" * b.noisy_run not in marks and "r" * b.repetitive_run not in marks
+
+
+def test_planted_junk_is_rejected_and_the_verdict_is_the_rules(docs):
+    judge, junk = bands.Judge(bands.Bands()), planted_junk()
+    rows = [judge.row(t) for t in junk]
+    assert sum(not r[6] for r in rows) >= 0.9 * len(junk)
+    assert sum(not r[5] and not r[6] for r in rows) >= 0.7 * len(junk)  # mostly by the bands
+    for text in [*junk, *(r.text for r in docs.collect() if r.text)]:
+        row = judge.row(text)
+        assert row[5] or row[6] == brute_verdict(text, judge.bands)
+
+
 def test_licenses_are_named():
     scanner = licenses.Scanner(licenses.TEMPLATES)
     for name, text in licenses.TEMPLATES.items():
