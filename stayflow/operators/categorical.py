@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stayflow.functions.columns import bins, just_above, label_at, map_levels, ratio, row_argmax, row_max, row_mean, row_sum
+from stayflow.operators.levels import ROW, numbered
 from stayflow.operators.ordered import running_totals
 from stayflow.operators.stage import Fitted, load_state, save_state
 from stayflow.operators.stats import group_level_shares, group_number_stats, long_levels
@@ -181,11 +182,12 @@ def apply_codes(df: DataFrame, cols: Sequence[str], codes: DataFrame, default: C
     """Replace each level by its code; ``default``, one for all or one for each column,
     stands for levels not listed and for codes that are null.
 
-    A short list of codes becomes plain expressions. A long one is written once and
-    joined, and the join strategy is left to the size Spark sees at run time. Both forms
-    give the same values.
+    The codes are written once. A short list becomes plain expressions; a long one is
+    joined once for all columns, and the join strategy is left to the size Spark sees at run
+    time. Both forms give the same values.
     """
     missing = default if isinstance(default, Mapping) else {c: default for c in cols}
+    codes = materialize(codes, "codes")  # a fit is computed once
     rows = codes.limit(LITERAL_LEVELS + 1).collect()
     if len(rows) <= LITERAL_LEVELS:
         maps: dict[str, dict] = {c: {} for c in cols}
@@ -193,15 +195,13 @@ def apply_codes(df: DataFrame, cols: Sequence[str], codes: DataFrame, default: C
             if r["feature"] in maps:
                 maps[r["feature"]][r["level"]] = r["code"]
         return df.withColumns({out(c): F.coalesce(map_levels(F.col(c).cast("string"), maps[c], missing[c]), missing[c]) for c in cols})
-    codes = materialize(codes, "codes")
-    for c in cols:
-        one = codes.filter(F.col("feature") == c).select(F.col("level").alias("_level"), F.col("code").alias("_code"))
-        df = (
-            df.join(one, F.col(c).cast("string") == F.col("_level"), "left")
-            .withColumn(out(c), F.coalesce("_code", missing[c]))
-            .drop("_level", "_code")
-        )
-    return df
+    # one join for all columns: rows as (row, column, level), gathered to one row of codes again
+    rows = numbered(df)
+    found = long_levels(rows, cols, [ROW]).join(codes.select("feature", "level", "code"), ["feature", "level"])
+    wide = found.groupBy(ROW).agg(*(F.max(F.when(F.col("feature") == c, F.col("code"))).alias(f"_code_{i}") for i, c in enumerate(cols)))
+    joined = rows.join(wide, ROW, "left")
+    named = {out(c): F.coalesce(F.col(f"_code_{i}"), missing[c]) for i, c in enumerate(cols)}
+    return joined.withColumns(named).drop(ROW, *(f"_code_{i}" for i in range(len(cols))))
 
 
 @dataclass(frozen=True)

@@ -14,6 +14,7 @@ from stayflow.operators.quantiles import exact_quantiles
 from stayflow.operators.stage import Fitted, build, builder, union
 from stayflow.operators.stats import long_numbers, number, pair_correlations, per_column, target_correlation
 from stayflow.operators import prep
+from stayflow.session import materialize
 
 
 def _x(c: str) -> Column:
@@ -209,25 +210,32 @@ def quantile(df: DataFrame, cols: Sequence[str], n_quantiles: int = 1000, table:
 
 @builder("quantile")
 def _quantile(landmarks: Mapping[str, Sequence[float | None]]) -> Fitted:
-    q = landmarks
-    refs = np.linspace(0.0, 1.0, len(next(iter(q.values()), [0.0])))
+    known = [c for c, marks in landmarks.items() if marks[0] is not None]
+    out: dict[str, Column] = {c: F.lit(None).cast("double") for c in landmarks}
+    if known:
+        # one Arrow pass for all columns: equal calls in a projection are evaluated once
+        placed = _place_all([landmarks[c] for c in known])(F.struct(*(_x(c).alias(f"_{i}") for i, c in enumerate(known))))
+        out |= {c: F.when(_x(c).isNotNull(), F.get(placed, F.lit(i))) for i, c in enumerate(known)}
+    return Fitted(out)
 
-    def transform(marks: list[float]):
-        landmarks = np.asarray(marks)
 
-        @F.pandas_udf("double")
-        def place(x: pd.Series) -> pd.Series:
-            v = x.to_numpy("float64")
-            up = np.interp(v, landmarks, refs)
-            down = np.interp(-v, -landmarks[::-1], -refs[::-1])
-            out = 0.5 * (up - down)
-            out[v <= landmarks[0]] = 0.0
-            out[v >= landmarks[-1]] = 1.0
-            return pd.Series(out, index=x.index).where(x.notna())
+def _place_all(landmarks: Sequence[Sequence[float]]):
+    """The places of several columns between their landmarks, as one array per row."""
+    marks = [np.asarray(m) for m in landmarks]
+    refs = np.linspace(0.0, 1.0, len(marks[0]))
 
-        return place
+    @F.pandas_udf("array<double>")
+    def place(x: pd.DataFrame) -> pd.Series:
+        cells = np.empty((len(x), len(marks)))
+        for i, m in enumerate(marks):
+            v = x.iloc[:, i].to_numpy("float64")
+            out = 0.5 * (np.interp(v, m, refs) - np.interp(-v, -m[::-1], -refs[::-1]))
+            out[v <= m[0]] = 0.0
+            out[v >= m[-1]] = 1.0
+            cells[:, i] = out
+        return pd.Series(list(cells), index=x.index)
 
-    return Fitted({c: F.lit(None).cast("double") if q[c][0] is None else transform(q[c])(_x(c)) for c in q})
+    return place
 
 
 def kbins(df: DataFrame, cols: Sequence[str], n_bins: int = 5, encode: str = "onehot", table: Quantiles | None = None) -> Fitted:
@@ -330,16 +338,23 @@ def strong_enough(corr: Mapping[str, float | None], threshold: float) -> dict[st
 def thin_branches(frame: DataFrame, strong: Mapping[str, float], branches: Sequence[Sequence[str]], threshold: float) -> list[str]:
     """Survivors of the pair rule inside every branch, then among all of them, strongest first.
 
-    One pass over ``frame`` finds the pairs above the threshold for both rounds.
+    One pass over ``frame`` finds the pairs above the threshold for both rounds; both are
+    decided in Spark, and only names reach the driver.
     """
-    pairs = prep.pair_dict(pair_correlations(frame, list(strong)), threshold)
-
-    def thin(names: Sequence[str]) -> list[str]:
-        order = prep.correlation_order({c: strong[c] for c in names})
-        gone = {late for late, _, _ in prep.collinear(order, pairs, threshold)}
-        return [c for c in order if c not in gone]
-
-    return thin([c for names in branches for c in thin([n for n in names if n in strong])])
+    branch = {n: i for i, names in enumerate(branches) for n in names if n in strong}
+    order = prep.correlation_order({c: strong[c] for c in branch})
+    if len(order) < 2:
+        return order
+    pairs = prep.late_of_pairs(pair_correlations(frame, order, least=threshold), order, strong)
+    of = frame.sparkSession.createDataFrame(list(branch.items()), "name string, branch int")
+    of = lambda x, df=of: F.broadcast(df.select(F.col("name").alias(x), F.col("branch").alias(f"{x}_branch")))  # noqa: E731 - one row per column
+    pairs = pairs.join(of("drop_feature"), "drop_feature").join(of("corr_feature"), "corr_feature")
+    pairs = materialize(pairs.select("drop_feature", "corr_feature", (F.col("drop_feature_branch") == F.col("corr_feature_branch")).alias("same")), "thin")
+    gone = pairs.filter("same").select("drop_feature").distinct()
+    stays = lambda c: gone.withColumnRenamed("drop_feature", c)
+    across = pairs.join(stays("drop_feature"), "drop_feature", "left_anti").join(stays("corr_feature"), "corr_feature", "left_anti")
+    out = {r["drop_feature"] for r in gone.unionByName(across.select("drop_feature")).distinct().collect()}
+    return [c for c in order if c not in out]
 
 
 def thinned_union(
@@ -347,13 +362,12 @@ def thinned_union(
 ) -> Fitted:
     """Many transforms side by side, each thinned, then thinned together.
 
-    The outputs are first screened against the label, so that only promising columns are
-    compared with each other. The rule itself runs on the driver, over the pairs above
-    the threshold.
+    The outputs are built once and written. They are first screened against the label, so
+    that only promising columns are compared with each other.
     """
     everything = union(*stages.values())
     names = list(everything.outputs)
-    frame = everything.apply(df, [F.col(label).cast("double").alias("_label")])
+    frame = materialize(everything.apply(df, [F.col(label).cast("double").alias("_label")]), "union")
     corr = {r["feature"]: r["corr"] for r in target_correlation(frame, names, "_label").collect()}
     strong = strong_enough({c: corr[c] for c in names}, target_threshold)
     return everything.only(thin_branches(frame, strong, [list(f.outputs) for f in stages.values()], feature_threshold))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
@@ -33,6 +34,8 @@ from stayflow.operators.stats import (
     target_correlation,
     unique_counts,
 )
+from stayflow.session import materialize
+
 
 def blanks_to_null(df: DataFrame) -> DataFrame:
     """Blank text read as missing in every text column."""
@@ -130,19 +133,6 @@ def collinear(order: Sequence[str], pairs: Mapping[frozenset, float | None], thr
     return [(late, early, r) for _, _, late, early, r in sorted(hits)]
 
 
-def above(pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose correlation exceeds the threshold: all that the collinearity rule reads."""
-    return pairs.filter(F.round(F.abs("corr"), 9) > threshold)
-
-
-def pair_dict(pairs: DataFrame, threshold: float) -> dict[frozenset, float]:
-    """The pairs above the threshold; Spark leaves the others out before anything reaches the driver."""
-    return {frozenset((r["col_a"], r["col_b"])): r["corr"] for r in above(pairs, threshold).collect()}
-
-
-_DROP_SCHEMA = "drop_feature string, corr_feature string, pairwise_corr double, corr_drop_target double, corr_kept_target double"
-
-
 def drop_correlated(
     df: DataFrame, threshold: float = 0.90, label: str | None = None, exclude: Sequence[str] = NOT_FEATURES
 ) -> Choice:
@@ -173,12 +163,28 @@ def _drop_collinear(df, numbers, threshold, label, exclude, weak=()) -> Choice:
     else:
         corr = {r["feature"]: r["corr"] for r in target_correlation(df, numbers, label).collect()} if numbers else {}
         order = correlation_order(corr)
-    hits = collinear(order, pair_dict(pair_correlations(df, order), threshold), threshold)
-    gone = sorted({d for d, _, _ in hits} | set(weak))
-    report = df.sparkSession.createDataFrame([(d, e, r, corr.get(d), corr.get(e)) for d, e, r in hits], _DROP_SCHEMA)
+    report = late_of_pairs(pair_correlations(df, order, least=threshold), order, corr)
+    report = materialize(report, "collinear")
+    gone = sorted({r["drop_feature"] for r in report.select("drop_feature").distinct().collect()} | set(weak))  # column names
     return Choice([c for c in _features(df, exclude) if c not in gone], gone, report)
 
 
+def late_of_pairs(pairs: DataFrame, order: Sequence[str], corr: Mapping[str, float | None]) -> DataFrame:
+    """For each pair the later column in ``order``, which goes, and the earlier one.
+
+    Decided in Spark: of ten thousand columns, millions of pairs may exceed a threshold.
+    """
+    places = pairs.sparkSession.createDataFrame([(c, i, corr.get(c)) for i, c in enumerate(order)], "name string, place int, r double")
+    side = lambda x: places.select(*(F.col(c).alias(f"{c}_{x}") for c in places.columns))
+    both = pairs.join(F.broadcast(side("a")), F.col("col_a") == F.col("name_a")).join(F.broadcast(side("b")), F.col("col_b") == F.col("name_b"))  # one row per column
+    a_first = F.col("place_a") < F.col("place_b")
+    late = lambda x, y: F.when(a_first, F.col(y)).otherwise(F.col(x))
+    return both.select(
+        late("name_a", "name_b").alias("drop_feature"), late("name_b", "name_a").alias("corr_feature"), F.col("corr").alias("pairwise_corr"),
+        late("r_a", "r_b").alias("corr_drop_target"), late("r_b", "r_a").alias("corr_kept_target"),
+    )
+
+
 def drop_duplicate_columns(
     df: DataFrame, key: str = "chc_id", numbers: bool = False, exclude: Sequence[str] = NOT_FEATURES
 ) -> Choice:
@@ -425,6 +431,127 @@ def fit_pipeline(
     return out
 
 
+# --- the same pipeline for any number of markets: nothing of a market reaches the driver ---
+
+_FACTS = "kind string, a string, b string, x double, one boolean"
+
+
+def _long_facts(df: DataFrame, cols: Sequence[str], label: str, key: str, by: Sequence[str], threshold: float, stage: str) -> DataFrame:
+    """(by..., kind, a, b, x, one): column facts and the pairs above the threshold, as rows."""
+    numbers = [c for c in cols if c in numeric_columns(df)]
+    clean = blank_nan(df, numbers).withColumn("_label", F.col(label).cast("double"))
+    basic = per_column(clean, cols, {"missing": missing_share, "one": lambda c: F.coalesce(F.min(c) == F.max(c), F.lit(False))}, by)
+    nothing = F.lit(None)
+    facts = basic.select(*by, F.lit(f"{stage} column").alias("kind"), F.col("feature").alias("a"), nothing.cast("string").alias("b"), F.col("missing").alias("x"), "one")
+    if not numbers:
+        return facts
+    pairs = pair_correlations(clean, ["_label", *numbers], by).filter((F.col("col_a") == "_label") | (F.round(F.abs("corr"), 9) > threshold))
+    target = F.col("col_a") == "_label"
+    return facts.unionByName(
+        pairs.select(
+            *by, F.when(target, F.lit(f"{stage} target")).otherwise(F.lit(f"{stage} pair")).alias("kind"),
+            F.when(target, F.col("col_b")).otherwise(F.col("col_a")).alias("a"), F.when(~target, F.col("col_b")).alias("b"), F.col("corr").alias("x"), nothing.cast("boolean").alias("one"),
+        )
+    )
+
+
+def _equal_texts(df: DataFrame, cols: Sequence[str], key: str, by: Sequence[str]) -> DataFrame | None:
+    """(by..., kind, a, b, x, one) of text columns that are equal in a market: prints first, then value by value."""
+    texts = [c for c in cols if c in categorical_columns(df)]
+    if len(texts) < 2:
+        return None
+    prints = per_column(df, texts, {"print": lambda c: F.bit_xor(F.xxhash64(F.col(key), c))}, by)
+    other = prints.select(*by, F.col("feature").alias("later"), "print")
+    order = {c: i for i, c in enumerate(texts)}
+    met = prints.join(other, [*by, "print"]).filter("feature <> later").select("feature", "later").distinct()  # pairs of columns, not of markets
+    near = sorted({tuple(sorted((r["feature"], r["later"]), key=order.get)) for r in met.collect()})
+    if not near:
+        return None
+    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.bool_and(F.col(a).eqNullSafe(F.col(b))).alias("one")) for a, b in near]
+    same = df.groupBy(*by).agg(F.array(*cells).alias("cells")).select(*by, F.inline("cells")).filter("one")
+    return same.select(*by, F.lit("equal").alias("kind"), "a", "b", F.lit(None).cast("double").alias("x"), "one")
+
+
+def _fates(cols: Sequence[str], facts: Sequence[tuple], missing: float, first_corr: float, second_corr: float) -> dict[str, str]:
+    """The stage that drops each column, or ``'kept'``, from one market's facts."""
+    at: dict[str, list[tuple]] = {}
+    for kind, a, b, x, one in facts:
+        at.setdefault(kind, []).append((a, b, x, one))
+
+    def late(stage: str, threshold: float) -> list[str]:
+        corr = {a: x for a, _, x, _ in at.get(f"{stage} target", ()) if a not in fate}
+        pairs = {frozenset((a, b)): x for a, b, x, _ in at.get(f"{stage} pair", ())}
+        return [c for c, _, _ in collinear(correlation_order(corr), pairs, threshold)]
+
+    fate: dict[str, str] = {}
+    for a, _, x, one in at.get("raw column", ()):
+        if x is not None and x > missing:
+            fate[a] = "missing"
+        elif one and not x:
+            fate[a] = "constant"
+    for c in late("raw", first_corr):
+        fate.setdefault(c, "correlated")
+    for _, b, _, _ in at.get("equal", ()):
+        fate.setdefault(b, "duplicate")
+    for a, _, _, one in at.get("filled column", ()):
+        if one:
+            fate.setdefault(a, "constant after imputing")
+    for c in late("filled", second_corr):
+        fate.setdefault(c, "correlated after imputing")
+    return {c: fate.get(c, "kept") for c in cols}
+
+
+def fit_pipeline_by(
+    df: DataFrame,
+    catalog: Catalog,
+    by: Sequence[str],
+    label: str = "status",
+    key: str = "chc_id",
+    missing: float = 0.99,
+    first_corr: float = 0.99,
+    second_corr: float = 0.90,
+    exclude: Sequence[str] = NOT_FEATURES,
+) -> DataFrame:
+    """(by..., feature, fate): the eight stages of :func:`fit_pipeline` for every group of ``by``.
+
+    The statistics of all groups are rows of one table, and each group is decided in a
+    task from its own rows: the facts of its columns and its pairs above the thresholds.
+    Only pairs of column names reach the driver, so the number of groups has no limit.
+    """
+    cols = [c for c in _features(df, exclude) if c not in by]
+    typed = use_default_types(df, catalog, exclude)
+    facts = _long_facts(typed, cols, label, key, by, first_corr, "raw")
+    facts = facts.unionByName(_long_facts(impute(df, catalog, exclude), cols, label, key, by, second_corr, "filled"))
+    equal = _equal_texts(typed, cols, key, by)
+    if equal is not None:
+        facts = facts.unionByName(equal)
+    kinds = ", ".join(f"`{b}` {t}" for b, t in facts.select(*by).dtypes)
+
+    def decide(rows: pd.DataFrame) -> pd.DataFrame:
+        clean = rows[["kind", "a", "b", "x", "one"]].astype(object).where(rows[["kind", "a", "b", "x", "one"]].notna(), None)
+        fate = _fates(cols, list(clean.itertuples(index=False, name=None)), missing, first_corr, second_corr)
+        out = pd.DataFrame({"feature": list(fate), "fate": list(fate.values())})
+        for i, b in enumerate(by):
+            out.insert(i, b, rows[b].iloc[0])
+        return out
+
+    return facts.groupBy(*by).applyInPandas(decide, f"{kinds}, feature string, fate string")
+
+
+def selection_view(df: DataFrame, catalog: Catalog, view: str = "ALL", retain: Sequence[str] = (), keep: Sequence[str] = ("chc_id", "status"), exclude: Sequence[str] = NOT_FEATURES) -> DataFrame:
+    """The processed table for a selection among number columns, text columns or all.
+
+    ``view`` is 'NUM', 'CAT' or 'ALL'; ``retain`` narrows it to the listed columns first,
+    and unknown names in it are left out. The rows are those that are complete in the
+    view's own columns.
+    """
+    if view not in ("NUM", "CAT", "ALL"):
+        raise ValueError("view is 'NUM', 'CAT' or 'ALL'")
+    cols = catalog.features([c for c in df.columns if c not in exclude and (not retain or c in retain)])
+    cols = cols if view == "ALL" else catalog.of_kind(view, cols)
+    return process_data(df.select(*keep, *cols), catalog, keep, exclude)
+
+
 def run_pipeline(df: DataFrame, fitted: Sequence[tuple[str, str]], catalog: Catalog, keep: Sequence[str], exclude: Sequence[str] = NOT_FEATURES) -> DataFrame:
     """The fitted column choice applied to any table of the same layout, gaps filled."""
     kept = [c for c, fate in fitted if fate == "kept"]

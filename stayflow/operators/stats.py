@@ -1,15 +1,19 @@
 """Descriptive statistics: one pass over the table for all columns, long form for levels."""
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from stayflow.functions.columns import pct2, pearson, ratio
 from stayflow.operators.quantiles import group_quantiles
+from stayflow.session import materialize, new_folder
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -105,7 +109,7 @@ def _names(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def long_levels(df: DataFrame, cols: Sequence[str], keep: Sequence[str | Column] = ()) -> DataFrame:
     """(keep..., feature, level) rows, one per column, levels as text."""
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level")) for c in cols])
-    return df.select(*keep, F.inline(pairs))
+    return df.select(*keep, F.inline(pairs if cols else pairs.cast("array<struct<feature:string,level:string>>")))
 
 
 def long_numbers(df: DataFrame, cols: Sequence[str], keep: Sequence[str | Column] = ()) -> DataFrame:
@@ -220,13 +224,26 @@ def target_correlation(df: DataFrame, cols: Sequence[str], label: str = "status"
     return per_column(df, cols, {name: lambda x: pearson(F.nanvl(x.cast("double"), missing), y)})
 
 
+#: columns of a block, and tiles that run at the same time, in correlations of many columns
+TILE = 256
+TILES_AT_ONCE = 4
+
+#: bytes of the matrices that a task holds for several groups at a time
+GROUP_BYTES = 64 << 20
+
 #: variance, in units of the whole column's, below which a column counts as constant
 _FLAT = 1e-13
 
 
-def pair_correlations(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), center: Mapping[str, tuple[float, float]] | None = None) -> DataFrame:
+def pair_correlations(
+    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), center: Mapping[str, tuple[float, float]] | None = None, least: float | None = None, tile: int = TILE,
+) -> DataFrame:
     """(by..., col_a, col_b, corr) for every pair in column order, over complete pairs.
 
+    ``least`` leaves out the pairs whose correlation, rounded to nine places, does not
+    exceed it on either side. More than ``2 * tile`` columns without groups are worked off
+    in tiles, see :func:`_tiled_correlations`; the results are the same.
+
     Each task adds up the cross products of its Arrow batches as one matrix product and
     sends a single row per pair; Spark sums those rows. With x centred and ``seen`` its
     0/1 mask, the products of x, x*x and ``seen`` hold every sum that a
@@ -241,38 +258,105 @@ def pair_correlations(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
         return groups.select(*by, F.lit("").alias("col_a"), F.lit("").alias("col_b"), F.lit(0.0).alias("corr"))
     numbers = df.select(*by, *[number(c).alias(f"_{i}") for i, c in enumerate(cols)])
     names = [f"_{i}" for i in range(len(cols))]
+    tiled = not by and len(cols) > 2 * tile
+    if tiled:
+        numbers = materialize(numbers, "numbers")  # so that each tile reads its own columns only
     if center is None:
         shift = {r["feature"]: (r["m"] or 0.0, r["s"] or 1.0) for r in per_column(numbers, names, {"m": F.avg, "s": F.stddev_pop}).collect()}
     else:
         shift = {n: center[c] for n, c in zip(names, cols)}
-    z = numbers.select(*by, *[((F.col(c) - shift[c][0]) / shift[c][1]).alias(c) for c in names])
+    scaled = lambda part: [((F.col(c) - shift[c][0]) / shift[c][1]).alias(c) for c in part]
+    if tiled:
+        return _named_pairs(_tiled_correlations(numbers, names, scaled, least, tile), (), cols)
+    z = numbers.select(*by, *scaled(names))
     sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
     keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in z.schema.fields[: len(by)])
     schema = (keys + ", " if keys else "") + "i int, j int, " + ", ".join(f"{s} double" for s in sums)
     total = z.mapInPandas(_cross_products(by, names), schema).groupBy(*by, "i", "j").agg(*[F.sum(s).alias(s) for s in sums])
+    return _named_pairs(_exceeding(_pearson_of_sums(total, by), least), by, cols)
+
+
+def _pearson_of_sums(total: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., i, j, corr) from the summed products of standardised columns."""
     n = F.col("n")
     mx, my = ratio(F.col("sx"), n), ratio(F.col("sy"), n)
     vx, vy = ratio(F.col("sxx"), n) - mx * mx, ratio(F.col("syy"), n) - my * my
     flat = (vx <= _FLAT) | (vy <= _FLAT)
     corr = F.when(~flat, ratio(ratio(F.col("sxy"), n) - mx * my, F.sqrt(vx * vy)))
+    return total.select(*by, "i", "j", corr.alias("corr"))
+
+
+def _exceeding(pairs: DataFrame, least: float | None) -> DataFrame:
+    return pairs if least is None else pairs.filter(F.round(F.abs("corr"), 9) > least)
+
+
+def _named_pairs(pairs: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
     label = F.array(*[F.lit(c) for c in cols])
-    return total.select(
-        *by, F.element_at(label, F.col("i") + 1).alias("col_a"), F.element_at(label, F.col("j") + 1).alias("col_b"), corr.alias("corr")
-    )
+    return pairs.select(*by, F.element_at(label, F.col("i") + 1).alias("col_a"), F.element_at(label, F.col("j") + 1).alias("col_b"), "corr")
+
+
+def _tiled_correlations(numbers: DataFrame, names: Sequence[str], scaled: Callable[[Sequence[str]], list[Column]], least: float | None, tile: int) -> DataFrame:
+    """(i, j, corr) of all pairs of columns, one job for each pair of column blocks.
+
+    A task then reads the columns of two blocks, holds six matrices of ``tile`` by ``tile``
+    and sends at most that many rows, however many columns there are; with one pass for
+    all pairs it would hold and send their square. Only the pairs that exceed ``least`` are
+    kept. Every tile is a table of its own in the shared folder: tiles run a few at a
+    time, and one that fails is written again without touching the others.
+    """
+    spark = numbers.sparkSession
+    blocks = [list(range(a, min(a + tile, len(names)))) for a in range(0, len(names), tile)]
+    tiles = [(a, b) for a in range(len(blocks)) for b in range(a, len(blocks))]
+    folder = new_folder(spark, "correlation-tiles")
+    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    schema = "i int, j int, " + ", ".join(f"{s} double" for s in sums)
+
+    def work(pair: tuple[int, int]) -> None:
+        left, right = blocks[pair[0]], blocks[pair[1]]
+        read = numbers.select(*scaled([names[i] for i in dict.fromkeys([*left, *right])]))
+        total = read.mapInArrow(_tile_products(left, right), schema).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
+        _exceeding(_pearson_of_sums(total), least).write.mode("overwrite").parquet(f"{folder}/tile={pair[0] * len(blocks) + pair[1]}")
+
+    with ThreadPoolExecutor(TILES_AT_ONCE) as pool:
+        list(pool.map(inheritable_thread_target(spark)(work), tiles))
+    return spark.read.schema("i int, j int, corr double, tile int").parquet(folder).drop("tile")
+
+
+def _tile_products(left: Sequence[int], right: Sequence[int]):
+    """Adds up, over a task's batches, the products of the columns of two blocks."""
+    same = list(left) == list(right)
+    chosen = np.triu_indices(len(left), 1) if same else tuple(x.ravel() for x in np.indices((len(left), len(right))))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        acc = np.zeros((6, len(left), len(right)))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype("float64")  # nulls arrive as NaN
+            gaps = np.isnan(x)
+            a, b = x[:, : len(left)], x[:, -len(right) :]
+            if not gaps.any():  # then all products with the mask are plain sums
+                acc[0] += len(x)
+                acc[1] += a.sum(axis=0)[:, None]
+                acc[2] += b.sum(axis=0)[None, :]
+                acc[3] += (a * a).sum(axis=0)[:, None]
+                acc[4] += (b * b).sum(axis=0)[None, :]
+                acc[5] += a.T @ b
+                continue
+            seen = (~gaps).astype("float64")
+            x[gaps] = 0.0
+            wa, wb = seen[:, : len(left)], seen[:, -len(right) :]
+            acc += [wa.T @ wb, a.T @ wb, wa.T @ b, (a * a).T @ wb, wa.T @ (b * b), a.T @ b]
+        places = [np.asarray(left, "int32")[chosen[0]], np.asarray(right, "int32")[chosen[1]]]
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in [*places, *(m[chosen] for m in acc)]], names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    return add_up
 
 
 def _cross_products(by: list[str], names: list[str]):
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        k = len(names)
-        upper = np.triu_indices(k, 1)
-        acc: dict = {}
-        for pdf in batches:
-            for key, part in pdf.groupby(by, dropna=False) if by else [((), pdf)]:
-                x = part[names].to_numpy("float64")
-                seen = ~np.isnan(x)
-                x, w = np.where(seen, x, 0.0), seen.astype("float64")
-                total = acc.setdefault(key, np.zeros((4, k, k)))
-                total += [w.T @ w, x.T @ w, (x * x).T @ w, x.T @ x]
+    k = len(names)
+    upper = np.triu_indices(k, 1)
+    most = max(1, GROUP_BYTES // (32 * k * k))
+
+    def sums(acc: dict) -> Iterator[pd.DataFrame]:
         for key, (n, sx, sxx, sxy) in acc.items():
             out = pd.DataFrame(
                 {
@@ -283,6 +367,20 @@ def _cross_products(by: list[str], names: list[str]):
             for b, v in zip(by, key if isinstance(key, tuple) else (key,)):
                 out.insert(0, b, v)
             yield out[[*by, "i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"]]
+        acc.clear()
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc: dict = {}
+        for pdf in batches:
+            for key, part in pdf.groupby(by, dropna=False) if by else [((), pdf)]:
+                x = part[names].to_numpy("float64")
+                seen = ~np.isnan(x)
+                x, w = np.where(seen, x, 0.0), seen.astype("float64")
+                if key not in acc and len(acc) >= most:
+                    yield from sums(acc)  # Spark adds up what a group sends in several parts
+                total = acc.setdefault(key, np.zeros((4, k, k)))
+                total += [w.T @ w, x.T @ w, (x * x).T @ w, x.T @ x]
+        yield from sums(acc)
 
     return add_up
 

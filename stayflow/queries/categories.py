@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from stayflow import fixtures as fx
-from stayflow.operators import categorical as ca, prep
+from stayflow.operators import categorical as ca, prep, sparse
 from stayflow.queries.registry import query
 from stayflow.queries.statistics import r
 from stayflow.queries.views import corr, cut_sql, long_levels, long_numbers, with_views
@@ -221,6 +221,71 @@ def _categorical_choice(s, sf):
 
 
 query("categorical_pipeline_choice", _choice_sql())(_categorical_choice)
+
+
+# --- the same as sparse vectors, and levels without number ---
+
+
+def _named_cells(vectors, names):
+    """(chc_id, name, value) of the non-zero slots of a vector column."""
+    v = F.unwrap_udt("features")
+    cells = vectors.select("chc_id", F.inline(F.arrays_zip(v["indices"].alias("slot"), v["values"].alias("value"))))
+    return cells.join(names.select("slot", "name"), "slot").select("chc_id", "name", F.round("value", 6).alias("value"))
+
+
+def _sparse_pipeline(s, sf):
+    df = _nulled(fx.wide(s, sf))
+    return sparse.categorical_pipeline(df, ["segment"], ["segment", "priority"], ["nation", "priority", "segment"])
+
+
+query("categorical_sparse_choice", _choice_sql())(lambda s, sf: _sparse_pipeline(s, sf)[1].select(F.col("name").alias("feature")))
+query(
+    "categorical_sparse_rows",
+    _choice_sql().replace("SELECT name AS feature FROM s1 WHERE", "SELECT x.chc_id, x.name, round(x.v,6) AS value FROM x WHERE x.v <> 0 AND name IN (SELECT name FROM s1) AND"),
+)(lambda s, sf: _named_cells(*_sparse_pipeline(s, sf)))
+
+
+def _many_levels(s, sf):
+    """A text column with a level for every order, a copy, and one with two levels."""
+    df = _nulled(fx.wide(s, sf)).withColumns({"half": F.when(F.col("mon") <= 6, "H1").otherwise("H2"), "order_text": F.col("chc_id").cast("string")})
+    return r(sparse.one_hot_choice(df, _MANY_LEVELS))
+
+
+_MANY_LEVELS = ["half", "nation", "order_text", "priority", "priority_dup", "segment"]
+query(
+    "one_hot_sparse_choice",
+    with_views(
+        "v5", V5N, "i5 AS (SELECT *, CASE WHEN mon <= 6 THEN 'H1' ELSE 'H2' END AS half, CAST(chc_id AS VARCHAR) AS order_text FROM n5)",
+        f"l AS MATERIALIZED (SELECT * FROM ({long_levels('i5', _MANY_LEVELS, 'chc_id, status')}) WHERE level IS NOT NULL)",
+        "t AS (SELECT CAST(count(*) AS DOUBLE) AS t, CAST(sum(status) AS DOUBLE) AS ones FROM v5)",
+        "c AS (SELECT feature, level, CAST(count(*) AS DOUBLE) AS n, CAST(sum(status) AS DOUBLE) AS y FROM l GROUP BY ALL)",
+        "o AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY abs(round(corr,9)) DESC, feature, level) AS pos FROM (SELECT c.*, t, (t*y-n*ones)/nullif(sqrt(n*(t-n))*sqrt(ones*(t-ones)),0) AS corr FROM c, t) WHERE abs(round(corr,9)) >= 0.005)",
+        "m AS (SELECT a.pos AS pa, b.pos AS pb, any_value(a.n) AS na, any_value(b.n) AS nb, any_value(a.t) AS t, CAST(count(*) AS DOUBLE) AS n FROM l x JOIN l y ON x.chc_id=y.chc_id AND x.feature<>y.feature JOIN o a ON a.feature=x.feature AND a.level=x.level JOIN o b ON b.feature=y.feature AND b.level=y.level WHERE a.pos<b.pos GROUP BY a.pos, b.pos)",
+        # levels that never meet: only beside one with a good part of the rows
+        "z AS (SELECT least(a.pos,b.pos) AS pa, greatest(a.pos,b.pos) AS pb, a.n AS na, b.n AS nb, a.t, 0.0 AS n FROM o a JOIN o b ON a.pos<>b.pos WHERE a.n > 0.4*a.t AND (least(a.pos,b.pos), greatest(a.pos,b.pos)) NOT IN (SELECT (pa, pb) FROM m))",
+        "late AS (SELECT DISTINCT pb FROM (SELECT * FROM m UNION ALL SELECT * FROM z) WHERE round(abs((t*n-na*nb)/(sqrt(na*(t-na))*sqrt(nb*(t-nb)))),9) > 0.9)",
+        select="SELECT feature, level, CAST(n AS BIGINT) AS n, round(corr,6) AS corr FROM o WHERE pos NOT IN (SELECT pb FROM late)",
+    ),
+)(_many_levels)
+
+
+def _process_sparse(s, sf):
+    from stayflow.catalog import Catalog
+
+    df = fx.wide(s, sf).select("chc_id", "status", "price", "acctbal_gap", "const_num", "mon", "priority", "segment", F.col("chc_id").cast("string").alias("order_text"))
+    return _named_cells(*sparse.process_sparse(df, Catalog.from_schema(df)))
+
+
+query(
+    "process_data_sparse",
+    with_views(
+        "v5", "i AS (SELECT *, CASE WHEN trim(segment)<>'' THEN segment ELSE 'UNKNOWN' END AS seg FROM v5)",
+        select="""SELECT chc_id, 'price' AS name, price AS value FROM i WHERE price <> 0 UNION ALL SELECT chc_id, 'acctbal_gap', round(acctbal_gap,6) FROM i WHERE acctbal_gap <> 0
+UNION ALL SELECT chc_id, 'mon', CAST(mon AS DOUBLE) FROM i UNION ALL SELECT chc_id, 'priority_'||priority, 1.0 FROM i UNION ALL SELECT chc_id, 'segment_'||seg, 1.0 FROM i
+UNION ALL SELECT chc_id, 'order_text_'||CAST(chc_id AS VARCHAR), 1.0 FROM i""",
+    ),
+)(_process_sparse)
+
 query("categorical_pipeline")(
     lambda s, sf: (
         lambda df: ca.categorical_pipeline(

@@ -114,21 +114,31 @@ query(
 # --- the thinned union: which outputs survive, found by the same rule in SQL ---
 
 _PIPE = ["price", "acctbal_gap", "mon"]
-_STAGES = ["Original", "Standard", "Binary", "MinMax", "MaxAbs", "Log1p", "Sqrt", "Reciprocal"]
+_STAGES = ["Original", "Standard", "Robust", "Quantile", "Binary", "MinMax", "MaxAbs", "Norm", "KBin", "Log1p", "Sqrt", "Reciprocal"]
+_TENTHS = "[0.0,0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9,1.0]"
 
 
 def _pipe_sql():
     f = {
         "Original": "{c}", "Standard": "({c}-m_{c})/s_{c}", "Binary": "CASE WHEN {c}>0 THEN 1.0 WHEN {c} IS NOT NULL THEN 0.0 END",
         "MinMax": "({c}-a_{c})/(b_{c}-a_{c})", "MaxAbs": "{c}/x_{c}", "Log1p": "CASE WHEN {c}>-1 THEN ln(1+{c}) ELSE 0 END",
-        "Sqrt": "CASE WHEN {c}>=0 THEN sqrt({c}) ELSE 0 END", "Reciprocal": "coalesce(1/nullif({c},0),0)",
+        "Sqrt": "CASE WHEN {c}>=0 THEN sqrt({c}) ELSE 0 END", "Reciprocal": "coalesce(1/nullif({c},0),0)", "Robust": "({c}-r_{c})/w_{c}",
+        "Norm": "CASE WHEN l1=0 THEN {c} ELSE {c}/l1 END", "KBin": "CASE WHEN {c} IS NOT NULL THEN CAST(len(list_filter(k_{c}[2:-2], lambda x: x <= {c})) AS DOUBLE) END",
+        "Quantile": f"""CASE WHEN {{c}} IS NULL THEN NULL WHEN {{c}} >= l_{{c}}[{_N}] THEN 1.0 WHEN {{c}} <= l_{{c}}[1] THEN 0.0
+  WHEN len(list_filter(l_{{c}}, lambda x: x <= {{c}})) > len(list_filter(l_{{c}}, lambda x: x < {{c}}))
+  THEN (len(list_filter(l_{{c}}, lambda x: x < {{c}})) + len(list_filter(l_{{c}}, lambda x: x <= {{c}})) - 1)/2.0/{_N - 1}
+  ELSE (len(list_filter(l_{{c}}, lambda x: x <= {{c}})) - 1 + ({{c}} - l_{{c}}[len(list_filter(l_{{c}}, lambda x: x <= {{c}}))])
+  /(l_{{c}}[len(list_filter(l_{{c}}, lambda x: x <= {{c}})) + 1] - l_{{c}}[len(list_filter(l_{{c}}, lambda x: x <= {{c}}))]))/{_N - 1} END""",
     }
     d = "d AS (SELECT status, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _PIPE) + " FROM v5)"
-    q = "q AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}, min({c}) AS a_{c}, max({c}) AS b_{c}, max(abs({c})) AS x_{c}" for c in _PIPE) + " FROM d)"
+    q = "q AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}, min({c}) AS a_{c}, max({c}) AS b_{c}, max(abs({c})) AS x_{c}, quantile_cont({c},0.5) AS r_{c}, quantile_cont({c},0.95)-quantile_cont({c},0.05) AS w_{c}, quantile_cont({c}, {_STEPS}) AS l_{c}, quantile_cont({c}, {_TENTHS}) AS e_{c}" for c in _PIPE) + " FROM d)"
+    e = "e AS (SELECT *, " + ", ".join(f"list_concat([e_{c}[1]], [e_{c}[i] FOR i IN range(2,12) IF e_{c}[i]-e_{c}[i-1] > 1e-8]) AS k_{c}" for c in _PIPE) + " FROM q)"
+    l1 = "+".join(f"coalesce(abs({c}),0)" for c in _PIPE)
     names = [f"{st}_{c}" for st in _STAGES for c in _PIPE]
-    u = "u AS (SELECT status, " + ", ".join(f"{f[st].format(c=c)} AS {st}_{c}" for st in _STAGES for c in _PIPE) + " FROM d, q)"
+    u = "u AS (SELECT status, " + ", ".join(f"{f[st].format(c=c)} AS {st}_{c}" for st in _STAGES for c in _PIPE) + f" FROM (SELECT *, {l1} AS l1 FROM d), e)"
+    u = u.replace("u AS (", "u AS MATERIALIZED (", 1)
     ctes = [
-        d, q, u, f"ct AS ({corr_target_sql(names, 'u')})",
+        d, q, e, u, f"ct AS ({corr_target_sql(names, 'u')})",
         "o AS (SELECT *, split_part(feature,'_',1) AS stage, row_number() OVER (ORDER BY abs(round(corr,9)) DESC NULLS LAST, feature) AS pos FROM ct WHERE round(abs(corr),9) >= 0.002)",
         f"pr AS ({pairs_sql(names, 'u')})",
         "pp AS (SELECT b.feature, a.feature AS early, a.stage = b.stage AS same, round(abs(p.corr),9) > 0.9 AS hit FROM o a JOIN o b ON a.pos<b.pos JOIN pr p ON (p.col_a=a.feature AND p.col_b=b.feature) OR (p.col_a=b.feature AND p.col_b=a.feature))",
@@ -139,11 +149,7 @@ def _pipe_sql():
 
 def _numeric_pipeline_choice(s, sf):
     df = fx.wide(s, sf)
-    made = {
-        "Original": nu.passthrough(_PIPE), "Standard": nu.standard(df, _PIPE), "Binary": nu.binarize(_PIPE), "MinMax": nu.minmax(df, _PIPE),
-        "MaxAbs": nu.maxabs(df, _PIPE), "Log1p": nu.log1p(_PIPE), "Sqrt": nu.sqrt(_PIPE), "Reciprocal": nu.reciprocal(_PIPE),
-    }
-    chosen = nu.thinned_union(df, {k: f.renamed(k) for k, f in made.items()}, "status", 0.002, 0.90)
+    chosen = nu.numeric_pipeline(df, _PIPE, "status", 0.002, 0.90)
     return s.createDataFrame([(n,) for n in chosen.outputs], "feature string")
 
 

@@ -6,6 +6,7 @@ from stayflow.catalog import Catalog
 from stayflow.operators import prep, screening as sc, stats as st
 from stayflow.queries.registry import query
 from stayflow.queries.views import corr, long_levels, long_numbers, pct2 as pct_sql, with_views
+from stayflow.session import materialize
 
 NUMS = ["price", "acctbal_gap", "mostly_missing", "yr", "mon"]
 CATS = ["priority", "segment", "nation"]
@@ -142,6 +143,33 @@ query(
 query("pairwise_correlation", with_views("v5", f"p AS ({pairs_sql(CNUMS)})", select="SELECT col_a, col_b, round(corr,6) AS corr FROM p"))(
     lambda s, sf: r(st.pair_correlations(fx.wide(s, sf), CNUMS))
 )
+
+
+# --- many columns: derived from the customers, with copies, multiples and gaps ---
+
+
+def many_columns(k):
+    """SQL of ``k`` number columns; of every ten three follow another one more or less closely."""
+    out = []
+    for i in range(k):
+        base = f"CAST((c_custkey * {7919 + 104729 * (i // 10 * 10)} + {i // 10 * 31}) % {9973 + i // 10} AS DOUBLE)"
+        own = f"CAST((c_custkey * {15485863 + 32452843 * i}) % {7919 + i} AS DOUBLE)"
+        out.append({1: f"{base} * 2 + 3", 2: f"CASE WHEN c_custkey % 3 <> 0 THEN {base} END", 3: f"{base} + 0.9 * {own}", 4: f"0 - {base}"}.get(i % 10, base if i % 10 == 0 else own) + f" AS f{i:04d}")
+    return ", ".join(out)
+
+
+def many(s, sf, k):
+    fx.table(s, sf, "customer").createOrReplaceTempView("stayflow_many")
+    return s.sql(f"SELECT c_custkey AS chc_id, CASE WHEN c_acctbal > 4500 THEN 1 ELSE 0 END AS status, {many_columns(k)} FROM stayflow_many")
+
+
+_MANY = [f"f{i:04d}" for i in range(30)]
+query(
+    "pairwise_correlation_tiled",
+    f"WITH w AS MATERIALIZED (SELECT {many_columns(30)} FROM customer), p AS ({pairs_sql(_MANY, 'w')}) SELECT col_a, col_b, round(corr,6) AS corr FROM p WHERE round(abs(corr),9) > 0.3",
+)(lambda s, sf: r(st.pair_correlations(many(s, sf, 30), _MANY, least=0.3, tile=8)))
+query("drop_correlated_1000")(lambda s, sf: prep.drop_correlated(materialize(many(s, sf, 1000), "many"), 0.90, "status").report)
+
 _T5 = ["price", "acctbal_gap", "yr", "mon", "mostly_missing", "status"]
 query(
     "top5_correlated",
@@ -327,14 +355,47 @@ def _fate(s, sf):
     return s.createDataFrame(rows, "feature string, fate string")
 
 
-# columns by their place in the order of |r| with the label, decided as the rules say
-_FATE_CTES = [
-    f"ct AS ({corr_target_sql(['price', 'price_dup', 'price_x2', 'acctbal_gap', 'yr', 'mon'])})",
-    f"pr AS ({pairs_sql(['price', 'price_dup', 'price_x2', 'acctbal_gap', 'yr', 'mon'])})",
-]
-_FATE = """SELECT feature, CASE WHEN feature='mostly_missing' THEN 'missing' WHEN feature IN ('const_cat','const_num') THEN 'constant'
-  WHEN feature IN (SELECT drop_feature FROM h) THEN 'correlated' WHEN feature='priority_dup' THEN 'duplicate' ELSE 'kept' END AS fate FROM ms"""
-query("preprocess_fate", with_views("v5", MISS, *_FATE_CTES, DROP.format(t=0.99), select=_FATE))(_fate)
+_FATE_NUMS = ["acctbal_gap", "const_num", "mon", "mostly_missing", "price", "price_dup", "price_x2", "yr"]
+_FATE_TEXTS = ["const_cat", "nation", "priority", "priority_dup", "segment"]
+
+
+def fate_sql(group, texts):
+    """All eight stages decided from the values, for each level of ``group`` (a column or a constant)."""
+    feats = _FATE_NUMS + texts
+    raw = "r5 AS (SELECT *, " + f"{group} AS grp" + " FROM (SELECT * REPLACE (CASE WHEN trim(segment)<>'' THEN segment END AS segment) FROM v5))"
+    full = "f5 AS (SELECT grp, status, " + ", ".join(f"coalesce({c}, {0 if c in _FATE_NUMS else "'UNKNOWN'"}) AS {c}" for c in feats) + " FROM r5)"
+
+    def basic(name, src):
+        rows = " UNION ALL ".join(f"SELECT grp, '{c}' AS feature, CAST({c} AS VARCHAR) AS level FROM {src}" for c in feats)
+        return f"{name} AS MATERIALIZED (SELECT grp, feature, count(*) FILTER (level IS NULL)/count(*) AS missing, coalesce(min(level)=max(level), false) AS one FROM ({rows}) GROUP BY ALL)"
+
+    def target(name, src):
+        return f"{name} AS (" + " UNION ALL ".join(f"SELECT grp, '{c}' AS feature, {corr(f'CAST({c} AS DOUBLE)', 'status')} AS corr FROM {src} GROUP BY grp" for c in _FATE_NUMS) + ")"
+
+    def pairs(name, src, least):
+        body = " UNION ALL ".join(
+            f"SELECT grp, '{a}' AS col_a, '{b}' AS col_b, {corr(f'CAST({a} AS DOUBLE)', f'CAST({b} AS DOUBLE)')} AS corr FROM {src} GROUP BY grp" for i, a in enumerate(_FATE_NUMS) for b in _FATE_NUMS[i + 1 :]
+        )
+        return f"{name} AS (SELECT * FROM ({body}) WHERE round(abs(corr),9) > {least})"
+
+    def late(name, target, pairs, gone):
+        return f"""o{name} AS MATERIALIZED (SELECT grp, feature, row_number() OVER (PARTITION BY grp ORDER BY abs(round(corr,9)) DESC NULLS LAST, feature) AS pos FROM {target} ANTI JOIN {gone} USING (grp, feature)),
+{name} AS MATERIALIZED (SELECT DISTINCT b.grp, b.feature FROM o{name} a JOIN o{name} b ON a.grp=b.grp AND a.pos<b.pos JOIN {pairs} p ON p.grp=a.grp AND ((p.col_a=a.feature AND p.col_b=b.feature) OR (p.col_a=b.feature AND p.col_b=a.feature)))"""
+
+    equal = " UNION ALL ".join(f"SELECT grp, '{b}' AS feature FROM r5 GROUP BY grp HAVING bool_and({a} IS NOT DISTINCT FROM {b})" for i, a in enumerate(texts) for b in texts[i + 1 :])
+    return [
+        raw, full, basic("b1", "r5"), basic("b2", "f5"), target("t1", "r5"), target("t2", "f5"), pairs("p1", "r5", 0.99), pairs("p2", "f5", 0.90),
+        "g1 AS MATERIALIZED (SELECT grp, feature, CASE WHEN missing > 0.99 THEN 'missing' ELSE 'constant' END AS fate FROM b1 WHERE missing > 0.99 OR one AND missing <= 0)",
+        late("c1", "t1", "p1", "g1"),
+        f"e1 AS (SELECT DISTINCT * FROM ({equal}))",
+        "g2 AS MATERIALIZED (SELECT * FROM g1 UNION ALL SELECT grp, feature, 'correlated' FROM c1 UNION ALL SELECT grp, feature, 'duplicate' FROM e1 ANTI JOIN g1 USING (grp, feature))",
+        "g3 AS MATERIALIZED (SELECT * FROM g2 UNION ALL SELECT grp, feature, 'constant after imputing' FROM b2 ANTI JOIN g2 USING (grp, feature) WHERE one)",
+        late("c2", "t2", "p2", "g3"),
+        "fates AS (SELECT * FROM g3 UNION ALL SELECT grp, feature, 'correlated after imputing' FROM c2)",
+    ]
+
+
+query("preprocess_fate", with_views("v5", *fate_sql("'all'", _FATE_TEXTS), select="SELECT feature, coalesce(fate, 'kept') AS fate FROM b1 LEFT JOIN fates USING (grp, feature)"))(_fate)
 query(
     "preprocess_pipeline",
     with_views("v5", select="SELECT chc_id, status, coalesce(acctbal_gap,0) AS acctbal_gap, mon, nation, price, priority, CASE WHEN trim(segment)<>'' THEN segment ELSE 'UNKNOWN' END AS segment, yr FROM v5"),
@@ -342,24 +403,34 @@ query(
 
 
 def _by_market(s, sf):
-    df = fx.wide(s, sf).drop("mostly_missing")
-    cat = Catalog.from_schema(df)
-    rows = [(g[0], f, fate) for g, fates in prep.fit_pipeline(df, cat, by=["nation"]).items() for f, fate in fates]
-    return s.createDataFrame(rows, "market string, feature string, fate string")
+    df = fx.wide(s, sf)
+    return prep.fit_pipeline_by(df, Catalog.from_schema(df), ["nation"]).withColumnRenamed("nation", "market")
 
 
-_MCOLS = ["price", "price_dup", "price_x2", "acctbal_gap", "yr", "mon"]
-_MCT = " UNION ALL ".join(f"SELECT nation, '{c}' AS feature, {corr(f'CAST({c} AS DOUBLE)', 'status')} AS corr FROM v5 GROUP BY nation" for c in _MCOLS)
-_MPR = " UNION ALL ".join(
-    f"SELECT nation, '{a}' AS col_a, '{b}' AS col_b, {corr(f'CAST({a} AS DOUBLE)', f'CAST({b} AS DOUBLE)')} AS corr FROM v5 GROUP BY nation" for i, a in enumerate(_MCOLS) for b in _MCOLS[i + 1 :]
-)
 query(
     "preprocess_by_market",
+    with_views("v5", *fate_sql("nation", [c for c in _FATE_TEXTS if c != "nation"]), select="SELECT grp AS market, feature, coalesce(fate, 'kept') AS fate FROM b1 LEFT JOIN fates USING (grp, feature)"),
+)(_by_market)
+_VIEWS = {"NUM": [], "CAT": ["priority", "segment"], "ALL": ["priority", "segment"]}
+
+
+def _selection_views(s, sf):
+    """The columns of each view, with the rows that are complete in them."""
+    df = fx.wide(s, sf)
+    cat, out = Catalog.from_schema(df), None
+    for view in _VIEWS:
+        made = prep.selection_view(df, cat, view, ["price", "acctbal_gap", "const_num", "priority", "segment", "const_cat", "unknown"])
+        one = st.per_column(made, made.columns[2:], {"n": F.count, "total": lambda c: F.round(F.sum(c.cast("double")), 2)}).select(F.lit(view).alias("view"), "feature", "n", "total")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+query(
+    "selection_views",
     with_views(
-        "v5", f"ct AS ({_MCT})", f"pr AS ({_MPR})",
-        "o AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY abs(round(corr,9)) DESC NULLS LAST, feature) AS pos FROM ct)",
-        "h AS (SELECT DISTINCT b.nation, b.feature FROM o a JOIN o b ON a.nation=b.nation AND a.pos<b.pos JOIN pr p ON p.nation=a.nation AND ((p.col_a=a.feature AND p.col_b=b.feature) OR (p.col_a=b.feature AND p.col_b=a.feature)) WHERE round(abs(p.corr),9) > 0.99)",
-        "f AS (SELECT DISTINCT nation, unnest(['price','price_dup','price_x2','acctbal_gap','yr','mon','const_cat','const_num','priority','priority_dup','segment']) AS feature FROM v5)",
-        select="SELECT f.nation AS market, f.feature, CASE WHEN f.feature LIKE 'const%' THEN 'constant' WHEN h.feature IS NOT NULL THEN 'correlated' WHEN f.feature='priority_dup' THEN 'duplicate' ELSE 'kept' END AS fate FROM f LEFT JOIN h ON h.nation=f.nation AND h.feature=f.feature",
+        "v5", "i AS (SELECT price, coalesce(acctbal_gap, 0) AS acctbal_gap, priority, CASE WHEN trim(segment)<>'' THEN segment ELSE 'UNKNOWN' END AS segment FROM v5)",
+        "n AS (SELECT 'price' AS feature, count(*) AS n, round(sum(price),2) AS total FROM i UNION ALL SELECT 'acctbal_gap', count(*), round(sum(acctbal_gap),2) FROM i)",
+        "c AS (SELECT 'priority_'||priority AS feature, (SELECT count(*) FROM i) AS n, CAST(count(*) AS DOUBLE) AS total FROM i GROUP BY priority UNION ALL SELECT 'segment_'||segment, (SELECT count(*) FROM i), count(*) FROM i GROUP BY segment)",
+        select="SELECT 'NUM' AS view, * FROM n UNION ALL SELECT 'CAT', * FROM c UNION ALL SELECT 'ALL', * FROM n UNION ALL SELECT 'ALL', * FROM c",
     ),
-)(_by_market)
+)(_selection_views)
