@@ -259,8 +259,8 @@ def cluster_blocks(classes: DataFrame, block_cost: int) -> DataFrame:
     """(code, n, first_id, cluster, block) of the classes that share a key with another."""
     held = classes.select("code", F.explode("keys").alias("key"))
     shared = materialize(held.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("key"), "shared-keys")
-    met = materialize(_sifted(held, "key", _bits(shared, "key")).join(shared, "key").select("key", "code"), "shared-members")
-    pivots = met.groupBy("key").agg(F.min("code").alias("pivot"))
+    met = materialize(_sifted(held, "key", _bits(shared, "key")).select("key", "code"), "shared-members")
+    pivots = met.groupBy("key").agg(F.min("code").alias("pivot"), F.max("code").alias("other")).filter("pivot < other").select("key", "pivot")
     edges = met.join(pivots, "key").filter("code <> pivot").select(F.col("code").alias("a"), F.col("pivot").alias("b")).distinct()
     label = materialize(components(edges), "clusters")
     label = label.unionByName(label.select(F.col("root").alias("node"), "root").distinct())
