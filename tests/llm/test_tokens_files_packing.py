@@ -93,6 +93,40 @@ def test_packing_keeps_every_id(odd, docs, library, size, shard):
         check_packing(packing.pack_documents(frame, size=size, shard_tokens=shard).collect(), texts, library, size)
 
 
+@pytest.mark.parametrize("parts", [1, 50])
+def test_short_sequences_are_few_at_any_number_of_partitions(docs, library, parts):
+    rows = packing.pack_documents(docs.repartition(parts)).collect()
+    size = defaultdict(int)
+    for r in rows:
+        size[r.sequence_id] += r.length
+    total = sum(size.values())
+    assert sum(n < packing.SEQUENCE for n in size.values()) == (total % packing.SEQUENCE).bit_count() <= 12
+    assert sum(n == packing.SEQUENCE for n in size.values()) == total // packing.SEQUENCE
+
+
+def test_pieces_go_where_a_plain_search_puts_them():
+    rng = np.random.default_rng(1)
+    for loose in (False, True):
+        lengths = rng.integers(1, 150, 300)
+        pieces, costs = packing.pack(lengths, 64, 1.0, 1 / 64, loose)
+        room = packing.rooms(int((lengths % 64).sum()), 64)
+        room = [r for r in room if r == 64] if loose else room
+        used, cost, whole, expect = [0] * len(room), [0.0] * len(room), int((lengths // 64).sum()), []
+        for doc in sorted(range(300), key=lambda d: -(lengths[d] % 64)):
+            left, start = int(lengths[doc] % 64), int(lengths[doc] // 64 * 64)
+            while left:
+                fits = [i for i in range(len(room)) if room[i] - used[i] >= left] or [i for i in range(len(room)) if room[i] > used[i]]
+                if not fits:
+                    expect.append((doc, start, left, -1, 0))
+                    break
+                at = min(fits, key=lambda i: (cost[i], i))
+                n = min(left, room[at] - used[at])
+                expect.append((doc, start, n, whole + at, used[at]))
+                used[at], cost[at] = used[at] + n, cost[at] + n + n * n / 64
+                start, left = start + n, left - n
+        assert [tuple(p) for p in pieces[whole:].tolist()] == expect and np.allclose(costs[whole:], cost)
+
+
 def test_packing_of_nothing(none):
     assert packing.pack_documents(none).count() == 0
 
