@@ -5,8 +5,10 @@ others those of users with their names, and system turns stay as they are. A ren
 given as its messages, one row each, with the place of the message and of the text to be
 learned in the whole rendering, so that no conversation is gathered in one place.
 
-Places are running totals of lengths. A long conversation is cut by turn into chunks: the
-totals of whole chunks and the running totals inside a chunk are found apart and added.
+Places are running totals of lengths over the messages of a rendering, in ranges: rows are
+range partitioned on rendering, turn, speaker, text and a row number, so that a conversation
+of any size, with any number of equal turns or equal rows, is spread over many tasks, and
+the totals of earlier ranges are added.
 
 Only DataFrame functions are used. Defined cases: null and empty texts are empty messages;
 turns that tie follow in the order of role and text, and repeated rows are repeated
@@ -16,15 +18,17 @@ inside a text are broken up; other columns are left alone.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from stayflow.operators.ordered import running_totals
+from stayflow.session import materialize
 
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"
 SYSTEM = "system"
 UNNAMED = "unknown"
-CHUNK_BITS = 10  # a chunk holds 1024 turn numbers
 
 
-def rotate(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", chunk_bits: int = CHUNK_BITS) -> DataFrame:
+def rotate(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, perspective, turn, speaker, form, message, start, learn_start, learn_length) of every message of every rendering.
 
     Lengths and places count characters. ``learn_start`` and ``learn_length`` are null
@@ -34,21 +38,18 @@ def rotate(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "t
         F.col(id_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).alias("speaker"),
         F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("<|"), F.lit("<\\|")).alias("body"),
     )
+    turns = materialize(turns.withColumn("row", F.monotonically_increasing_id()), "turns")  # so that the row numbers stay as they are
     parties = turns.filter(F.col("speaker").isNotNull() & (F.col("speaker") != SYSTEM)).select(F.col("conv_id").alias("__conv"), F.col("speaker").alias("perspective")).distinct()
     rows = turns.join(parties, F.col("conv_id").eqNullSafe(F.col("__conv"))).drop("__conv")
     form = F.when(F.col("speaker") == F.col("perspective"), "assistant").when(F.col("speaker") == SYSTEM, SYSTEM).otherwise("user")
     head = F.concat(F.lit(BEGIN), "form", F.when(F.col("form") == "user", F.concat(F.lit(" name="), F.coalesce("speaker", F.lit(UNNAMED)))).otherwise(""), F.lit("\n"))
     rows = rows.withColumn("form", form).withColumn("head", head).withColumn("message", F.concat("head", "body", F.lit(END)))
-    rows = rows.withColumn("chunk", F.coalesce(F.shiftright("turn", chunk_bits), F.lit(-(1 << 62)))).withColumn("size", F.length("message"))
-
-    place = ["conv_id", "perspective", "chunk"]
-    totals = rows.groupBy(*place).agg(F.sum("size").alias("total"))
-    before = Window.partitionBy("conv_id", "perspective").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(*(F.col(c).alias(f"__{c}") for c in place), F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy(*place).orderBy("turn", "speaker", "body").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    placed = placed.join(bases, F.col("conv_id").eqNullSafe(F.col("__conv_id")) & (F.col("perspective") == F.col("__perspective")) & (F.col("chunk") == F.col("__chunk")))
-    start = F.col("base") + F.col("within")
+    # a null id is a conversation too, and no id reads like it
+    rendering = F.when(F.col("conv_id").isNotNull(), F.concat(F.lit("v"), F.col("conv_id").cast("string"))).otherwise("n")
+    rows = rows.withColumns({"size": F.length("message").cast("bigint"), "conv_key": rendering})
+    order = [F.asc_nulls_first("turn"), F.asc_nulls_first("speaker"), F.col("body"), F.col("row")]
+    placed = running_totals(rows, order, ["size"], ["conv_key", "perspective"])
+    start = F.col("size_before")
     own = F.col("form") == "assistant"
     return placed.select(
         "conv_id", "perspective", "turn", "speaker", "form", "message", start.alias("start"),

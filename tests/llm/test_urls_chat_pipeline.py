@@ -1,5 +1,6 @@
 """URL rules and list, perspective rotation, SQL of this package's queries, and the pipeline."""
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import oracle
@@ -16,8 +17,8 @@ def test_matches_sql(spark, name):
     assert oracle.compare(got, oracle.run_sql(oracle.connect(SF_DIR), ORACLES[name])).startswith("ok")
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 URLS = [
@@ -62,26 +63,38 @@ TURNS = [
 
 def test_rotation_is_whole(spark):
     turns = spark.createDataFrame([(*t, "f") for t in TURNS], "conv_id long, turn long, role string, text string, form string")
-    for bits in (0, 10):
-        rows = perspective.rotate(turns, chunk_bits=bits).collect()
-        by = {}
-        for r in rows:
-            by.setdefault((r.conv_id, r.perspective), []).append(r)
-        assert set(by) == {(1, "ann"), (1, "bob"), (1, "cy"), (None, "bob"), (3, "ann")}
-        for (conv, who), found in by.items():
-            found.sort(key=lambda r: r.start)
-            whole = "".join(r.message for r in found)
-            assert len(found) == sum(t[0] == conv for t in TURNS)
-            for r in found:
-                assert whole[r.start : r.start + len(r.message)] == r.message
-                assert (r.learn_start is not None) == (r.speaker == who) == (r.form == "assistant")
-                if r.learn_start is not None:
-                    assert r.message.endswith(whole[r.learn_start : r.learn_start + r.learn_length])
-                    assert whole[: r.learn_start].endswith("assistant\n")
-            assert found[0].message.startswith("<|im_start|>system") or conv != 1 or found[0].turn is None
+    rows = perspective.rotate(turns).collect()
+    by = {}
+    for r in rows:
+        by.setdefault((r.conv_id, r.perspective), []).append(r)
+    assert set(by) == {(1, "ann"), (1, "bob"), (1, "cy"), (None, "bob"), (3, "ann")}
+    for (conv, who), found in by.items():
+        found.sort(key=lambda r: r.start)
+        whole = "".join(r.message for r in found)
+        assert len(found) == sum(t[0] == conv for t in TURNS)
+        for r in found:
+            assert whole[r.start : r.start + len(r.message)] == r.message
+            assert (r.learn_start is not None) == (r.speaker == who) == (r.form == "assistant")
+            if r.learn_start is not None:
+                assert r.message.endswith(whole[r.learn_start : r.learn_start + r.learn_length])
+                assert whole[: r.learn_start].endswith("assistant\n")
+        assert found[0].message.startswith("<|im_start|>system") or conv != 1 or found[0].turn is None
     assert perspective.rotate(turns.limit(0)).count() == 0
 
 
+def test_a_hot_conversation_is_spread(spark):
+    """One conversation whose turns repeat or are null: many ranges, the same places."""
+    rows = [(1, (None, 0, 1)[i % 3], ("ann", "bob")[i % 2], "same text") for i in range(6000)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = perspective.rotate(frame)
+    spread = found.withColumn("part", F.spark_partition_id()).filter("perspective = 'ann'").groupBy("part").count().collect()
+    assert sum(r["count"] for r in spread) == 6000
+    placed = sorted((r.start, len(r.message)) for r in found.filter("perspective = 'ann'").collect())
+    assert placed[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(placed, placed[1:]))
+    nulls = found.filter("perspective = 'ann' AND turn IS NULL").agg(F.max("start")).first()[0]
+    assert nulls < found.filter("perspective = 'ann' AND turn = 0").agg(F.min("start")).first()[0]
+
+
 def test_stages_are_their_operators(spark, docs, odd, none):
     """Each stage drops what its operator rejects on the stage's own input, and nothing else."""
     names = [n for n, _ in corpus_pipeline.STAGES]
