@@ -2,6 +2,13 @@
 
 Every stage reads the documents its predecessor kept, as a table in the shared folder, so
 a lost executor costs at most the tasks of one stage.
+
+Defined cases: documents with a null or empty text fail the quality rules; a document in no
+language that can be told goes, unless no language can be learned at all; of documents whose
+fingerprints are near, repeated rows and null ids among them, one row stays; without a
+benchmark no document is contaminated; very long texts are worked through in runs and cut to
+whole sequences; ties go as each operator says; an empty table stays empty; all stages but
+the last keep the columns of the documents, whatever their names.
 """
 from __future__ import annotations
 
