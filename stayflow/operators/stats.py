@@ -20,6 +20,13 @@ NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.Do
 #: columns per aggregate; wider tables are read in several chunks of this size
 CHUNK = 200
 
+#: columns of a block, and tiles that run at the same time, in correlations of many columns
+TILE = 256
+TILES_AT_ONCE = 4
+
+#: bytes of the matrices that a task holds for several groups at a time
+GROUP_BYTES = 64 << 20
+
 # The percentiles of the describe report.
 DESCRIBE = {
     "p01": 0.01, "p05": 0.05, "p10": 0.1, "p20": 0.2, "p30": 0.3, "p40": 0.4, "p50": 0.5,
@@ -217,20 +224,31 @@ def group_level_shares(df: DataFrame, group: str, cols: Sequence[str], max_level
     )
 
 
+def wide_target_correlation(df: DataFrame, cols: Sequence[str], label: str = "status", name: str = "corr") -> DataFrame:
+    """(feature, corr) for very many columns: one Arrow pass of products with the label.
+
+    The same figures as :func:`target_correlation`, whose aggregates take long to plan and
+    to compile for a thousand columns.
+    """
+    names = [f"_{i}" for i in range(len(cols) + 1)]
+    numbers = df.select(*[number(c).alias(n) for c, n in zip([label, *cols], names)])
+    shift = _rough_moments(numbers, names)
+    scaled = numbers.select(*[((F.col(n) - shift[n][0]) / shift[n][1]).alias(n) for n in names])
+    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    made = scaled.mapInArrow(_tile_products([0], range(1, len(names))), "i int, j int, " + ", ".join(f"{s} double" for s in sums))
+    total = made.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
+    return _named_pairs(_pearson_of_sums(total), (), [label, *cols]).select(F.col("col_b").alias("feature"), F.col("corr").alias(name))
+
+
 def target_correlation(df: DataFrame, cols: Sequence[str], label: str = "status", name: str = "corr") -> DataFrame:
     """Pearson r of every column with the label, all in one aggregate per chunk."""
+    if len(cols) > 2 * TILE:
+        return wide_target_correlation(df, cols, label, name)
     y = F.col(label).cast("double")
     missing = F.lit(None).cast("double")
     return per_column(df, cols, {name: lambda x: pearson(F.nanvl(x.cast("double"), missing), y)})
 
 
-#: columns of a block, and tiles that run at the same time, in correlations of many columns
-TILE = 256
-TILES_AT_ONCE = 4
-
-#: bytes of the matrices that a task holds for several groups at a time
-GROUP_BYTES = 64 << 20
-
 #: variance, in units of the whole column's, below which a column counts as constant
 _FLAT = 1e-13
 
@@ -261,7 +279,9 @@ def pair_correlations(
     tiled = not by and len(cols) > 2 * tile
     if tiled:
         numbers = materialize(numbers, "numbers")  # so that each tile reads its own columns only
-    if center is None:
+    if center is None and tiled:
+        shift = _rough_moments(numbers, names)
+    elif center is None:
         shift = {r["feature"]: (r["m"] or 0.0, r["s"] or 1.0) for r in per_column(numbers, names, {"m": F.avg, "s": F.stddev_pop}).collect()}
     else:
         shift = {n: center[c] for n, c in zip(names, cols)}
@@ -295,6 +315,30 @@ def _named_pairs(pairs: DataFrame, by: Sequence[str], cols: Sequence[str]) -> Da
     return pairs.select(*by, F.element_at(label, F.col("i") + 1).alias("col_a"), F.element_at(label, F.col("j") + 1).alias("col_b"), "corr")
 
 
+def _rough_moments(numbers: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Mean and spread of many columns in one Arrow pass: they only shift and scale, so rounding does not matter."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mean, m2 = (np.zeros(len(names)) for _ in range(3))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype("float64")
+            seen = ~np.isnan(x)
+            k = seen.sum(axis=0)
+            here = np.where(seen, x, 0.0).sum(axis=0) / np.maximum(k, 1)
+            gap, total = here - mean, np.maximum(n + k, 1)
+            m2 += (np.where(seen, x - here, 0.0) ** 2).sum(axis=0) + gap * gap * n * k / total
+            mean, n = mean + gap * k / total, n + k
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(names), dtype="int32")), pa.array(n), pa.array(mean), pa.array(m2)], names=["i", "n", "mean", "m2"])
+
+    parts = numbers.mapInArrow(add_up, "i int, n double, mean double, m2 double").filter("n > 0")
+    whole = parts.groupBy("i").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("mean")).alias("s"), F.sum(F.col("m2") + F.col("n") * F.col("mean") * F.col("mean")).alias("q"))
+    found = {}
+    for r in whole.collect():  # one row per column
+        mean = r["s"] / r["n"]
+        found[names[r["i"]]] = mean, max(r["q"] / r["n"] - mean * mean, 0.0) ** 0.5 or 1.0
+    return {c: found.get(c, (0.0, 1.0)) for c in names}
+
+
 def _tiled_correlations(numbers: DataFrame, names: Sequence[str], scaled: Callable[[Sequence[str]], list[Column]], least: float | None, tile: int) -> DataFrame:
     """(i, j, corr) of all pairs of columns, one job for each pair of column blocks.
 

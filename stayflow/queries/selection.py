@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from stayflow import fixtures as fx
 from stayflow.operators import prep, sampling as sa, screening as sc
-from stayflow.plans import models as mo
+from stayflow.plans import models as mo, monthly
 from stayflow.queries.cohorts import MONTH, RULES
 from stayflow.queries.registry import query
 from stayflow.queries.statistics import TRAIN_TEST, corr_target_sql, pairs_sql, r, split
@@ -161,3 +161,26 @@ query("random_search")(lambda s, sf: mo.random_search(_cohort(s, sf), TEXTS, NUM
 query("backward_selection")(lambda s, sf: mo.backward_selection(_cohort(s, sf), NUMBERS, smallest=3, largest=4, k=2, maxDepth=2, maxIter=2))
 query("score_splits")(lambda s, sf: mo.split_metrics(mo.score_splits(sa.stratified_split(_cohort(s, sf)), TEXTS, NUMBERS)))
 query("segment_tree")(lambda s, sf: mo.segment_tree(_cohort(s, sf), TEXTS, NUMBERS)[1])
+
+
+# --- a month from stored artefacts, and the stored model on a later month ---
+
+
+def _stored_model(s, sf):
+    from stayflow.session import new_folder
+
+    path = new_folder(s, "monthly")
+    monthly.store_model(fx.snapshot(s, sf), MONTH, RULES, TEXTS, NUMBERS, f"{path}/model")
+    return path
+
+
+def _monthly_list(s, sf):
+    """Stored model, cohort of June, scores and list; the run is repeated and replaces itself."""
+    path = _stored_model(s, sf)
+    for _ in range(2):
+        monthly.run_month(fx.snapshot(s, sf), 200006, RULES, f"{path}/model", f"{path}/out", "0701", "list", "2000-06-30")
+    return s.read.parquet(f"{path}/out/targets")
+
+
+query("monthly_list")(_monthly_list)
+query("out_of_time_lift")(lambda s, sf: monthly.out_of_time(fx.snapshot(s, sf), 200006, RULES, f"{_stored_model(s, sf)}/model")[1])

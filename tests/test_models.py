@@ -133,3 +133,41 @@ def test_lift_on_a_later_month(spark, months):
     assert scored.count() == co.eligible(months, 202004, RULES).count()
     assert evaluate.roc_auc(evaluate.flip_probability(scored)).first()["auc"] > 0.6
     assert lift.count() > 1
+
+
+def test_tails_of_the_feature_tests():
+    """Closed forms against numerical integration of the densities."""
+    import math
+
+    import numpy as np
+
+    from stayflow.operators import screening as sc
+
+    for dof in (1, 4, 30, 600):
+        t = np.linspace(0, 400, 4_000_001)
+        density = np.exp(math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2)) / math.sqrt(dof * math.pi) * (1 + t * t / dof) ** (-(dof + 1) / 2)
+        for f in (0.1, 1.0, 3.84, 12.0):
+            inside = np.trapezoid(density[t <= math.sqrt(f)], t[t <= math.sqrt(f)])
+            assert sc._beta_tail(dof / (dof + f), dof / 2, 0.5) == pytest.approx(1 - 2 * inside, abs=2e-4)
+    assert math.erfc(math.sqrt(3.841458820694124 / 2)) == pytest.approx(0.05)
+
+
+def test_p_values_belong_to_their_statistics(planted):
+    from stayflow.operators import screening as sc
+
+    rows = {r["feature"]: r for r in sc.anova_f(planted, ["x0", "x2", "x3"], p_values=True).collect()}
+    assert rows["x0"]["pval_anova"] < 1e-6 < 0.001 < rows["x2"]["pval_anova"] <= 1 and rows["x0"]["ranking_anova"] == 1
+    for r in rows.values():
+        assert r["pval_anova"] == pytest.approx(sc._beta_tail(598 / (598 + r["anova"]), 299, 0.5))
+
+
+def test_trees_give_the_rate_of_their_leaves(planted):
+    from stayflow.operators import trees
+    from stayflow.operators.sampling import stratified_folds
+
+    folded = stratified_folds(planted.select("chc_id", "status", "x0", "x2"), 3)
+    fitted = trees.tree_stage(trees.fit_trees(folded, ["x0", "x2"], corr_threshold=0.2))
+    assert list(fitted.outputs) == ["x0"]  # x2 says nothing
+    rows = fitted.apply(planted, ["status"]).groupBy("x0").agg(F.avg("status").alias("rate"), F.count("*").alias("n")).collect()
+    assert 2 <= len(rows) <= 64 and all(r["x0"] == pytest.approx(r["rate"]) for r in rows) and min(r["n"] for r in rows) >= 3
+    assert max(r["x0"] for r in rows) - min(r["x0"] for r in rows) > 0.5

@@ -46,6 +46,13 @@ def test_tiles_give_all_pairs(numbers, tile):
     assert strong == {(names[i], names[j]) for (i, j), v in expect.items() if v is not None and abs(v) > 0.9}
 
 
+def test_target_correlation_of_many_columns(numbers):
+    df, x, names = numbers
+    few = {r["feature"]: r["corr"] for r in st.target_correlation(df, names, "status").collect()}
+    many = {r["feature"]: r["corr"] for r in st.wide_target_correlation(df, names, "status").collect()}
+    assert set(few) == set(many) and all((few[c] is None) == (many[c] is None) and (few[c] is None or abs(few[c] - many[c]) < 1e-7) for c in few)
+
+
 def test_a_task_of_a_tile_holds_two_blocks_only(spark, numbers):
     df, x, names = numbers
     made = list(st._tile_products([0, 1], [5, 6, 7])(iter(__import__("pyarrow").RecordBatch.from_pandas(df.select("x0", "x1", "x5", "x6", "x7").toPandas()) for _ in range(1))))
