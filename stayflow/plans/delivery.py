@@ -14,6 +14,9 @@ from stayflow.operators.stats import long_levels
 # Fixed value: the length of the monthly target list.
 TARGETS = 30_000
 
+#: characters of a composite key whose numbers fit their places
+KEY_LENGTH = 12
+
 
 def retention_calls(
     interactions: DataFrame, start: str, end: str, lob: str = "FIXED", dept: str = "retention",
@@ -33,15 +36,18 @@ def retention_calls(
 def target_list(scored: DataFrame, run_month: int, time_run: str, n: int = TARGETS, key: str = "chc_id", composite: str = "corp_house_cust") -> DataFrame:
     """The ``n`` likeliest leavers with their key parts padded back to full width.
 
-    A top-n list: each task keeps its best ``n`` and only those are merged.
+    A top-n list: each task keeps its best ``n`` and only those are merged. A key longer
+    than its places stays whole, as two customers must not become one; its parts are then
+    the digits at their places.
     """
     top = scored.filter(F.col(PREDICTED) == 1).orderBy(F.desc(PROB), F.asc(key)).limit(n)
     parts = split_key(F.col(composite))
     house, cust = padded(parts["house"], 6), padded(parts["cust"], 2)
+    grown = F.length(composite) > KEY_LENGTH
     return top.select(
         F.lit(time_run).alias("time_run"), F.lit(str(run_month)).alias("run_month"),
-        parts["corp"].alias("corp"), house.alias("house"), cust.alias("cust"),
-        build_key(parts["corp"], house, cust).alias("corp_house_cust"),
+        parts["corp"].alias("corp"), house.alias("house"), F.when(grown, F.substring(composite, 11, 2)).otherwise(cust).alias("cust"),
+        F.when(grown, F.col(composite)).otherwise(build_key(parts["corp"], house, cust)).alias("corp_house_cust"),
     )
 
 

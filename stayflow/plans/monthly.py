@@ -54,7 +54,7 @@ def run_month(
     """
     spark = snapshot.sparkSession
     scored, kept = _scores(spark, snapshot, month, rules, model_path, segment)
-    composite = build_key(F.lit(corp), F.col(rules.key), F.col(rules.key) % 100)
+    composite = build_key(F.lit(corp), F.col(rules.key), F.col(rules.key) % 100, grow=True)
     tagged = scored.withColumns({"corp_house_cust": composite, "trained_on": F.lit(kept["month"]), "run_month": F.lit(month), "run_id": F.lit(run_id)})
     staged = f"{out_path}/staged/{run_id}-{month}"
     metrics = guarded.write_guarded(tagged, staged, [rules.key], f"run of {month}")

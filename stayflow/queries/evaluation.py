@@ -238,7 +238,7 @@ query(
 def _target(df):
     from stayflow.functions.keys import build_key
 
-    keyed = df.withColumn("corp_house_cust", build_key(F.lit("0701"), F.col("chc_id"), F.col("chc_id") % 100))
+    keyed = df.withColumn("corp_house_cust", build_key(F.lit("0701"), F.col("chc_id"), F.col("chc_id") % 100, grow=True))
     return de.target_list(keyed, 200004, "2000-04-01")
 
 

@@ -26,7 +26,7 @@ query(
     "SELECT c_custkey, concat('701', concat(repeat('0', CAST(greatest(0, 6 - length(CAST(c_custkey AS VARCHAR))) AS INT)), CAST(c_custkey AS VARCHAR)), concat(repeat('0', CAST(greatest(0, 2 - length(CAST(c_nationkey AS VARCHAR))) AS INT)), CAST(c_nationkey AS VARCHAR))) AS corp_house_cust FROM customer",
 )(
     lambda s, sf: fx.table(s, sf, "customer").select(
-        "c_custkey", keys.build_key(F.lit(701), F.col("c_custkey"), F.col("c_nationkey")).alias("corp_house_cust")
+        "c_custkey", keys.build_key(F.lit(701), F.col("c_custkey"), F.col("c_nationkey"), grow=True).alias("corp_house_cust")
     )
 )
 

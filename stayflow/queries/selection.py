@@ -137,7 +137,7 @@ def _batch_score(s, sf):
 
     model = mo.train_gbt(_cohort(s, sf), TEXTS, NUMBERS)
     month = prep.blanks_to_null(co.score_cohort(fx.snapshot(s, sf), 200006, RULES, [*TEXTS, *NUMBERS]))
-    keyed = month.withColumn("corp_house_cust", build_key(F.lit("0701"), F.col("chc_id"), F.col("chc_id") % 100))
+    keyed = month.withColumn("corp_house_cust", build_key(F.lit("0701"), F.col("chc_id"), F.col("chc_id") % 100, grow=True))
     return mo.batch_score(model, keyed, TEXTS, NUMBERS, 200006, f"gbt_train_{MONTH}_infer_200006", composite="corp_house_cust")
 
 
