@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,17 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for one step; afterwards it is as before."""
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
 def new_folder(spark: SparkSession, tag: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/stayflow/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"

@@ -15,3 +15,44 @@ def test_target_list_keeps_keys_that_outgrow_their_places(spark):
     assert [tuple(r)[2:] for r in got.sort(F.desc("corp_house_cust")).collect()] == [
         ("0701", "123450", "70", "0701123450707"), ("0701", "123450", "50", "070112345050"), ("0701", "123450", "00", "0701123450000"), ("0701", "000007", "07", "070100000707"),
     ]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Two customers, one of them listed twice, with orders in some of thirteen months."""
+    path = str(tmp_path_factory.mktemp("tables"))
+    spark.createDataFrame([(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{path}/nation.parquet")
+    spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string").write.parquet(f"{path}/region.parquet")
+    customers = [(1, 0, 5.0, "X"), (2, 0, 6.0, "Y"), (2, 0, 6.0, "Y"), (None, 0, 7.0, "Z")]
+    spark.createDataFrame(customers, "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{path}/customer.parquet")
+    orders = [(1, "2000-01-05", 10.0), (1, "2000-03-05", 20.0), (2, "2000-02-01", 1.0), (2, "2000-02-02", 2.0)]
+    orders += [(3, f"{2000 + m // 12}-{m % 12 + 1:02d}-01", 1.0) for m in range(13)]
+    rows = spark.createDataFrame(orders, "o_custkey long, d string, o_totalprice double")
+    rows = rows.selectExpr("monotonically_increasing_id() AS o_orderkey", "o_custkey", "'O' AS o_orderstatus", "o_totalprice", "CAST(d AS TIMESTAMP) AS o_orderdate", "'1-URGENT' AS o_orderpriority")
+    rows.write.parquet(f"{path}/orders.parquet")
+    return path
+
+
+def test_customer_months_are_expanded_without_sorting_them(spark, tables):
+    df = fx.cust_month(spark, tables)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    after = plan[: plan.index("Generate")]  # the plan's upper part works on the rows of months
+    assert "Window" not in plan and "Sort" not in after and "Exchange" not in after
+    cols = ["dt", "tenure", "drform", "rev_m0", "rev_m1", "rev_m2", "orders_m0", "orders_6m"]
+    one = [tuple(r) for r in df.filter("chc_id = 1 AND dt <= 200004").sort("dt").select(*cols).collect()]
+    assert one == [
+        (200001, 0, "ACTIVE", 10.0, None, None, 1, 1), (200002, 1, "ACTIVE", 0.0, 10.0, None, 0, 1),
+        (200003, 2, "ACTIVE", 20.0, 0.0, 10.0, 1, 2), (200004, 3, "ACTIVE", 0.0, 20.0, 0.0, 0, 2),
+    ]
+    # two rows a month: twelve rows are then six months, so one row of August still sees an order
+    assert [r.drform for r in df.filter("chc_id = 2 AND dt > 200007").collect()].count("ACTIVE") == 1
+    two = [tuple(r) for r in df.filter("chc_id = 2 AND dt <= 200003").select("dt", "rev_m0", "rev_m1", "orders_6m").collect()]
+    assert sorted(two, key=str) == sorted([(200002, 3.0, None, 2), (200002, 3.0, 3.0, 4), (200003, 0.0, 3.0, 4), (200003, 0.0, 0.0, 4)], key=str)
+    assert df.filter("chc_id IS NULL").isEmpty()
+
+
+def test_snapshot_holds_the_same_rows_and_leaves_the_session_as_it_was(spark, tables):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    old, df = spark.conf.get(name), fx.cust_month(spark, tables)
+    kept = fx.snapshot(spark, tables).select(*df.columns)
+    assert kept.exceptAll(df).isEmpty() and df.exceptAll(kept).isEmpty() and spark.conf.get(name) == old
