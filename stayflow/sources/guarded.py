@@ -45,10 +45,12 @@ def store_bucketed(df: DataFrame, table: str, path: str, key: str = "chc_id", mo
 
     Semi joins of months, groupings by key and joins of tables with the same buckets then
     need no shuffle of rows. ``buckets`` should give files of some hundred MB a month. Rows are
-    dealt by month and bucket before the write, so that each bucket is one file.
+    dealt by month and bucket before the write, so that each bucket is one file; there are
+    as many tasks as buckets of all months, so that none has to sort much more than one.
     """
     parts = [month] if month else []
-    dealt = df.repartition(*parts, F.pmod(F.hash(key), F.lit(buckets)))
+    months = df.select(month).distinct().count() if month else 1
+    dealt = df.repartition(max(months, 1) * buckets, *parts, F.pmod(F.hash(key), F.lit(buckets)))
     writer = dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
     (writer.partitionBy(*parts) if parts else writer).saveAsTable(table)
     return df.sparkSession.table(table)

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from stayflow import fixtures as fx
 from stayflow.functions import keys
-from stayflow.operators import evaluate as ev
+from stayflow.operators import evaluate as ev, stats as st
 from stayflow.plans import delivery as de
+from stayflow.sources import guarded
 
 
 def test_target_list_keeps_keys_that_outgrow_their_places(spark):
@@ -56,3 +57,25 @@ def test_snapshot_holds_the_same_rows_and_leaves_the_session_as_it_was(spark, ta
     old, df = spark.conf.get(name), fx.cust_month(spark, tables)
     kept = fx.snapshot(spark, tables).select(*df.columns)
     assert kept.exceptAll(df).isEmpty() and df.exceptAll(kept).isEmpty() and spark.conf.get(name) == old
+
+
+def test_describe_reads_its_table_once(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    rows = [("a", 1.0), ("a", 1.0), ("a", 4.0), ("a", None), ("b", 3.0), ("c", None)]
+    spark.createDataFrame(rows, "g string, x double").write.parquet(path)
+    out = st.describe(spark.read.parquet(path), ["x"], ["g"], {"p50": 0.5})
+    assert path not in out._jdf.queryExecution().executedPlan().toString()  # all from the counted values
+    got = {r["g"]: (r["n"], r["mean"], r["sd"] and round(r["sd"], 9), r["min"], r["max"], r["missing_pct"], r["p50"]) for r in out.collect()}
+    assert got == {"a": (3, 2.0, 1.732050808, 1.0, 4.0, 25.0, 1.0), "b": (1, 3.0, None, 3.0, 3.0, 0.0, 3.0), "c": (0, None, None, None, None, 100.0, None)}
+
+
+def test_buckets_are_dealt_to_a_task_each(spark, tmp_path):
+    df = spark.range(400).selectExpr("id % 40 AS chc_id", "CAST(id % 10 AS INT) AS dt")
+    seen = []
+    old, type(df).repartition = type(df).repartition, lambda self, n, *c: seen.append(n) or old(self, n, *c)
+    try:
+        guarded.store_bucketed(df, "stayflow_growth", str(tmp_path / "t"), buckets=4)
+    finally:
+        type(df).repartition = old
+    assert seen == [40] and spark.table("stayflow_growth").exceptAll(df.select("chc_id", "dt")).isEmpty()
+    guarded.drop_stored(spark, "stayflow_growth")
