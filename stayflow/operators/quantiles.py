@@ -183,18 +183,23 @@ def exact_quantiles(
     return out
 
 
+def value_counts(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """(by..., _v, _n): how often each group holds a value, null among them."""
+    return rows.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def group_quantiles(rows: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
     """One row per group with a column per named probability.
 
     ``rows`` is long: group columns and one numeric value. Equal values are counted
     before anything is ordered, and a large group is spread over many slices.
     """
+    return counted_quantiles(value_counts(rows.filter(F.col(value).isNotNull()), by, value), by, probs)
+
+
+def counted_quantiles(counts: DataFrame, by: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """The same from :func:`value_counts` without nulls."""
     by = list(by)
-    counts = (
-        rows.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
     spans = running_totals(counts, [F.col("_v")], ["_n"], by)
     sizes = spans.groupBy(*by).agg(F.sum("_n").alias("_size"))
     spots = F.array(

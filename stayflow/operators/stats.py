@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from stayflow.functions.columns import pct2, pearson, ratio
-from stayflow.operators.quantiles import group_quantiles
+from stayflow.operators.quantiles import counted_quantiles, group_quantiles, value_counts
 from stayflow.session import materialize, new_folder
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -152,18 +152,27 @@ def number_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> Dat
 
 
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), probs: Mapping[str, float] = DESCRIBE) -> DataFrame:
-    """Count, mean, sd, min, percentiles, max and missing share per feature (and group)."""
-    rows = long_numbers(df, cols, by)
+    """Count, mean, sd, min, percentiles, max and missing share per feature (and group).
+
+    The table is read and unpivoted once: equal values are counted and written, and
+    everything comes from the counts.
+    """
     keys = [*by, "feature"]
-    moments = rows.groupBy(*keys).agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("sd"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        ratio(100 * F.count(F.when(F.col("value").isNull(), 1)), F.count(F.lit(1))).alias("missing_pct"),
+    counts = materialize(value_counts(long_numbers(df, cols, by), keys, "value"), "values")
+    v, n = F.col("_v"), F.col("_n")
+    known = F.when(v.isNotNull(), n)
+    moments = counts.groupBy(*keys).agg(
+        F.coalesce(F.sum(known), F.lit(0)).alias("n"),
+        (F.sum(v * n) / F.sum(known)).alias("mean"),
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
+        ratio(100 * F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)), F.sum("_n")).alias("missing_pct"),
     )
-    return moments.join(group_quantiles(rows, keys, "value", probs), keys, "left")
+    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
+    off = counts.alias("c").join(moments.alias("m"), same("c", "m")).select("c.*", (v - F.col("m.mean")).alias("_off"))
+    spread = off.groupBy(*keys).agg(F.sqrt(F.sum(n * F.col("_off") * F.col("_off")) / F.nullif(F.sum(known) - 1, F.lit(0))).alias("sd"))
+    moments = moments.alias("m").join(spread.alias("s"), same("m", "s")).select(*[f"m.{k}" for k in keys], "n", "mean", "sd", "min", "max", "missing_pct")
+    return moments.join(counted_quantiles(counts.filter("_v IS NOT NULL"), keys, probs), keys, "left")
 
 
 def with_populations(df: DataFrame, populations: Mapping[str, Column]) -> DataFrame:
