@@ -380,24 +380,28 @@ def _tile_products(left: Sequence[int], right: Sequence[int]):
     same = list(left) == list(right)
     chosen = np.triu_indices(len(left), 1) if same else tuple(x.ravel() for x in np.indices((len(left), len(right))))
 
+    def with_mask(v: np.ndarray, seen: np.ndarray, gappy: np.ndarray) -> np.ndarray:
+        """``v.T @ seen``, where only the ``gappy`` columns of the mask are not all ones."""
+        out = np.repeat(v.sum(axis=0)[:, None], seen.shape[1], axis=1)
+        out[:, gappy] = v.T @ seen[:, gappy]
+        return out
+
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc = np.zeros((6, len(left), len(right)))
         for batch in batches:
             x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype("float64")  # nulls arrive as NaN
             gaps = np.isnan(x)
             a, b = x[:, : len(left)], x[:, -len(right) :]
-            if not gaps.any():  # then all products with the mask are plain sums
-                acc[0] += len(x)
-                acc[1] += a.sum(axis=0)[:, None]
-                acc[2] += b.sum(axis=0)[None, :]
-                acc[3] += (a * a).sum(axis=0)[:, None]
-                acc[4] += (b * b).sum(axis=0)[None, :]
-                acc[5] += a.T @ b
-                continue
             seen = (~gaps).astype("float64")
             x[gaps] = 0.0
             wa, wb = seen[:, : len(left)], seen[:, -len(right) :]
-            acc += [wa.T @ wb, a.T @ wb, wa.T @ b, (a * a).T @ wb, wa.T @ (b * b), a.T @ b]
+            ga, gb = (np.flatnonzero((w == 0).any(axis=0)) for w in (wa, wb))
+            acc[0] += with_mask(wa, wb, gb)
+            acc[1] += with_mask(a, wb, gb)
+            acc[2] += with_mask(b, wa, ga).T
+            acc[3] += with_mask(a * a, wb, gb)
+            acc[4] += with_mask(b * b, wa, ga).T
+            acc[5] += a.T @ b
         places = [np.asarray(left, "int32")[chosen[0]], np.asarray(right, "int32")[chosen[1]]]
         yield pa.RecordBatch.from_arrays([pa.array(v) for v in [*places, *(m[chosen] for m in acc)]], names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
 

@@ -158,8 +158,16 @@ def many_columns(k):
     return ", ".join(out)
 
 
+#: cells of the wide table that one task derives
+CELLS = 40_000_000
+
+
 def many(s, sf, k):
-    fx.table(s, sf, "customer").createOrReplaceTempView("stayflow_many")
+    """The customers fit in one small file, their columns do not: they are dealt to tasks first."""
+    customers = fx.table(s, sf, "customer")
+    n = customers.count()  # from the files' footers
+    tasks = max(min(s.sparkContext.defaultParallelism, n * k // 1_000_000), -(-n * k // CELLS), 1)
+    customers.repartition(tasks).createOrReplaceTempView("stayflow_many")
     return s.sql(f"SELECT c_custkey AS chc_id, CASE WHEN c_acctbal > 4500 THEN 1 ELSE 0 END AS status, {many_columns(k)} FROM stayflow_many")
 
 

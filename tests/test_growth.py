@@ -6,6 +6,7 @@ from stayflow import fixtures as fx
 from stayflow.functions import keys
 from stayflow.operators import evaluate as ev, stats as st
 from stayflow.plans import delivery as de
+from stayflow.queries.statistics import many
 from stayflow.sources import guarded
 
 
@@ -79,3 +80,8 @@ def test_buckets_are_dealt_to_a_task_each(spark, tmp_path):
         type(df).repartition = old
     assert seen == [40] and spark.table("stayflow_growth").exceptAll(df.select("chc_id", "dt")).isEmpty()
     guarded.drop_stored(spark, "stayflow_growth")
+
+
+def test_wide_table_is_derived_in_many_tasks(spark, tmp_path):
+    spark.range(4000).selectExpr("id AS c_custkey", "CAST(id AS DOUBLE) AS c_acctbal").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    assert many(spark, str(tmp_path), 1000).rdd.getNumPartitions() == 4
