@@ -18,7 +18,9 @@ cannot hold a link if their sizes are too far apart or if the common bits, and w
 hide behind them, are fewer than the least overlap of such sizes; the traversal goes down
 both sides at once and drops such pairs. Leaves that are left are compared member by
 member, unless they are joined already: only links that hold a group together are kept,
-never all pairs. Blocks that the first round has joined into one are not paired again.
+never all pairs. A task gives them as stars around the smallest class, so a cluster of one
+block has its groups at once; only groups of larger clusters are joined over tasks. Blocks
+that the first round has joined into one are not paired again.
 
 Sets and classes are compared by 64-bit hashes.
 
@@ -220,8 +222,26 @@ class SignatureTree:
                 todo.append((level - 1, x[real], y[real]))
 
 
+def least_reached(links: list[tuple[int, int]], n: int) -> np.ndarray:
+    """For each of ``n`` places the least one that it reaches over the links."""
+    above = list(range(n))
+
+    def top(i: int) -> int:
+        while above[i] != i:
+            above[i] = i = above[above[i]]
+        return i
+
+    for x, y in links:
+        x, y = top(x), top(y)
+        above[max(x, y)] = min(x, y)
+    return np.array([top(i) for i in range(n)], np.int64)
+
+
 def _tree_links(dealt: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links found by one tree for each (cluster, task) of ``dealt`` (cluster, task, code, root, members)."""
+    """(a, b, whole): the groups that one tree finds for each (cluster, task) of ``dealt`` (cluster, task, code, root, whole, members).
+
+    Each group is a star: a link from every class but the smallest to that one.
+    """
 
     def search(table: pa.Table) -> pa.Table:
         code, first = np.unique(table.column("code").to_numpy(), return_index=True)  # a set may have come more than once
@@ -235,10 +255,11 @@ def _tree_links(dealt: DataFrame, percent: int) -> DataFrame:
         if len(own) > 1:
             tree = SignatureTree(np.concatenate(own), np.cumsum([len(x) for x in own]), percent)
             links = list(tree.links(root))
-        a, b = (np.array([code[x[k]] for x in links], np.int64) for k in (0, 1))
-        return pa.table({"a": a, "b": b})
+        least = least_reached(links, len(own))
+        a = np.flatnonzero(least != np.arange(len(own)))
+        return pa.table({"a": code[a], "b": code[least[a]], "whole": pa.array([table.column("whole")[0].as_py()] * len(a), pa.bool_())})
 
-    return dealt.select("cluster", "task", "code", "root", "members").groupBy("cluster", "task").applyInArrow(search, "a long, b long")
+    return dealt.select("cluster", "task", "code", "root", "whole", "members").groupBy("cluster", "task").applyInArrow(search, "a long, b long, whole boolean")
 
 
 def _bits(values: DataFrame, column: str) -> DataFrame:
@@ -256,7 +277,7 @@ def _sifted(df: DataFrame, column: str, bits: DataFrame) -> DataFrame:
 
 
 def cluster_blocks(classes: DataFrame, block_cost: int) -> DataFrame:
-    """(code, n, first_id, cluster, block) of the classes that share a key with another."""
+    """(code, n, first_id, cluster, block, whole) of the classes that share a key with another; ``whole`` clusters are one block."""
     held = classes.select("code", F.explode("keys").alias("key"))
     shared = materialize(held.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("key"), "shared-keys")
     met = materialize(_sifted(held, "key", _bits(shared, "key")).select("key", "code"), "shared-members")
@@ -265,8 +286,16 @@ def cluster_blocks(classes: DataFrame, block_cost: int) -> DataFrame:
     label = materialize(components(edges), "clusters")
     label = label.unionByName(label.select(F.col("root").alias("node"), "root").distinct())
     inside = classes.select("code", "n", "first_id").join(label.select(F.col("node").alias("code"), F.col("root").alias("cluster")), "code")
-    placed = running_totals(inside.withColumn("cost", F.col("n") + MEMBER_COST), [F.col("n"), F.col("code")], ["cost"], ["cluster"])
-    return materialize(placed.select("code", "n", "first_id", "cluster", F.expr(f"cast(cost_before div {block_cost} as int)").alias("block")), "blocks")
+    inside = materialize(inside.withColumn("cost", F.col("n") + MEMBER_COST), "clustered")
+    large = inside.groupBy("cluster").agg(F.sum("cost").alias("all")).filter(F.col("all") > block_cost).select("cluster")
+    large = materialize(large, "large-clusters")  # few: each has more than a block's content
+    columns = ["code", "n", "first_id", "cluster"]
+    small = inside.select(*columns, F.lit(0).alias("block"), F.lit(True).alias("whole"))
+    if large.isEmpty():
+        return small
+    placed = running_totals(inside.join(F.broadcast(large), "cluster", "left_semi"), [F.col("n"), F.col("code")], ["cost"], ["cluster"])
+    placed = placed.select(*columns, F.expr(f"cast(cost_before div {block_cost} as int)").alias("block"), F.lit(False).alias("whole"))
+    return materialize(small.join(F.broadcast(large), "cluster", "left_anti").unionByName(placed), "blocks")
 
 
 def _contents(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -282,27 +311,34 @@ def _contents(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str, wo
 
         return compute
 
-    return append_columns(wanted, "_text", make, "found long, members array<long>", ["code", "cluster", "block"]).filter("found = code").drop("found")
+    return append_columns(wanted, "_text", make, "found long, members array<long>", ["code", "cluster", "block", "whole"]).filter("found = code").drop("found")
 
 
 def _labels(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("code"), F.col("root"))
 
 
-def set_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int, percent: int, block_cost: int) -> DataFrame:
-    """Links (a, b) between classes whose components are those of all linked pairs."""
+def class_roots(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int, percent: int, block_cost: int) -> DataFrame:
+    """(code, root) of the classes that reach a smaller one over links; root is the smallest."""
     placed = cluster_blocks(classes, block_cost)
     contents = materialize(_contents(docs, placed, id_col, text_col, words), "set-members")
-    several = placed.groupBy("cluster").agg(F.max("block").alias("last")).filter("last > 0")
-    first = contents.withColumn("task", F.col("block")).unionByName(
+    first = contents.withColumn("task", F.col("block"))
+    cut = placed.filter("NOT whole")
+    parted = not cut.isEmpty()
+    if parted:
+        several = materialize(cut.groupBy("cluster").agg(F.max("block").alias("last")).filter("last > 0"), "parted")
         # the first block goes to the tasks of all others of its cluster
-        contents.filter("block = 0").join(several, "cluster").withColumn("task", F.explode(F.sequence(F.lit(1), "last"))).drop("last")
-    )
+        again = contents.filter("block = 0 AND NOT whole").join(several, "cluster").withColumn("task", F.explode(F.sequence(F.lit(1), "last")))
+        first = first.unionByName(again.drop("last"))
     links = materialize(_tree_links(first.withColumn("root", F.col("code")), percent), "tree-links")
-    if several.filter("last > 1").isEmpty():
-        return links
-    label = materialize(_labels(links), "first-labels")
-    rooted = placed.join(several.filter("last > 1"), "cluster", "left_semi").filter("block > 0").join(label, "code", "left").withColumn("root", F.coalesce("root", "code"))
+    done = links.filter("whole").select(F.col("a").alias("code"), F.col("b").alias("root"))
+    if not parted:
+        return done
+    label = materialize(_labels(links.filter("NOT whole")), "first-labels")
+    paired = several.filter("last > 1")
+    if paired.isEmpty():
+        return done.unionByName(label)
+    rooted = cut.join(paired, "cluster", "left_semi").filter("block > 0").join(label, "code", "left").withColumn("root", F.coalesce("root", "code"))
     rooted = materialize(rooted, "rooted")
     blocks = rooted.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("root").alias("r0"), F.max("root").alias("r1"))
     other = blocks.select(*(F.col(c).alias(f"{c}_") for c in blocks.columns))
@@ -310,10 +346,11 @@ def set_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, w
     joined = (F.col("r0") == F.col("r1")) & (F.col("r0_") == F.col("r1_")) & (F.col("r0") == F.col("r0_"))
     pairs = materialize(blocks.join(other, near).filter(~joined).select("cluster", "block", "block_", F.monotonically_increasing_id().alias("task")), "block-pairs")
     if pairs.isEmpty():
-        return links
+        return done.unionByName(label)
     sides = pairs.select("cluster", "block", "task").unionByName(pairs.select("cluster", F.col("block_").alias("block"), "task"))
     second = contents.join(sides, ["cluster", "block"]).join(rooted.select("code", "root"), "code")
-    return links.unionByName(materialize(_tree_links(second, percent), "tree-links"))
+    more = materialize(_tree_links(second, percent), "tree-links").select("a", "b")
+    return done.unionByName(_labels(more.unionByName(label.select(F.col("code").alias("a"), F.col("root").alias("b")))))
 
 
 def similar_documents(
@@ -323,8 +360,8 @@ def similar_documents(
     found = materialize(sets_of(docs, id_col, text_col, words, percent), "sets")
     classes = found.filter("n_shingles > 0").groupBy("code").agg(F.min(id_col).alias("first_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
     classes = materialize(classes, "classes")
-    links = set_links(docs, classes, id_col, text_col, words, percent, block_cost)
-    rooted = classes.select("code", "first_id").join(_labels(links), "code", "left").withColumn("root", F.coalesce("root", "code"))
+    roots = class_roots(docs, classes, id_col, text_col, words, percent, block_cost)
+    rooted = classes.select("code", "first_id").join(roots, "code", "left").withColumn("root", F.coalesce("root", "code"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     label = rooted.select("code", "root").join(smallest, "root").select("code", "component_id")
     out = found.select(id_col, "n_shingles", "code").join(label, "code", "left")
