@@ -12,7 +12,6 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -44,8 +43,8 @@ def _edges(iv: Sequence[_Interval], cols: Sequence[str]) -> dict[int, tuple[np.n
     return out
 
 
-def _inside(df: DataFrame, cols: Sequence[str], iv: Sequence[_Interval]) -> DataFrame:
-    """(_iv, value) of the values inside an interval.
+def _searcher(df: DataFrame, cols: Sequence[str], iv: Sequence[_Interval]):
+    """The columns with intervals, and a function from Arrow batches of them to (numbers of intervals, values inside).
 
     The ends are searched as sorted arrays, batch by batch, so the plan stays the same
     for one interval and for a hundred thousand.
@@ -54,7 +53,7 @@ def _inside(df: DataFrame, cols: Sequence[str], iv: Sequence[_Interval]) -> Data
     wide = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_{j}") for j, c in enumerate(cols) if j in edges])
     order = sorted(edges)
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
             for k, j in enumerate(order):
                 lo, hi, at = edges[j]
@@ -62,18 +61,32 @@ def _inside(df: DataFrame, cols: Sequence[str], iv: Sequence[_Interval]) -> Data
                 x = x[~np.isnan(x)]  # nulls arrive as NaN
                 place = np.searchsorted(lo, x, side="right") - 1
                 ok = (place >= 0) & ((x < hi[place]) | (hi[place] == math.inf))
-                yield pa.RecordBatch.from_arrays([pa.array(at[place[ok]]), pa.array(x[ok])], names=["_iv", "value"])
+                yield at[place[ok]], x[ok]
+
+    return wide, search
+
+
+def _inside(df: DataFrame, cols: Sequence[str], iv: Sequence[_Interval]) -> DataFrame:
+    """(_iv, value) of the values inside an interval."""
+    wide, search = _searcher(df, cols, iv)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, x in search(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(x)], names=["_iv", "value"])
 
-    return wide.mapInArrow(search, "_iv int, value double")
+    return wide.mapInArrow(rows, "_iv int, value double")
 
 
-def _part_counts(rows: DataFrame, edges: Sequence[Sequence[float]]) -> DataFrame:
-    """(_iv, part, count): how many values of an interval lie between its edges."""
+def _part_counts(df: DataFrame, cols: Sequence[str], iv: Sequence[_Interval], edges: Sequence[Sequence[float]]) -> DataFrame:
+    """(_iv, part, count): how many values of an interval lie between its edges.
+
+    Values are found and counted by one function: two in a row would take two Python workers a task.
+    """
+    wide, search = _searcher(df, cols, iv)
     cuts = [np.asarray(e) for e in edges]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            iv, value = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        for iv, value in search(batches):
             order = np.argsort(iv, kind="stable")
             iv, value = iv[order], value[order]
             starts = np.flatnonzero(np.diff(iv, prepend=-1))
@@ -81,11 +94,12 @@ def _part_counts(rows: DataFrame, edges: Sequence[Sequence[float]]) -> DataFrame
                 part, n = np.unique(np.searchsorted(cuts[iv[a]], value[a:b], side="right"), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), iv[a], "int32")), pa.array(part.astype("int32")), pa.array(n.astype("int64"))], names=["_iv", "part", "n"])
 
-    return rows.mapInArrow(count, "_iv int, part int, n bigint").groupBy("_iv", "part").agg(F.sum("n").alias("count"))
+    return wide.mapInArrow(count, "_iv int, part int, n bigint").groupBy("_iv", "part").agg(F.sum("n").alias("count"))
 
 
-def _split(rows: DataFrame, iv: Sequence[_Interval]) -> list[_Interval]:
+def _split(df: DataFrame, cols: Sequence[str], iv: Sequence[_Interval]) -> list[_Interval]:
     """Cut each interval at its approximate quantiles; keep the parts with wanted ranks."""
+    rows = _inside(df, cols, iv)
     probs = [k / _CUTS for k in range(1, _CUTS)]
     cuts = {
         r["_iv"]: r["cuts"]
@@ -98,7 +112,7 @@ def _split(rows: DataFrame, iv: Sequence[_Interval]) -> list[_Interval]:
         fenced = set(seen) | {math.nextafter(v, math.inf) for v in seen}
         edges.append([x.lo] + sorted(v for v in fenced if x.lo < v < x.hi))
     counted: dict[int, dict[int, int]] = {}
-    for r in _part_counts(rows, edges).collect():
+    for r in _part_counts(df, cols, iv, edges).collect():
         counted.setdefault(r["_iv"], {})[r["part"]] = r["count"]
     out = []
     for i, x in enumerate(iv):
@@ -114,16 +128,20 @@ def _split(rows: DataFrame, iv: Sequence[_Interval]) -> list[_Interval]:
 
 
 def _picker(intervals: Sequence[_Interval]):
-    """Values at the wanted ranks of one interval, from its distinct values and counts."""
+    """Values at the wanted ranks of one interval, from its distinct values and counts.
+
+    Only the two columns that matter are made into arrays, and one of them is put in order.
+    """
     wanted = [(x.before, x.ranks) for x in intervals]
 
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        iv = int(pdf["_iv"].iloc[0])
+    def pick(table: pa.Table) -> pa.Table:
+        iv = table.column("_iv")[0].as_py()
         before, ranks = wanted[iv]
-        pdf = pdf.sort_values("value")
-        upto = before + pdf["count"].to_numpy().cumsum()
-        at = np.searchsorted(upto, np.asarray(ranks), side="right")
-        return pd.DataFrame({"_iv": iv, "t": ranks, "value": pdf["value"].to_numpy()[at]})
+        value, count = (table.column(c).to_numpy() for c in ("value", "count"))
+        order = np.argsort(value, kind="stable")
+        upto = before + count[order].cumsum()
+        at = order[np.searchsorted(upto, np.asarray(ranks), side="right")]
+        return pa.table({"_iv": np.full(len(ranks), iv, "int32"), "t": np.asarray(ranks, "int64"), "value": value[at]})
 
     return pick
 
@@ -154,8 +172,7 @@ def exact_quantiles(
         todo = [x for x in todo if x.feature in wide]
         if not todo:
             break
-        rows = _inside(df, cols, todo)
-        parts = _split(rows, todo)
+        parts = _split(df, cols, todo)
         inside = _inside(df, cols, parts)
         spread = {
             r["_iv"]: r["d"] for r in inside.groupBy("_iv").agg(F.approx_count_distinct("value").alias("d")).collect()
@@ -167,7 +184,7 @@ def exact_quantiles(
         rows = _inside(df, cols, done)
         counts = rows.groupBy("_iv", "value").count()
         # an interval holds at most ``limit`` distinct values, so a task can sort one
-        picked = counts.groupBy("_iv").applyInPandas(_picker(done), "_iv int, t bigint, value double")
+        picked = counts.groupBy("_iv").applyInArrow(_picker(done), "_iv int, t bigint, value double")
         for r in picked.collect():  # at most two rows per column and probability
             found[(done[r["_iv"]].feature, r["t"])] = r["value"]
     out: dict[str, list[float | None]] = {}

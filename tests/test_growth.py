@@ -85,3 +85,19 @@ def test_buckets_are_dealt_to_a_task_each(spark, tmp_path):
 def test_wide_table_is_derived_in_many_tasks(spark, tmp_path):
     spark.range(4000).selectExpr("id AS c_custkey", "CAST(id AS DOUBLE) AS c_acctbal").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
     assert many(spark, str(tmp_path), 1000).rdd.getNumPartitions() == 4
+
+
+def test_quantile_parts_take_one_python_worker_a_task(spark, monkeypatch):
+    from stayflow.operators import quantiles as qu
+
+    made, kept = [], qu._part_counts
+    monkeypatch.setattr(qu, "_part_counts", lambda *a: made.append(kept(*a)) or made[-1])
+    rows = [(float(i * 37 % 1001), None if i % 7 == 0 else float("nan") if i % 11 == 0 else float(i % 400)) for i in range(1001)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    found = qu.exact_quantiles(df, ["x", "y"], [0.0, 0.25, 0.5, 1.0], limit=50)
+    known = sorted(y for _, y in rows if y is not None and y == y)
+    assert found["x"] == [0.0, 250.0, 500.0, 1000.0]
+    spot = 0.25 * (len(known) - 1)
+    assert abs(found["y"][1] - (known[int(spot)] + (known[int(spot) + 1] - known[int(spot)]) * (spot % 1))) < 1e-9
+    assert found["y"][0] == known[0] and found["y"][3] == known[-1]
+    assert made and all(d._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1 for d in made)
