@@ -25,6 +25,7 @@ from stayflow.operators.stats import (
     categorical_columns,
     describe,
     few_valued,
+    is_wide,
     long_levels,
     missing_pct,
     missing_share,
@@ -33,6 +34,7 @@ from stayflow.operators.stats import (
     per_column,
     target_correlation,
     unique_counts,
+    wide_moments,
 )
 from stayflow.session import materialize
 
@@ -138,7 +140,7 @@ def drop_correlated(
 ) -> Choice:
     if not 0 <= threshold <= 1:
         raise ValueError("threshold must lie in [0, 1]")
-    numbers = [c for c in _features(df, exclude) if c in numeric_columns(df)]
+    numbers = sorted(numeric_columns(df, exclude))
     return _drop_collinear(df, numbers, threshold, label, exclude)
 
 
@@ -157,13 +159,15 @@ def drop_irrelevant_collinear(
 
 
 def _drop_collinear(df, numbers, threshold, label, exclude, weak=()) -> Choice:
+    center = None
     if label is None:
         corr: dict[str, float | None] = {}
         order = list(numbers)
     else:
-        corr = {r["feature"]: r["corr"] for r in target_correlation(df, numbers, label).collect()} if numbers else {}
+        center = wide_moments(df, [label, *numbers]) if is_wide(numbers) else None  # both correlations shift and scale by them
+        corr = {r["feature"]: r["corr"] for r in target_correlation(df, numbers, label, center=center).collect()} if numbers else {}
         order = correlation_order(corr)
-    report = late_of_pairs(pair_correlations(df, order, least=threshold), order, corr)
+    report = late_of_pairs(pair_correlations(df, order, center=center, least=threshold), order, corr)
     report = materialize(report, "collinear")
     gone = sorted({r["drop_feature"] for r in report.select("drop_feature").distinct().collect()} | set(weak))  # column names
     return Choice([c for c in _features(df, exclude) if c not in gone], gone, report)

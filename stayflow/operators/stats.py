@@ -1,9 +1,11 @@
 """Descriptive statistics: one pass over the table for all columns, long form for levels."""
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import combinations
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from stayflow.functions.columns import pct2, pearson, ratio
 from stayflow.operators.quantiles import counted_quantiles, group_quantiles, value_counts
-from stayflow.session import materialize, new_folder
+from stayflow.session import materialize, materialize_wide, new_folder, quoted
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -24,9 +26,12 @@ CHUNK = 200
 TILE = 256
 TILES_AT_ONCE = 4
 
-#: bytes of the matrices that a task holds for several groups at a time
+#: bytes of the matrices that a task holds for several groups or tiles at a time
 GROUP_BYTES = 64 << 20
 
+#: numbers of a wide table that a task works on at a time, and tasks of a core that add up products
+SLICE, TASKS_OF_A_CORE = 4 << 20, 4
+
 # The percentiles of the describe report.
 DESCRIBE = {
     "p01": 0.01, "p05": 0.05, "p10": 0.1, "p20": 0.2, "p30": 0.3, "p40": 0.4, "p50": 0.5,
@@ -233,26 +238,31 @@ def group_level_shares(df: DataFrame, group: str, cols: Sequence[str], max_level
     )
 
 
-def wide_target_correlation(df: DataFrame, cols: Sequence[str], label: str = "status", name: str = "corr") -> DataFrame:
+def is_wide(cols: Sequence[str], tile: int = TILE) -> bool:
+    """Whether so many columns are worked off as matrices of Arrow batches, and their correlations in tiles."""
+    return len(cols) > 2 * tile
+
+
+def wide_target_correlation(
+    df: DataFrame, cols: Sequence[str], label: str = "status", name: str = "corr", center: Mapping[str, tuple[float, float]] | None = None
+) -> DataFrame:
     """(feature, corr) for very many columns: one Arrow pass of products with the label.
 
     The same figures as :func:`target_correlation`, whose aggregates take long to plan and
-    to compile for a thousand columns.
+    to compile for a thousand columns. ``center`` is that of :func:`pair_correlations`.
     """
-    names = [f"_{i}" for i in range(len(cols) + 1)]
-    numbers = df.select(*[number(c).alias(n) for c, n in zip([label, *cols], names)])
-    shift = _rough_moments(numbers, names)
-    scaled = numbers.select(*[((F.col(n) - shift[n][0]) / shift[n][1]).alias(n) for n in names])
-    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
-    made = scaled.mapInArrow(_tile_products([0], range(1, len(names))), "i int, j int, " + ", ".join(f"{s} double" for s in sums))
-    total = made.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
-    return _named_pairs(_pearson_of_sums(total), (), [label, *cols]).select(F.col("col_b").alias("feature"), F.col("corr").alias(name))
+    names = [label, *cols]
+    center = wide_moments(df, names) if center is None else center
+    total = _summed_products(df, names, [0], range(1, len(names)), center)
+    return _named_pairs(_pearson_of_sums(total), (), names).select(F.col("col_b").alias("feature"), F.col("corr").alias(name))
 
 
-def target_correlation(df: DataFrame, cols: Sequence[str], label: str = "status", name: str = "corr") -> DataFrame:
+def target_correlation(
+    df: DataFrame, cols: Sequence[str], label: str = "status", name: str = "corr", center: Mapping[str, tuple[float, float]] | None = None
+) -> DataFrame:
     """Pearson r of every column with the label, all in one aggregate per chunk."""
-    if len(cols) > 2 * TILE:
-        return wide_target_correlation(df, cols, label, name)
+    if is_wide(cols):
+        return wide_target_correlation(df, cols, label, name, center)
     y = F.col(label).cast("double")
     missing = F.lit(None).cast("double")
     return per_column(df, cols, {name: lambda x: pearson(F.nanvl(x.cast("double"), missing), y)})
@@ -283,21 +293,15 @@ def pair_correlations(
     if len(cols) < 2:
         groups = df.select(*by).limit(0) if by else df.sparkSession.range(0).select()
         return groups.select(*by, F.lit("").alias("col_a"), F.lit("").alias("col_b"), F.lit(0.0).alias("corr"))
+    if not by and is_wide(cols, tile):
+        return _named_pairs(_tiled_correlations(df, cols, center, least, tile), (), cols)
     numbers = df.select(*by, *[number(c).alias(f"_{i}") for i, c in enumerate(cols)])
     names = [f"_{i}" for i in range(len(cols))]
-    tiled = not by and len(cols) > 2 * tile
-    if tiled:
-        numbers = materialize(numbers, "numbers")  # so that each tile reads its own columns only
-    if center is None and tiled:
-        shift = _rough_moments(numbers, names)
-    elif center is None:
+    if center is None:
         shift = {r["feature"]: (r["m"] or 0.0, r["s"] or 1.0) for r in per_column(numbers, names, {"m": F.avg, "s": F.stddev_pop}).collect()}
     else:
         shift = {n: center[c] for n, c in zip(names, cols)}
-    scaled = lambda part: [((F.col(c) - shift[c][0]) / shift[c][1]).alias(c) for c in part]
-    if tiled:
-        return _named_pairs(_tiled_correlations(numbers, names, scaled, least, tile), (), cols)
-    z = numbers.select(*by, *scaled(names))
+    z = numbers.select(*by, *[((F.col(c) - shift[c][0]) / shift[c][1]).alias(c) for c in names])
     sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
     keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in z.schema.fields[: len(by)])
     schema = (keys + ", " if keys else "") + "i int, j int, " + ", ".join(f"{s} double" for s in sums)
@@ -320,54 +324,98 @@ def _exceeding(pairs: DataFrame, least: float | None) -> DataFrame:
 
 
 def _named_pairs(pairs: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    label = F.array(*[F.lit(c) for c in cols])
+    label = F.from_json(F.lit(json.dumps(list(cols))), "array<string>")  # folded to one literal
     return pairs.select(*by, F.element_at(label, F.col("i") + 1).alias("col_a"), F.element_at(label, F.col("j") + 1).alias("col_b"), "corr")
 
 
-def _rough_moments(numbers: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, float]]:
+def _as_array(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns as doubles in one array: a row then goes to Python in one piece, not in a buffer for each column."""
+    return df.selectExpr(f"array({', '.join(f'CAST({quoted(c)} AS DOUBLE)' for c in cols)}) AS x")
+
+
+def _matrix_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]:
+    """The rows of Arrow batches of one array column, or of number columns, some at a time; missing is NaN."""
+
+    def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            packed = pa.types.is_list(batch.schema.types[0])
+            width = len(batch.column(0)[0]) if packed and batch.num_rows else batch.num_columns
+            step = max(SLICE // width, 1)
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                if packed:
+                    yield part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                else:
+                    yield np.column_stack([c.to_numpy(zero_copy_only=False) for c in part.columns]).astype("float64")
+
+    return matrices  # made here, so that it goes to the workers with its code
+
+
+def wide_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and spread of many columns in one Arrow pass: they only shift and scale, so rounding does not matter."""
+    k, matrices = len(cols), _matrix_reader()
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, mean, m2 = (np.zeros(len(names)) for _ in range(3))
-        for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype("float64")
-            seen = ~np.isnan(x)
-            k = seen.sum(axis=0)
-            here = np.where(seen, x, 0.0).sum(axis=0) / np.maximum(k, 1)
-            gap, total = here - mean, np.maximum(n + k, 1)
-            m2 += (np.where(seen, x - here, 0.0) ** 2).sum(axis=0) + gap * gap * n * k / total
-            mean, n = mean + gap * k / total, n + k
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(names), dtype="int32")), pa.array(n), pa.array(mean), pa.array(m2)], names=["i", "n", "mean", "m2"])
-
-    parts = numbers.mapInArrow(add_up, "i int, n double, mean double, m2 double").filter("n > 0")
+        n, mean, m2 = (np.zeros(k) for _ in range(3))
+        for x in matrices(batches):
+            gaps = np.isnan(x)
+            seen = len(x) - gaps.sum(axis=0)
+            gappy = seen < len(x)
+            here = np.where(gappy, 0.0, x.sum(axis=0) / len(x))
+            here[gappy] = np.where(gaps[:, gappy], 0.0, x[:, gappy]).sum(axis=0) / np.maximum(seen[gappy], 1)
+            off = x - here
+            off[:, gappy] = np.where(gaps[:, gappy], 0.0, off[:, gappy])
+            gap, total = here - mean, np.maximum(n + seen, 1)
+            m2 += np.einsum("ij,ij->j", off, off) + gap * gap * n * seen / total
+            mean, n = mean + gap * seen / total, n + seen
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, dtype="int32")), pa.array(n), pa.array(mean), pa.array(m2)], names=["i", "n", "mean", "m2"])
+
+    parts = _as_array(df, cols).mapInArrow(add_up, "i int, n double, mean double, m2 double").filter("n > 0")
     whole = parts.groupBy("i").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("mean")).alias("s"), F.sum(F.col("m2") + F.col("n") * F.col("mean") * F.col("mean")).alias("q"))
     found = {}
     for r in whole.collect():  # one row per column
         mean = r["s"] / r["n"]
-        found[names[r["i"]]] = mean, max(r["q"] / r["n"] - mean * mean, 0.0) ** 0.5 or 1.0
-    return {c: found.get(c, (0.0, 1.0)) for c in names}
+        found[cols[r["i"]]] = mean, max(r["q"] / r["n"] - mean * mean, 0.0) ** 0.5 or 1.0
+    return {c: found.get(c, (0.0, 1.0)) for c in cols}
+
+
+def _summed_products(df: DataFrame, cols: Sequence[str], left: Sequence[int], right: Sequence[int], center: Mapping[str, tuple[float, float]]) -> DataFrame:
+    """(i, j, sums) of the standardised columns of two blocks, read in one pass.
+
+    A task sends a row for each pair of columns whatever its rows, so there are only a few tasks for each core.
+    """
+    read = list(dict.fromkeys([*left, *right]))
+    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    shift, spread = (np.array([center[cols[i]][s] for i in read]) for s in (0, 1))
+    rows = _as_array(df, [cols[i] for i in read]).coalesce(TASKS_OF_A_CORE * df.sparkSession.sparkContext.defaultParallelism)
+    made = rows.mapInArrow(_tile_products(left, right, shift, spread), "i int, j int, " + ", ".join(f"{s} double" for s in sums))
+    return made.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
 
 
-def _tiled_correlations(numbers: DataFrame, names: Sequence[str], scaled: Callable[[Sequence[str]], list[Column]], least: float | None, tile: int) -> DataFrame:
+def _tiled_correlations(df: DataFrame, cols: Sequence[str], center: Mapping[str, tuple[float, float]] | None, least: float | None, tile: int) -> DataFrame:
     """(i, j, corr) of all pairs of columns, one job for each pair of column blocks.
 
-    A task then reads the columns of two blocks, holds six matrices of ``tile`` by ``tile``
-    and sends at most that many rows, however many columns there are; with one pass for
-    all pairs it would hold and send their square. Only the pairs that exceed ``least`` are
-    kept. Every tile is a table of its own in the shared folder: tiles run a few at a
-    time, and one that fails is written again without touching the others.
+    A block has as many tiles of columns as ``GROUP_BYTES`` has room for their matrices. A
+    task then reads the columns of two blocks, holds six matrices and sends a row for each
+    pair in them, however many columns there are; up to a thousand columns are one block,
+    so the table is read once. With more blocks, or without ``center``, it is stored first.
+    Only the pairs that exceed ``least`` are kept. Every pair of blocks is a table of its
+    own in the shared folder: some run at the same time, and one that fails is written
+    again without touching the others.
     """
-    spark = numbers.sparkSession
-    blocks = [list(range(a, min(a + tile, len(names)))) for a in range(0, len(names), tile)]
+    spark = df.sparkSession
+    side = tile * max(isqrt(GROUP_BYTES // (48 * tile * tile)), 1)
+    blocks = [range(a, min(a + side, len(cols))) for a in range(0, len(cols), side)]
+    if len(blocks) > 1 or center is None:  # then it is read several times
+        df = materialize_wide(df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS _{i}" for i, c in enumerate(cols)]), "numbers")
+        center = None if center is None else {f"_{i}": center[c] for i, c in enumerate(cols)}
+        cols = df.columns
+    center = wide_moments(df, cols) if center is None else center
     tiles = [(a, b) for a in range(len(blocks)) for b in range(a, len(blocks))]
     folder = new_folder(spark, "correlation-tiles")
-    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
-    schema = "i int, j int, " + ", ".join(f"{s} double" for s in sums)
 
     def work(pair: tuple[int, int]) -> None:
-        left, right = blocks[pair[0]], blocks[pair[1]]
-        read = numbers.select(*scaled([names[i] for i in dict.fromkeys([*left, *right])]))
-        total = read.mapInArrow(_tile_products(left, right), schema).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
+        total = _summed_products(df, cols, blocks[pair[0]], blocks[pair[1]], center)
         _exceeding(_pearson_of_sums(total), least).write.mode("overwrite").parquet(f"{folder}/tile={pair[0] * len(blocks) + pair[1]}")
 
     with ThreadPoolExecutor(TILES_AT_ONCE) as pool:
@@ -375,35 +423,53 @@ def _tiled_correlations(numbers: DataFrame, names: Sequence[str], scaled: Callab
     return spark.read.schema("i int, j int, corr double, tile int").parquet(folder).drop("tile")
 
 
-def _tile_products(left: Sequence[int], right: Sequence[int]):
-    """Adds up, over a task's batches, the products of the columns of two blocks."""
-    same = list(left) == list(right)
-    chosen = np.triu_indices(len(left), 1) if same else tuple(x.ravel() for x in np.indices((len(left), len(right))))
+def _tile_products(left: Sequence[int], right: Sequence[int], shift: np.ndarray | None = None, spread: np.ndarray | None = None):
+    """Adds up, over a task's batches, the products of the columns of two blocks, less ``shift`` and by ``spread``.
 
-    def with_mask(v: np.ndarray, seen: np.ndarray, gappy: np.ndarray) -> np.ndarray:
-        """``v.T @ seen``, where only the ``gappy`` columns of the mask are not all ones."""
-        out = np.repeat(v.sum(axis=0)[:, None], seen.shape[1], axis=1)
-        out[:, gappy] = v.T @ seen[:, gappy]
-        return out
+    The sums of a pair that depend on one of its columns only are kept once for each
+    column; a matrix has them for the columns in which a gap was met, from there on.
+    """
+    p, q, same, matrices = len(left), len(right), list(left) == list(right), _matrix_reader()
+    chosen = np.triu_indices(p, 1) if same else tuple(x.ravel() for x in np.indices((p, q)))
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        acc = np.zeros((6, len(left), len(right)))
-        for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype("float64")  # nulls arrive as NaN
+        n, sx, sy, sxx, syy, sxy = acc = np.zeros((6, p, q))
+        own = np.zeros((3, len(set([*left, *right]))))  # values seen, their sum and that of their squares
+        gappy = np.zeros(own.shape[1], bool)
+        a, b = (lambda v: v[..., :p]), (lambda v: v[..., -q:])  # the two blocks of anything by column
+        for x in matrices(batches):
+            x = x.copy() if shift is None else (x - shift) / spread
             gaps = np.isnan(x)
-            a, b = x[:, : len(left)], x[:, -len(right) :]
-            seen = (~gaps).astype("float64")
-            x[gaps] = 0.0
-            wa, wb = seen[:, : len(left)], seen[:, -len(right) :]
-            ga, gb = (np.flatnonzero((w == 0).any(axis=0)) for w in (wa, wb))
-            acc[0] += with_mask(wa, wb, gb)
-            acc[1] += with_mask(a, wb, gb)
-            acc[2] += with_mask(b, wa, ga).T
-            acc[3] += with_mask(a * a, wb, gb)
-            acc[4] += with_mask(b * b, wa, ga).T
-            acc[5] += a.T @ b
-        places = [np.asarray(left, "int32")[chosen[0]], np.asarray(right, "int32")[chosen[1]]]
-        yield pa.RecordBatch.from_arrays([pa.array(v) for v in [*places, *(m[chosen] for m in acc)]], names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+            new = gaps.any(axis=0) & ~gappy
+            if new.any():  # so far each of these was there in every row
+                n[a(new)], sy[a(new)], syy[a(new)] = b(own)
+                n[:, b(new)], sx[:, b(new)], sxx[:, b(new)] = a(own)[:, :, None]
+                gappy |= new
+            holes = np.flatnonzero(gappy)
+            x[:, holes] = np.where(gaps[:, holes], 0.0, x[:, holes])
+            squares = x * x
+            own += [len(x) - gaps.sum(axis=0), x.sum(axis=0), squares.sum(axis=0)]
+            if len(holes):
+                ga, gb = a(gappy), b(gappy)
+                wa, wb = (~f(gaps)[:, g] for f, g in ((a, ga), (b, gb)))
+                wa, wb = wa.astype("float64"), wb.astype("float64")
+                n[np.ix_(ga, gb)] += wa.T @ wb
+                sx[:, gb] += a(x).T @ wb
+                sxx[:, gb] += a(squares).T @ wb
+                if not same:
+                    sy[ga] += wa.T @ b(x)
+                    syy[ga] += wa.T @ b(squares)
+            sxy += a(x).T @ b(x)
+        fa, fb = ~a(gappy), ~b(gappy)
+        n[fa], sy[fa], syy[fa] = b(own)
+        n[:, fb], sx[:, fb], sxx[:, fb] = a(own)[:, :, None]
+        if same:
+            sy[:], syy[:] = sx.T, sxx.T
+        i, j = np.asarray(left, "int32")[chosen[0]], np.asarray(right, "int32")[chosen[1]]
+        for at in range(0, len(i), 1 << 16):
+            some = slice(at, at + (1 << 16))
+            places = chosen[0][some], chosen[1][some]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in [i[some], j[some], *(m[places] for m in acc)]], names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
 
     return add_up
 

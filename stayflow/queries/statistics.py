@@ -6,7 +6,7 @@ from stayflow.catalog import Catalog
 from stayflow.operators import prep, screening as sc, stats as st
 from stayflow.queries.registry import query
 from stayflow.queries.views import corr, long_levels, long_numbers, pct2 as pct_sql, with_views
-from stayflow.session import materialize
+from stayflow.session import materialize_wide
 
 NUMS = ["price", "acctbal_gap", "mostly_missing", "yr", "mon"]
 CATS = ["priority", "segment", "nation"]
@@ -176,7 +176,7 @@ query(
     "pairwise_correlation_tiled",
     f"WITH w AS MATERIALIZED (SELECT {many_columns(30)} FROM customer), p AS ({pairs_sql(_MANY, 'w')}) SELECT col_a, col_b, round(corr,6) AS corr FROM p WHERE round(abs(corr),9) > 0.3",
 )(lambda s, sf: r(st.pair_correlations(many(s, sf, 30), _MANY, least=0.3, tile=8)))
-query("drop_correlated_1000")(lambda s, sf: prep.drop_correlated(materialize(many(s, sf, 1000), "many"), 0.90, "status").report)
+query("drop_correlated_1000")(lambda s, sf: prep.drop_correlated(materialize_wide(many(s, sf, 1000), "many"), 0.90, "status").report)
 
 _T5 = ["price", "acctbal_gap", "yr", "mon", "mostly_missing", "status"]
 query(

@@ -6,10 +6,13 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+#: number columns that share an array in a stored table of very many columns
+PACK = 256
+
 
 def get_session(app: str = "stayflow", cpus: str | int = "*", **conf: str) -> SparkSession:
     """Local session for tests and benches; a cluster supplies its own session."""
@@ -72,3 +75,25 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = new_folder(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def quoted(c: str) -> str:
+    """A column name as SQL text; a thousand columns of text are built far sooner than a thousand ``Column``."""
+    return "`" + c.replace("`", "``") + "`"
+
+
+def materialize_wide(df: DataFrame, tag: str) -> DataFrame:
+    """:func:`materialize` for very many double columns: the same columns and rows are read back.
+
+    Parquet keeps a buffer and a dictionary for each column, and a row of a thousand
+    columns touches them all. Stored are arrays of ``PACK`` columns, plain and compressed.
+    """
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    packs = [doubles[a : a + PACK] for a in range(0, len(doubles), PACK)]
+    others = [quoted(c) for c in df.columns if c not in set(doubles)]
+    packed = df.selectExpr(*others, *[f"array({', '.join(map(quoted, p))}) AS _pack{i}" for i, p in enumerate(packs)])
+    path = new_folder(df.sparkSession, tag)
+    packed.write.options(**{"compression": "zstd", "parquet.enable.dictionary": "false"}).parquet(path)
+    place = {c: f"get(_pack{i}, {j}) AS {quoted(c)}" for i, p in enumerate(packs) for j, c in enumerate(p)}
+    stored = df.sparkSession.read.schema(packed.schema).parquet(path)
+    return stored.selectExpr(*[place.get(c, quoted(c)) for c in df.columns])

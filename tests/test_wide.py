@@ -192,3 +192,75 @@ def test_views_before_selection(levels_frame):
     assert num == {"n1"} and cat == {"a_p", "a_q", "a_r", "a_UNKNOWN"} and both == num | cat
     with pytest.raises(ValueError):
         prep.selection_view(df, catalog, "OTHER")
+
+
+def product_sums(x, left, right):
+    """n, sx, sy, sxx, syy and sxy of every pair of columns, over the rows that have both."""
+    out = {}
+    for i in left:
+        for j in right:
+            if list(left) != list(right) or i < j:
+                ok = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+                a, b = x[ok, i], x[ok, j]
+                out[i, j] = ok.sum(), a.sum(), b.sum(), a @ a, b @ b, a @ b
+    return out
+
+
+@pytest.mark.parametrize("left, right", [([0, 1, 2, 3, 4], [0, 1, 2, 3, 4]), ([0, 1], [2, 3, 4]), ([0], [1, 2, 3, 4])])
+@pytest.mark.parametrize("packed", [True, False])
+def test_gaps_that_come_late_count_from_there_on(left, right, packed, monkeypatch):
+    import pyarrow as pa
+
+    x = np.random.default_rng(2).normal(3, 2, (60, 5))
+    x[20:30, 1] = x[25:50, 3] = np.nan  # not in the first slice, and not in the same one
+    monkeypatch.setattr(st, "SLICE", 50)
+    columns = [pa.array(list(map(list, x)), pa.list_(pa.float64()))] if packed else [pa.array(c) for c in x.T]
+    batches = [pa.RecordBatch.from_arrays([c.slice(a, 30) for c in columns], names=[f"c{i}" for i in range(len(columns))]) for a in (0, 30)]
+    made = pa.Table.from_batches(st._tile_products(left, right)(iter(batches))).to_pylist()
+    expect = product_sums(x, left, right)
+    assert {(r["i"], r["j"]) for r in made} == set(expect)
+    assert all(np.allclose([r[s] for s in ("n", "sx", "sy", "sxx", "syy", "sxy")], expect[r["i"], r["j"]]) for r in made)
+
+
+def test_blocks_hold_as_many_tiles_as_have_room(numbers, monkeypatch):
+    df, x, names = numbers
+    expect = brute_pairs(x)
+    calls, real = [], st._summed_products
+    monkeypatch.setattr(st, "_summed_products", lambda *a: calls.append(a) or real(*a))
+    for room, jobs in ((64 << 20, 1), (48 * 14 * 14, 6)):  # all tiles in one pass; blocks of two tiles of 7 columns
+        monkeypatch.setattr(st, "GROUP_BYTES", room)
+        got = {(names.index(r["col_a"]), names.index(r["col_b"])): r["corr"] for r in st.pair_correlations(df, names, tile=7).collect()}
+        assert set(got) == set(expect) and all((got[k] is None) == (v is None) and (v is None or abs(got[k] - v) < 1e-6) for k, v in expect.items())
+        assert len(calls) == jobs
+        calls.clear()
+
+
+def test_a_wide_table_is_stored_in_a_few_arrays(spark):
+    from stayflow.session import PACK, materialize_wide
+
+    k = PACK + 2
+    rows = [(i, i * 1.5, f"t{i}", *(None if (i + j) % 7 == 0 else float("nan") if j == 5 else float(i * j) for j in range(k))) for i in range(4)]
+    df = spark.createDataFrame(rows, "chc_id long, `a.b` double, text string, " + ", ".join(f"f{j} double" for j in range(k)))
+    stored = materialize_wide(df, "wide-test")
+    assert stored.columns == df.columns and stored.dtypes == df.dtypes
+    assert sorted(map(str, stored.collect())) == sorted(map(str, df.collect()))
+    assert len(spark.read.parquet(stored.inputFiles()[0].rsplit("/", 1)[0]).columns) == 2 + 2
+
+
+def test_many_columns_are_read_once_for_all_pairs_and_not_stored_again(spark, monkeypatch):
+    from stayflow import session
+
+    rng = np.random.default_rng(6)
+    k, rows = 2 * st.TILE + 8, 40
+    x = rng.normal(50, 5, (rows, k))
+    x[:, 9], x[:, 300] = 2 * x[:, 4] - 1, x[:, 17] + rng.normal(0, 0.5, rows)
+    x[::9, 4], x[3, 100], x[:, 11] = np.nan, np.nan, 7.0
+    names = [f"x{i:03d}" for i in range(k)]
+    df = spark.createDataFrame([(i, i % 2, *(None if np.isnan(v) else float(v) for v in r)) for i, r in enumerate(x)], "chc_id long, status int, " + ", ".join(f"{n} double" for n in names))
+    tags, real = [], session.new_folder
+    monkeypatch.setattr(session, "new_folder", lambda spark, tag: tags.append(tag) or real(spark, tag))
+    choice = prep.drop_correlated(df, 0.9, "status")
+    order = prep.correlation_order({r["feature"]: r["corr"] for r in st.target_correlation(df, names, "status").collect()})
+    expect = prep.collinear(order, {frozenset((names[i], names[j])): v for (i, j), v in brute_pairs(x).items()}, 0.9)
+    assert {(r["drop_feature"], r["corr_feature"]) for r in choice.report.collect()} == {(a, b) for a, b, _ in expect} and len(expect) >= 2
+    assert "numbers" not in tags and "collinear" in tags
